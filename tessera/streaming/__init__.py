@@ -1,0 +1,7 @@
+"""No streaming jobs.
+
+Every input of the reference is a bounded file, and none of its jobs keeps
+state across batches, so there is nothing here to run on ``readStream``.
+The batch plans in :mod:`tessera.plans` take any DataFrame and could be fed
+from ``foreachBatch`` if a caller wants that.
+"""
