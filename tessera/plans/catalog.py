@@ -11,6 +11,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.plans import clustering as C
+from tessera.plans import kmeans_sql as KS
 from tessera.plans import oracle, reports
 from tessera.sources import standins as S
 
@@ -76,8 +78,29 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_access_numeric": q_latest_access_numeric,
         "degree_summary": q_degree_summary,
         "above_average_degree": q_above_average_degree,
+        "kmeans_step": C.kmeans_step,
+        "kmeans_fixed_rounds": C.kmeans_fixed_rounds,
+        "kmeans_converged": C.kmeans_converged,
+        "kmeans_partial_sums": C.kmeans_partial_sums,
+        "kmeans_assignments": C.kmeans_assignments,
+        "kmeans_history": C.kmeans_history,
+        "cluster_profile": C.cluster_profile,
+        "kmeans_nd": C.kmeans_nd,
+        "kmeans_nd_all": C.kmeans_nd_all,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracle.report_sql())
+    sql = dict(oracle.report_sql())
+    sql.update({
+        "kmeans_step": KS.kmeans2d_centroids_sql(C.STEP_K, 1, C.THRESHOLD_2D, early_stop=False),
+        "kmeans_fixed_rounds": KS.kmeans2d_centroids_sql(C.FIXED_K, C.FIXED_R, C.THRESHOLD_2D, early_stop=False),
+        "kmeans_converged": KS.kmeans2d_centroids_sql(C.CONV_K, C.CONV_R, C.THRESHOLD_2D),
+        "kmeans_partial_sums": KS.kmeans2d_centroids_sql(C.PARTIAL_K, C.PARTIAL_R, C.THRESHOLD_2D),
+        "kmeans_assignments": KS.kmeans2d_assignments_sql(C.ASSIGN_K, C.ASSIGN_R, C.THRESHOLD_2D),
+        "kmeans_history": KS.kmeans2d_history_sql(C.HISTORY_K, C.HISTORY_R, C.THRESHOLD_2D, early_stop=False),
+        "cluster_profile": KS.cluster_profile_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),
+        "kmeans_nd": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "any"),
+        "kmeans_nd_all": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "all"),
+    })
+    return sql
