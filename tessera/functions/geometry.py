@@ -33,36 +33,64 @@ def dist_nd(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(sq, F.lit(0.0).cast("double"), lambda acc, t: acc + t))
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _dbl(v: float) -> str:
+    """Exact double literal: the shortest repr round-trips."""
+    r = repr(float(v))
+    if r in ("nan", "inf", "-inf"):
+        return {"nan": "double('NaN')", "inf": "double('Infinity')", "-inf": "double('-Infinity')"}[r]
+    return r + "D"
+
+
+def centroid_array2d_sql(centroids: Sequence[tuple[int, int]]) -> str:
+    """Literal ``array<struct<pos:int,cx:bigint,cy:bigint>>`` in list order, as
+    SQL text: one parse in the JVM instead of one call per literal."""
+    return "array(" + ", ".join(
+        f"named_struct('pos', {i}, 'cx', {int(x)}L, 'cy', {int(y)}L)"
+        for i, (x, y) in enumerate(centroids)) + ")"
+
+
 def centroid_array2d(centroids: Sequence[tuple[int, int]]) -> Column:
-    """Literal ``array<struct<pos:int,cx:bigint,cy:bigint>>`` in list order."""
-    return F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(int(x)).cast("bigint").alias("cx"),
-                 F.lit(int(y)).cast("bigint").alias("cy"))
-        for i, (x, y) in enumerate(centroids)])
+    return F.expr(centroid_array2d_sql(centroids))
+
+
+def nearest2d_sql(x: str, y: str, centroids: Sequence[tuple[int, int]]) -> str:
+    px, py = f"CAST({_q(x)} AS BIGINT)", f"CAST({_q(y)} AS BIGINT)"
+    d2 = f"({px} - c.cx) * ({px} - c.cx) + ({py} - c.cy) * ({py} - c.cy)"
+    return (f"array_min(transform({centroid_array2d_sql(centroids)}, "
+            f"c -> named_struct('d2', {d2}, 'pos', c.pos)))")
 
 
-def nearest2d(x: Column, y: Column, centroids: Sequence[tuple[int, int]]) -> Column:
+def nearest2d(x: Column | str, y: Column | str, centroids: Sequence[tuple[int, int]]) -> Column:
     """``struct(d2, pos)`` of the nearest centroid; the first one wins ties.
 
     Squared integer distances are exact and keep the order (and the ties) of
     the square roots, which are distinct for distinct squares below 2^53.
+    ``x`` and ``y`` name the columns.
     """
-    arr = centroid_array2d(centroids)
-    return F.array_min(F.transform(
-        arr, lambda c: F.struct(sq_dist2d(x, y, c["cx"], c["cy"]).alias("d2"), c["pos"].alias("pos"))))
+    return F.expr(nearest2d_sql(_name(x), _name(y), centroids))
+
+
+def _name(c) -> str:
+    if isinstance(c, str):
+        return c
+    raise TypeError("pass column names")
 
 
-def centroid_array_nd(centroids: Sequence[tuple[int, Sequence[float]]]) -> Column:
+def centroid_array_nd_sql(centroids: Sequence[tuple[int, Sequence[float]]]) -> str:
     """Literal ``array<struct<pos:int,cid:int,coords:array<double>>>``."""
-    return F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(int(cid)).alias("cid"),
-                 F.array(*[F.lit(float(v)).cast("double") for v in coords]).alias("coords"))
-        for i, (cid, coords) in enumerate(centroids)])
-
-
-def nearest_nd(coords: Column, centroids: Sequence[tuple[int, Sequence[float]]]) -> Column:
-    """``struct(dist, pos, cid)`` of the nearest centroid; first wins ties."""
-    arr = centroid_array_nd(centroids)
-    return F.array_min(F.transform(
-        arr, lambda c: F.struct(dist_nd(coords, c["coords"]).alias("dist"), c["pos"].alias("pos"),
-                                c["cid"].alias("cid"))))
+    return "array(" + ", ".join(
+        f"named_struct('pos', {i}, 'cid', {int(cid)}, 'coords', array({', '.join(_dbl(v) for v in coords)}))"
+        for i, (cid, coords) in enumerate(centroids)) + ")"
+
+
+def nearest_nd(coords: str, centroids: Sequence[tuple[int, Sequence[float]]]) -> Column:
+    """``struct(dist, pos, cid)`` of the nearest centroid; first wins ties.
+    The distance sums squared differences in index order, then takes sqrt."""
+    c = _q(_name(coords))
+    dist = f"sqrt(aggregate(zip_with({c}, k.coords, (u, v) -> (u - v) * (u - v)), 0D, (acc, t) -> acc + t))"
+    return F.expr(f"array_min(transform({centroid_array_nd_sql(centroids)}, "
+                  f"k -> named_struct('dist', {dist}, 'pos', k.pos, 'cid', k.cid)))")

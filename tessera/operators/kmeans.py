@@ -27,11 +27,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.geometry import nearest2d, nearest_nd
+from tessera.functions.geometry import centroid_array2d_sql, nearest2d, nearest_nd
 
 Centroid2D = tuple[int, int]
 CentroidND = tuple[int, list[float]]
@@ -46,9 +48,8 @@ def _trunc_div(a: int, b: int) -> int:
 
 def assign2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y") -> DataFrame:
     """Points with ``pos``, ``cx``, ``cy`` of their nearest centroid."""
-    best = nearest2d(F.col(x), F.col(y), centroids)
-    lookup = F.array(*[F.struct(F.lit(int(cx)).alias("cx"), F.lit(int(cy)).alias("cy"))
-                       for cx, cy in centroids])
+    best = nearest2d(x, y, centroids)
+    lookup = F.expr(centroid_array2d_sql(centroids))
     out = points.withColumn("_best", best).withColumn("pos", F.col("_best.pos"))
     c = F.element_at(lookup, F.col("pos") + 1)
     return out.withColumn("cx", c["cx"]).withColumn("cy", c["cy"]).drop("_best")
@@ -57,7 +58,7 @@ def assign2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y
 def step2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y"
            ) -> tuple[list[Centroid2D], list[int]]:
     """One round: new centroids in next-round order, and their sizes."""
-    best = nearest2d(F.col(x), F.col(y), centroids)
+    best = nearest2d(x, y, centroids)
     per = (points.select(best["pos"].alias("pos"), F.col(x).cast("bigint").alias("x"),
                          F.col(y).cast("bigint").alias("y"))
            .groupBy("pos").agg(F.sum("x").alias("sx"), F.sum("y").alias("sy"),
@@ -147,22 +148,23 @@ def valid_nd(points: DataFrame, dim: int, coords: str = "coords") -> DataFrame:
 
 
 def assign_nd(points: DataFrame, centroids: Sequence[CentroidND], coords: str = "coords") -> DataFrame:
-    best = nearest_nd(F.col(coords), centroids)
+    best = nearest_nd(coords, centroids)
     return points.withColumn("_best", best).select(
         *points.columns, F.col("_best.pos").alias("pos"), F.col("_best.cid").alias("cid"))
 
 
 def step_nd(points: DataFrame, centroids: Sequence[CentroidND], dim: int, coords: str = "coords"
             ) -> tuple[list[CentroidND], list[int]]:
-    """One N-D round: per-dimension means (one aggregate per dimension, all
-    partial), next-round order = id as text."""
-    best = nearest_nd(F.col(coords), centroids)
-    c = F.col(coords)
-    per = (points.select(best["cid"].alias("cid"), c.alias("c"))
-           .groupBy("cid")
-           .agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.col("c")[i]).alias(f"m{i}") for i in range(dim)])
+    """One N-D round: the mean vector per centroid id, from one vector
+    aggregate (MLlib's ``Summarizer``, partial per task), next-round order =
+    id as text."""
+    best = nearest_nd(coords, centroids)
+    summary = Summarizer.metrics("mean", "count").summary(F.col("v"))
+    per = (points.select(best["cid"].alias("cid"), array_to_vector(F.col(coords)).alias("v"))
+           .groupBy("cid").agg(summary.alias("s"))
+           .select("cid", vector_to_array(F.col("s.mean")).alias("m"), F.col("s.count").alias("n"))
            .collect())
-    out = sorted(((str(r["cid"]), (int(r["cid"]), [float(r[f"m{i}"]) for i in range(dim)]), int(r["n"]))
+    out = sorted(((str(r["cid"]), (int(r["cid"]), [float(v) for v in r["m"]]), int(r["n"]))
                   for r in per), key=lambda t: t[0].encode())
     return [t[1] for t in out], [t[2] for t in out]
 

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.scalar import format4
 from tessera.operators import kmeans as K
+from tessera.operators import silhouette as SIL
 from tessera.sources import standins as S
 
 STEP_K = 10
@@ -90,3 +92,22 @@ def kmeans_nd(spark, d, k: int = ND_K, rounds: int = ND_R, threshold: float = ND
 def kmeans_nd_all(spark, d) -> DataFrame:
     """C7 with every centroid required to be settled."""
     return kmeans_nd(spark, d, criterion="all")
+
+
+def silhouette_points(spark, d, k: int = SIL_K, rounds: int = SIL_R, mode: str = "reference") -> DataFrame:
+    """C8 per point: (pid, x, y, pos, silhouette) of the final k-means clustering."""
+    a = final_assignments(spark, d, k, rounds)
+    return SIL.silhouette_points(a, "pos", "x", "y", mode).select(
+        "pid", "x", "y", "pos", F.round("silhouette", 6).alias("silhouette"))
+
+
+def silhouette_mean(spark, d, k: int = SIL_K, rounds: int = SIL_R, mode: str = "reference") -> DataFrame:
+    """C8 mean: (clusters, points, mean_silhouette, mean_text '%.4f')."""
+    a = final_assignments(spark, d, k, rounds)
+    m = SIL.silhouette_mean(a, "pos", "x", "y", mode)
+    return m.select("clusters", "points", F.round("mean_silhouette", 6).alias("mean_silhouette"),
+                    format4(F.col("mean_silhouette")).alias("mean_text"))
+
+
+def silhouette_mean_textbook(spark, d) -> DataFrame:
+    return silhouette_mean(spark, d, mode="textbook")

@@ -137,3 +137,45 @@ def kmeans_nd_sql(k: int, rounds: int, dim: int, threshold: float = 0.01, criter
 SELECT f.cid, f.n AS size, round(f.coords[1], 6) AS c_first, round(f.coords[len(f.coords)], 6) AS c_last,
        round(list_sum(f.coords), 6) AS c_sum, s.iters AS iterations, s.converged
 FROM nfin f CROSS JOIN nstop s"""
+
+
+def silhouette_ctes(mode: str = "reference") -> list[str]:
+    """Per-coordinate silhouette over ``assign`` (all pairs of distinct
+    coordinates: the oracle may be quadratic)."""
+    if mode == "reference":
+        a = "CASE WHEN n.n - ab.w > 0 THEN coalesce(ab.s_own, 0) / (n.n - ab.w) ELSE 0 END"
+        sil = "(b - a) / greatest(a, b)"
+    else:
+        a = "CASE WHEN n.n - 1 > 0 THEN coalesce(ab.s_own, 0) / (n.n - 1) ELSE 0 END"
+        sil = "CASE WHEN n_own = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END"
+    return [
+        "cw AS MATERIALIZED (SELECT pos AS cluster, x, y, count(*) AS w FROM assign GROUP BY pos, x, y)",
+        "cn AS MATERIALIZED (SELECT cluster, CAST(sum(w) AS BIGINT) AS n FROM cw GROUP BY cluster)",
+        f"""css AS MATERIALIZED (
+  SELECT q.cluster, q.x, q.y, q.w, r.cluster AS rcluster,
+         sum(r.w * sqrt(CAST({_d2('q.x', 'q.y', 'r.x', 'r.y')} AS DOUBLE))) AS s
+  FROM cw q CROSS JOIN cw r GROUP BY q.cluster, q.x, q.y, q.w, r.cluster)""",
+        """cab AS MATERIALIZED (
+  SELECT c.cluster, c.x, c.y, c.w,
+         max(CASE WHEN c.rcluster = c.cluster THEN c.s END) AS s_own,
+         min(CASE WHEN c.rcluster <> c.cluster THEN c.s / n.n END) AS b
+  FROM css c JOIN cn n ON n.cluster = c.rcluster GROUP BY c.cluster, c.x, c.y, c.w)""",
+        f"""csc AS MATERIALIZED (
+  SELECT ab.cluster, ab.x, ab.y, ab.w, ab.b, n.n AS n_own, {a} AS a
+  FROM cab ab JOIN cn n ON n.cluster = ab.cluster)""",
+        f"sil AS MATERIALIZED (SELECT cluster, x, y, w, {sil} AS silhouette FROM csc)",
+    ]
+
+
+def silhouette_points_sql(k: int, rounds: int, threshold: float = 0.5, mode: str = "reference") -> str:
+    return _with(kmeans2d_ctes(k, rounds, threshold, True) + [assignments_cte()] + silhouette_ctes(mode)) + """
+SELECT a.pid, a.x, a.y, a.pos, round(s.silhouette, 6) AS silhouette
+FROM assign a JOIN sil s ON s.cluster = a.pos AND s.x = a.x AND s.y = a.y"""
+
+
+def silhouette_mean_sql(k: int, rounds: int, threshold: float = 0.5, mode: str = "reference") -> str:
+    mean = ("sum(w * silhouette) / sum(CASE WHEN silhouette IS NOT NULL THEN w END)")
+    return _with(kmeans2d_ctes(k, rounds, threshold, True) + [assignments_cte()] + silhouette_ctes(mode)) + f"""
+SELECT CAST(count(DISTINCT cluster) AS INTEGER) AS clusters, CAST(sum(w) AS BIGINT) AS points,
+       round({mean}, 6) AS mean_silhouette, printf('%.4f', {mean}) AS mean_text
+FROM sil"""
