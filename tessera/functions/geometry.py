@@ -57,8 +57,21 @@ def centroid_array2d(centroids: Sequence[tuple[int, int]]) -> Column:
     return F.expr(centroid_array2d_sql(centroids))
 
 
+UNROLL_MAX = 64
+
+
 def nearest2d_sql(x: str, y: str, centroids: Sequence[tuple[int, int]]) -> str:
+    """Up to ``UNROLL_MAX`` centroids: ``least`` over one struct per centroid,
+    plain arithmetic that whole-stage codegen compiles.  Beyond that: a
+    ``transform`` over the literal array (interpreted, but the plan stays
+    small)."""
     px, py = f"CAST({_q(x)} AS BIGINT)", f"CAST({_q(y)} AS BIGINT)"
+    if 1 < len(centroids) <= UNROLL_MAX:
+        terms = []
+        for i, (cx, cy) in enumerate(centroids):
+            d2 = f"({px} - {int(cx)}L) * ({px} - {int(cx)}L) + ({py} - {int(cy)}L) * ({py} - {int(cy)}L)"
+            terms.append(f"named_struct('d2', {d2}, 'pos', {i})")
+        return "least(" + ", ".join(terms) + ")"
     d2 = f"({px} - c.cx) * ({px} - c.cx) + ({py} - c.cy) * ({py} - c.cy)"
     return (f"array_min(transform({centroid_array2d_sql(centroids)}, "
             f"c -> named_struct('d2', {d2}, 'pos', c.pos)))")

@@ -39,6 +39,14 @@ Centroid2D = tuple[int, int]
 CentroidND = tuple[int, list[float]]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Inputs with fewer partitions than cores (small files) are spread over
+    the cores once, before they are persisted; large inputs keep their scan
+    partitioning (no extra shuffle)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _trunc_div(a: int, b: int) -> int:
     q = abs(a) // abs(b)
     return q if (a >= 0) == (b >= 0) else -q
@@ -55,14 +63,25 @@ def assign2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y
     return out.withColumn("cx", c["cx"]).withColumn("cy", c["cy"]).drop("_best")
 
 
-def step2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y"
-           ) -> tuple[list[Centroid2D], list[int]]:
-    """One round: new centroids in next-round order, and their sizes."""
+def weighted_coordinates(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """Distinct (x, y) with the number of points ``w``.  The nearest centroid
+    depends on the coordinates only, so rounds over this table give exactly
+    the results of rounds over the points, and on the bounded integer grid the
+    table stops growing with the data."""
+    return (points.select(F.col(x).cast("bigint").alias("x"), F.col(y).cast("bigint").alias("y"))
+            .where(F.col("x").isNotNull() & F.col("y").isNotNull())
+            .groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")))
+
+
+def step2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y",
+           weight: str | None = None) -> tuple[list[Centroid2D], list[int]]:
+    """One round: new centroids in next-round order, and their sizes.
+    ``weight`` names a column of point counts (see :func:`weighted_coordinates`)."""
     best = nearest2d(x, y, centroids)
-    per = (points.select(best["pos"].alias("pos"), F.col(x).cast("bigint").alias("x"),
-                         F.col(y).cast("bigint").alias("y"))
-           .groupBy("pos").agg(F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                               F.count(F.lit(1)).alias("n"))
+    w = F.col(weight) if weight else F.lit(1).cast("bigint")
+    per = (points.select(best["pos"].alias("pos"), (F.col(x).cast("bigint") * w).alias("x"),
+                         (F.col(y).cast("bigint") * w).alias("y"), w.alias("w"))
+           .groupBy("pos").agg(F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.sum("w").alias("n"))
            .collect())
     rows = []
     for r in per:
@@ -101,12 +120,12 @@ def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, thresho
     """
     if not seeds:
         raise ValueError("no seeds")
-    pts = points.select(F.col(x).alias("x"), F.col(y).alias("y")).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = spread(weighted_coordinates(points, x, y)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         prev = list(seeds)
         history, sizes, converged, it = [], [], False, 0
         for it in range(1, max_iter + 1):
-            cur, sizes = step2d(pts, prev)
+            cur, sizes = step2d(pts, prev, weight="w")
             history.append((it, cur))
             if early_stop and it >= 2 and converged2d(prev, cur, threshold):
                 converged = True
@@ -187,7 +206,8 @@ def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = 20, t
     previous ones by id; once converged the flag stays set, and with
     ``early_stop`` the loop ends there."""
     dim = len(seeds[0][1])
-    pts = valid_nd(points.select(F.col(coords).alias("coords")), dim).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = spread(valid_nd(points.select(F.col(coords).alias("coords")), dim)).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
         prev = [(int(i), [float(v) for v in c]) for i, c in seeds]
         history, sizes, converged, it = [], [], False, 0

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.plans import clustering as C
 from tessera.plans import kmeans_sql as KS
 from tessera.plans import oracle, reports
+from tessera.plans import trips as TR
 from tessera.sources import standins as S
 
 
@@ -65,6 +66,14 @@ def q_above_average_degree(spark, d):
     return reports.above_average_degree(_people(spark, d), S.associates(spark, d))
 
 
+def q_trip_features(spark, d):
+    return TR.trip_features(S.trips(spark, d))
+
+
+def q_mean_card_tip(spark, d):
+    return TR.mean_card_tip(S.trips(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "filter_project_nationality": q_filter_project_nationality,
@@ -90,6 +99,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silhouette_points": C.silhouette_points,
         "silhouette_mean": C.silhouette_mean,
         "silhouette_mean_textbook": C.silhouette_mean_textbook,
+        "kmeans_sweep": C.kmeans_sweep,
+        "generate_points": C.generate_points,
+        "trip_features": q_trip_features,
+        "mean_card_tip": q_mean_card_tip,
     }
 
 
@@ -108,5 +121,7 @@ def oracle_sql() -> dict[str, str]:
         "silhouette_points": KS.silhouette_points_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),
         "silhouette_mean": KS.silhouette_mean_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),
         "silhouette_mean_textbook": KS.silhouette_mean_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D, "textbook"),
+        "kmeans_sweep": KS.sweep_sql(C.SWEEP_K, C.SWEEP_R, C.THRESHOLD_2D),
     })
+    sql.update(oracle.trips_sql())
     return sql

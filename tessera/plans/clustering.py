@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import format4
 from tessera.operators import kmeans as K
 from tessera.operators import silhouette as SIL
+from tessera.sources import generate as G
 from tessera.sources import standins as S
 
 STEP_K = 10
@@ -111,3 +112,34 @@ def silhouette_mean(spark, d, k: int = SIL_K, rounds: int = SIL_R, mode: str = "
 
 def silhouette_mean_textbook(spark, d) -> DataFrame:
     return silhouette_mean(spark, d, mode="textbook")
+
+
+SWEEP_K = (5, 10, 15, 20)
+SWEEP_R = (10, 50)
+
+
+def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R) -> DataFrame:
+    """(k, max_iter, iterations, converged, clusters, mean_silhouette) for
+    every k and round limit.  One early-stop run per k up to the largest
+    limit; a smaller limit is a prefix of that run (rounds are
+    deterministic), so its state is read from the history."""
+    pts = S.points2d(spark, d)
+    out = None
+    for k in ks:
+        res = K.fit2d(pts, S.seeds2d(pts, k), max(rounds), THRESHOLD_2D, early_stop=True)
+        for r in rounds:
+            iters = min(res.iterations, r)
+            converged = res.converged and res.iterations <= r
+            cents = res.history[iters - 1][1]
+            a = K.assign2d(pts, cents)
+            m = SIL.silhouette_mean(a, "pos", "x", "y").select(
+                F.lit(k).alias("k"), F.lit(r).alias("max_iter"), F.lit(iters).alias("iterations"),
+                F.lit(converged).alias("converged"), "clusters",
+                F.round("mean_silhouette", 6).alias("mean_silhouette"))
+            out = m if out is None else out.unionByName(m)
+    return out
+
+
+def generate_points(spark, d, seed: int = 7) -> DataFrame:
+    """G1: one seeded random point (0..10000 both axes) per customer key."""
+    return G.points_from_keys(S.table(spark, d, "customer").select("c_custkey"), "c_custkey", seed)

@@ -179,3 +179,18 @@ def silhouette_mean_sql(k: int, rounds: int, threshold: float = 0.5, mode: str =
 SELECT CAST(count(DISTINCT cluster) AS INTEGER) AS clusters, CAST(sum(w) AS BIGINT) AS points,
        round({mean}, 6) AS mean_silhouette, printf('%.4f', {mean}) AS mean_text
 FROM sil"""
+
+
+def sweep_sql(ks, rounds, threshold: float = 0.5) -> str:
+    """UNION ALL of one full k-means + silhouette query per (k, limit)."""
+    parts = []
+    mean = "sum(w * silhouette) / sum(CASE WHEN silhouette IS NOT NULL THEN w END)"
+    for k in ks:
+        for r in rounds:
+            body = _with(kmeans2d_ctes(k, r, threshold, True) + [assignments_cte()] + silhouette_ctes()) + f"""
+SELECT CAST({k} AS INTEGER) AS k, CAST({r} AS INTEGER) AS max_iter, (SELECT iters FROM stop) AS iterations,
+       (SELECT converged FROM stop) AS converged, CAST(count(DISTINCT cluster) AS INTEGER) AS clusters,
+       round({mean}, 6) AS mean_silhouette
+FROM sil"""
+            parts.append("SELECT * FROM (" + body + ")")
+    return "\nUNION ALL\n".join(parts)

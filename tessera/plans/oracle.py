@@ -108,3 +108,43 @@ SELECT p.id, p.name, d.relationship_count
 FROM deg d JOIN people p ON p.id = d.id
 WHERE d.relationship_count > (SELECT CAST(sum(relationship_count) AS DOUBLE) / count(id) FROM deg)""",
     }
+
+
+TRIPS = """trips AS (
+  SELECT p.pickup AS tpep_pickup_datetime,
+         p.pickup + to_seconds(p.k * 60 + 7) AS tpep_dropoff_datetime,
+         CAST(p.user_id % 7 AS INTEGER) AS passenger_count,
+         p.value AS trip_distance,
+         CASE p.event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3
+                           WHEN 'signup' THEN 4 END AS payment_type,
+         CAST(CASE WHEN p.event_type = 'purchase' THEN p.k % 5 ELSE 0 END AS DOUBLE) AS tip_amount,
+         CAST(p.k % 3 AS DOUBLE) AS tolls_amount,
+         p.value + p.k AS total_amount
+  FROM (SELECT date_trunc('second', ts) AS pickup, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+               user_id, value, event_type FROM events) p)"""
+
+CLEAN_TRIPS = """clean AS (
+  SELECT * FROM trips
+  WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL AND passenger_count IS NOT NULL
+    AND trip_distance IS NOT NULL AND payment_type IS NOT NULL AND tip_amount IS NOT NULL
+    AND tolls_amount IS NOT NULL AND total_amount IS NOT NULL
+    AND total_amount <> 0 AND passenger_count <> 0 AND trip_distance <> 0)"""
+
+
+def trips_sql() -> dict[str, str]:
+    return {
+        "trip_features": with_(TRIPS, CLEAN_TRIPS) + """
+SELECT passenger_count, trip_distance, payment_type, tolls_amount, total_amount,
+       CAST(isodow(tpep_pickup_datetime) - 1 AS INTEGER) AS dayofweek,
+       CAST(CASE WHEN hour(tpep_pickup_datetime) >= 7 THEN hour(tpep_pickup_datetime) - 7
+                 ELSE hour(tpep_pickup_datetime) + 17 END AS INTEGER) AS lighthour,
+       CAST(floor(date_diff('microsecond', tpep_pickup_datetime, tpep_dropoff_datetime) / 1000000.0) AS BIGINT)
+         AS duration,
+       CAST(payment_type = 1 AS INTEGER) AS credit_card,
+       CAST(payment_type = 2 AS INTEGER) AS cash
+FROM clean""",
+        "mean_card_tip": with_(TRIPS, CLEAN_TRIPS) + """
+SELECT CAST(sum(CASE WHEN payment_type = 1 THEN tip_amount END) AS DOUBLE)
+       / CAST(count(CASE WHEN payment_type = 1 AND tip_amount <> 0 THEN 1 END) AS DOUBLE) AS mean_card_tip
+FROM clean""",
+    }
