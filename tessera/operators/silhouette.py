@@ -40,20 +40,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.joins import checked_broadcast
+from tessera.session import ensure_checkpoint_dir
 
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 4096
+
+
+KERNEL_ROWS = 512
 
 
 @F.pandas_udf(T.ArrayType(T.DoubleType()))
 def _block_distance_sums(qx: pd.Series, qy: pd.Series, rx: pd.Series, ry: pd.Series,
                          rw: pd.Series) -> pd.Series:
     """For each row (one query block, one reference block): for every query
-    coordinate, the weighted sum of distances to the reference block."""
+    coordinate, the weighted sum of distances to the reference block.  The
+    distance matrix is built ``KERNEL_ROWS`` query rows at a time, so memory
+    stays at ``KERNEL_ROWS * block_rows`` doubles."""
     out = []
     for a, b, c, d, w in zip(qx, qy, rx, ry, rw):
-        dx = np.asarray(a, dtype=np.float64)[:, None] - np.asarray(c, dtype=np.float64)[None, :]
-        dy = np.asarray(b, dtype=np.float64)[:, None] - np.asarray(d, dtype=np.float64)[None, :]
-        out.append(np.sqrt(dx * dx + dy * dy) @ np.asarray(w, dtype=np.float64))
+        a = np.asarray(a, dtype=np.float64)
+        b = np.asarray(b, dtype=np.float64)
+        c = np.asarray(c, dtype=np.float64)[None, :]
+        d = np.asarray(d, dtype=np.float64)[None, :]
+        w = np.asarray(w, dtype=np.float64)
+        sums = np.empty(len(a))
+        for i in range(0, len(a), KERNEL_ROWS):
+            dx = a[i:i + KERNEL_ROWS, None] - c
+            dy = b[i:i + KERNEL_ROWS, None] - d
+            sums[i:i + KERNEL_ROWS] = np.sqrt(dx * dx + dy * dy) @ w
+        out.append(sums)
     return pd.Series(out)
 
 
@@ -68,7 +82,9 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     """(cluster, x, y, w, a, b, silhouette) per distinct coordinate."""
     if mode not in ("reference", "textbook"):
         raise ValueError("mode must be 'reference' or 'textbook'")
-    W = coordinate_weights(assign, cluster, x, y)
+    # used three times below: materialise once in the shared checkpoint folder
+    ensure_checkpoint_dir(assign.sparkSession)
+    W = coordinate_weights(assign, cluster, x, y).checkpoint(eager=True)
     # k rows: points and distinct coordinates per cluster
     stats = W.groupBy("cluster").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("d")).collect()
     sizes = {r["cluster"]: int(r["n"]) for r in stats}
@@ -87,8 +103,12 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
                .groupBy("qb").agg(F.collect_list(F.struct("cluster", "x", "y", "w")).alias("q")))
     keys = F.array(*[F.struct(F.lit(c).alias("rcluster"), F.lit(b).cast("bigint").alias("rb"))
                      for c, v in nb.items() for b in range(v)])
+    n_pairs = nq * sum(nb.values())
+    cores = assign.sparkSession.sparkContext.defaultParallelism
+    # every block pair is about the same work: deal them out round-robin
     pairs = (qblocks.select("q", F.inline(keys))
-             .join(checked_broadcast(rblocks), ["rcluster", "rb"], "inner"))
+             .join(checked_broadcast(rblocks), ["rcluster", "rb"], "inner")
+             .repartition(max(1, min(n_pairs, 4 * cores))))
     sums = pairs.select(
         "q", "rcluster",
         _block_distance_sums(F.col("q.x"), F.col("q.y"), "rx", "ry", "rw").alias("s"))

@@ -30,7 +30,7 @@ def top_pages(people: DataFrame, logs: DataFrame, k: int = 10) -> DataFrame:
     """Q-B: the k most accessed pages that belong to a person: (id, name,
     nationality).  Ties go to the smaller id, to be deterministic."""
     counts = page_access_counts(logs)
-    joined = people.select("id", "name", "nationality").join(counts, "id", "inner")
+    joined = counts.join(checked_broadcast(people.select("id", "name", "nationality")), "id", "inner")
     return (joined.orderBy(F.col("access_count").desc(), F.col("id").asc())
             .limit(k).select("id", "name", "nationality"))
 
@@ -98,7 +98,8 @@ def latest_access(people: DataFrame, logs: DataFrame, threshold: int = 870400,
     else:
         raise ValueError("order must be 'text' or 'numeric'")
     cond = F.col("latest_date") >= threshold if keep == "ge" else F.col("latest_date") < threshold
-    return per_page.where(cond).join(people.select("id", "name"), "id", "inner").select("id", "name")
+    names = checked_broadcast(people.select("id", "name"))
+    return per_page.where(cond).join(names, "id", "inner").select("id", "name")
 
 
 def degree_summary(associates: DataFrame) -> DataFrame:
@@ -119,5 +120,5 @@ def above_average_degree(people: DataFrame, associates: DataFrame) -> DataFrame:
     deg = graph.degree(associates, count_name="relationship_count")
     mean = degree_summary(associates).select("average_relationships").scalar()
     popular = deg.where(F.col("relationship_count") > mean.cast("bigint"))
-    return (popular.join(people.select("id", "name"), "id", "inner")
+    return (popular.join(checked_broadcast(people.select("id", "name")), "id", "inner")
             .select("id", "name", "relationship_count"))

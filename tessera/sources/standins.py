@@ -57,7 +57,7 @@ def associates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(rel_id, person_a, person_b): one relation per order line."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
-    j = o.join(li, o["o_orderkey"] == li["l_orderkey"], "inner")
+    j = checked_broadcast(o).join(li, o["o_orderkey"] == li["l_orderkey"], "inner")
     return j.select((F.col("o_orderkey") * 10 + F.col("l_linenumber")).alias("rel_id"),
                     F.col("o_custkey").alias("person_a"), F.col("l_suppkey").alias("person_b"))
 
