@@ -96,6 +96,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cluster_profile": C.cluster_profile,
         "kmeans_nd": C.kmeans_nd,
         "kmeans_nd_all": C.kmeans_nd_all,
+        "kmeans_nd_fixed": C.kmeans_nd_fixed,
+        "kmeans_nd_assignments": C.kmeans_nd_assignments,
         "silhouette_points": C.silhouette_points,
         "silhouette_mean": C.silhouette_mean,
         "silhouette_mean_textbook": C.silhouette_mean_textbook,
@@ -118,6 +120,8 @@ def oracle_sql() -> dict[str, str]:
         "cluster_profile": KS.cluster_profile_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),
         "kmeans_nd": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "any"),
         "kmeans_nd_all": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "all"),
+        "kmeans_nd_fixed": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "any", early_stop=False),
+        "kmeans_nd_assignments": KS.kmeans_nd_assignments_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD),
         "silhouette_points": KS.silhouette_points_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),
         "silhouette_mean": KS.silhouette_mean_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),
         "silhouette_mean_textbook": KS.silhouette_mean_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D, "textbook"),

@@ -90,6 +90,21 @@ def kmeans_nd(spark, d, k: int = ND_K, rounds: int = ND_R, threshold: float = ND
     return K.centroids_frame_nd(spark, res)
 
 
+def kmeans_nd_fixed(spark, d, k: int = ND_K, rounds: int = ND_R) -> DataFrame:
+    """C7 mode b: all rounds run; the flag records whether any round from the
+    second on converged."""
+    pts = S.points_nd(spark, d)
+    res = K.fit_nd(pts, S.seeds_nd(pts, k), rounds, ND_THRESHOLD, "any", early_stop=False)
+    return K.centroids_frame_nd(spark, res)
+
+
+def kmeans_nd_assignments(spark, d, k: int = ND_K, rounds: int = ND_R) -> DataFrame:
+    """C7 mode eii: (pid, cid) of every point with the final centroids."""
+    pts = S.points_nd(spark, d)
+    res = K.fit_nd(pts, S.seeds_nd(pts, k), rounds, ND_THRESHOLD, "any", early_stop=True)
+    return K.assign_nd(K.valid_nd(pts, ND_DIM), res.centroids).select("pid", "cid")
+
+
 def kmeans_nd_all(spark, d) -> DataFrame:
     """C7 with every centroid required to be settled."""
     return kmeans_nd(spark, d, criterion="all")

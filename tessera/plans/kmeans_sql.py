@@ -194,3 +194,9 @@ SELECT CAST({k} AS INTEGER) AS k, CAST({r} AS INTEGER) AS max_iter, (SELECT iter
 FROM sil"""
             parts.append("SELECT * FROM (" + body + ")")
     return "\nUNION ALL\n".join(parts)
+
+
+def kmeans_nd_assignments_sql(k: int, rounds: int, dim: int, threshold: float = 0.01) -> str:
+    return _with(kmeans_nd_ctes(k, rounds, dim, threshold, "any", True)) + """
+SELECT p.pid, c.cid FROM ptsn p CROSS JOIN nfin c
+QUALIFY row_number() OVER (PARTITION BY p.pid ORDER BY list_distance(p.coords, c.coords), c.pos) = 1"""
