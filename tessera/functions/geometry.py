@@ -60,13 +60,17 @@ def centroid_array2d(centroids: Sequence[tuple[int, int]]) -> Column:
 UNROLL_MAX = 64
 
 
-def nearest2d_sql(x: str, y: str, centroids: Sequence[tuple[int, int]]) -> str:
-    """Up to ``UNROLL_MAX`` centroids: ``least`` over one struct per centroid,
-    plain arithmetic that whole-stage codegen compiles.  Beyond that: a
-    ``transform`` over the literal array (interpreted, but the plan stays
-    small)."""
+def nearest2d_sql(x: str, y: str, centroids: Sequence[tuple[int, int]], unroll: bool = False) -> str:
+    """SQL text of ``struct(d2, pos)`` of the nearest centroid.
+
+    Default: ``transform`` over the literal centroid array.  It is evaluated
+    without generated code, but the generated code of the stage stays the same
+    from round to round, so nothing is recompiled when the centroids move.
+    ``unroll=True`` (at most ``UNROLL_MAX`` centroids): ``least`` over one
+    struct per centroid, compiled by whole-stage codegen -- worth one compile
+    per round only when a round reads many rows."""
     px, py = f"CAST({_q(x)} AS BIGINT)", f"CAST({_q(y)} AS BIGINT)"
-    if 1 < len(centroids) <= UNROLL_MAX:
+    if unroll and 1 < len(centroids) <= UNROLL_MAX:
         terms = []
         for i, (cx, cy) in enumerate(centroids):
             d2 = f"({px} - {int(cx)}L) * ({px} - {int(cx)}L) + ({py} - {int(cy)}L) * ({py} - {int(cy)}L)"
@@ -77,14 +81,15 @@ def nearest2d_sql(x: str, y: str, centroids: Sequence[tuple[int, int]]) -> str:
             f"c -> named_struct('d2', {d2}, 'pos', c.pos)))")
 
 
-def nearest2d(x: Column | str, y: Column | str, centroids: Sequence[tuple[int, int]]) -> Column:
+def nearest2d(x: Column | str, y: Column | str, centroids: Sequence[tuple[int, int]],
+              unroll: bool = False) -> Column:
     """``struct(d2, pos)`` of the nearest centroid; the first one wins ties.
 
     Squared integer distances are exact and keep the order (and the ties) of
     the square roots, which are distinct for distinct squares below 2^53.
     ``x`` and ``y`` name the columns.
     """
-    return F.expr(nearest2d_sql(_name(x), _name(y), centroids))
+    return F.expr(nearest2d_sql(_name(x), _name(y), centroids, unroll))
 
 
 def _name(c) -> str:

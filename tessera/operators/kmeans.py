@@ -73,11 +73,16 @@ def weighted_coordinates(points: DataFrame, x: str = "x", y: str = "y") -> DataF
             .groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")))
 
 
+# Above this many rows per round, compiling the unrolled assignment each round
+# costs less than evaluating the array form row by row.
+UNROLL_ROWS = 5_000_000
+
+
 def step2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y",
-           weight: str | None = None) -> tuple[list[Centroid2D], list[int]]:
+           weight: str | None = None, unroll: bool = False) -> tuple[list[Centroid2D], list[int]]:
     """One round: new centroids in next-round order, and their sizes.
     ``weight`` names a column of point counts (see :func:`weighted_coordinates`)."""
-    best = nearest2d(x, y, centroids)
+    best = nearest2d(x, y, centroids, unroll)
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
     per = (points.select(best["pos"].alias("pos"), (F.col(x).cast("bigint") * w).alias("x"),
                          (F.col(y).cast("bigint") * w).alias("y"), w.alias("w"))
@@ -122,10 +127,11 @@ def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, thresho
         raise ValueError("no seeds")
     pts = spread(weighted_coordinates(points, x, y)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        unroll = pts.count() > UNROLL_ROWS
         prev = list(seeds)
         history, sizes, converged, it = [], [], False, 0
         for it in range(1, max_iter + 1):
-            cur, sizes = step2d(pts, prev, weight="w")
+            cur, sizes = step2d(pts, prev, weight="w", unroll=unroll)
             history.append((it, cur))
             if early_stop and it >= 2 and converged2d(prev, cur, threshold):
                 converged = True

@@ -41,7 +41,14 @@ def canon(rows, cols):
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = build_session("local[8]", 8)
+    if os.environ.get("VANILLA"):
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]")
+                 .config("spark.sql.session.timeZone", os.environ.get("VANILLA_TZ", "America/Los_Angeles"))
+                 .config("spark.ui.enabled", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = build_session("local[8]", 8)
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")

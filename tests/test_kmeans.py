@@ -122,3 +122,11 @@ def test_fixed_rounds_check_only_last_two(spark):
     p = pts(spark, [(0, 0), (1, 0), (10, 10), (11, 10)])
     res = K.fit2d(p, [(0, 0), (1, 0)], 3, early_stop=False)
     assert res.iterations == 3 and res.converged and len(res.history) == 3
+
+
+def test_unrolled_and_array_forms_agree(spark):
+    rnd = random.Random(21)
+    xy = [(rnd.randint(0, 500), rnd.randint(0, 500)) for _ in range(400)] + [(50, 50)] * 30
+    cents = [(rnd.randint(0, 500), rnd.randint(0, 500)) for _ in range(12)] + [(50, 50), (50, 50)]
+    p = pts(spark, xy)
+    assert K.step2d(p, cents, unroll=True) == K.step2d(p, cents, unroll=False) == _brute_round(xy, cents)
