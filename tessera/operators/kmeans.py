@@ -39,12 +39,26 @@ Centroid2D = tuple[int, int]
 CentroidND = tuple[int, list[float]]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Inputs with fewer partitions than cores (small files) are spread over
-    the cores once, before they are persisted; large inputs keep their scan
-    partitioning (no extra shuffle)."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def spread(df: DataFrame, force: bool = False) -> DataFrame:
+    """Lay the loop input over all cores before it is persisted.
+
+    ``force``: always deal the rows round-robin over ``defaultParallelism``
+    partitions (used for the weighted table: an aggregate that AQE may
+    coalesce into a single partition).  Otherwise nothing is executed to
+    decide: an input whose planned size is below ``cores`` file splits
+    (``spark.sql.files.maxPartitionBytes`` each) cannot fill the cores and is
+    cheap to shuffle, so it is spread; a larger input keeps its partitioning.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if force:
+        return df.repartition(cores)
+    qe = df._jdf.queryExecution()
+    if qe.executedPlan().outputPartitioning().numPartitions() >= cores:
+        return df
+    size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
+    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(cores) if size < cores * split else df
 
 
 def _trunc_div(a: int, b: int) -> int:
@@ -125,7 +139,7 @@ def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, thresho
     """
     if not seeds:
         raise ValueError("no seeds")
-    pts = spread(weighted_coordinates(points, x, y)).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = spread(weighted_coordinates(points, x, y), force=True).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         unroll = pts.count() > UNROLL_ROWS
         prev = list(seeds)
