@@ -141,7 +141,9 @@ def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y:
     """Every input row with its ``silhouette``."""
     coords = silhouette_coordinates(assign, cluster, x, y, mode, block_rows).select(
         F.col("cluster").alias(cluster), F.col("x").alias(x), F.col("y").alias(y), "silhouette")
-    return assign.join(coords, [cluster, x, y], "inner")
+    # one row per distinct coordinate: broadcast when measured small, else a
+    # shuffle join whose hot coordinate AQE can split
+    return assign.join(checked_broadcast(coords), [cluster, x, y], "inner")
 
 
 def silhouette_mean(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",

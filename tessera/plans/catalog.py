@@ -128,4 +128,5 @@ def oracle_sql() -> dict[str, str]:
         "kmeans_sweep": KS.sweep_sql(C.SWEEP_K, C.SWEEP_R, C.THRESHOLD_2D),
     })
     sql.update(oracle.trips_sql())
+    sql["generate_points"] = oracle.generate_sql()
     return sql

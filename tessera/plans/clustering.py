@@ -142,16 +142,20 @@ def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R) -> DataFrame:
     out = None
     for k in ks:
         res = K.fit2d(pts, S.seeds2d(pts, k), max(rounds), THRESHOLD_2D, early_stop=True)
+        means = {}            # same final round -> same clustering -> same silhouette
         for r in rounds:
             iters = min(res.iterations, r)
             converged = res.converged and res.iterations <= r
-            cents = res.history[iters - 1][1]
-            a = K.assign2d(pts, cents)
-            m = SIL.silhouette_mean(a, "pos", "x", "y").select(
-                F.lit(k).alias("k"), F.lit(r).alias("max_iter"), F.lit(iters).alias("iterations"),
-                F.lit(converged).alias("converged"), "clusters",
-                F.round("mean_silhouette", 6).alias("mean_silhouette"))
-            out = m if out is None else out.unionByName(m)
+            if iters not in means:
+                a = K.assign2d(pts, res.history[iters - 1][1])
+                means[iters] = SIL.silhouette_mean(a, "pos", "x", "y").first()
+            m = means[iters]
+            row = spark.createDataFrame(
+                [(k, r, iters, converged, m["clusters"], m["mean_silhouette"])],
+                "k int, max_iter int, iterations int, converged boolean, clusters int, mean_silhouette double")
+            row = row.select("k", "max_iter", "iterations", "converged", "clusters",
+                             F.round("mean_silhouette", 6).alias("mean_silhouette"))
+            out = row if out is None else out.unionByName(row)
     return out
 
 

@@ -148,3 +148,15 @@ SELECT CAST(sum(CASE WHEN payment_type = 1 THEN tip_amount END) AS DOUBLE)
        / CAST(count(CASE WHEN payment_type = 1 AND tip_amount <> 0 THEN 1 END) AS DOUBLE) AS mean_card_tip
 FROM clean""",
     }
+
+
+def generate_sql(seed: int = 7) -> str:
+    """The hash of :mod:`tessera.sources.generate` over the customer keys."""
+    from tessera.sources.generate import COORD_MAX, MULT, PRIME
+
+    def axis(a: int) -> str:
+        a1, a2 = MULT[a]
+        h1 = f"(((c_custkey % {PRIME}) + {PRIME}) % {PRIME} * {a1} + {seed * 7919 + a}) % {PRIME}"
+        h2 = f"(({h1}) * {a2} + 12345) % {PRIME}"
+        return f"CAST(({h2}) % {COORD_MAX + 1} AS INTEGER)"
+    return f"SELECT c_custkey AS pid, {axis(0)} AS x, {axis(1)} AS y FROM customer"
