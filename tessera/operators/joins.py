@@ -1,11 +1,13 @@
 """Join helpers: broadcast only behind a measured size bound.
 
-``checked_broadcast`` measures the candidate side with one bounded pass
-(``limit(max_rows + 1)`` stops reading once the row cap is passed) and hints
-``broadcast`` only when both the row count and the byte size are proven under
-the caps.  Otherwise it hints a shuffle join, so an estimate from file sizes
-cannot turn a large side into a broadcast; AQE may still split skewed
-partitions of that shuffle join at run time.
+``checked_broadcast`` first adds up the sizes of the scans the candidate side
+reads (file sizes, known without running anything).  Above ``max_input_bytes``
+it does not measure at all and hints a shuffle join.  Otherwise it measures
+the side with one bounded pass (``limit(max_rows + 1)``; with small inputs the
+limit's single-partition exchange is small too) and hints ``broadcast`` only
+when both the row count and the byte size are proven under the caps.  A side
+that fails gets a shuffle-join hint, so an estimate can never turn a large
+side into a broadcast; AQE may still split skewed partitions of that join.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 64 << 20
+DEFAULT_MAX_INPUT_BYTES = 1 << 30
 
 _FIXED_WIDTH = {
     T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
@@ -49,9 +52,18 @@ def measured_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[int,
     return int(probe["n"]), int(probe["bytes"] or 0)
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Sum of the size statistics of the leaves (scans) of the plan."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
-                      max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+                      max_bytes: int = DEFAULT_MAX_BYTES,
+                      max_input_bytes: int = DEFAULT_MAX_INPUT_BYTES) -> DataFrame:
     """``broadcast(df)`` if it is proven small, else ``df`` hinted to shuffle."""
+    if input_bytes(df) > max_input_bytes:
+        return df.hint("shuffle_merge")
     rows, size = measured_size(df, max_rows)
     if rows <= max_rows and size <= max_bytes:
         return F.broadcast(df)

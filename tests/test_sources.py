@@ -115,3 +115,11 @@ def test_checked_broadcast(spark):
     assert "BroadcastHashJoin" in plan
     plan2 = big.join(checked_broadcast(small.withColumnRenamed("id", "k"), max_rows=5), "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan2
+
+
+def test_checked_broadcast_skips_large_inputs_without_measuring(spark):
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(100).withColumnRenamed("id", "k")
+    hinted = checked_broadcast(small, max_input_bytes=1)
+    plan = big.join(hinted, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
