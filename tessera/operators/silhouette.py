@@ -6,15 +6,18 @@ points are first reduced to distinct ``(cluster, x, y)`` with a weight ``w``
 distance from a coordinate to a cluster is ``S(q, c) / |c|`` with
 ``S(q, c) = sum of w_r * |q - r|`` over the cluster's coordinates ``r``.
 
-``S`` is computed block against block: coordinates are packed into bounded
-blocks on both sides (``block_rows`` each, by hash of distinct keys, so no
-block can grow with a hot key), each query block is paired with every
-reference block through an equi-join on the block key, and a numpy kernel
-inside an Arrow-batched pandas UDF turns each block pair into one partial
-sum per query coordinate.  Spark then adds the partial sums per
-(coordinate, cluster) with partial aggregation.  The work is exact and
-quadratic in the number of distinct coordinates, which is what the measure
-asks for; no pair is ever a row and no group holds more than a block.
+``S`` is computed on a grid of cells.  Query coordinates are hashed into
+``nq`` groups, each cluster's coordinates into reference groups of one cluster
+each (``nr`` in all), both of at most about ``block_rows`` rows (hash of
+distinct keys, so no group can grow with a hot key).  Cell ``(i, j)`` pairs
+query group ``i`` with reference group ``j``: every query row is copied to the
+``nr`` cells of its group and every reference row to the ``nq`` cells of its
+group, the two sides are co-grouped by cell, and a numpy kernel
+(``cogroup().applyInPandas``) turns a cell into one partial sum per query
+coordinate.  Spark then adds the partial sums per (coordinate, cluster) with
+partial aggregation.  Shuffled data is ``D * (nq + nr)`` small rows for ``D``
+distinct coordinates, memory per cell is bounded, no pair is ever a row, and
+the work is exact and quadratic in ``D`` -- which is what the measure asks for.
 
 Modes (``mode``):
 
@@ -37,38 +40,36 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.operators.joins import checked_broadcast
 from tessera.session import ensure_checkpoint_dir
 
 BLOCK_ROWS = 4096
-
-
 KERNEL_ROWS = 512
-
-
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _block_distance_sums(qx: pd.Series, qy: pd.Series, rx: pd.Series, ry: pd.Series,
-                         rw: pd.Series) -> pd.Series:
-    """For each row (one query block, one reference block): for every query
-    coordinate, the weighted sum of distances to the reference block.  The
-    distance matrix is built ``KERNEL_ROWS`` query rows at a time, so memory
-    stays at ``KERNEL_ROWS * block_rows`` doubles."""
-    out = []
-    for a, b, c, d, w in zip(qx, qy, rx, ry, rw):
-        a = np.asarray(a, dtype=np.float64)
-        b = np.asarray(b, dtype=np.float64)
-        c = np.asarray(c, dtype=np.float64)[None, :]
-        d = np.asarray(d, dtype=np.float64)[None, :]
-        w = np.asarray(w, dtype=np.float64)
-        sums = np.empty(len(a))
-        for i in range(0, len(a), KERNEL_ROWS):
-            dx = a[i:i + KERNEL_ROWS, None] - c
-            dy = b[i:i + KERNEL_ROWS, None] - d
-            sums[i:i + KERNEL_ROWS] = np.sqrt(dx * dx + dy * dy) @ w
-        out.append(sums)
-    return pd.Series(out)
+PARTIAL_SCHEMA = "cluster int, x bigint, y bigint, w bigint, rcluster int, s double"
+
+
+def _cell_distance_sums(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+    """One cell: for every query coordinate, the weighted sum of distances to
+    the cell's reference coordinates (all of one cluster).  The distance
+    matrix is built ``KERNEL_ROWS`` query rows at a time."""
+    if q.empty or r.empty:
+        return pd.DataFrame({"cluster": pd.Series(dtype="int32"), "x": pd.Series(dtype="int64"),
+                             "y": pd.Series(dtype="int64"), "w": pd.Series(dtype="int64"),
+                             "rcluster": pd.Series(dtype="int32"), "s": pd.Series(dtype="float64")})
+    qx = q["x"].to_numpy(np.float64)
+    qy = q["y"].to_numpy(np.float64)
+    rx = r["x"].to_numpy(np.float64)[None, :]
+    ry = r["y"].to_numpy(np.float64)[None, :]
+    rw = r["w"].to_numpy(np.float64)
+    sums = np.empty(len(qx))
+    for i in range(0, len(qx), KERNEL_ROWS):
+        dx = qx[i:i + KERNEL_ROWS, None] - rx
+        dy = qy[i:i + KERNEL_ROWS, None] - ry
+        sums[i:i + KERNEL_ROWS] = np.sqrt(dx * dx + dy * dy) @ rw
+    return pd.DataFrame({"cluster": q["cluster"].astype("int32").to_numpy(), "x": q["x"].to_numpy(),
+                         "y": q["y"].to_numpy(), "w": q["w"].to_numpy(),
+                         "rcluster": np.full(len(qx), int(r["cluster"].iloc[0]), dtype=np.int32), "s": sums})
 
 
 def coordinate_weights(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y") -> DataFrame:
@@ -85,37 +86,45 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     # used three times below: materialise once in the shared checkpoint folder
     ensure_checkpoint_dir(assign.sparkSession)
     W = coordinate_weights(assign, cluster, x, y).checkpoint(eager=True)
-    # k rows: points and distinct coordinates per cluster
+    # k rows: points and distinct coordinates per cluster; clusters get dense int ids
     stats = W.groupBy("cluster").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("d")).collect()
-    sizes = {r["cluster"]: int(r["n"]) for r in stats}
-    distinct = {r["cluster"]: int(r["d"]) for r in stats}
+    values = [r["cluster"] for r in stats]
+    sizes = {i: int(r["n"]) for i, r in enumerate(stats)}
+    distinct = {i: int(r["d"]) for i, r in enumerate(stats)}
+    to_id = F.create_map(*[e for i, v in enumerate(values) for e in (F.lit(v), F.lit(i))])
+    from_id = F.create_map(*[e for i, v in enumerate(values) for e in (F.lit(i), F.lit(v))])
+    x_type, y_type = W.schema["x"].dataType, W.schema["y"].dataType
     n_coords = sum(distinct.values())
     nq = max(1, math.ceil(n_coords / block_rows))
     nb = {c: max(1, math.ceil(v / block_rows)) for c, v in distinct.items()}
 
     nb_map = F.create_map(*[e for c, v in nb.items() for e in (F.lit(c), F.lit(v))])
-    rblocks = (W.withColumn("rb", F.pmod(F.xxhash64("x", "y"), nb_map[F.col("cluster")]))
-               .groupBy("cluster", "rb")
-               .agg(F.collect_list(F.struct("x", "y", "w")).alias("r"))
-               .select(F.col("cluster").alias("rcluster"), "rb",
-                       F.col("r.x").alias("rx"), F.col("r.y").alias("ry"), F.col("r.w").alias("rw")))
-    qblocks = (W.withColumn("qb", F.pmod(F.xxhash64("cluster", "x", "y", F.lit(17)), F.lit(nq)))
-               .groupBy("qb").agg(F.collect_list(F.struct("cluster", "x", "y", "w")).alias("q")))
-    keys = F.array(*[F.struct(F.lit(c).alias("rcluster"), F.lit(b).cast("bigint").alias("rb"))
-                     for c, v in nb.items() for b in range(v)])
-    n_pairs = nq * sum(nb.values())
-    cores = assign.sparkSession.sparkContext.defaultParallelism
-    # every block pair is about the same work: deal them out round-robin
-    pairs = (qblocks.select("q", F.inline(keys))
-             .join(checked_broadcast(rblocks), ["rcluster", "rb"], "inner")
-             .repartition(max(1, min(n_pairs, 4 * cores))))
-    sums = pairs.select(
-        "q", "rcluster",
-        _block_distance_sums(F.col("q.x"), F.col("q.y"), "rx", "ry", "rw").alias("s"))
-    per = (sums.select("rcluster", F.inline(F.arrays_zip(F.col("q").alias("qq"), F.col("s").alias("ss"))))
-           .select(F.col("qq.cluster").alias("cluster"), F.col("qq.x").alias("x"), F.col("qq.y").alias("y"),
-                   F.col("qq.w").alias("w"), "rcluster", F.col("ss").alias("s"))
-           .groupBy("cluster", "x", "y", "w", "rcluster").agg(F.sum("s").alias("s")))
+    offsets, acc = {}, 0
+    for c in sorted(nb):
+        offsets[c] = acc
+        acc += nb[c]
+    nr = acc
+    off_map = F.create_map(*[e for c, v in offsets.items() for e in (F.lit(c), F.lit(v))])
+    cells = nq * nr
+    parts = max(1, min(cells, 4 * assign.sparkSession.sparkContext.defaultParallelism))
+
+    coords = W.select(to_id[F.col("cluster")].cast("int").alias("cluster"), F.col("x").cast("bigint").alias("x"),
+                      F.col("y").cast("bigint").alias("y"), "w")
+    q_group = F.pmod(F.xxhash64("cluster", "x", "y", F.lit(17)), F.lit(nq))
+    r_group = off_map[F.col("cluster")] + F.pmod(F.xxhash64("x", "y"), nb_map[F.col("cluster")])
+    # each query row goes to the nr cells of its row, each reference row to the nq cells of its column
+    q_side = (coords.withColumn("gq", q_group)
+              .select("*", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("gr"))
+              .withColumn("cell", F.col("gq") * F.lit(nr) + F.col("gr"))
+              .select("cell", "cluster", "x", "y", "w").repartition(parts, "cell"))
+    r_side = (coords.withColumn("gr", r_group)
+              .select("*", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("gq"))
+              .withColumn("cell", F.col("gq") * F.lit(nr) + F.col("gr"))
+              .select("cell", "cluster", "x", "y", "w").repartition(parts, "cell"))
+    partial = (q_side.groupBy("cell").cogroup(r_side.groupBy("cell"))
+               .applyInPandas(lambda a, b: _cell_distance_sums(a.drop(columns="cell"), b.drop(columns="cell")),
+                              PARTIAL_SCHEMA))
+    per = partial.groupBy("cluster", "x", "y", "w", "rcluster").agg(F.sum("s").alias("s"))
 
     size_map = F.create_map(*[e for c, v in sizes.items() for e in (F.lit(c), F.lit(v))])
     own = F.col("rcluster") == F.col("cluster")
@@ -133,7 +142,8 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
         s = F.when(n_own == 1, F.lit(0.0)).otherwise(
             (F.col("b") - F.col("a")) / F.greatest(F.col("a"), F.col("b")))
     return (agg.withColumn("a", a).withColumn("silhouette", s)
-            .select("cluster", "x", "y", "w", "a", "b", "silhouette"))
+            .select(from_id[F.col("cluster")].alias("cluster"), F.col("x").cast(x_type).alias("x"),
+                    F.col("y").cast(y_type).alias("y"), "w", "a", "b", "silhouette"))
 
 
 def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
