@@ -128,6 +128,33 @@ class KMeansResult:
     history: list = field(default_factory=list)   # (iteration, centroids)
 
 
+def prepare2d(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+    """The persisted loop input: weighted distinct coordinates over all cores.
+    The caller unpersists it."""
+    return spread(weighted_coordinates(points, x, y), force=True).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = 0.5,
+                   early_stop: bool = True) -> KMeansResult:
+    """Rounds over a table from :func:`prepare2d` (see :func:`fit2d`)."""
+    if not seeds:
+        raise ValueError("no seeds")
+    unroll = pts.count() > UNROLL_ROWS
+    prev = list(seeds)
+    history, sizes, converged, it = [], [], False, 0
+    for it in range(1, max_iter + 1):
+        cur, sizes = step2d(pts, prev, weight="w", unroll=unroll)
+        history.append((it, cur))
+        if early_stop and it >= 2 and converged2d(prev, cur, threshold):
+            converged = True
+            prev = cur
+            break
+        if not early_stop and it == max_iter:
+            converged = converged2d(prev, cur, threshold)
+        prev = cur
+    return KMeansResult(prev, sizes, it, converged, history)
+
+
 def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = 0.5,
           early_stop: bool = True, x: str = "x", y: str = "y") -> KMeansResult:
     """Rounds of :func:`step2d`.
@@ -137,24 +164,9 @@ def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, thresho
     test only the last two (C2); with ``max_iter=1`` that compares the seeds
     with the first result (C1).
     """
-    if not seeds:
-        raise ValueError("no seeds")
-    pts = spread(weighted_coordinates(points, x, y), force=True).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = prepare2d(points, x, y)
     try:
-        unroll = pts.count() > UNROLL_ROWS
-        prev = list(seeds)
-        history, sizes, converged, it = [], [], False, 0
-        for it in range(1, max_iter + 1):
-            cur, sizes = step2d(pts, prev, weight="w", unroll=unroll)
-            history.append((it, cur))
-            if early_stop and it >= 2 and converged2d(prev, cur, threshold):
-                converged = True
-                prev = cur
-                break
-            if not early_stop and it == max_iter:
-                converged = converged2d(prev, cur, threshold)
-            prev = cur
-        return KMeansResult(prev, sizes, it, converged, history)
+        return fit_prepared2d(pts, seeds, max_iter, threshold, early_stop)
     finally:
         pts.unpersist()
 

@@ -9,6 +9,8 @@ threshold 0.01; silhouette of the k=10 assignment.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -133,30 +135,36 @@ SWEEP_K = (5, 10, 15, 20)
 SWEEP_R = (10, 50)
 
 
-def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R) -> DataFrame:
+def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R, parallelism: int = 4) -> DataFrame:
     """(k, max_iter, iterations, converged, clusters, mean_silhouette) for
-    every k and round limit.  One early-stop run per k up to the largest
-    limit; a smaller limit is a prefix of that run (rounds are
-    deterministic), so its state is read from the history."""
+    every k and round limit.  The weighted points are prepared once; one
+    early-stop run per k goes up to the largest limit (a smaller limit is a
+    prefix of it: rounds are deterministic).  Runs for different k are
+    independent jobs and are submitted from ``parallelism`` driver threads,
+    as MLlib's model selection does."""
     pts = S.points2d(spark, d)
-    out = None
-    for k in ks:
-        res = K.fit2d(pts, S.seeds2d(pts, k), max(rounds), THRESHOLD_2D, early_stop=True)
-        means = {}            # same final round -> same clustering -> same silhouette
-        for r in rounds:
-            iters = min(res.iterations, r)
-            converged = res.converged and res.iterations <= r
-            if iters not in means:
-                a = K.assign2d(pts, res.history[iters - 1][1])
-                means[iters] = SIL.silhouette_mean(a, "pos", "x", "y").first()
-            m = means[iters]
-            row = spark.createDataFrame(
-                [(k, r, iters, converged, m["clusters"], m["mean_silhouette"])],
-                "k int, max_iter int, iterations int, converged boolean, clusters int, mean_silhouette double")
-            row = row.select("k", "max_iter", "iterations", "converged", "clusters",
-                             F.round("mean_silhouette", 6).alias("mean_silhouette"))
-            out = row if out is None else out.unionByName(row)
-    return out
+    prepared = K.prepare2d(pts)
+    try:
+        def one_k(k):
+            res = K.fit_prepared2d(prepared, S.seeds2d(pts, k), max(rounds), THRESHOLD_2D, early_stop=True)
+            means, rows = {}, []        # same final round -> same clustering -> same silhouette
+            for r in rounds:
+                iters = min(res.iterations, r)
+                if iters not in means:
+                    a = K.assign2d(pts, res.history[iters - 1][1])
+                    means[iters] = SIL.silhouette_mean(a, "pos", "x", "y").first()
+                m = means[iters]
+                rows.append((k, r, iters, res.converged and res.iterations <= r,
+                             m["clusters"], m["mean_silhouette"]))
+            return rows
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            rows = [row for part in pool.map(one_k, ks) for row in part]
+    finally:
+        prepared.unpersist()
+    out = spark.createDataFrame(
+        rows, "k int, max_iter int, iterations int, converged boolean, clusters int, mean_silhouette double")
+    return out.select("k", "max_iter", "iterations", "converged", "clusters",
+                      F.round("mean_silhouette", 6).alias("mean_silhouette"))
 
 
 def generate_points(spark, d, seed: int = 7) -> DataFrame:
