@@ -149,8 +149,11 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
 def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
                       mode: str = "reference", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every input row with its ``silhouette``."""
+    # the quadratic part is written once to the checkpoint folder, so neither
+    # the size probe nor a lost executor makes it run again
     coords = silhouette_coordinates(assign, cluster, x, y, mode, block_rows).select(
-        F.col("cluster").alias(cluster), F.col("x").alias(x), F.col("y").alias(y), "silhouette")
+        F.col("cluster").alias(cluster), F.col("x").alias(x), F.col("y").alias(y), "silhouette"
+    ).checkpoint(eager=True)
     # one row per distinct coordinate: broadcast when measured small, else a
     # shuffle join whose hot coordinate AQE can split
     return assign.join(checked_broadcast(coords), [cluster, x, y], "inner")
