@@ -46,6 +46,11 @@ def test_unvisited_pairs_need_no_exchange_for_the_anti_join(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     # one exchange per side (the aggregations); the sort-merge anti join reuses them
     assert p.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" in p
+    # and every exchange ships partial aggregates, never raw edge copies
+    lines = p.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            assert "HashAggregate" in lines[i + 1]
 
 
 def test_kmeans_round_is_one_exchange(spark):
