@@ -134,9 +134,13 @@ def read_assignments2d(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_trips(spark: SparkSession, path: str, schema: T.StructType = TRIPS) -> DataFrame:
-    return (spark.read.schema(schema).option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-            .option("mode", "PERMISSIVE").csv(path))
+    """Trip CSV with a header.  Columns are matched by header name, not by
+    position, and typed by ``schema`` (unparsable values become null); columns
+    the schema does not know are kept as text."""
+    raw = spark.read.option("header", True).option("mode", "PERMISSIVE").csv(path)
+    types = {f.name: f.dataType for f in schema.fields}
+    return raw.select(*[F.trim(F.col(f"`{c}`")).try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`")
+                        for c in raw.columns])
 
 
 def to_lines(df: DataFrame, sep: str = ",") -> DataFrame:

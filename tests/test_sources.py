@@ -123,3 +123,14 @@ def test_checked_broadcast_skips_large_inputs_without_measuring(spark):
     hinted = checked_broadcast(small, max_input_bytes=1)
     plan = big.join(hinted, "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_trips_reader_matches_columns_by_name(spark):
+    d = scratch()
+    p = write_text(os.path.join(d, "trips2.csv"),
+                   "total_amount,passenger_count,tpep_pickup_datetime,extra_col\n"
+                   "12.5,2,2016-03-01 08:09:10,zz\nbad,3,2016-03-01 08:09:11,yy\n")
+    rows = D.read_trips(spark, p).collect()
+    assert rows[0]["total_amount"] == 12.5 and rows[0]["passenger_count"] == 2
+    assert rows[0]["tpep_pickup_datetime"].hour == 8 and rows[0]["extra_col"] == "zz"
+    assert rows[1]["total_amount"] is None
