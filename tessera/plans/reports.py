@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import text_to_int
 from tessera.operators import graph
 from tessera.operators.joins import checked_broadcast
+from tessera.session import ensure_checkpoint_dir
 
 
 def nationality_people(people: DataFrame, nationality: str = "United States of America") -> DataFrame:
@@ -102,10 +103,11 @@ def latest_access(people: DataFrame, logs: DataFrame, threshold: int = 870400,
     return per_page.where(cond).join(names, "id", "inner").select("id", "name")
 
 
-def degree_summary(associates: DataFrame) -> DataFrame:
+def degree_summary(associates: DataFrame, deg: DataFrame | None = None) -> DataFrame:
     """Middle of Q-H: (total_relationships, num_owners, average_relationships)
     over the people with at least one relation."""
-    deg = graph.degree(associates, count_name="relationship_count")
+    if deg is None:
+        deg = graph.degree(associates, count_name="relationship_count")
     # a bag COUNT skips the tuple whose first field (the id) is null
     return deg.agg(F.sum("relationship_count").cast("bigint").alias("total_relationships"),
                    F.count("id").cast("bigint").alias("num_owners"),
@@ -117,8 +119,12 @@ def above_average_degree(people: DataFrame, associates: DataFrame) -> DataFrame:
     """Q-H: (id, name, relationship_count) of people with more relations than
     the mean over people with at least one.  For integer counts
     ``n > floor(mean)`` equals ``n > mean``; the mean is a scalar subquery."""
-    deg = graph.degree(associates, count_name="relationship_count")
-    mean = degree_summary(associates).select("average_relationships").scalar()
+    # the degree table feeds both the mean and the filter; the two plans differ
+    # after filter pushdown, so Spark would not reuse the exchange and would
+    # join and aggregate the relations twice: materialise it once instead
+    ensure_checkpoint_dir(associates.sparkSession)
+    deg = graph.degree(associates, count_name="relationship_count").checkpoint(eager=True)
+    mean = degree_summary(associates, deg).select("average_relationships").scalar()
     popular = deg.where(F.col("relationship_count") > mean.cast("bigint"))
     return (popular.join(checked_broadcast(people.select("id", "name")), "id", "inner")
             .select("id", "name", "relationship_count"))
