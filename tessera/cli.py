@@ -72,7 +72,8 @@ def run_kmeans(spark, args) -> None:
     D.write_delimited(K.centroids_frame2d(spark, res).select("x", "y"), f"{args.out}/final")
     if args.assignments:
         D.write_assignments2d(K.assign2d(pts, res.centroids), f"{args.out}/final_clusters")
-    print(json.dumps({"iterations": res.iterations, "converged": res.converged, "k": len(res.centroids)}))
+    print(json.dumps({"iterations": res.iterations, "converged": res.converged, "k": len(res.centroids),
+                      "points": res.points, "skipped": res.skipped}))
 
 
 def run_kmeans_nd(spark, args) -> None:
@@ -88,7 +89,8 @@ def run_kmeans_nd(spark, args) -> None:
         line = F.concat_ws(",", F.col("cid").cast("string"), F.array_join(F.col("coords").cast("array<string>"), ","),
                            F.lit("1"))
         a.select(line.alias("value")).write.mode("overwrite").text(f"{args.out}/final_clusters")
-    print(json.dumps({"iterations": res.iterations, "converged": res.converged, "k": len(res.centroids)}))
+    print(json.dumps({"iterations": res.iterations, "converged": res.converged, "k": len(res.centroids),
+                      "points": res.points, "skipped": res.skipped}))
 
 
 def run_silhouette(spark, args) -> None:

@@ -29,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,12 +126,26 @@ class KMeansResult:
     iterations: int
     converged: bool
     history: list = field(default_factory=list)   # (iteration, centroids)
+    points: int | None = None  # input rows seen when the loop input was built
+    skipped: int | None = None # of which left out (null coordinates, other dimension)
 
 
-def prepare2d(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
+def _observed_input(df: DataFrame, valid) -> tuple[DataFrame, Observation]:
+    """Count all rows and the valid ones while the loop input is materialised
+    (metrics ride on that same pass; no extra scan)."""
+    obs = Observation("loop_input")
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"),
+                      F.sum(F.when(valid, 1).otherwise(0)).alias("valid")), obs
+
+
+def prepare2d(points: DataFrame, x: str = "x", y: str = "y", observation: list | None = None) -> DataFrame:
     """The persisted loop input: weighted distinct coordinates over all cores.
-    The caller unpersists it."""
-    return spread(weighted_coordinates(points, x, y), force=True).persist(StorageLevel.MEMORY_AND_DISK)
+    The caller unpersists it.  Pass a list as ``observation`` to receive the
+    :class:`Observation` with the input row counts."""
+    src, obs = _observed_input(points, F.col(x).isNotNull() & F.col(y).isNotNull())
+    if observation is not None:
+        observation.append(obs)
+    return spread(weighted_coordinates(src, x, y), force=True).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = 0.5,
@@ -164,9 +178,13 @@ def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, thresho
     test only the last two (C2); with ``max_iter=1`` that compares the seeds
     with the first result (C1).
     """
-    pts = prepare2d(points, x, y)
+    seen: list = []
+    pts = prepare2d(points, x, y, seen)
     try:
-        return fit_prepared2d(pts, seeds, max_iter, threshold, early_stop)
+        res = fit_prepared2d(pts, seeds, max_iter, threshold, early_stop)
+        m = seen[0].get
+        res.points, res.skipped = int(m["rows"]), int(m["rows"] - (m["valid"] or 0))
+        return res
     finally:
         pts.unpersist()
 
@@ -238,9 +256,12 @@ def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = 20, t
     previous ones by id; once converged the flag stays set, and with
     ``early_stop`` the loop ends there."""
     dim = len(seeds[0][1])
-    pts = spread(valid_nd(points.select(F.col(coords).alias("coords")), dim)).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    src, obs = _observed_input(points.select(F.col(coords).alias("coords")), F.size("coords") == dim)
+    pts = spread(valid_nd(src, dim)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        pts.count()                      # materialise once; fills the observation
+        n_rows = int(obs.get["rows"])
+        n_skipped = n_rows - int(obs.get["valid"] or 0)
         prev = [(int(i), [float(v) for v in c]) for i, c in seeds]
         history, sizes, converged, it = [], [], False, 0
         for it in range(1, max_iter + 1):
@@ -252,7 +273,7 @@ def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = 20, t
                     prev = cur
                     break
             prev = cur
-        return KMeansResult(prev, sizes, it, converged, history)
+        return KMeansResult(prev, sizes, it, converged, history, n_rows, n_skipped)
     finally:
         pts.unpersist()
 

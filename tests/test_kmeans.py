@@ -68,6 +68,13 @@ def test_nd_skips_other_dimensions(spark):
     p = spark.createDataFrame([(0, [0.0, 0.0]), (1, [2.0, 2.0]), (2, [1.0])], "pid long, coords array<double>")
     res = K.fit_nd(p, [(1, [0.0, 0.0])], 2)
     assert res.sizes == [2] and res.centroids == [(1, [1.0, 1.0])]
+    assert (res.points, res.skipped) == (3, 1)
+
+
+def test_null_points_are_counted_as_skipped(spark):
+    p = spark.createDataFrame([(0, 0, 0), (1, None, 3), (2, 2, 2)], "pid long, x int, y int")
+    res = K.fit2d(p, [(0, 0)], 1, early_stop=False)
+    assert (res.points, res.skipped) == (3, 1) and res.sizes == [2]
 
 
 def _brute_round(xy, cents):
