@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.geometry import centroid_array2d_sql, nearest2d, nearest_nd
+from tessera.session import cores
 
 Centroid2D = tuple[int, int]
 CentroidND = tuple[int, list[float]]
@@ -50,15 +51,18 @@ def spread(df: DataFrame, force: bool = False) -> DataFrame:
     cheap to shuffle, so it is spread; a larger input keeps its partitioning.
     """
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+    n = cores(spark)
     if force:
-        return df.repartition(cores)
-    qe = df._jdf.queryExecution()
-    if qe.executedPlan().outputPartitioning().numPartitions() >= cores:
+        return df.repartition(n)
+    try:
+        qe = df._jdf.queryExecution()
+        if qe.executedPlan().outputPartitioning().numPartitions() >= n:
+            return df
+        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
+        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    except Exception:  # plan statistics not reachable from this client
         return df
-    size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
-    split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return df.repartition(cores) if size < cores * split else df
+    return df.repartition(n) if size < n * split else df
 
 
 def _trunc_div(a: int, b: int) -> int:

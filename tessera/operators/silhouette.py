@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import checked_broadcast
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import cores, ensure_checkpoint_dir
 
 BLOCK_ROWS = 4096
 KERNEL_ROWS = 512
@@ -106,7 +106,7 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     nr = acc
     off_map = F.create_map(*[e for c, v in offsets.items() for e in (F.lit(c), F.lit(v))])
     cells = nq * nr
-    parts = max(1, min(cells, 4 * assign.sparkSession.sparkContext.defaultParallelism))
+    parts = max(1, min(cells, 4 * cores(assign.sparkSession)))
 
     coords = W.select(to_id[F.col("cluster")].cast("int").alias("cluster"), F.col("x").cast("bigint").alias("x"),
                       F.col("y").cast("bigint").alias("y"), "w")

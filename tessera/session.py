@@ -41,7 +41,10 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only a local master with no
     setting gets a scratch folder of its own."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -55,3 +58,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def cores(spark: SparkSession) -> int:
+    """Task slots to fill: ``defaultParallelism`` (classic sessions), else the
+    shuffle partition count."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
