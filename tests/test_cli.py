@@ -72,3 +72,34 @@ def test_generate(spark, files):
     cli.main(["generate", "--n", "50", "--k", "3", "--out", out])
     assert len(lines(spark, os.path.join(out, "data_points"))) == 50
     assert len(lines(spark, os.path.join(out, "3seed_points"))) == 3
+
+
+@pytest.mark.parametrize("letter,expected", [
+    ("A", ["Ann,chess", "Cy,go"]),
+    ("B", ["1,Ann,US", "2,Bob,FR"]),
+    ("C", ["FR,1", "US,2"]),
+    ("D", ["Ann,1", "Bob,2", "Cy,1"]),
+    ("E", ["Ann,1,1", "Bob,1,1", "Cy,1,1"]),
+    ("H", ["2,Bob,2"]),
+])
+def test_other_reports(spark, files, letter, expected):
+    out = os.path.join(files["dir"], f"r{letter}")
+    cli.main(["report", letter, "--people", files["people"], "--logs", files["logs"],
+              "--associates", files["assoc"], "--out", out, "--k", "2", "--nationality", "US"])
+    assert lines(spark, out) == expected
+
+
+def test_trips(spark, files, capsys):
+    hdr = ("VendorID,tpep_pickup_datetime,tpep_dropoff_datetime,passenger_count,trip_distance,pickup_longitude,"
+           "pickup_latitude,RatecodeID,store_and_fwd_flag,dropoff_longitude,dropoff_latitude,payment_type,"
+           "fare_amount,extra,mta_tax,tip_amount,tolls_amount,improvement_surcharge,total_amount")
+    rows = ["2,2016-03-07 06:00:00,2016-03-07 06:10:00,1,2.5,-73.9,40.7,1,N,-73.9,40.7,1,9,0.5,0.5,2,0,0.3,12",
+            "2,2016-03-07 08:00:00,2016-03-07 08:00:30,2,1.0,-73.9,40.7,1,N,-73.9,40.7,2,5,0.5,0.5,0,0,0.3,6",
+            "2,2016-03-07 09:00:00,2016-03-07 09:00:30,0,1.0,-73.9,40.7,1,N,-73.9,40.7,2,5,0.5,0.5,0,0,0.3,6"]
+    p = write(os.path.join(files["dir"], "trips.csv"), hdr + "\n" + "\n".join(rows) + "\n")
+    out = os.path.join(files["dir"], "trips_out")
+    cli.main(["trips", "--input", p, "--out", out])
+    got = lines(spark, os.path.join(out, "features"))
+    assert got == ["1,2.5,-73.9,40.7,-73.9,40.7,1,0.0,12.0,0,23,600,1,0",
+                   "2,1.0,-73.9,40.7,-73.9,40.7,2,0.0,6.0,0,1,30,0,1"]
+    assert '"mean_card_tip": 2.0' in capsys.readouterr().out
