@@ -8,7 +8,8 @@ distance from a coordinate to a cluster is ``S(q, c) / |c|`` with
 
 ``S`` is computed on a grid of cells.  Query coordinates are hashed into
 ``nq`` groups, each cluster's coordinates into reference groups of one cluster
-each (``nr`` in all), both of at most about ``block_rows`` rows (hash of
+each (``nr`` in all), both of at most about ``block_rows`` rows (by default chosen from the number
+of distinct coordinates and task slots, see :func:`block_rows_for`; hash of
 distinct keys, so no group can grow with a hot key).  Cell ``(i, j)`` pairs
 query group ``i`` with reference group ``j``: every query row is copied to the
 ``nr`` cells of its group and every reference row to the ``nq`` cells of its
@@ -44,15 +45,17 @@ from pyspark.sql import functions as F
 from tessera.operators.joins import checked_broadcast
 from tessera.session import cores, ensure_checkpoint_dir
 
-BLOCK_ROWS = 4096
-KERNEL_ROWS = 512
+MIN_BLOCK_ROWS = 4096
+MAX_BLOCK_ROWS = 65536
+KERNEL_DOUBLES = 1 << 21          # ~16 MB per temporary distance matrix
 PARTIAL_SCHEMA = "cluster int, x bigint, y bigint, w bigint, rcluster int, s double"
 
 
 def _cell_distance_sums(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
     """One cell: for every query coordinate, the weighted sum of distances to
     the cell's reference coordinates (all of one cluster).  The distance
-    matrix is built ``KERNEL_ROWS`` query rows at a time."""
+    matrix is built a slice of query rows at a time, ``KERNEL_DOUBLES``
+    entries per slice."""
     if q.empty or r.empty:
         return pd.DataFrame({"cluster": pd.Series(dtype="int32"), "x": pd.Series(dtype="int64"),
                              "y": pd.Series(dtype="int64"), "w": pd.Series(dtype="int64"),
@@ -63,10 +66,11 @@ def _cell_distance_sums(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
     ry = r["y"].to_numpy(np.float64)[None, :]
     rw = r["w"].to_numpy(np.float64)
     sums = np.empty(len(qx))
-    for i in range(0, len(qx), KERNEL_ROWS):
-        dx = qx[i:i + KERNEL_ROWS, None] - rx
-        dy = qy[i:i + KERNEL_ROWS, None] - ry
-        sums[i:i + KERNEL_ROWS] = np.sqrt(dx * dx + dy * dy) @ rw
+    step = max(1, KERNEL_DOUBLES // rx.shape[1])
+    for i in range(0, len(qx), step):
+        dx = qx[i:i + step, None] - rx
+        dy = qy[i:i + step, None] - ry
+        sums[i:i + step] = np.sqrt(dx * dx + dy * dy) @ rw
     return pd.DataFrame({"cluster": q["cluster"].astype("int32").to_numpy(), "x": q["x"].to_numpy(),
                          "y": q["y"].to_numpy(), "w": q["w"].to_numpy(),
                          "rcluster": np.full(len(qx), int(r["cluster"].iloc[0]), dtype=np.int32), "s": sums})
@@ -78,8 +82,15 @@ def coordinate_weights(assign: DataFrame, cluster: str = "pos", x: str = "x", y:
             .groupBy("cluster", "x", "y").agg(F.count(F.lit(1)).alias("w")))
 
 
+def block_rows_for(n_coords: int, slots: int) -> int:
+    """Group size: moved data falls as groups grow (about 2 D^2 / block rows),
+    parallelism needs about 4 cells per task slot; kept in 4,096..65,536."""
+    want = int(n_coords / math.sqrt(4 * max(1, slots)))
+    return max(MIN_BLOCK_ROWS, min(MAX_BLOCK_ROWS, want))
+
+
 def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                           mode: str = "reference", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                           mode: str = "reference", block_rows: int | None = None) -> DataFrame:
     """(cluster, x, y, w, a, b, silhouette) per distinct coordinate."""
     if mode not in ("reference", "textbook"):
         raise ValueError("mode must be 'reference' or 'textbook'")
@@ -95,6 +106,8 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     from_id = F.create_map(*[e for i, v in enumerate(values) for e in (F.lit(i), F.lit(v))])
     x_type, y_type = W.schema["x"].dataType, W.schema["y"].dataType
     n_coords = sum(distinct.values())
+    if block_rows is None:
+        block_rows = block_rows_for(n_coords, cores(assign.sparkSession))
     nq = max(1, math.ceil(n_coords / block_rows))
     nb = {c: max(1, math.ceil(v / block_rows)) for c, v in distinct.items()}
 
@@ -147,7 +160,7 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
 
 
 def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                      mode: str = "reference", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                      mode: str = "reference", block_rows: int | None = None) -> DataFrame:
     """Every input row with its ``silhouette``."""
     # the quadratic part is written once to the checkpoint folder, so neither
     # the size probe nor a lost executor makes it run again
@@ -160,7 +173,7 @@ def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y:
 
 
 def silhouette_mean(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                    mode: str = "reference", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                    mode: str = "reference", block_rows: int | None = None) -> DataFrame:
     """(clusters, points, mean_silhouette, mean_text) -- the mean over points
     is the w-weighted mean over coordinates, so points are not touched again."""
     coords = silhouette_coordinates(assign, cluster, x, y, mode, block_rows)
