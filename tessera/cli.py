@@ -21,6 +21,8 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from tessera.fixed import (CONV_R, GENERATED_POINTS, LATEST_ACCESS_MIN, NATIONALITY, ROUNDS_ND, THRESHOLD_2D,
+                           THRESHOLD_ND, TOP_PAGES)
 from tessera.functions.scalar import format4
 from tessera.operators import kmeans as K
 from tessera.operators import silhouette as SIL
@@ -125,13 +127,13 @@ def main(argv=None) -> None:
     for k in ("people", "logs", "associates"):
         r.add_argument(f"--{k}")
     r.add_argument("--out", required=True)
-    r.add_argument("--nationality", default="United States of America")
-    r.add_argument("--k", type=int, default=10)
-    r.add_argument("--threshold", type=int, default=870400)
+    r.add_argument("--nationality", default=NATIONALITY)
+    r.add_argument("--k", type=int, default=TOP_PAGES)
+    r.add_argument("--threshold", type=int, default=LATEST_ACCESS_MIN)
     r.add_argument("--order", choices=["text", "numeric"], default="text")
     r.add_argument("--keep", choices=["ge", "lt"], default="ge")
 
-    for cmd, thr, it in (("kmeans", 0.5, 50), ("kmeans-nd", 0.01, 20)):
+    for cmd, thr, it in (("kmeans", THRESHOLD_2D, CONV_R), ("kmeans-nd", THRESHOLD_ND, ROUNDS_ND)):
         k = sub.add_parser(cmd)
         k.add_argument("--points", required=True)
         k.add_argument("--seeds", required=True)
@@ -153,7 +155,7 @@ def main(argv=None) -> None:
     t.add_argument("--out", required=True)
 
     g = sub.add_parser("generate")
-    g.add_argument("--n", type=int, default=5000)
+    g.add_argument("--n", type=int, default=GENERATED_POINTS)
     g.add_argument("--k", type=int, required=True)
     g.add_argument("--seed", type=int, default=7)
     g.add_argument("--out", required=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.fixed import LIGHT_HOUR_START, MEAN_FORMAT
+
 
 def text_to_int(c: Column) -> Column:
     """Parse outside text as int; unparsable text is null (ANSI-safe)."""
@@ -19,7 +21,7 @@ def weekday_monday0(ts: Column) -> Column:
 def light_hour(ts: Column) -> Column:
     """Hour rotated so that 07:00 is 0: h-7 for h >= 7, else h+17."""
     h = F.hour(ts)
-    return F.when(h >= 7, h - 7).otherwise(h + 17)
+    return F.when(h >= LIGHT_HOUR_START, h - LIGHT_HOUR_START).otherwise(h + (24 - LIGHT_HOUR_START))
 
 
 def duration_seconds(start: Column, end: Column) -> Column:
@@ -35,4 +37,4 @@ def one_hot(c: Column, value) -> Column:
 
 def format4(c: Column) -> Column:
     """Four-decimal text, as ``%.4f``."""
-    return F.format_string("%.4f", c)
+    return F.format_string(MEAN_FORMAT, c)

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.fixed import ROUNDS_ND, THRESHOLD_2D, THRESHOLD_ND
 from tessera.functions.geometry import centroid_array2d_sql, nearest2d, nearest_nd
 from tessera.session import cores
 
@@ -152,7 +153,7 @@ def prepare2d(points: DataFrame, x: str = "x", y: str = "y", observation: list |
     return spread(weighted_coordinates(src, x, y), force=True).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = 0.5,
+def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = THRESHOLD_2D,
                    early_stop: bool = True) -> KMeansResult:
     """Rounds over a table from :func:`prepare2d` (see :func:`fit2d`)."""
     if not seeds:
@@ -173,7 +174,7 @@ def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, t
     return KMeansResult(prev, sizes, it, converged, history)
 
 
-def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = 0.5,
+def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = THRESHOLD_2D,
           early_stop: bool = True, x: str = "x", y: str = "y") -> KMeansResult:
     """Rounds of :func:`step2d`.
 
@@ -254,7 +255,7 @@ def converged_nd(previous: Sequence[CentroidND], current: Sequence[CentroidND],
     raise ValueError("criterion must be 'any' or 'all'")
 
 
-def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = 20, threshold: float = 0.01,
+def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = ROUNDS_ND, threshold: float = THRESHOLD_ND,
            criterion: str = "any", early_stop: bool = True, coords: str = "coords") -> KMeansResult:
     """N-D rounds.  From round 2 the new centroids are compared with the
     previous ones by id; once converged the flag stays set, and with

@@ -67,9 +67,9 @@ SELECT f.pos, f.x, f.y, f.size, s.iters AS iterations, s.converged
 FROM fin f CROSS JOIN stop s"""
 
 
-def assignments_cte() -> str:
-    return f"""assign AS MATERIALIZED (
-  SELECT p.pid, p.x, p.y, c.pos, c.x AS cx, c.y AS cy FROM pts p CROSS JOIN fin c
+def assignments_cte(fin: str = "fin", name: str = "assign") -> str:
+    return f"""{name} AS MATERIALIZED (
+  SELECT p.pid, p.x, p.y, c.pos, c.x AS cx, c.y AS cy FROM pts p CROSS JOIN {fin} c
   QUALIFY row_number() OVER (PARTITION BY p.pid ORDER BY {_d2('p.x', 'p.y', 'c.x', 'c.y')}, c.pos) = 1)"""
 
 
@@ -139,9 +139,9 @@ SELECT f.cid, f.n AS size, round(f.coords[1], 6) AS c_first, round(f.coords[len(
 FROM nfin f CROSS JOIN nstop s"""
 
 
-def silhouette_ctes(mode: str = "reference") -> list[str]:
-    """Per-coordinate silhouette over ``assign`` (all pairs of distinct
-    coordinates: the oracle may be quadratic)."""
+def silhouette_ctes(mode: str = "reference", src: str = "assign", sfx: str = "") -> list[str]:
+    """Per-coordinate silhouette over ``src`` (all pairs of distinct
+    coordinates: the oracle may be quadratic); CTE names end in ``sfx``."""
     if mode == "reference":
         a = "CASE WHEN n.n - ab.w > 0 THEN coalesce(ab.s_own, 0) / (n.n - ab.w) ELSE 0 END"
         sil = "(b - a) / greatest(a, b)"
@@ -149,21 +149,21 @@ def silhouette_ctes(mode: str = "reference") -> list[str]:
         a = "CASE WHEN n.n - 1 > 0 THEN coalesce(ab.s_own, 0) / (n.n - 1) ELSE 0 END"
         sil = "CASE WHEN n_own = 1 THEN 0.0 ELSE (b - a) / greatest(a, b) END"
     return [
-        "cw AS MATERIALIZED (SELECT pos AS cluster, x, y, count(*) AS w FROM assign GROUP BY pos, x, y)",
-        "cn AS MATERIALIZED (SELECT cluster, CAST(sum(w) AS BIGINT) AS n FROM cw GROUP BY cluster)",
-        f"""css AS MATERIALIZED (
+        f"cw{sfx} AS MATERIALIZED (SELECT pos AS cluster, x, y, count(*) AS w FROM {src} GROUP BY pos, x, y)",
+        f"cn{sfx} AS MATERIALIZED (SELECT cluster, CAST(sum(w) AS BIGINT) AS n FROM cw{sfx} GROUP BY cluster)",
+        f"""css{sfx} AS MATERIALIZED (
   SELECT q.cluster, q.x, q.y, q.w, r.cluster AS rcluster,
          sum(r.w * sqrt(CAST({_d2('q.x', 'q.y', 'r.x', 'r.y')} AS DOUBLE))) AS s
-  FROM cw q CROSS JOIN cw r GROUP BY q.cluster, q.x, q.y, q.w, r.cluster)""",
-        """cab AS MATERIALIZED (
+  FROM cw{sfx} q CROSS JOIN cw{sfx} r GROUP BY q.cluster, q.x, q.y, q.w, r.cluster)""",
+        f"""cab{sfx} AS MATERIALIZED (
   SELECT c.cluster, c.x, c.y, c.w,
          max(CASE WHEN c.rcluster = c.cluster THEN c.s END) AS s_own,
          min(CASE WHEN c.rcluster <> c.cluster THEN c.s / n.n END) AS b
-  FROM css c JOIN cn n ON n.cluster = c.rcluster GROUP BY c.cluster, c.x, c.y, c.w)""",
-        f"""csc AS MATERIALIZED (
+  FROM css{sfx} c JOIN cn{sfx} n ON n.cluster = c.rcluster GROUP BY c.cluster, c.x, c.y, c.w)""",
+        f"""csc{sfx} AS MATERIALIZED (
   SELECT ab.cluster, ab.x, ab.y, ab.w, ab.b, n.n AS n_own, {a} AS a
-  FROM cab ab JOIN cn n ON n.cluster = ab.cluster)""",
-        f"sil AS MATERIALIZED (SELECT cluster, x, y, w, {sil} AS silhouette FROM csc)",
+  FROM cab{sfx} ab JOIN cn{sfx} n ON n.cluster = ab.cluster)""",
+        f"sil{sfx} AS MATERIALIZED (SELECT cluster, x, y, w, {sil} AS silhouette FROM csc{sfx})",
     ]
 
 
@@ -182,17 +182,27 @@ FROM sil"""
 
 
 def sweep_sql(ks, rounds, threshold: float = 0.5) -> str:
-    """UNION ALL of one full k-means + silhouette query per (k, limit)."""
+    """One round chain per k up to the largest limit; each limit R takes the
+    first converged round in 2..R (or R) from that chain, then assigns and
+    scores it."""
     parts = []
     mean = "sum(w * silhouette) / sum(CASE WHEN silhouette IS NOT NULL THEN w END)"
+    top = max(rounds)
     for k in ks:
+        ctes = kmeans2d_ctes(k, top, threshold, True)
+        selects = []
         for r in rounds:
-            body = _with(kmeans2d_ctes(k, r, threshold, True) + [assignments_cte()] + silhouette_ctes()) + f"""
-SELECT CAST({k} AS INTEGER) AS k, CAST({r} AS INTEGER) AS max_iter, (SELECT iters FROM stop) AS iterations,
-       (SELECT converged FROM stop) AS converged, CAST(count(DISTINCT cluster) AS INTEGER) AS clusters,
-       round({mean}, 6) AS mean_silhouette
-FROM sil"""
-            parts.append("SELECT * FROM (" + body + ")")
+            first = f"min(r) FILTER (WHERE conv AND r >= 2 AND r <= {r})"
+            ctes += [f"""stop_{r} AS (
+  SELECT CAST(coalesce({first}, {r}) AS INTEGER) AS iters, {first} IS NOT NULL AS converged FROM flags)""",
+                     f"fin_{r} AS (SELECT pos, x, y, size FROM hist WHERE iteration = (SELECT iters FROM stop_{r}))",
+                     assignments_cte(f"fin_{r}", f"assign_{r}")]
+            ctes += silhouette_ctes("reference", f"assign_{r}", f"_{r}")
+            selects.append(f"""SELECT CAST({k} AS INTEGER) AS k, CAST({r} AS INTEGER) AS max_iter,
+       (SELECT iters FROM stop_{r}) AS iterations, (SELECT converged FROM stop_{r}) AS converged,
+       CAST(count(DISTINCT cluster) AS INTEGER) AS clusters, round({mean}, 6) AS mean_silhouette
+FROM sil_{r}""")
+        parts.append("SELECT * FROM (" + _with(ctes) + "\nUNION ALL\n".join(selects) + ")")
     return "\nUNION ALL\n".join(parts)
 
 

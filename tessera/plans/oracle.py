@@ -42,8 +42,10 @@ def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-NATIONALITY = "NATION_7"
-LATEST_THRESHOLD = 870400
+from tessera.fixed import LATEST_ACCESS_MIN  # noqa: E402
+
+NATIONALITY = "NATION_7"          # a nation of the stand-in people (report A's filter value there)
+LATEST_THRESHOLD = LATEST_ACCESS_MIN
 
 
 def report_sql() -> dict[str, str]:

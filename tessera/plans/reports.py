@@ -11,13 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.fixed import LATEST_ACCESS_MIN, NATIONALITY, TOP_PAGES
 from tessera.functions.scalar import text_to_int
 from tessera.operators import graph
 from tessera.operators.joins import checked_broadcast
 from tessera.session import ensure_checkpoint_dir
 
 
-def nationality_people(people: DataFrame, nationality: str = "United States of America") -> DataFrame:
+def nationality_people(people: DataFrame, nationality: str = NATIONALITY) -> DataFrame:
     """Q-A: name and hobby of the people of one nationality."""
     return people.where(F.col("nationality") == F.lit(nationality)).select("name", "hobby")
 
@@ -27,7 +28,7 @@ def page_access_counts(logs: DataFrame) -> DataFrame:
     return logs.groupBy(F.col("what_page").alias("id")).agg(F.count("acc_id").alias("access_count"))
 
 
-def top_pages(people: DataFrame, logs: DataFrame, k: int = 10) -> DataFrame:
+def top_pages(people: DataFrame, logs: DataFrame, k: int = TOP_PAGES) -> DataFrame:
     """Q-B: the k most accessed pages that belong to a person: (id, name,
     nationality).  Ties go to the smaller id, to be deterministic."""
     counts = page_access_counts(logs)
@@ -82,7 +83,7 @@ def unvisited_friends(people: DataFrame, associates: DataFrame, logs: DataFrame,
     return out.select("id", "name", "friend_id", "friend_name")
 
 
-def latest_access(people: DataFrame, logs: DataFrame, threshold: int = 870400,
+def latest_access(people: DataFrame, logs: DataFrame, threshold: int = LATEST_ACCESS_MIN,
                   order: str = "text", keep: str = "ge") -> DataFrame:
     """Q-G: (id, name) of pages whose latest access passes ``threshold``.
 

@@ -8,15 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.fixed import CARD_PAYMENT, CASH_PAYMENT, DROPPED_COLUMNS, NONZERO_COLUMNS
 from tessera.functions.scalar import duration_seconds, light_hour, one_hot, weekday_monday0
 
-# The columns tested for zero, and the columns dropped at the end.
-NONZERO_COLUMNS = ["pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude",
-                   "total_amount", "passenger_count", "trip_distance"]
-DROPPED_COLUMNS = ["tpep_pickup_datetime", "tpep_dropoff_datetime", "RatecodeID", "VendorID",
-                   "store_and_fwd_flag", "mta_tax", "tip_amount", "improvement_surcharge", "extra",
-                   "fare_amount", "pickup_dt", "dropoff_dt", "hour"]
-
 
 def clean_trips(trips: DataFrame) -> DataFrame:
     """Rows with no null in any column and no zero in the tested columns
@@ -36,8 +30,8 @@ def trip_features(trips: DataFrame) -> DataFrame:
     df = (df.withColumn("dayofweek", weekday_monday0(pick))
           .withColumn("lighthour", light_hour(pick))
           .withColumn("duration", duration_seconds(pick, drop))
-          .withColumn("credit_card", one_hot(F.col("payment_type"), 1))
-          .withColumn("cash", one_hot(F.col("payment_type"), 2)))
+          .withColumn("credit_card", one_hot(F.col("payment_type"), CARD_PAYMENT))
+          .withColumn("cash", one_hot(F.col("payment_type"), CASH_PAYMENT)))
     return df.drop(*[c for c in DROPPED_COLUMNS if c in df.columns])
 
 
@@ -45,7 +39,7 @@ def mean_card_tip(trips: DataFrame) -> DataFrame:
     """All card tips divided by the number of card trips with a nonzero tip
     (currency per tipped card trip), over the cleaned rows."""
     df = clean_trips(trips)
-    card = F.col("payment_type") == 1
+    card = F.col("payment_type") == CARD_PAYMENT
     return df.agg((F.sum(F.when(card, F.col("tip_amount"))).cast("double")
                    / F.count(F.when(card & (F.col("tip_amount") != 0), F.lit(1))).cast("double"))
                   .alias("mean_card_tip"))

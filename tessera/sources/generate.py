@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera.sources.delimited import write_delimited
 
-COORD_MAX = 10000
+from tessera.fixed import COORD_MAX  # noqa: E402
 
 
 # Fixed values of the hash: the prime modulus and the multipliers per round and axis.
