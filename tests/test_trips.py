@@ -1,7 +1,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.plans import trips as T
 from tessera.sources import delimited as D
