@@ -90,10 +90,21 @@ def read_points2d(spark: SparkSession, path: str, with_id: bool = True) -> DataF
     return df.withColumn("pid", F.monotonically_increasing_id()) if with_id else df
 
 
+MAX_SEEDS = 100_000
+
+
+def _seed_lines(spark: SparkSession, path: str) -> list:
+    """The lines of a seed file, in file order.  A seed file holds k lines; a
+    file with more than ``MAX_SEEDS`` lines is refused rather than collected."""
+    lines = spark.read.text(path).limit(MAX_SEEDS + 1).collect()
+    if len(lines) > MAX_SEEDS:
+        raise ValueError(f"{path}: more than {MAX_SEEDS} seed lines; is this the points file?")
+    return lines
+
+
 def read_seeds2d(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """Seed file in file order.  A seed file holds k lines; k is the only data
-    this package ever brings to the driver."""
-    lines = spark.read.text(path).collect()
+    """Seed file in file order (k lines, the only data read to the driver)."""
+    lines = _seed_lines(spark, path)
     seeds = []
     for row in lines:
         parts = row.value.split(",")
@@ -113,7 +124,7 @@ def read_points_nd(spark: SparkSession, path: str) -> DataFrame:
 def read_seeds_nd(spark: SparkSession, path: str) -> list[tuple[int, list[float]]]:
     """``id,c1,...,cd`` lines in file order."""
     out = []
-    for row in spark.read.text(path).collect():
+    for row in _seed_lines(spark, path):
         parts = row.value.strip().split(",")
         if len(parts) >= 2:
             out.append((int(parts[0]), [float(p) for p in parts[1:]]))

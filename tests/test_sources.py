@@ -134,3 +134,12 @@ def test_trips_reader_matches_columns_by_name(spark):
     assert rows[0]["total_amount"] == 12.5 and rows[0]["passenger_count"] == 2
     assert rows[0]["tpep_pickup_datetime"].hour == 8 and rows[0]["extra_col"] == "zz"
     assert rows[1]["total_amount"] is None
+
+
+def test_oversized_seed_file_is_refused(spark, monkeypatch):
+    import pytest
+    d = scratch()
+    p = write_text(os.path.join(d, "many.csv"), "".join(f"{i},{i}\n" for i in range(5)))
+    monkeypatch.setattr(D, "MAX_SEEDS", 3)
+    with pytest.raises(ValueError):
+        D.read_seeds2d(spark, p)
