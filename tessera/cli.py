@@ -73,7 +73,8 @@ def run_kmeans(spark, args) -> None:
     D.write_history(K.history_frame2d(spark, res).select("iteration", "x", "y"), f"{args.out}/rounds")
     D.write_delimited(K.centroids_frame2d(spark, res).select("x", "y"), f"{args.out}/final")
     if args.assignments:
-        D.write_assignments2d(K.assign2d(pts, res.centroids), f"{args.out}/final_clusters")
+        D.write_assignments2d(K.assign2d(pts, res.centroids), f"{args.out}/final_clusters",
+                              grouped=args.grouped)
     print(json.dumps({"iterations": res.iterations, "converged": res.converged, "k": len(res.centroids),
                       "points": res.points, "skipped": res.skipped}))
 
@@ -142,6 +143,8 @@ def main(argv=None) -> None:
         k.add_argument("--threshold", type=float, default=thr)
         k.add_argument("--fixed", action="store_true", help="run all rounds, test the last two only")
         k.add_argument("--assignments", action="store_true")
+        if cmd == "kmeans":
+            k.add_argument("--grouped", action="store_true", help="lay the cluster table out by cluster")
         if cmd == "kmeans-nd":
             k.add_argument("--criterion", choices=["any", "all"], default="any")
 

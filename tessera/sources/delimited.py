@@ -166,8 +166,13 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overw
     to_lines(df, sep).write.mode(mode).text(path)
 
 
-def write_assignments2d(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Final cluster table as ``cx,cy<TAB>x,y`` lines."""
+def write_assignments2d(df: DataFrame, path: str, mode: str = "overwrite", grouped: bool = False) -> None:
+    """Final cluster table as ``cx,cy<TAB>x,y`` lines.  ``grouped`` lays the
+    lines out by cluster (the reducer-side layout); it is a ``rebalance`` on
+    the cluster, so AQE splits a cluster holding a third of all points over
+    several files instead of one task."""
+    if grouped:
+        df = df.hint("rebalance", "cx", "cy")
     line = F.concat(F.col("cx").cast("string"), F.lit(","), F.col("cy").cast("string"), F.lit("\t"),
                     F.col("x").cast("string"), F.lit(","), F.col("y").cast("string"))
     df.select(line.alias("value")).write.mode(mode).text(path)

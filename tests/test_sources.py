@@ -59,6 +59,8 @@ def test_points_seeds_and_assignments(spark):
     ap = os.path.join(d, "final")
     D.write_assignments2d(a, ap)
     assert spark.read.text(ap).first().value == "10,20\t1,2"
+    D.write_assignments2d(a, ap, grouped=True)
+    assert spark.read.text(ap).first().value == "10,20\t1,2"
     assert tuple(D.read_assignments2d(spark, ap).first()) == (10, 20, 1, 2)
 
 
