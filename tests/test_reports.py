@@ -103,3 +103,23 @@ def test_people_per_nationality(spark):
     p = people(spark, 4, {1: "FR", 2: "FR"})
     out = {r["nationality"]: r["citizen_count"] for r in R.people_per_nationality(p).collect()}
     assert out == {"FR": 2, "US": 2}
+
+
+def test_hot_pair_and_hot_person_at_moderate_size(spark):
+    # one relation copied 300,000 times (several pieces), plus a person related to 5,000 others
+    hot = spark.range(300_000).select(F.col("id").cast("int").alias("rel_id"), F.lit(1).alias("person_a"),
+                                      F.lit(2).alias("person_b"))
+    fan = spark.range(5_000).select((F.col("id") + 1_000_000).cast("int").alias("rel_id"), F.lit(3).alias("person_a"),
+                                    (F.col("id") + 10).cast("int").alias("person_b"))
+    assoc = hot.unionByName(fan)
+    people = spark.range(1, 6_000).select(F.col("id").cast("int").alias("id"), F.concat(F.lit("P"), F.col("id")).alias("name"),
+                                         F.lit("US").alias("nationality"), F.lit(1).alias("country_code"),
+                                         F.lit("h").alias("hobby"))
+    logs = spark.createDataFrame([(1, 2, 1, "v", "5")], LOGS)          # 2 opened 1's page
+    out = R.unvisited_friends(people, assoc, logs)
+    counts = {tuple(r[:2]): r[2] for r in out.groupBy("id", "friend_id").count().collect()}
+    assert counts[(1, 2)] == 300_000 and (2, 1) not in counts
+    assert counts[(3, 10)] == 1 and counts[(10, 3)] == 1
+    assert out.count() == 300_000 + 2 * 5_000
+    deg = {r["owner_name"]: r["happiness_factor"] for r in R.relationship_degree(people, assoc).collect()}
+    assert deg["P1"] == 300_000 and deg["P2"] == 300_000 and deg["P3"] == 5_000
