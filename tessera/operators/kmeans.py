@@ -4,9 +4,11 @@ One round = one Spark job: every point picks its nearest centroid with a
 map-side expression over a literal array of the k centroids (no join, no
 shuffle), then ``groupBy(pos)`` sums coordinates with partial aggregation, so
 each map task ships at most k rows and a cluster holding a third of all
-points costs no more than any other.  Only the k new centroids come back to
-the driver; the next round is rebuilt from the persisted points and a fresh
-literal, so the plan does not grow with the number of rounds.
+points costs no more than any other.  Rounds read a persisted table of
+distinct coordinates with their point counts (exactly equivalent, and bounded
+by the integer grid).  Only the k new centroids come back to the driver; the
+next round is rebuilt from that table and a fresh literal, so the plan does not
+grow with the number of rounds.
 
 Semantics kept from the reference jobs:
 
