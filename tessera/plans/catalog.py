@@ -96,6 +96,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cluster_profile": C.cluster_profile,
         "kmeans_nd": C.kmeans_nd,
         "kmeans_nd_all": C.kmeans_nd_all,
+        "kmeans_nd_step": C.kmeans_nd_step,
         "kmeans_nd_fixed": C.kmeans_nd_fixed,
         "kmeans_nd_assignments": C.kmeans_nd_assignments,
         "silhouette_points": C.silhouette_points,
@@ -120,6 +121,7 @@ def oracle_sql() -> dict[str, str]:
         "cluster_profile": KS.cluster_profile_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),
         "kmeans_nd": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "any"),
         "kmeans_nd_all": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "all"),
+        "kmeans_nd_step": KS.kmeans_nd_sql(C.ND_K, 1, C.ND_DIM, C.ND_THRESHOLD, "any", early_stop=False),
         "kmeans_nd_fixed": KS.kmeans_nd_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD, "any", early_stop=False),
         "kmeans_nd_assignments": KS.kmeans_nd_assignments_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD),
         "silhouette_points": KS.silhouette_points_sql(C.SIL_K, C.SIL_R, C.THRESHOLD_2D),

@@ -94,6 +94,13 @@ def kmeans_nd(spark, d, k: int = ND_K, rounds: int = ND_R, threshold: float = ND
     return K.centroids_frame_nd(spark, res)
 
 
+def kmeans_nd_step(spark, d, k: int = ND_K) -> DataFrame:
+    """C7 mode a: one N-D round (no convergence test before round 2)."""
+    pts = S.points_nd(spark, d)
+    res = K.fit_nd(pts, S.seeds_nd(pts, k), 1, ND_THRESHOLD, "any", early_stop=False)
+    return K.centroids_frame_nd(spark, res)
+
+
 def kmeans_nd_fixed(spark, d, k: int = ND_K, rounds: int = ND_R) -> DataFrame:
     """C7 mode b: all rounds run; the flag records whether any round from the
     second on converged."""
