@@ -21,6 +21,9 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints written by the jobs (silhouette, degree table) are removed
+    # once their DataFrames are gone, so the shared folder does not fill up
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
