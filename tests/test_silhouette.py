@@ -3,6 +3,9 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tessera.functions.scalar import format4
 from tessera.operators import silhouette as SIL
 
 
@@ -41,8 +44,10 @@ def test_hand_case(spark):
     got = {r["pid"]: r["silhouette"] for r in SIL.silhouette_points(frame(spark, rows)).collect()}
     assert got[0] == pytest.approx(0.8) and got[1] == pytest.approx(0.803884, abs=1e-6)
     assert got[2] == pytest.approx(1.0)
-    m = SIL.silhouette_mean(frame(spark, rows)).first()
+    mean = SIL.silhouette_mean(frame(spark, rows))
+    m = mean.first()
     assert m["mean_silhouette"] == pytest.approx(0.867961, abs=1e-6) and m["clusters"] == 2
+    assert mean.select(format4(F.col("mean_silhouette"))).first()[0] == "0.8680"
 
 
 def test_duplicates_reference_and_textbook(spark):
