@@ -8,7 +8,8 @@
     python -m tessera generate --n 5000 --k 10 --out DIR
 
 Outputs are headerless comma separated text; k-means writes the centroids
-of every round under ``iteration=i``, the final centroids under ``final``
+of every round under ``rounds/iteration=i`` (or, with ``--layout reference``,
+one ``iteration_<i>`` folder per round), the final centroids under ``final``
 and, with ``--assignments``, ``final_clusters`` as ``cx,cy<TAB>x,y`` lines.
 """
 
@@ -70,7 +71,8 @@ def run_kmeans(spark, args) -> None:
     pts = D.read_points2d(spark, args.points)
     seeds = D.read_seeds2d(spark, args.seeds)
     res = K.fit2d(pts, seeds, args.max_iter, args.threshold, early_stop=not args.fixed)
-    D.write_history(K.history_frame2d(spark, res).select("iteration", "x", "y"), f"{args.out}/rounds")
+    hist = K.history_frame2d(spark, res).select("iteration", "x", "y")
+    _write_rounds(hist, args.out, args.layout, res.iterations)
     D.write_delimited(K.centroids_frame2d(spark, res).select("x", "y"), f"{args.out}/final")
     if args.assignments:
         D.write_assignments2d(K.assign2d(pts, res.centroids), f"{args.out}/final_clusters",
@@ -86,7 +88,7 @@ def run_kmeans_nd(spark, args) -> None:
     rows = [(it, cid, *v) for it, cents in res.history for cid, v in cents]
     dim = len(seeds[0][1])
     cols = ["iteration", "cid"] + [f"c{i}" for i in range(dim)]
-    D.write_history(spark.createDataFrame(rows, cols), f"{args.out}/rounds")
+    _write_rounds(spark.createDataFrame(rows, cols), args.out, args.layout, res.iterations)
     if args.assignments:
         a = K.assign_nd(K.valid_nd(pts, dim), res.centroids)
         line = F.concat_ws(",", F.col("cid").cast("string"), F.array_join(F.col("coords").cast("array<string>"), ","),
@@ -96,6 +98,18 @@ def run_kmeans_nd(spark, args) -> None:
                       "points": res.points, "skipped": res.skipped}))
 
 
+def _write_rounds(hist, out: str, layout: str, iterations: int) -> None:
+    """Centroids of every round: one table partitioned by ``iteration``
+    (default), or one ``iteration_<i>`` folder per round as the original jobs
+    write them (``layout='reference'``; k lines each)."""
+    if layout == "reference":
+        for i in range(1, iterations + 1):
+            D.write_delimited(hist.where(F.col("iteration") == i).drop("iteration").coalesce(1),
+                              f"{out}/iteration_{i}")
+    else:
+        D.write_history(hist, f"{out}/rounds")
+
+
 def run_silhouette(spark, args) -> None:
     a = D.read_assignments2d(spark, args.assignments).withColumn("pid", F.monotonically_increasing_id())
     a = a.withColumn("cluster", F.concat_ws(",", "cx", "cy"))
@@ -143,6 +157,8 @@ def main(argv=None) -> None:
         k.add_argument("--threshold", type=float, default=thr)
         k.add_argument("--fixed", action="store_true", help="run all rounds, test the last two only")
         k.add_argument("--assignments", action="store_true")
+        k.add_argument("--layout", choices=["table", "reference"], default="table",
+                       help="rounds as one partitioned table, or one iteration_<i> folder per round")
         if cmd == "kmeans":
             k.add_argument("--grouped", action="store_true", help="lay the cluster table out by cluster")
         if cmd == "kmeans-nd":

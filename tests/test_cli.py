@@ -103,3 +103,12 @@ def test_trips(spark, files, capsys):
     assert got == ["1,2.5,-73.9,40.7,-73.9,40.7,1,0.0,12.0,0,23,600,1,0",
                    "2,1.0,-73.9,40.7,-73.9,40.7,2,0.0,6.0,0,1,30,0,1"]
     assert '"mean_card_tip": 2.0' in capsys.readouterr().out
+
+
+def test_kmeans_reference_layout(spark, files):
+    out = os.path.join(files["dir"], "km_ref")
+    cli.main(["kmeans", "--points", files["points"], "--seeds", files["seeds"], "--out", out,
+              "--max-iter", "5", "--layout", "reference"])
+    assert lines(spark, os.path.join(out, "iteration_1")) == ["0,0", "10,10"]
+    assert lines(spark, os.path.join(out, "iteration_2")) == ["0,0", "10,10"]
+    assert not os.path.exists(os.path.join(out, "iteration_3"))      # converged at round 2
