@@ -52,7 +52,9 @@ def visited_pairs(logs: DataFrame) -> DataFrame:
 def split_multiplicity(df: DataFrame, mult: str = "mult", piece_rows: int = PIECE_ROWS) -> DataFrame:
     """Replace ``mult`` by pieces (``piece``, ``n``) with ``n <= piece_rows``;
     the arrays built here have at most ``mult / piece_rows`` elements."""
-    pieces = F.sequence(F.lit(0).cast("bigint"), ((F.col(mult) - 1) / F.lit(piece_rows)).cast("bigint"))
+    # integer division: exact for any 64-bit multiplicity
+    last = F.expr(f"(CAST(`{mult}` AS BIGINT) - 1) div {int(piece_rows)}")
+    pieces = F.sequence(F.lit(0).cast("bigint"), last)
     cols = [c for c in df.columns if c != mult]
     out = df.select(*cols, F.col(mult), F.explode(pieces).alias("piece"))
     return out.select(*cols, "piece",

@@ -123,3 +123,14 @@ def test_hot_pair_and_hot_person_at_moderate_size(spark):
     assert out.count() == 300_000 + 2 * 5_000
     deg = {r["owner_name"]: r["happiness_factor"] for r in R.relationship_degree(people, assoc).collect()}
     assert deg["P1"] == 300_000 and deg["P2"] == 300_000 and deg["P3"] == 5_000
+
+
+def test_split_multiplicity_is_exact_for_huge_counts(spark):
+    big = (1 << 62) + 12345
+    df = spark.createDataFrame([(1, 2, big), (3, 4, 65536), (5, 6, 65537)], "id long, friend_id long, mult long")
+    piece_rows = 1 << 40
+    out = graph.split_multiplicity(df, "mult", piece_rows).groupBy("id").agg(
+        F.sum("n").cast("decimal(38,0)").alias("total"), F.min("n").alias("smallest"), F.count("*").alias("pieces"))
+    got = {r["id"]: (int(r["total"]), r["smallest"], r["pieces"]) for r in out.collect()}
+    assert got[1][0] == big and got[1][1] > 0 and got[1][2] == (big - 1) // piece_rows + 1
+    assert got[3] == (65536, 65536, 1) and got[5] == (65537, 65537, 1)
