@@ -32,9 +32,10 @@ def edge_ends(assoc: DataFrame, a: str = "person_a", b: str = "person_b") -> Dat
 def degree(assoc: DataFrame, a: str = "person_a", b: str = "person_b",
            count_name: str = "relationship_count") -> DataFrame:
     """(id, count) of relation ends.  The count skips null ids like a bag
-    COUNT; partial aggregation collapses a hot id inside each map task."""
+    COUNT; partial aggregation collapses a hot id inside each map task.  Counts
+    are 64-bit: a person holding a third of a large edge table exceeds 2^31."""
     return (edge_ends(assoc, a, b).groupBy("id")
-            .agg(F.count("id").cast("int").alias(count_name)))
+            .agg(F.count("id").alias(count_name)))
 
 
 def pair_multiplicity(edges: DataFrame, keys=("id", "friend_id"), name: str = "mult") -> DataFrame:

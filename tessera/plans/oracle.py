@@ -29,7 +29,7 @@ EDGES = """edges AS (
   UNION ALL SELECT person_b AS id, person_a AS friend_id FROM associates)"""
 
 DEGREE = """deg AS (
-  SELECT id, CAST(count(id) AS INTEGER) AS relationship_count
+  SELECT id, count(id) AS relationship_count
   FROM (SELECT person_a AS id FROM associates UNION ALL SELECT person_b AS id FROM associates) ends
   GROUP BY id)"""
 
@@ -60,16 +60,16 @@ FROM people p JOIN (SELECT what_page AS id, count(acc_id) AS access_count FROM l
 ORDER BY a.access_count DESC, p.id ASC LIMIT 10""",
 
         "people_per_nationality": with_(PEOPLE) + """
-SELECT nationality, CAST(count(id) AS INTEGER) AS citizen_count FROM people GROUP BY nationality""",
+SELECT nationality, count(id) AS citizen_count FROM people GROUP BY nationality""",
 
         "relationship_degree": with_(PEOPLE, ASSOCIATES, DEGREE) + """
-SELECT p.name AS owner_name, CAST(COALESCE(d.relationship_count, 0) AS INTEGER) AS happiness_factor
+SELECT p.name AS owner_name, CAST(COALESCE(d.relationship_count, 0) AS BIGINT) AS happiness_factor
 FROM people p LEFT JOIN deg d ON p.id = d.id""",
 
         "access_profile": with_(PEOPLE, LOGS) + """
 SELECT p.name AS owner_name,
-       CAST(COALESCE(a.total_accesses, 0) AS INTEGER) AS total_accesses,
-       CAST(COALESCE(a.distinct_pages_accessed, 0) AS INTEGER) AS distinct_pages_accessed
+       CAST(COALESCE(a.total_accesses, 0) AS BIGINT) AS total_accesses,
+       CAST(COALESCE(a.distinct_pages_accessed, 0) AS BIGINT) AS distinct_pages_accessed
 FROM people p LEFT JOIN (
   SELECT by_who AS id, count(acc_id) AS total_accesses, count(DISTINCT what_page) AS distinct_pages_accessed
   FROM logs GROUP BY by_who) a ON p.id = a.id""",

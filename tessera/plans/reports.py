@@ -38,8 +38,8 @@ def top_pages(people: DataFrame, logs: DataFrame, k: int = TOP_PAGES) -> DataFra
 
 
 def people_per_nationality(people: DataFrame) -> DataFrame:
-    """Q-C: (nationality, citizen_count int)."""
-    return people.groupBy("nationality").agg(F.count("id").cast("int").alias("citizen_count"))
+    """Q-C: (nationality, citizen_count); counts are 64-bit throughout."""
+    return people.groupBy("nationality").agg(F.count("id").alias("citizen_count"))
 
 
 def relationship_degree(people: DataFrame, associates: DataFrame) -> DataFrame:
@@ -47,18 +47,18 @@ def relationship_degree(people: DataFrame, associates: DataFrame) -> DataFrame:
     deg = graph.degree(associates, count_name="relationship_count")
     j = people.select("id", "name").join(deg, "id", "left")
     return j.select(F.col("name").alias("owner_name"),
-                    F.coalesce(F.col("relationship_count"), F.lit(0)).cast("int").alias("happiness_factor"))
+                    F.coalesce(F.col("relationship_count"), F.lit(0).cast("bigint")).alias("happiness_factor"))
 
 
 def access_profile(people: DataFrame, logs: DataFrame) -> DataFrame:
     """Q-E: (owner_name, total_accesses, distinct_pages_accessed), 0 when none."""
     per_user = logs.groupBy(F.col("by_who").alias("id")).agg(
-        F.count("acc_id").cast("int").alias("total_accesses"),
-        F.countDistinct("what_page").cast("int").alias("distinct_pages_accessed"))
+        F.count("acc_id").alias("total_accesses"),
+        F.countDistinct("what_page").alias("distinct_pages_accessed"))
     j = people.select("id", "name").join(per_user, "id", "left")
     return j.select(F.col("name").alias("owner_name"),
-                    F.coalesce("total_accesses", F.lit(0)).alias("total_accesses"),
-                    F.coalesce("distinct_pages_accessed", F.lit(0)).alias("distinct_pages_accessed"))
+                    F.coalesce("total_accesses", F.lit(0).cast("bigint")).alias("total_accesses"),
+                    F.coalesce("distinct_pages_accessed", F.lit(0).cast("bigint")).alias("distinct_pages_accessed"))
 
 
 def friend_page_visits(associates: DataFrame, logs: DataFrame) -> DataFrame:
