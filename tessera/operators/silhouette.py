@@ -139,7 +139,7 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
                               PARTIAL_SCHEMA))
     per = partial.groupBy("cluster", "x", "y", "w", "rcluster").agg(F.sum("s").alias("s"))
 
-    size_map = F.create_map(*[e for c, v in sizes.items() for e in (F.lit(c), F.lit(v))])
+    size_map = F.create_map(*[e for c, v in sizes.items() for e in (F.lit(c), F.lit(v).cast("bigint"))])
     own = F.col("rcluster") == F.col("cluster")
     agg = per.groupBy("cluster", "x", "y", "w").agg(
         F.max(F.when(own, F.col("s"))).alias("s_own"),
