@@ -124,9 +124,10 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[s
     """(words, stems) with weights, from texts labelled 1 (toxic) or 0.
 
     Greedy cover: among words and stems that at least ``MIN_DOCS`` toxic texts
-    hold and whose log ratio reaches ``MIN_WEIGHT``, the one in most toxic
-    texts without an entry yet is taken, until none is in ``MIN_DOCS`` of
-    them.  Chance words of toxic texts are so left out."""
+    hold and whose log ratio reaches ``MIN_WEIGHT``, the one with the largest
+    product of that ratio and the number of toxic texts without an entry yet
+    is taken, until none is in ``MIN_DOCS`` of them.  Chance words of toxic
+    texts are so left out."""
     import re
 
     fold, find = folding(), re.compile(r"[^\W_]+").findall
@@ -150,7 +151,7 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[s
     chosen: dict = {}
     while True:
         left = Counter(k for keys in uncovered for k in keys)
-        best = max(left, key=lambda k: (left[k], k[1] == "word", len(k[0]), k), default=None)
+        best = max(left, key=lambda k: (left[k] * good[k], k[1] == "word", len(k[0]), k), default=None)
         if best is None or left[best] < MIN_DOCS:
             break
         chosen[best] = good[best]
