@@ -19,19 +19,25 @@ from tessera.llm.queries import TOXIC_CUT, table
 from tessera.llm.toxicity import score_toxicity, train_toxicity
 
 
+def _packed(docs: DataFrame, *more: str) -> DataFrame:
+    """All columns in one struct beside the ones an operator needs, so that
+    no column of ``docs`` meets a name of the operator's own."""
+    return docs.select(F.struct(*docs.columns).alias("row"), *more)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under the cut (operator 5)."""
     model = train_toxicity(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model).where(F.col("score") < TOXIC_CUT).select(*docs.columns)
+    return score_toxicity(_packed(docs, "text"), model).where(F.col("score") < TOXIC_CUT).select("row.*")
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines another one with a smaller id holds
-    too (operator 10); n_chars follows the text."""
-    out = dedup_lines(docs)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    too (operator 10); n_chars follows the text, null text stays null."""
+    text = F.when(F.col("row")["text"].isNotNull(), F.col("text"))
+    new = {"text": text, "n_chars": F.coalesce(F.length(text).cast("long"), F.col("row")["n_chars"])}
+    out = dedup_lines(_packed(docs, "doc_id", "text"))
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

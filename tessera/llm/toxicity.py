@@ -1,7 +1,7 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
 Folding lower-cases, maps homoglyphs to Latin letters and digits (and ``@``
-and ``$`` inside words) to the letters they stand in for.  A lexicon entry is
+and ``$`` before a letter) to the letters they stand in for.  A lexicon entry is
 a whole word or a stem that words begin with; its weight is the log ratio of
 how often toxic and other labelled texts hold it.  One automaton finds
 entries and exception phrases; what lies inside an exception does not count.
@@ -52,7 +52,7 @@ def folding():
     table = {ord(k): v for k, v in {**HOMOGLYPHS, **DIGITS}.items()}
     table |= {0xFF41 + i: chr(97 + i) for i in range(26)}  # full-width letters
     table |= {0xFF10 + int(d): v for d, v in DIGITS.items()}
-    sign = re.compile(r"(?<=[^\W_])[@$](?=[^\W_])")
+    sign = re.compile(r"[@$](?=[@$]*[^\W\d_])")
     signs = dict(SIGNS)
 
     def fold(text: str) -> str:
