@@ -10,7 +10,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def test_keys():
     q, o = E.queries(), E.oracle_sql()
-    assert set(o) == set(q)
+    assert set(o) <= set(q)
+    assert {n for n in q if not n.startswith("op") and n != "pipeline"} <= set(o)
 
 
 def test_entry_smoke(spark):
