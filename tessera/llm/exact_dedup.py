@@ -3,11 +3,12 @@
 The normalised texts are range-partitioned by sampled splitters
 (``repartitionByRange``), sorted outside memory within each partition, and
 neighbouring rows are compared in full: the window below starts a new group
-wherever the whole normalised text differs from the row before it.  The sort
-key carries a salt drawn from the identifier after the text, so a group of
-copies that holds a third of all rows is cut over many partitions; the runs
-of one text (at most one per salt) then meet by SHA-256 in a table of small
-rows.
+wherever the whole normalised text differs from the row before it.  A
+splitter is the first ``SPLITTER`` characters and a hash of the whole text,
+so that the sample stays small however long texts are, and then a salt drawn
+from the identifier, so that a group of copies that holds a third of all rows
+is cut over many partitions; the runs of one text (at most one per salt) then
+meet by SHA-256 in a table of small rows.
 """
 
 from __future__ import annotations
@@ -18,6 +19,10 @@ from pyspark.sql import functions as F
 from tessera.llm.common import partitions, staged, text_or_empty
 
 
+#: characters of a text that its splitter shows
+SPLITTER = 32
+
+
 def normalised(text_col: str):
     """Every run of white space becomes one blank.  Only the places where
     that changes something are matched."""
@@ -34,10 +39,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark = docs.sparkSession
     salts = 4 * partitions(spark)
     norm = docs.select(F.col(id_col).alias("_id"), normalised(text_col).alias("_norm"))
-    keyed = norm.select("*", F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int").alias("_salt"))
-    run = Window.partitionBy("_norm", "_salt").orderBy(F.col("_id").asc_nulls_last())
+    keyed = norm.select("*", F.substring("_norm", 1, SPLITTER).alias("_head"), F.xxhash64("_norm").alias("_hash"),
+                        F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int").alias("_salt"))
+    split = ["_head", "_hash", "_salt"]
+    run = Window.partitionBy(*split, "_norm").orderBy(F.col("_id").asc_nulls_last())
     rows = staged(
-        keyed.repartitionByRange("_norm", "_salt")
+        keyed.repartitionByRange(*split)
         .select("_id", "_salt", F.sha2("_norm", 256).alias("text_sha256"),
                 F.row_number().over(run).alias("_nth")))
 
