@@ -1,14 +1,15 @@
 """Line dedup: sharded cuckoo filters backed by exact reference-count tables.
 
-State of the index, two tables:
+State of the index, three tables:
 
 * ``refs`` -- exact: one row (key, doc, n) for each line key and document
   holding it, ``n`` times.  The key is the 128-bit MD5 of the stripped,
   lower-cased line; lines under ``MIN_CHARS`` code points have none.
-* ``filters`` -- one cuckoo filter a shard (a hash of the key) over the keys
-  that at least two documents hold.
+* ``repeated`` -- exact: (key, docs, owner) of the keys that at least two
+  documents hold; the owner is the smallest of them.
+* ``filters`` -- one cuckoo filter a shard (a hash of the key) over those keys.
 
-``add`` and ``remove`` change both: new references are added or removed
+``add`` and ``remove`` change them: new references are added or removed
 exactly, and the keys that thereby become (or cease to be) repeated are
 inserted into (or deleted from) the filter of their shard, so any document
 can be taken out again and the index is what it would have been without it.
@@ -122,6 +123,7 @@ class CuckooFilter:
 @dataclass
 class LineIndex:
     refs: DataFrame      # key binary, doc long, n long
+    repeated: DataFrame  # key binary, docs long, owner long: of the keys two or more documents hold
     filters: DataFrame   # shard long, filter binary
     shards: int
 
@@ -160,17 +162,20 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Index of a documents table."""
     refs = staged(line_keys(docs, id_col, text_col).groupBy("key", "doc").agg(F.count(F.lit(1)).alias("n")))
     shards = max(1, -(-refs.count() // keys_per_shard))
-    return LineIndex(refs, staged(_filters(_repeated(refs), shards)), shards)
+    repeated = staged(_repeated(refs))
+    return LineIndex(refs, repeated, staged(_filters(repeated, shards)), shards)
 
 
 def _changed(index: LineIndex, refs: DataFrame, touched: DataFrame) -> LineIndex:
     """The index with new references: keys of ``touched`` whose repeatedness
     differs go into or out of the filter of their shard."""
-    before = _repeated(index.refs.join(touched, "key", "left_semi")).select("key", F.lit(True).alias("was"))
-    after = _repeated(refs.join(touched, "key", "left_semi")).select("key", F.lit(True).alias("is"))
+    repeated = staged(index.repeated.join(touched, "key", "left_anti").unionByName(
+        _repeated(refs.join(touched, "key", "left_semi"))))
+    before = index.repeated.join(touched, "key", "left_semi").select("key", F.lit(True).alias("was"))
+    after = repeated.join(touched, "key", "left_semi").select("key", F.lit(True).alias("is"))
     moves = _sharded(before.join(after, "key", "full").where("was IS NULL OR is IS NULL"), index.shards).select(
         "shard", "h", F.col("is").isNotNull().alias("add"))
-    keys = _sharded(_repeated(refs).select("key"), index.shards).select("shard", "h")
+    keys = _sharded(repeated.select("key"), index.shards).select("shard", "h")
 
     def update(_, old: pd.DataFrame, change: pd.DataFrame) -> pd.DataFrame:
         kept = CuckooFilter.from_bytes(old["filter"].iloc[0]) if len(old) else CuckooFilter.sized(0)
@@ -189,7 +194,7 @@ def _changed(index: LineIndex, refs: DataFrame, touched: DataFrame) -> LineIndex
     full = out.where("filter IS NULL").select("shard")
     rebuilt = _rebuild(keys.join(full, "shard", "left_semi")) if full.limit(1).count() else None
     out = out.where("filter IS NOT NULL")
-    return LineIndex(refs, staged(out if rebuilt is None else out.unionByName(rebuilt)), index.shards)
+    return LineIndex(refs, repeated, staged(out if rebuilt is None else out.unionByName(rebuilt)), index.shards)
 
 
 def _rebuild(keys: DataFrame) -> DataFrame:
@@ -231,7 +236,7 @@ def lost_keys(index: LineIndex) -> DataFrame:
 
     maybe = (refs.groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt"))
              .applyInPandas(probe, "key binary, doc long"))
-    return maybe.join(_repeated(index.refs), "key").where("doc <> owner").select("doc", "key")
+    return maybe.join(index.repeated, "key").where("doc <> owner").select("doc", "key")
 
 
 def dedup_lines(docs: DataFrame, index: LineIndex | None = None, id_col: str = "doc_id",
