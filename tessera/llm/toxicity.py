@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tessera.llm.common import fit_logistic, labelled_sample, map_columns, texts_of
 
 #: bounds of the labelled sample: rows of each label, characters of a row
-PER_CLASS, MAX_CHARS = 5000, 20_000
+PER_CLASS, MAX_CHARS = 1500, 8_000
 MIN_DOCS, MIN_WEIGHT = 4, 3.0
 STEMS = range(4, 8)
 #: characters of text per unit of length in the normalised sum
@@ -131,33 +131,39 @@ def learn_lexicon(rows: list[tuple[str, int]]) -> tuple[dict[str, float], dict[s
     import re
 
     fold, find = folding(), re.compile(r"[^\W_]+").findall
-    count = {0: Counter(), 1: Counter()}
-    total, toxic = Counter(), []
-    for text, y in rows:
-        words = set(find(fold(text)))
-        keys = {(w, "word") for w in words} | {(w[:n], "stem") for w in words for n in STEMS if len(w) > n}
-        total[y] += 1
-        count[y].update(keys)
-        if y:
-            toxic.append(keys)
 
-    def weight(key):
-        return (math.log((count[1][key] + 0.5) / (total[1] + 1))
-                - math.log((count[0][key] + 0.5) / (total[0] + 1)))
+    def keys(text):
+        """Whole words end in a blank, stems do not."""
+        words = set(find(fold(text)))
+        return {w + " " for w in words} | {w[:n] for w in words for n in STEMS if len(w) > n}
 
-    good = {k: weight(k) for k, n in count[1].items() if n >= MIN_DOCS and 20 * count[0][k] * total[1] <= n * max(1, total[0])}
+    toxic = Counter()
+    for text, y in rows:
+        if y:
+            toxic.update(keys(text))
+    toxic = Counter({k: n for k, n in toxic.items() if n >= MIN_DOCS})
+    other, total = Counter(), Counter(y for _, y in rows)
+    uncovered = []
+    for text, y in rows:
+        held = keys(text) & toxic.keys()
+        if y:
+            uncovered.append(held)
+        else:
+            other.update(held)
+    good = {k: math.log((n + 0.5) / (total[1] + 1)) - math.log((other[k] + 0.5) / (total[0] + 1))
+            for k, n in toxic.items()}
     good = {k: w for k, w in good.items() if w >= MIN_WEIGHT}
-    uncovered = [keys & good.keys() for keys in toxic]
-    chosen: dict = {}
+    uncovered = [held & good.keys() for held in uncovered]
+    chosen: dict[str, float] = {}
     while True:
-        left = Counter(k for keys in uncovered for k in keys)
-        best = max(left, key=lambda k: (left[k] * good[k], k[1] == "word", len(k[0]), k), default=None)
+        left = Counter(k for held in uncovered for k in held)
+        best = max(left, key=lambda k: (left[k] * good[k], k[-1] == " ", len(k), k), default=None)
         if best is None or left[best] < MIN_DOCS:
             break
         chosen[best] = good[best]
-        uncovered = [keys for keys in uncovered if best not in keys]
-    return ({k: w for (k, kind), w in chosen.items() if kind == "word"},
-            {k: w for (k, kind), w in chosen.items() if kind == "stem"})
+        uncovered = [held for held in uncovered if best not in held]
+    return ({k[:-1]: w for k, w in chosen.items() if k[-1] == " "},
+            {k: w for k, w in chosen.items() if k[-1] != " "})
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id",
