@@ -73,7 +73,7 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weight: Column | None = None, seed: str = "mix", slice_rows: int = 20_000) -> DataFrame:
+        weight: Column | None = None, seed: str = "mix", slice_rows: int = 5_000) -> DataFrame:
     """One row per document: id, size, source_size, target, taken, quality_weight.
 
     ``taken`` counts words with repeats and never exceeds ``MAX_EPOCHS``
