@@ -6,7 +6,8 @@ long text is judged whole and each chunk starts afresh from the dictionary),
 each chunk is compressed with either dictionary, and the difference of the
 summed sizes, divided by the text's bytes, is the evidence: the better
 dictionary saves more.  A logistic curve fitted on labelled texts that were
-not in the dictionaries turns it into a score.
+not in the dictionaries turns it into a score; as the sample has as many bad
+as good texts, its intercept is then moved to the labels' true proportion.
 """
 
 from __future__ import annotations
@@ -14,15 +15,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fit_logistic, labelled_sample, map_columns, texts_of
+from tessera.llm.common import fit_logistic, held_out, labelled_sample, map_columns, texts_of
 
-CHUNK = 1024
+CHUNK = 512
 LEVEL = 3
 #: bounds of the labelled sample: rows of each label, characters of a row
-PER_CLASS, MAX_CHARS = 2000, 20_000
-DICT_BYTES = 64 * 1024
+PER_CLASS, MAX_CHARS = 3000, 20_000
+DICT_BYTES = 256 * 1024
 
 
 @dataclass
@@ -86,7 +88,10 @@ def train_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id
     x = np.array([of(t) for t, _ in rest])
     scale = x.std() or 1.0
     w = fit_logistic(x / scale, [y for _, y in rest])
-    model.bias, model.slope = float(w[0]), float(w[1] / scale)
+    n = {r["y"]: r["n"] for r in labels.where(~held_out(id_col)).where(F.col(label).isin(0, 1))
+         .groupBy(F.col(label).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    prior = np.log(n[1] / n[0]) - np.log(len(good) / len(bad))
+    model.bias, model.slope = float(w[0] + prior), float(w[1] / scale)
     return model
 
 
