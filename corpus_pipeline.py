@@ -43,9 +43,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the least id, of each group linked by the
     n-gram Jaccard join (operator 8).  Documents without words stay: they are
-    linked with nothing.  So do documents with a null id."""
-    kept = (jaccard_components(docs).where("doc_id = component_id").select("doc_id").distinct())
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    linked with nothing.  So do documents with a null id.  Of rows that repeat
+    with id and text one stays."""
+    kept = (jaccard_components(docs).where("doc_id = component_id")
+            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
+    once = docs.join(kept.where("n = 1"), "doc_id", "left_semi")
+    again = docs.join(kept.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,6 +53,7 @@ def test_stages_one_by_one(spark, table, labels, tmp_path):
     rows += [(60 + i, base + f" end{i}", "en", "a") for i in range(5)]
     rows += [(70, text(50) + " " + item + " " + text(9), "en", "b"), (71, "you stupid worthless moron " + text(20), "en", "b"),
              (72, None, "en", None), (73, "", "en", "c"), (74, "", "en", "c"), (None, text(20), "en", "a"),
+             (77, base + " a row that repeats", "en", "a"), (78, "row twice " + base[:99], "en", "a"), (78, "row twice " + base[:99], "en", "a"),
              (75, "line that is shared\n" + text(20), "en", "a"), (76, "line that is shared\n" + text(20), "en", "a")]
     docs = table(rows)
     docs.write.parquet(f"{tmp_path}/documents.parquet")
@@ -69,7 +70,7 @@ def test_stages_one_by_one(spark, table, labels, tmp_path):
             state = [(i, t if i != 76 else t.split("\n")[1], la, s) for i, t, la, s in state]
         elif name == "ngram_jaccard":
             comp = {d: c for d, _, c in brute.jaccard([r[:2] for r in state])}
-            state = [r for r in state if r[0] is None or comp[r[0]] == r[0]]
+            state = [r for r in dict.fromkeys(state) if r[0] is None or comp[r[0]] == r[0]]
         else:
             bad = {d for d, *_ in brute.leaks([r[:2] for r in state], [(1, item)])}
             state = [r for r in state if r[0] not in bad]
