@@ -19,4 +19,12 @@ Where things are:
 * ``tessera.cli`` -- ``python -m tessera ...`` on delimited files.
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# functions that run in Python workers travel by value: executors need neither
+# this package on their path nor the driver's working directory
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["session", "fixed", "sources", "functions", "operators", "plans", "cli"]

@@ -19,7 +19,7 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixed import (CONV_R, GENERATED_POINTS, LATEST_ACCESS_MIN, NATIONALITY, ROUNDS_ND, THRESHOLD_2D,
@@ -86,11 +86,11 @@ def run_kmeans_nd(spark, args) -> None:
     seeds = D.read_seeds_nd(spark, args.seeds)
     res = K.fit_nd(pts, seeds, args.max_iter, args.threshold, args.criterion, early_stop=not args.fixed)
     rows = [(it, cid, *v) for it, cents in res.history for cid, v in cents]
-    dim = len(seeds[0][1])
-    cols = ["iteration", "cid"] + [f"c{i}" for i in range(dim)]
-    _write_rounds(spark.createDataFrame(rows, cols), args.out, args.layout, res.iterations)
+    _write_rounds(K.wide_frame_nd(spark, rows, ["iteration", "cid"]), args.out, args.layout, res.iterations)
+    D.write_delimited(K.wide_frame_nd(spark, [(cid, *v) for cid, v in res.centroids], ["cid"]).coalesce(1),
+                      f"{args.out}/final")
     if args.assignments:
-        a = K.assign_nd(K.valid_nd(pts, dim), res.centroids)
+        a = K.assign_nd(pts, res.centroids)
         line = F.concat_ws(",", F.col("cid").cast("string"), F.array_join(F.col("coords").cast("array<string>"), ","),
                            F.lit("1"))
         a.select(line.alias("value")).write.mode("overwrite").text(f"{args.out}/final_clusters")
@@ -111,13 +111,19 @@ def _write_rounds(hist, out: str, layout: str, iterations: int) -> None:
 
 
 def run_silhouette(spark, args) -> None:
-    a = D.read_assignments2d(spark, args.assignments).withColumn("pid", F.monotonically_increasing_id())
-    a = a.withColumn("cluster", F.concat_ws(",", "cx", "cy"))
-    per = SIL.silhouette_points(a, "cluster", "x", "y", args.mode)
+    a = D.read_assignments2d(spark, args.assignments)
+    # a centroid without both numbers names no cluster
+    a = a.withColumn("cluster", F.when(F.col("cx").isNotNull() & F.col("cy").isNotNull(), F.concat_ws(",", "cx", "cy")))
+    valid = F.col("cluster").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()
+    seen = Observation("assignments")
+    counted = a.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(valid).alias("valid"))
+    coords = SIL.silhouette_coordinates(counted, "cluster", "x", "y", args.mode).checkpoint(eager=True)
+    per = SIL.points_from(coords, a.where(valid), "cluster", "x", "y")
     D.write_delimited(per.select("x", "y", "silhouette"), f"{args.out}/points")
-    m = SIL.silhouette_mean(a, "cluster", "x", "y", args.mode)
+    m = SIL.mean_from(coords)
     label = F.concat(F.lit("Silhouette Coefficient for k = "), F.col("clusters").cast("string"))
     D.write_delimited(m.select(label, format4(F.col("mean_silhouette"))), f"{args.out}/mean")
+    print(json.dumps({"points": int(seen.get["valid"]), "skipped": int(seen.get["rows"] - seen.get["valid"])}))
 
 
 def run_trips(spark, args) -> None:
@@ -134,7 +140,7 @@ def run_generate(spark, args) -> None:
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="tessera")
     p.add_argument("--master", default=None, help="e.g. local[8]; default: the active or submitted session")
-    p.add_argument("--shuffle-partitions", type=int, default=8)
+    p.add_argument("--shuffle-partitions", type=int, default=None, help="default: what the session has")
     sub = p.add_subparsers(dest="cmd", required=True)
 
     r = sub.add_parser("report")

@@ -37,14 +37,6 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _dbl(v: float) -> str:
-    """Exact double literal: the shortest repr round-trips."""
-    r = repr(float(v))
-    if r in ("nan", "inf", "-inf"):
-        return {"nan": "double('NaN')", "inf": "double('Infinity')", "-inf": "double('-Infinity')"}[r]
-    return r + "D"
-
-
 def centroid_array2d_sql(centroids: Sequence[tuple[int, int]]) -> str:
     """Literal ``array<struct<pos:int,cx:bigint,cy:bigint>>`` in list order, as
     SQL text: one parse in the JVM instead of one call per literal."""
@@ -57,58 +49,27 @@ def centroid_array2d(centroids: Sequence[tuple[int, int]]) -> Column:
     return F.expr(centroid_array2d_sql(centroids))
 
 
-UNROLL_MAX = 64
-
-
-def nearest2d_sql(x: str, y: str, centroids: Sequence[tuple[int, int]], unroll: bool = False) -> str:
-    """SQL text of ``struct(d2, pos)`` of the nearest centroid.
-
-    Default: ``transform`` over the literal centroid array.  It is evaluated
-    without generated code, but the generated code of the stage stays the same
-    from round to round, so nothing is recompiled when the centroids move.
-    ``unroll=True`` (at most ``UNROLL_MAX`` centroids): ``least`` over one
-    struct per centroid, compiled by whole-stage codegen -- worth one compile
-    per round only when a round reads many rows."""
+def nearest2d_sql(x: str, y: str, centroids: Sequence[tuple[int, int]]) -> str:
+    """SQL text of ``struct(d2, pos)`` of the nearest centroid: ``transform``
+    over the literal centroid array, whose stage code stays the same from
+    round to round, so nothing is recompiled when the centroids move."""
     px, py = f"CAST({_q(x)} AS BIGINT)", f"CAST({_q(y)} AS BIGINT)"
-    if unroll and 1 < len(centroids) <= UNROLL_MAX:
-        terms = []
-        for i, (cx, cy) in enumerate(centroids):
-            d2 = f"({px} - {int(cx)}L) * ({px} - {int(cx)}L) + ({py} - {int(cy)}L) * ({py} - {int(cy)}L)"
-            terms.append(f"named_struct('d2', {d2}, 'pos', {i})")
-        return "least(" + ", ".join(terms) + ")"
     d2 = f"({px} - c.cx) * ({px} - c.cx) + ({py} - c.cy) * ({py} - c.cy)"
     return (f"array_min(transform({centroid_array2d_sql(centroids)}, "
             f"c -> named_struct('d2', {d2}, 'pos', c.pos)))")
 
 
-def nearest2d(x: Column | str, y: Column | str, centroids: Sequence[tuple[int, int]],
-              unroll: bool = False) -> Column:
+def nearest2d(x: Column | str, y: Column | str, centroids: Sequence[tuple[int, int]]) -> Column:
     """``struct(d2, pos)`` of the nearest centroid; the first one wins ties.
 
     Squared integer distances are exact and keep the order (and the ties) of
     the square roots, which are distinct for distinct squares below 2^53.
     ``x`` and ``y`` name the columns.
     """
-    return F.expr(nearest2d_sql(_name(x), _name(y), centroids, unroll))
+    return F.expr(nearest2d_sql(_name(x), _name(y), centroids))
 
 
 def _name(c) -> str:
     if isinstance(c, str):
         return c
     raise TypeError("pass column names")
-
-
-def centroid_array_nd_sql(centroids: Sequence[tuple[int, Sequence[float]]]) -> str:
-    """Literal ``array<struct<pos:int,cid:int,coords:array<double>>>``."""
-    return "array(" + ", ".join(
-        f"named_struct('pos', {i}, 'cid', {int(cid)}, 'coords', array({', '.join(_dbl(v) for v in coords)}))"
-        for i, (cid, coords) in enumerate(centroids)) + ")"
-
-
-def nearest_nd(coords: str, centroids: Sequence[tuple[int, Sequence[float]]]) -> Column:
-    """``struct(dist, pos, cid)`` of the nearest centroid; first wins ties.
-    The distance sums squared differences in index order, then takes sqrt."""
-    c = _q(_name(coords))
-    dist = f"sqrt(aggregate(zip_with({c}, k.coords, (u, v) -> (u - v) * (u - v)), 0D, (acc, t) -> acc + t))"
-    return F.expr(f"array_min(transform({centroid_array_nd_sql(centroids)}, "
-                  f"k -> named_struct('dist', {dist}, 'pos', k.pos, 'cid', k.cid)))")

@@ -1,9 +1,11 @@
 """Join helpers: broadcast only behind a measured size bound.
 
 ``checked_broadcast`` first adds up the sizes of the scans the candidate side
-reads (file sizes, known without running anything).  Above ``max_input_bytes``
-it does not measure at all and hints a shuffle join.  Otherwise it measures
-the side with one bounded pass (``limit(max_rows + 1)``; with small inputs the
+reads (file sizes, known without running anything).  Above ``max_input_bytes``,
+or where they are not known, it does not measure at all and hints a shuffle
+join.  A plain projection or filter of scans that are below an eighth of
+``max_bytes`` (a safe margin for compression) is broadcast without running a
+job.  Otherwise it measures the side with one bounded pass (``limit(max_rows + 1)``; with small inputs the
 limit's single-partition exchange is small too) and hints ``broadcast`` only
 when both the row count and the byte size are proven under the caps.  A side
 that fails gets a shuffle-join hint, so an estimate can never turn a large
@@ -12,6 +14,7 @@ side into a broadcast; AQE may still split skewed partitions of that join.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -53,20 +56,33 @@ def measured_size(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> tuple[int,
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Sum of the size statistics of the leaves (scans) of the plan."""
+    """Sum of the size statistics of the leaves (scans) of the plan; where
+    they cannot be read, more than any bound."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
         return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # plan statistics not reachable from this client: measure
-        return 0
+    except Exception:  # plan statistics not reachable from this client
+        return 1 << 62
+
+
+def _widens_nothing(df: DataFrame) -> bool:
+    """Whether the plan only projects and filters scans."""
+    try:
+        text = str(df._jdf.queryExecution().optimizedPlan().toString())
+    except Exception:  # plan not reachable from this client
+        return False
+    return all(re.match(r"[\s:+-]*(Project|Filter|Relation)\b", line) for line in text.splitlines() if line.strip())
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       max_bytes: int = DEFAULT_MAX_BYTES,
                       max_input_bytes: int = DEFAULT_MAX_INPUT_BYTES) -> DataFrame:
     """``broadcast(df)`` if it is proven small, else ``df`` hinted to shuffle."""
-    if input_bytes(df) > max_input_bytes:
+    scanned = input_bytes(df)
+    if scanned > max_input_bytes:
         return df.hint("shuffle_merge")
+    if scanned <= max_bytes // 8 and _widens_nothing(df):
+        return F.broadcast(df)
     rows, size = measured_size(df, max_rows)
     if rows <= max_rows and size <= max_bytes:
         return F.broadcast(df)

@@ -28,44 +28,25 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.fixed import ROUNDS_ND, THRESHOLD_2D, THRESHOLD_ND
-from tessera.functions.geometry import centroid_array2d_sql, nearest2d, nearest_nd
+from tessera.functions.geometry import centroid_array2d_sql, nearest2d
 from tessera.session import cores
 
 Centroid2D = tuple[int, int]
 CentroidND = tuple[int, list[float]]
 
 
-def spread(df: DataFrame, force: bool = False) -> DataFrame:
-    """Lay the loop input over all cores before it is persisted.
-
-    ``force``: always deal the rows round-robin over ``defaultParallelism``
-    partitions (used for the weighted table: an aggregate that AQE may
-    coalesce into a single partition).  Otherwise nothing is executed to
-    decide: an input whose planned size is below ``cores`` file splits
-    (``spark.sql.files.maxPartitionBytes`` each) cannot fill the cores and is
-    cheap to shuffle, so it is spread; a larger input keeps its partitioning.
-    """
-    spark = df.sparkSession
-    n = cores(spark)
-    if force:
-        return df.repartition(n)
-    try:
-        qe = df._jdf.queryExecution()
-        if qe.executedPlan().outputPartitioning().numPartitions() >= n:
-            return df
-        size = int(str(qe.optimizedPlan().stats().sizeInBytes()))
-        split = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    except Exception:  # plan statistics not reachable from this client
-        return df
-    return df.repartition(n) if size < n * split else df
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the loop input over ``defaultParallelism`` partitions before it is
+    persisted (the input is an aggregate that AQE may coalesce to one, or a
+    table whose files may be fewer than the cores)."""
+    return df.repartition(cores(df.sparkSession))
 
 
 def _trunc_div(a: int, b: int) -> int:
@@ -76,10 +57,11 @@ def _trunc_div(a: int, b: int) -> int:
 # ---------------------------------------------------------------- 2-D family
 
 def assign2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y") -> DataFrame:
-    """Points with ``pos``, ``cx``, ``cy`` of their nearest centroid."""
+    """Points with ``pos``, ``cx``, ``cy`` of their nearest centroid.  Points
+    without both coordinates are skipped, as the fit skips them."""
     best = nearest2d(x, y, centroids)
     lookup = F.expr(centroid_array2d_sql(centroids))
-    out = points.withColumn("_best", best).withColumn("pos", F.col("_best.pos"))
+    out = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_best", best).withColumn("pos", F.col("_best.pos"))
     c = F.element_at(lookup, F.col("pos") + 1)
     return out.withColumn("cx", c["cx"]).withColumn("cy", c["cy"]).drop("_best")
 
@@ -94,16 +76,11 @@ def weighted_coordinates(points: DataFrame, x: str = "x", y: str = "y") -> DataF
             .groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")))
 
 
-# Above this many rows per round, compiling the unrolled assignment each round
-# costs less than evaluating the array form row by row.
-UNROLL_ROWS = 5_000_000
-
-
 def step2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y",
-           weight: str | None = None, unroll: bool = False) -> tuple[list[Centroid2D], list[int]]:
+           weight: str | None = None) -> tuple[list[Centroid2D], list[int]]:
     """One round: new centroids in next-round order, and their sizes.
     ``weight`` names a column of point counts (see :func:`weighted_coordinates`)."""
-    best = nearest2d(x, y, centroids, unroll)
+    best = nearest2d(x, y, centroids)
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
     per = (points.select(best["pos"].alias("pos"), (F.col(x).cast("bigint") * w).alias("x"),
                          (F.col(y).cast("bigint") * w).alias("y"), w.alias("w"))
@@ -152,7 +129,7 @@ def prepare2d(points: DataFrame, x: str = "x", y: str = "y", observation: list |
     src, obs = _observed_input(points, F.col(x).isNotNull() & F.col(y).isNotNull())
     if observation is not None:
         observation.append(obs)
-    return spread(weighted_coordinates(src, x, y), force=True).persist(StorageLevel.MEMORY_AND_DISK)
+    return spread(weighted_coordinates(src, x, y)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = THRESHOLD_2D,
@@ -160,11 +137,10 @@ def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, t
     """Rounds over a table from :func:`prepare2d` (see :func:`fit2d`)."""
     if not seeds:
         raise ValueError("no seeds")
-    unroll = pts.count() > UNROLL_ROWS
     prev = list(seeds)
     history, sizes, converged, it = [], [], False, 0
     for it in range(1, max_iter + 1):
-        cur, sizes = step2d(pts, prev, weight="w", unroll=unroll)
+        cur, sizes = step2d(pts, prev, weight="w")
         history.append((it, cur))
         if early_stop and it >= 2 and converged2d(prev, cur, threshold):
             converged = True
@@ -217,31 +193,100 @@ def history_frame2d(spark: SparkSession, res: KMeansResult) -> DataFrame:
 
 # ---------------------------------------------------------------- N-D family
 
+# doubles of a distance block in the N-D kernel (a slice of rows by k)
+KERNEL_DOUBLES = 1 << 20
+
+
+def is_valid_nd(dim: int, coords: str = "coords"):
+    """Whether a vector has the declared dimension and no null element."""
+    return F.coalesce((F.size(coords) == dim) & ~F.exists(coords, lambda v: v.isNull()), F.lit(False))
+
+
 def valid_nd(points: DataFrame, dim: int, coords: str = "coords") -> DataFrame:
-    """Points of the declared dimension (others are skipped, as the reference
-    skips vectors of another length)."""
-    return points.where(F.size(coords) == dim)
+    """Points of the declared dimension without null elements (others are
+    skipped, as the reference skips vectors of another length)."""
+    return points.where(is_valid_nd(dim, coords))
+
+
+def _nearest_kernel(centroids: Sequence[CentroidND]):
+    """rows (n, dim) -> position of the nearest centroid of each.  Squared
+    differences are added dimension by dimension, then the root is taken; the
+    first centroid wins ties."""
+    cents = np.array([v for _, v in centroids], np.float64)
+    step = max(1, KERNEL_DOUBLES // len(cents))
+
+    def nearest(rows: np.ndarray) -> np.ndarray:
+        out = np.empty(len(rows), np.int64)
+        for i in range(0, len(rows), step):
+            part = rows[i:i + step]
+            d2 = np.zeros((len(part), len(cents)))
+            for j in range(cents.shape[1]):
+                diff = part[:, j, None] - cents[None, :, j]
+                d2 += diff * diff
+            out[i:i + step] = np.sqrt(d2).argmin(axis=1)
+        return out
+
+    return nearest
+
+
+def _vectors(batch, coords: str, dim: int) -> np.ndarray:
+    return batch.column(batch.schema.get_field_index(coords)).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
 
 def assign_nd(points: DataFrame, centroids: Sequence[CentroidND], coords: str = "coords") -> DataFrame:
-    best = nearest_nd(coords, centroids)
-    return points.withColumn("_best", best).select(
-        *points.columns, F.col("_best.pos").alias("pos"), F.col("_best.cid").alias("cid"))
+    """Points with ``pos`` and ``cid`` of their nearest centroid; vectors of
+    another dimension or with null elements are skipped."""
+    dim = len(centroids[0][1])
+    sent = points.sparkSession.sparkContext.broadcast(list(centroids))
+    schema = T.StructType(points.schema.fields + [T.StructField("pos", T.IntegerType()), T.StructField("cid", T.IntegerType())])
+
+    def run(batches):
+        import pyarrow as pa
+
+        nearest = _nearest_kernel(sent.value)
+        ids = np.array([cid for cid, _ in sent.value])
+        for batch in batches:
+            pos = nearest(_vectors(batch, coords, dim))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(pos, pa.int32()), pa.array(ids[pos], pa.int32())], names=schema.names)
+
+    return valid_nd(points, dim, coords).mapInArrow(run, schema)
 
 
 def step_nd(points: DataFrame, centroids: Sequence[CentroidND], dim: int, coords: str = "coords"
             ) -> tuple[list[CentroidND], list[int]]:
-    """One N-D round: the mean vector per centroid id, from one vector
-    aggregate (MLlib's ``Summarizer``, partial per task), next-round order =
-    id as text."""
-    best = nearest_nd(coords, centroids)
-    summary = Summarizer.metrics("mean", "count").summary(F.col("v"))
-    per = (points.select(best["cid"].alias("cid"), array_to_vector(F.col(coords)).alias("v"))
-           .groupBy("cid").agg(summary.alias("s"))
-           .select("cid", vector_to_array(F.col("s.mean")).alias("m"), F.col("s.count").alias("n"))
-           .collect())
-    out = sorted(((str(r["cid"]), (int(r["cid"]), [float(v) for v in r["m"]]), int(r["n"]))
-                  for r in per), key=lambda t: t[0].encode())
+    """One N-D round over valid points: the mean vector per centroid id.  A
+    task assigns its points batch by batch and returns at most k partial sums;
+    Spark adds them.  Centroids are sent by broadcast, not as plan text.
+    Next-round order = id as text."""
+    sent = points.sparkSession.sparkContext.broadcast(list(centroids))
+
+    def run(batches):
+        import pyarrow as pa
+
+        k = len(sent.value)
+        nearest, count, sums = _nearest_kernel(sent.value), np.zeros(k, np.int64), np.zeros((k, dim))
+        for batch in batches:
+            rows = _vectors(batch, coords, dim)
+            pos = nearest(rows)
+            count += np.bincount(pos, minlength=k)
+            for j in range(dim):
+                sums[:, j] += np.bincount(pos, rows[:, j], k)
+        held = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held, pa.int32()), pa.array(count[held]), pa.array(sums[held].tolist(), pa.list_(pa.float64()))],
+            names=["pos", "n", "sums"])
+
+    part = points.select(coords).mapInArrow(run, "pos int, n long, sums array<double>")
+    per = (part.select("pos", "n", F.posexplode("sums").alias("j", "s")).groupBy("pos", "j")
+           .agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
+    sent.unpersist()
+    sums, sizes = {}, {}
+    for r in per:
+        sums.setdefault(r["pos"], [0.0] * dim)[r["j"]] = r["s"] / r["n"]
+        sizes[r["pos"]] = int(r["n"])
+    out = sorted(((str(centroids[p][0]).encode(), (int(centroids[p][0]), v), sizes[p]) for p, v in sums.items()),
+                 key=lambda t: t[0])
     return [t[1] for t in out], [t[2] for t in out]
 
 
@@ -263,7 +308,7 @@ def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = ROUND
     previous ones by id; once converged the flag stays set, and with
     ``early_stop`` the loop ends there."""
     dim = len(seeds[0][1])
-    src, obs = _observed_input(points.select(F.col(coords).alias("coords")), F.size("coords") == dim)
+    src, obs = _observed_input(points.select(F.col(coords).alias("coords")), is_valid_nd(dim))
     pts = spread(valid_nd(src, dim)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         pts.count()                      # materialise once; fills the observation
@@ -286,14 +331,22 @@ def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = ROUND
 
 
 def centroids_frame_nd(spark: SparkSession, res: KMeansResult, digits: int = 6) -> DataFrame:
-    """(cid, size, c_first, c_last, c_sum, iterations, converged), rounded."""
-    schema = T.StructType([T.StructField("cid", T.IntegerType()), T.StructField("size", T.LongType()),
-                           T.StructField("c_first", T.DoubleType()), T.StructField("c_last", T.DoubleType()),
-                           T.StructField("c_sum", T.DoubleType()),
-                           T.StructField("iterations", T.IntegerType()),
-                           T.StructField("converged", T.BooleanType())])
-    rows = [(cid, int(n), v[0], v[-1], sum(v), res.iterations, res.converged)
-            for (cid, v), n in zip(res.centroids, res.sizes)]
-    df = spark.createDataFrame(rows, schema)
-    return df.select("cid", "size", *[F.round(c, digits).alias(c) for c in ("c_first", "c_last", "c_sum")],
-                     "iterations", "converged")
+    """(cid, size, dim, value, iterations, converged): a row for every
+    coordinate of every centroid, dimensions from 1, rounded."""
+    rows = [(cid, int(n), j, float(x), res.iterations, res.converged)
+            for (cid, v), n in zip(res.centroids, res.sizes) for j, x in enumerate(v, 1)]
+    df = spark.createDataFrame(rows, "cid int, size long, dim int, value double, iterations int, converged boolean")
+    return df.withColumn("value", F.round("value", digits))
+
+
+def history_frame_nd(spark: SparkSession, res: KMeansResult, digits: int = 6) -> DataFrame:
+    """(iteration, cid, dim, value) for every round."""
+    rows = [(it, cid, j, float(x)) for it, cents in res.history for cid, v in cents for j, x in enumerate(v, 1)]
+    return spark.createDataFrame(rows, "iteration int, cid int, dim int, value double").withColumn(
+        "value", F.round("value", digits))
+
+
+def wide_frame_nd(spark: SparkSession, rows: list[tuple], lead: list[str]) -> DataFrame:
+    """Rows of (*lead, *coordinates) as columns ``lead``, c1 .. cd."""
+    dim = len(rows[0]) - len(lead)
+    return spark.createDataFrame(rows, lead + [f"c{i}" for i in range(1, dim + 1)])

@@ -8,9 +8,11 @@ distance from a coordinate to a cluster is ``S(q, c) / |c|`` with
 
 ``S`` is computed on a grid of cells.  Query coordinates are hashed into
 ``nq`` groups, each cluster's coordinates into reference groups of one cluster
-each (``nr`` in all), both of at most about ``block_rows`` rows (by default chosen from the number
-of distinct coordinates and task slots, see :func:`block_rows_for`; hash of
-distinct keys, so no group can grow with a hot key).  Cell ``(i, j)`` pairs
+each (``nr`` in all), both of about ``block_rows`` rows (by default chosen
+from the number of distinct coordinates, the task slots and the memory of a
+group, see :func:`block_rows_for`; hash of distinct keys, so no group can grow
+with a hot key).  Clusters are numbered in a table that is joined, so there
+may be any number of them.  Cell ``(i, j)`` pairs
 query group ``i`` with reference group ``j``: every query row is copied to the
 ``nr`` cells of its group and every reference row to the ``nq`` cells of its
 group, the two sides are co-grouped by cell, and a numpy kernel
@@ -30,155 +32,158 @@ Modes (``mode``):
   (coincident ones count with distance 0); a point alone in its cluster
   gets s = 0.
 
-With one cluster only, b is undefined and s is null.
+With one cluster only, b is undefined and s is null, as it is where a and b
+are both 0.  Rows without a cluster or a coordinate are skipped: they count
+nowhere and have a null silhouette.
 """
 
 from __future__ import annotations
 
 import math
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.joins import checked_broadcast
 from tessera.session import cores, ensure_checkpoint_dir
 
-MIN_BLOCK_ROWS = 4096
-MAX_BLOCK_ROWS = 65536
+ROW_BYTES = 48                    # a coordinate row in a shuffle or a group
+GROUP_BYTES = 64 << 20            # memory of one group of a cell
+TASK_BYTES = 128 << 20            # moved rows of one task
 KERNEL_DOUBLES = 1 << 21          # ~16 MB per temporary distance matrix
-PARTIAL_SCHEMA = "cluster int, x bigint, y bigint, w bigint, rcluster int, s double"
+PARTIAL_SCHEMA = "cid int, x bigint, y bigint, w bigint, rcid int, s double"
 
 
-def _cell_distance_sums(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+def _cell_kernel():
     """One cell: for every query coordinate, the weighted sum of distances to
     the cell's reference coordinates (all of one cluster).  The distance
     matrix is built a slice of query rows at a time, ``KERNEL_DOUBLES``
     entries per slice."""
-    if q.empty or r.empty:
-        return pd.DataFrame({"cluster": pd.Series(dtype="int32"), "x": pd.Series(dtype="int64"),
-                             "y": pd.Series(dtype="int64"), "w": pd.Series(dtype="int64"),
-                             "rcluster": pd.Series(dtype="int32"), "s": pd.Series(dtype="float64")})
-    qx = q["x"].to_numpy(np.float64)
-    qy = q["y"].to_numpy(np.float64)
-    rx = r["x"].to_numpy(np.float64)[None, :]
-    ry = r["y"].to_numpy(np.float64)[None, :]
-    rw = r["w"].to_numpy(np.float64)
-    sums = np.empty(len(qx))
-    step = max(1, KERNEL_DOUBLES // rx.shape[1])
-    for i in range(0, len(qx), step):
-        dx = qx[i:i + step, None] - rx
-        dy = qy[i:i + step, None] - ry
-        sums[i:i + step] = np.sqrt(dx * dx + dy * dy) @ rw
-    return pd.DataFrame({"cluster": q["cluster"].astype("int32").to_numpy(), "x": q["x"].to_numpy(),
-                         "y": q["y"].to_numpy(), "w": q["w"].to_numpy(),
-                         "rcluster": np.full(len(qx), int(r["cluster"].iloc[0]), dtype=np.int32), "s": sums})
-
-
-def coordinate_weights(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y") -> DataFrame:
-    """Distinct (cluster, x, y) with the number of points ``w``."""
-    return (assign.select(F.col(cluster).alias("cluster"), F.col(x).alias("x"), F.col(y).alias("y"))
-            .groupBy("cluster", "x", "y").agg(F.count(F.lit(1)).alias("w")))
+    import numpy as np
+    import pandas as pd
+
+    doubles = KERNEL_DOUBLES
+
+    def kernel(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        sums = np.empty(len(q))
+        if len(q) and len(r):
+            qx, qy = q["x"].to_numpy(np.float64), q["y"].to_numpy(np.float64)
+            rx, ry = r["x"].to_numpy(np.float64)[None, :], r["y"].to_numpy(np.float64)[None, :]
+            rw = r["w"].to_numpy(np.float64)
+            step = max(1, doubles // rx.shape[1])
+            for i in range(0, len(qx), step):
+                dx = qx[i:i + step, None] - rx
+                dy = qy[i:i + step, None] - ry
+                sums[i:i + step] = np.sqrt(dx * dx + dy * dy) @ rw
+            out = q[["cid", "x", "y", "w"]]
+            rcid = int(r["cid"].iloc[0])
+        else:
+            out, sums, rcid = q.iloc[:0][["cid", "x", "y", "w"]], sums[:0], 0
+        return out.assign(rcid=np.full(len(out), rcid, np.int32), s=sums)
+
+    return kernel
+
+
+def coordinate_weights(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
+                       weight: str | None = None) -> DataFrame:
+    """Distinct (cluster, x, y) with the number of points ``w`` (or the sum of
+    the column ``weight``), over the rows that have all three."""
+    w = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return (assign.where(F.col(cluster).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
+            .groupBy(F.col(cluster).alias("cluster"), F.col(x).alias("x"), F.col(y).alias("y")).agg(w.alias("w")))
 
 
 def block_rows_for(n_coords: int, slots: int) -> int:
     """Group size: moved data falls as groups grow (about 2 D^2 / block rows),
-    parallelism needs about 4 cells per task slot; kept in 4,096..65,536."""
-    want = int(n_coords / math.sqrt(4 * max(1, slots)))
-    return max(MIN_BLOCK_ROWS, min(MAX_BLOCK_ROWS, want))
+    parallelism needs about 4 cells per task slot, and a group fits
+    ``GROUP_BYTES``."""
+    return max(1, min(GROUP_BYTES // ROW_BYTES, math.ceil(n_coords / math.sqrt(4 * max(1, slots)))))
 
 
 def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                           mode: str = "reference", block_rows: int | None = None) -> DataFrame:
-    """(cluster, x, y, w, a, b, silhouette) per distinct coordinate."""
+                           mode: str = "reference", block_rows: int | None = None,
+                           weight: str | None = None) -> DataFrame:
+    """(cluster, x, y, w, a, b, silhouette) per distinct coordinate.
+    ``weight`` names a column of point counts, where ``assign`` is already a
+    table of weighted coordinates."""
     if mode not in ("reference", "textbook"):
         raise ValueError("mode must be 'reference' or 'textbook'")
-    # used three times below: materialise once in the shared checkpoint folder
+    slots = cores(assign.sparkSession)
+    # used several times below: materialise once in the shared checkpoint folder
     ensure_checkpoint_dir(assign.sparkSession)
-    W = coordinate_weights(assign, cluster, x, y).checkpoint(eager=True)
-    # k rows: points and distinct coordinates per cluster; clusters get dense int ids
-    stats = W.groupBy("cluster").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("d")).collect()
-    values = [r["cluster"] for r in stats]
-    sizes = {i: int(r["n"]) for i, r in enumerate(stats)}
-    distinct = {i: int(r["d"]) for i, r in enumerate(stats)}
-    to_id = F.create_map(*[e for i, v in enumerate(values) for e in (F.lit(v), F.lit(i))])
-    from_id = F.create_map(*[e for i, v in enumerate(values) for e in (F.lit(i), F.lit(v))])
-    x_type, y_type = W.schema["x"].dataType, W.schema["y"].dataType
-    n_coords = sum(distinct.values())
+    W = coordinate_weights(assign, cluster, x, y, weight).checkpoint(eager=True)
+    n_coords = W.count()
     if block_rows is None:
-        block_rows = block_rows_for(n_coords, cores(assign.sparkSession))
+        block_rows = block_rows_for(n_coords, slots)
     nq = max(1, math.ceil(n_coords / block_rows))
-    nb = {c: max(1, math.ceil(v / block_rows)) for c, v in distinct.items()}
-
-    nb_map = F.create_map(*[e for c, v in nb.items() for e in (F.lit(c), F.lit(v))])
-    offsets, acc = {}, 0
-    for c in sorted(nb):
-        offsets[c] = acc
-        acc += nb[c]
-    nr = acc
-    off_map = F.create_map(*[e for c, v in offsets.items() for e in (F.lit(c), F.lit(v))])
-    cells = nq * nr
-    parts = max(1, min(cells, 4 * cores(assign.sparkSession)))
-
-    coords = W.select(to_id[F.col("cluster")].cast("int").alias("cluster"), F.col("x").cast("bigint").alias("x"),
-                      F.col("y").cast("bigint").alias("y"), "w")
-    q_group = F.pmod(F.xxhash64("cluster", "x", "y", F.lit(17)), F.lit(nq))
-    r_group = off_map[F.col("cluster")] + F.pmod(F.xxhash64("x", "y"), nb_map[F.col("cluster")])
+    # one row per cluster: dense id, points, reference groups and the first of them
+    order = Window.orderBy("cluster")
+    stats = (W.groupBy("cluster").agg(F.sum("w").alias("n"), F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("nb"))
+             .select("cluster", "n", "nb", (F.row_number().over(order) - 1).alias("cid"),
+                     (F.sum("nb").over(order) - F.col("nb")).alias("first")).checkpoint(eager=True))
+    nr = int(stats.agg(F.sum("nb")).first()[0] or 0)
+    cells = max(1, nq * nr)
+    parts = max(1, min(cells, max(4 * slots, math.ceil(n_coords * (nq + nr) * ROW_BYTES / TASK_BYTES))))
+
+    coords = W.join(checked_broadcast(stats), "cluster").select(
+        "cid", F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "w", "nb", "first")
     # each query row goes to the nr cells of its row, each reference row to the nq cells of its column
-    q_side = (coords.withColumn("gq", q_group)
-              .select("*", F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("gr"))
-              .withColumn("cell", F.col("gq") * F.lit(nr) + F.col("gr"))
-              .select("cell", "cluster", "x", "y", "w").repartition(parts, "cell"))
-    r_side = (coords.withColumn("gr", r_group)
+    cell = (F.col("gq") * F.lit(nr) + F.col("gr")).alias("cell")
+    q_side = (coords.withColumn("gq", F.pmod(F.xxhash64("cid", "x", "y", F.lit(17)), F.lit(nq)))
+              .select("*", F.explode(F.sequence(F.lit(0), F.lit(max(0, nr - 1)))).alias("gr"))
+              .select(cell, "cid", "x", "y", "w").repartition(parts, "cell"))
+    r_side = (coords.withColumn("gr", F.col("first") + F.pmod(F.xxhash64("x", "y"), F.col("nb")))
               .select("*", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("gq"))
-              .withColumn("cell", F.col("gq") * F.lit(nr) + F.col("gr"))
-              .select("cell", "cluster", "x", "y", "w").repartition(parts, "cell"))
+              .select(cell, *[F.col(c).alias(c) for c in ("cid", "x", "y", "w")]).repartition(parts, "cell"))
     partial = (q_side.groupBy("cell").cogroup(r_side.groupBy("cell"))
-               .applyInPandas(lambda a, b: _cell_distance_sums(a.drop(columns="cell"), b.drop(columns="cell")),
-                              PARTIAL_SCHEMA))
-    per = partial.groupBy("cluster", "x", "y", "w", "rcluster").agg(F.sum("s").alias("s"))
+               .applyInPandas(_cell_kernel(), PARTIAL_SCHEMA))
+    per = partial.groupBy("cid", "x", "y", "w", "rcid").agg(F.sum("s").alias("s"))
 
-    size_map = F.create_map(*[e for c, v in sizes.items() for e in (F.lit(c), F.lit(v).cast("bigint"))])
-    own = F.col("rcluster") == F.col("cluster")
-    agg = per.groupBy("cluster", "x", "y", "w").agg(
+    size = checked_broadcast(stats.select(F.col("cid").alias("rcid"), F.col("n").alias("rn")))
+    own = F.col("rcid") == F.col("cid")
+    agg = per.join(size, "rcid").groupBy("cid", "x", "y", "w").agg(
         F.max(F.when(own, F.col("s"))).alias("s_own"),
-        F.min(F.when(~own, F.col("s") / size_map[F.col("rcluster")])).alias("b"))
-    n_own = size_map[F.col("cluster")]
-    if mode == "reference":
-        others = n_own - F.col("w")
-        a = F.when(others > 0, F.coalesce(F.col("s_own"), F.lit(0.0)) / others).otherwise(F.lit(0.0))
-        s = (F.col("b") - F.col("a")) / F.greatest(F.col("a"), F.col("b"))
-    else:
-        others = n_own - 1
-        a = F.when(others > 0, F.coalesce(F.col("s_own"), F.lit(0.0)) / others).otherwise(F.lit(0.0))
-        s = F.when(n_own == 1, F.lit(0.0)).otherwise(
-            (F.col("b") - F.col("a")) / F.greatest(F.col("a"), F.col("b")))
+        F.min(F.when(~own, F.col("s") / F.col("rn"))).alias("b"))
+    agg = agg.join(checked_broadcast(stats.select("cid", "cluster", "n")), "cid")
+    others = F.col("n") - (F.col("w") if mode == "reference" else F.lit(1))
+    a = F.when(others > 0, F.coalesce(F.col("s_own"), F.lit(0.0)) / others).otherwise(F.lit(0.0))
+    s = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
+    if mode == "textbook":
+        s = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(s)
     return (agg.withColumn("a", a).withColumn("silhouette", s)
-            .select(from_id[F.col("cluster")].alias("cluster"), F.col("x").cast(x_type).alias("x"),
-                    F.col("y").cast(y_type).alias("y"), "w", "a", "b", "silhouette"))
+            .select("cluster", F.col("x").cast(W.schema["x"].dataType).alias("x"),
+                    F.col("y").cast(W.schema["y"].dataType).alias("y"), "w", "a", "b", "silhouette"))
 
 
-def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                      mode: str = "reference", block_rows: int | None = None) -> DataFrame:
-    """Every input row with its ``silhouette``."""
-    # the quadratic part is written once to the checkpoint folder, so neither
-    # the size probe nor a lost executor makes it run again
-    coords = silhouette_coordinates(assign, cluster, x, y, mode, block_rows).select(
-        F.col("cluster").alias(cluster), F.col("x").alias(x), F.col("y").alias(y), "silhouette"
-    ).checkpoint(eager=True)
-    # one row per distinct coordinate: broadcast when measured small, else a
-    # shuffle join whose hot coordinate AQE can split
-    return assign.join(checked_broadcast(coords), [cluster, x, y], "inner")
+def points_from(coords: DataFrame, assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y") -> DataFrame:
+    """Every row of ``assign`` with its coordinate's ``silhouette``; null for
+    the rows that were skipped.  One row per distinct coordinate is joined:
+    broadcast when measured small, else a shuffle join whose hot coordinate
+    AQE can split."""
+    named = coords.select(F.col("cluster").alias(cluster), F.col("x").alias(x), F.col("y").alias(y), "silhouette")
+    return assign.join(checked_broadcast(named), [cluster, x, y], "left")
 
 
-def silhouette_mean(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                    mode: str = "reference", block_rows: int | None = None) -> DataFrame:
-    """(clusters, points, mean_silhouette, mean_text) -- the mean over points
-    is the w-weighted mean over coordinates, so points are not touched again."""
-    coords = silhouette_coordinates(assign, cluster, x, y, mode, block_rows)
+def mean_from(coords: DataFrame) -> DataFrame:
+    """(clusters, points, mean_silhouette) -- the mean over points is the
+    w-weighted mean over coordinates, so points are not touched again."""
     return coords.agg(
         F.count_distinct("cluster").cast("int").alias("clusters"),
         F.sum("w").alias("points"),
-        (F.sum(F.col("w") * F.col("silhouette")) / F.sum(F.when(F.col("silhouette").isNotNull(), F.col("w"))))
-        .alias("mean_silhouette"))
+        F.try_divide(F.sum(F.col("w") * F.col("silhouette")),
+                     F.sum(F.when(F.col("silhouette").isNotNull(), F.col("w")))).alias("mean_silhouette"))
+
+
+def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
+                      mode: str = "reference", block_rows: int | None = None) -> DataFrame:
+    """Every input row with its ``silhouette``.  The quadratic part is written
+    once to the checkpoint folder, so neither the size probe nor a lost
+    executor makes it run again."""
+    coords = silhouette_coordinates(assign, cluster, x, y, mode, block_rows).checkpoint(eager=True)
+    return points_from(coords, assign, cluster, x, y)
+
+
+def silhouette_mean(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
+                    mode: str = "reference", block_rows: int | None = None, weight: str | None = None) -> DataFrame:
+    """(clusters, points, mean_silhouette); see :func:`mean_from`."""
+    return mean_from(silhouette_coordinates(assign, cluster, x, y, mode, block_rows, weight))

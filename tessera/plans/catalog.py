@@ -10,11 +10,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.plans import clustering as C
 from tessera.plans import kmeans_sql as KS
 from tessera.plans import oracle, reports
 from tessera.plans import trips as TR
+from tessera.sources import delimited as D
 from tessera.sources import standins as S
 
 
@@ -26,6 +28,33 @@ def q_filter_project_nationality(spark: SparkSession, d: str) -> DataFrame:
     return reports.nationality_people(_people(spark, d), oracle.NATIONALITY)
 
 
+def q_format_people_lines(spark, d):
+    """People as the delimited lines the writer makes."""
+    return D.to_lines(_people(spark, d))
+
+
+def q_parse_people_lines(spark, d):
+    """People lines, each ninth one malformed, read back by the reader's
+    schema: what is no number or is missing is null."""
+    lines = _people(spark, d).select("id", D.to_lines_column(["id", "name", "nationality", "country_code", "hobby"]))
+    broken = lines.select(F.when(F.col("id") % 9 == 0, F.concat(F.lit("bad,"), F.col("value")))
+                          .when(F.col("id") % 9 == 1, F.substring_index("value", ",", 2))
+                          .otherwise(F.col("value")).alias("value"))
+    return D.parse_delimited(broken, D.PEOPLE)
+
+
+def q_parse_assignment_lines(spark, d):
+    """Assignment lines of the points, some malformed, read back; rows with a
+    null are what the silhouette skips and counts."""
+    p = S.points2d(spark, d)
+    number = F.when(F.col("pid") % 7 == 3, F.lit("x")).otherwise(F.col("x").cast("string"))
+    tab = F.when(F.col("pid") % 11 == 5, F.lit(" ")).otherwise(F.lit("\t"))
+    lines = p.select(F.concat(F.col("y").cast("string"), F.lit(","), F.col("x").cast("string"), tab, number, F.lit(", "),
+                              F.col("y").cast("string")).alias("value"))
+    whole = F.forall(F.array("cx", "cy", "x", "y"), lambda v: v.isNotNull())
+    return D.parse_assignments2d(lines).withColumn("skipped", ~whole)
+
+
 def q_top_pages(spark, d):
     return reports.top_pages(_people(spark, d), S.logs(spark, d), 10)
 
@@ -104,6 +133,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "silhouette_mean_textbook": C.silhouette_mean_textbook,
         "kmeans_sweep": C.kmeans_sweep,
         "generate_points": C.generate_points,
+        "generate_seeds": C.generate_seeds,
+        "kmeans_nd_history": C.kmeans_nd_history,
+        "format_people_lines": q_format_people_lines,
+        "parse_people_lines": q_parse_people_lines,
+        "parse_assignment_lines": q_parse_assignment_lines,
         "trip_features": q_trip_features,
         "mean_card_tip": q_mean_card_tip,
     }
@@ -131,4 +165,7 @@ def oracle_sql() -> dict[str, str]:
     })
     sql.update(oracle.trips_sql())
     sql["generate_points"] = oracle.generate_sql()
+    sql["generate_seeds"] = oracle.generate_seeds_sql(C.FIXED_K)
+    sql["kmeans_nd_history"] = KS.kmeans_nd_history_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD)
+    sql |= oracle.lines_sql()
     return sql

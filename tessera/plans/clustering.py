@@ -78,12 +78,18 @@ def kmeans_history(spark, d, k: int = HISTORY_K, rounds: int = HISTORY_R) -> Dat
     return K.history_frame2d(spark, res)
 
 
+def weighted_assignments(spark, d, k: int, rounds: int) -> DataFrame:
+    """(x, y, w, pos, cx, cy): the distinct coordinates, each once with its
+    number of points, and their final centroids."""
+    pts, res = fit_points2d(spark, d, k, rounds)
+    return K.assign2d(K.weighted_coordinates(pts), res.centroids).select(
+        "x", "y", "w", "pos", F.col("cx").cast("int").alias("cx"), F.col("cy").cast("int").alias("cy"))
+
+
 def cluster_profile(spark, d, k: int = SIL_K, rounds: int = SIL_R) -> DataFrame:
     """Points and distinct coordinates per final cluster."""
-    a = final_assignments(spark, d, k, rounds)
-    return a.groupBy("pos", "cx", "cy").agg(
-        F.count(F.lit(1)).alias("points"),
-        F.count_distinct("x", "y").alias("distinct_points"))
+    a = weighted_assignments(spark, d, k, rounds)
+    return a.groupBy("pos", "cx", "cy").agg(F.sum("w").alias("points"), F.count(F.lit(1)).alias("distinct_points"))
 
 
 def kmeans_nd(spark, d, k: int = ND_K, rounds: int = ND_R, threshold: float = ND_THRESHOLD,
@@ -113,7 +119,13 @@ def kmeans_nd_assignments(spark, d, k: int = ND_K, rounds: int = ND_R) -> DataFr
     """C7 mode eii: (pid, cid) of every point with the final centroids."""
     pts = S.points_nd(spark, d)
     res = K.fit_nd(pts, S.seeds_nd(pts, k), rounds, ND_THRESHOLD, "any", early_stop=True)
-    return K.assign_nd(K.valid_nd(pts, ND_DIM), res.centroids).select("pid", "cid")
+    return K.assign_nd(pts, res.centroids).select("pid", "cid")
+
+
+def kmeans_nd_history(spark, d, k: int = ND_K, rounds: int = ND_R) -> DataFrame:
+    """C10 in N-D: (iteration, cid, dim, value) of every round up to the stop."""
+    pts = S.points_nd(spark, d)
+    return K.history_frame_nd(spark, K.fit_nd(pts, S.seeds_nd(pts, k), rounds, ND_THRESHOLD, "any", early_stop=True))
 
 
 def kmeans_nd_all(spark, d) -> DataFrame:
@@ -130,8 +142,8 @@ def silhouette_points(spark, d, k: int = SIL_K, rounds: int = SIL_R, mode: str =
 
 def silhouette_mean(spark, d, k: int = SIL_K, rounds: int = SIL_R, mode: str = "reference") -> DataFrame:
     """C8 mean: (clusters, points, mean_silhouette, mean_text '%.4f')."""
-    a = final_assignments(spark, d, k, rounds)
-    m = SIL.silhouette_mean(a, "pos", "x", "y", mode)
+    a = weighted_assignments(spark, d, k, rounds)
+    m = SIL.silhouette_mean(a, "pos", "x", "y", mode, weight="w")
     return m.select("clusters", "points", F.round("mean_silhouette", 6).alias("mean_silhouette"),
                     format4(F.col("mean_silhouette")).alias("mean_text"))
 
@@ -152,15 +164,16 @@ def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R, parallelism: int = 4) ->
     as MLlib's model selection does."""
     pts = S.points2d(spark, d)
     prepared = K.prepare2d(pts)
+    seeds = S.seeds2d(pts, max(ks))        # the first k of them are the seeds of a smaller k
     try:
         def one_k(k):
-            res = K.fit_prepared2d(prepared, S.seeds2d(pts, k), max(rounds), THRESHOLD_2D, early_stop=True)
+            res = K.fit_prepared2d(prepared, seeds[:k], max(rounds), THRESHOLD_2D, early_stop=True)
             means, rows = {}, []        # same final round -> same clustering -> same silhouette
             for r in rounds:
                 iters = min(res.iterations, r)
                 if iters not in means:
-                    a = K.assign2d(pts, res.history[iters - 1][1])
-                    means[iters] = SIL.silhouette_mean(a, "pos", "x", "y").first()
+                    a = K.assign2d(prepared, res.history[iters - 1][1])
+                    means[iters] = SIL.silhouette_mean(a, "pos", "x", "y", weight="w").first()
                 m = means[iters]
                 rows.append((k, r, iters, res.converged and res.iterations <= r,
                              m["clusters"], m["mean_silhouette"]))
@@ -178,3 +191,8 @@ def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R, parallelism: int = 4) ->
 def generate_points(spark, d, seed: int = 7) -> DataFrame:
     """G1: one seeded random point (0..10000 both axes) per customer key."""
     return G.points_from_keys(S.table(spark, d, "customer").select("c_custkey"), "c_custkey", seed)
+
+
+def generate_seeds(spark, d, k: int = FIXED_K, seed: int = 8) -> DataFrame:
+    """G1 seeds: the points of another seed, of the k smallest customer keys."""
+    return S.first_points(generate_points(spark, d, seed), k)

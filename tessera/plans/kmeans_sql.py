@@ -134,11 +134,18 @@ def kmeans_nd_ctes(k: int, rounds: int, dim: int, threshold: float = 0.01, crite
 def kmeans_nd_sql(k: int, rounds: int, dim: int, threshold: float = 0.01, criterion: str = "any",
                   early_stop: bool = True) -> str:
     return _with(kmeans_nd_ctes(k, rounds, dim, threshold, criterion, early_stop)) + """
-SELECT f.cid, f.n AS size, round(f.coords[1], 6) AS c_first, round(f.coords[len(f.coords)], 6) AS c_last,
-       round(list_sum(f.coords), 6) AS c_sum, s.iters AS iterations, s.converged
+SELECT f.cid, f.n AS size, CAST(generate_subscripts(f.coords, 1) AS INTEGER) AS dim, round(unnest(f.coords), 6) AS value,
+       s.iters AS iterations, s.converged
 FROM nfin f CROSS JOIN nstop s"""
 
 
+def kmeans_nd_history_sql(k: int, rounds: int, dim: int, threshold: float = 0.01) -> str:
+    return _with(kmeans_nd_ctes(k, rounds, dim, threshold, "any", True)) + """
+SELECT CAST(iteration AS INTEGER) AS iteration, cid, CAST(generate_subscripts(coords, 1) AS INTEGER) AS dim,
+       round(unnest(coords), 6) AS value
+FROM nhist WHERE iteration <= (SELECT iters FROM nstop)"""
+
+
 def silhouette_ctes(mode: str = "reference", src: str = "assign", sfx: str = "") -> list[str]:
     """Per-coordinate silhouette over ``src`` (all pairs of distinct
     coordinates: the oracle may be quadratic); CTE names end in ``sfx``."""

@@ -116,7 +116,8 @@ TRIPS = """trips AS (
   SELECT p.pickup AS tpep_pickup_datetime,
          p.pickup + to_seconds(p.k * 60 + 7) AS tpep_dropoff_datetime,
          CAST(p.user_id % 7 AS INTEGER) AS passenger_count,
-         p.value AS trip_distance,
+         p.value AS trip_distance, p.k - 50.0 AS pickup_longitude, p.user_id % 90 - 45.0 AS pickup_latitude,
+         p.k % 40 - 20.0 AS dropoff_longitude, p.value - p.user_id AS dropoff_latitude,
          CASE p.event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 WHEN 'view' THEN 3
                            WHEN 'signup' THEN 4 END AS payment_type,
          CAST(CASE WHEN p.event_type = 'purchase' THEN p.k % 5 ELSE 0 END AS DOUBLE) AS tip_amount,
@@ -130,13 +131,18 @@ CLEAN_TRIPS = """clean AS (
   WHERE tpep_pickup_datetime IS NOT NULL AND tpep_dropoff_datetime IS NOT NULL AND passenger_count IS NOT NULL
     AND trip_distance IS NOT NULL AND payment_type IS NOT NULL AND tip_amount IS NOT NULL
     AND tolls_amount IS NOT NULL AND total_amount IS NOT NULL
+    AND pickup_longitude IS NOT NULL AND pickup_latitude IS NOT NULL
+    AND dropoff_longitude IS NOT NULL AND dropoff_latitude IS NOT NULL
+    AND pickup_longitude <> 0 AND pickup_latitude <> 0 AND dropoff_longitude <> 0 AND dropoff_latitude <> 0
     AND total_amount <> 0 AND passenger_count <> 0 AND trip_distance <> 0)"""
 
 
 def trips_sql() -> dict[str, str]:
     return {
         "trip_features": with_(TRIPS, CLEAN_TRIPS) + """
-SELECT passenger_count, trip_distance, payment_type, tolls_amount, total_amount,
+SELECT passenger_count, trip_distance, CAST(pickup_longitude AS DOUBLE) AS pickup_longitude,
+       CAST(pickup_latitude AS DOUBLE) AS pickup_latitude, CAST(dropoff_longitude AS DOUBLE) AS dropoff_longitude,
+       CAST(dropoff_latitude AS DOUBLE) AS dropoff_latitude, payment_type, tolls_amount, total_amount,
        CAST(isodow(tpep_pickup_datetime) - 1 AS INTEGER) AS dayofweek,
        CAST(CASE WHEN hour(tpep_pickup_datetime) >= 7 THEN hour(tpep_pickup_datetime) - 7
                  ELSE hour(tpep_pickup_datetime) + 17 END AS INTEGER) AS lighthour,
@@ -147,18 +153,37 @@ SELECT passenger_count, trip_distance, payment_type, tolls_amount, total_amount,
 FROM clean""",
         "mean_card_tip": with_(TRIPS, CLEAN_TRIPS) + """
 SELECT CAST(sum(CASE WHEN payment_type = 1 THEN tip_amount END) AS DOUBLE)
-       / CAST(count(CASE WHEN payment_type = 1 AND tip_amount <> 0 THEN 1 END) AS DOUBLE) AS mean_card_tip
+       / nullif(CAST(count(CASE WHEN payment_type = 1 AND tip_amount <> 0 THEN 1 END) AS DOUBLE), 0) AS mean_card_tip
 FROM clean""",
     }
 
 
 def generate_sql(seed: int = 7) -> str:
-    """The hash of :mod:`tessera.sources.generate` over the customer keys."""
-    from tessera.sources.generate import COORD_MAX, MULT, PRIME
-
+    """Points 0..10000 by MD5 of seed:key:axis over the customer keys."""
     def axis(a: int) -> str:
-        a1, a2 = MULT[a]
-        h1 = f"(((c_custkey % {PRIME}) + {PRIME}) % {PRIME} * {a1} + {seed * 7919 + a}) % {PRIME}"
-        h2 = f"(({h1}) * {a2} + 12345) % {PRIME}"
-        return f"CAST(({h2}) % {COORD_MAX + 1} AS INTEGER)"
+        return f"CAST(('0x' || substr(md5('{seed}:' || c_custkey || ':{a}'), 1, 13))::BIGINT % 10001 AS INTEGER)"
     return f"SELECT c_custkey AS pid, {axis(0)} AS x, {axis(1)} AS y FROM customer"
+
+
+def generate_seeds_sql(k: int, seed: int = 8) -> str:
+    return generate_sql(seed) + f" ORDER BY c_custkey LIMIT {k}"
+
+
+def lines_sql() -> dict[str, str]:
+    """Delimited lines, formatted and read back (malformed ones among them)."""
+    line = "concat_ws(',', id::VARCHAR, coalesce(name, ''), coalesce(nationality, ''), coalesce(country_code::VARCHAR, ''), coalesce(hobby, ''))"
+    return {
+        "format_people_lines": with_(PEOPLE) + f"SELECT {line} AS value FROM people",
+        "parse_people_lines": with_(PEOPLE) + """
+SELECT CASE WHEN id % 9 <> 0 THEN CAST(id AS INTEGER) END AS id,
+       CASE WHEN id % 9 = 0 THEN id::VARCHAR ELSE name END AS name,
+       CASE WHEN id % 9 = 0 THEN name WHEN id % 9 <> 1 THEN nationality END AS nationality,
+       CASE WHEN id % 9 > 1 THEN CAST(country_code AS INTEGER) END AS country_code,
+       CASE WHEN id % 9 = 0 THEN country_code::VARCHAR WHEN id % 9 <> 1 THEN hobby END AS hobby
+FROM people""",
+        "parse_assignment_lines": """
+SELECT CASE WHEN t THEN y END AS cx, CASE WHEN t THEN x END AS cy, CASE WHEN t AND g THEN x END AS x,
+       CASE WHEN t THEN y END AS y, NOT (t AND g) AS skipped
+FROM (SELECT CAST(c_nationkey * 400 AS INTEGER) AS x, CAST(floor((c_acctbal + 1000) * 10 / 11) AS INTEGER) AS y,
+             c_custkey % 11 <> 5 AS t, c_custkey % 7 <> 3 AS g FROM customer) p""",
+    }

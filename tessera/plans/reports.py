@@ -99,6 +99,8 @@ def latest_access(people: DataFrame, logs: DataFrame, threshold: int = LATEST_AC
             F.max(text_to_int(F.col("access_time"))).alias("latest_date"))
     else:
         raise ValueError("order must be 'text' or 'numeric'")
+    if keep not in ("ge", "lt"):
+        raise ValueError("keep must be 'ge' or 'lt'")
     cond = F.col("latest_date") >= threshold if keep == "ge" else F.col("latest_date") < threshold
     names = checked_broadcast(people.select("id", "name"))
     return per_page.where(cond).join(names, "id", "inner").select("id", "name")

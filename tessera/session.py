@@ -27,11 +27,12 @@ _DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app: str = "tessera", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(_DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -8,7 +8,9 @@ trailing fields become null (PERMISSIVE mode).  Writers produce plain
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,10 +86,10 @@ def read_associates(spark: SparkSession, path: str) -> DataFrame:
     return _plain_csv(spark, ASSOCIATES).csv(path)
 
 
-def read_points2d(spark: SparkSession, path: str, with_id: bool = True) -> DataFrame:
-    """``x,y`` lines.  ``pid`` is a stable id (not consecutive) for joins."""
-    df = _plain_csv(spark, POINTS2D).csv(path).where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    return df.withColumn("pid", F.monotonically_increasing_id()) if with_id else df
+def read_points2d(spark: SparkSession, path: str) -> DataFrame:
+    """``x,y`` lines; a line without two integers is a row with nulls, which
+    the jobs skip and count."""
+    return _plain_csv(spark, POINTS2D).csv(path)
 
 
 MAX_SEEDS = 100_000
@@ -116,9 +118,7 @@ def read_seeds2d(spark: SparkSession, path: str) -> list[tuple[int, int]]:
 def read_points_nd(spark: SparkSession, path: str) -> DataFrame:
     """One comma separated vector of doubles per line -> ``coords array<double>``."""
     txt = spark.read.text(path)
-    return txt.select(
-        F.monotonically_increasing_id().alias("pid"),
-        F.transform(F.split(F.trim("value"), ","), lambda s: F.trim(s).try_cast("double")).alias("coords"))
+    return txt.select(F.transform(F.split(F.trim("value"), ","), lambda s: F.trim(s).try_cast("double")).alias("coords"))
 
 
 def read_seeds_nd(spark: SparkSession, path: str) -> list[tuple[int, list[float]]]:
@@ -132,16 +132,17 @@ def read_seeds_nd(spark: SparkSession, path: str) -> list[tuple[int, list[float]
 
 
 def read_assignments2d(spark: SparkSession, path: str) -> DataFrame:
-    """``cx,cy<TAB>x,y`` lines (final cluster table) -> (cx, cy, x, y)."""
-    txt = spark.read.text(path)
-    parts = F.split("value", "\t")
-    c = F.split(parts.getItem(0), ",")
-    p = F.split(parts.getItem(1), ",")
-    return (txt.where(F.size(parts) == 2)
-            .select(F.trim(c.getItem(0)).try_cast("int").alias("cx"),
-                    F.trim(c.getItem(1)).try_cast("int").alias("cy"),
-                    F.trim(p.getItem(0)).try_cast("int").alias("x"),
-                    F.trim(p.getItem(1)).try_cast("int").alias("y")))
+    """``cx,cy<TAB>x,y`` lines (final cluster table) -> (cx, cy, x, y); what
+    is missing or no integer is null, and the silhouette skips such rows."""
+    return parse_assignments2d(spark.read.text(path))
+
+
+def parse_assignments2d(lines: DataFrame, line: str = "value") -> DataFrame:
+    parts = F.split(line, "\t")
+    whole = F.when(F.size(parts) == 2, parts)
+    c, p = F.split(F.get(whole, F.lit(0)), ","), F.split(F.get(whole, F.lit(1)), ",")
+    number = lambda a, i: F.trim(F.get(a, F.lit(i))).try_cast("int")
+    return lines.select(number(c, 0).alias("cx"), number(c, 1).alias("cy"), number(p, 0).alias("x"), number(p, 1).alias("y"))
 
 
 def read_trips(spark: SparkSession, path: str, schema: T.StructType = TRIPS) -> DataFrame:
@@ -156,8 +157,22 @@ def read_trips(spark: SparkSession, path: str, schema: T.StructType = TRIPS) ->
 
 def to_lines(df: DataFrame, sep: str = ",") -> DataFrame:
     """One text column: fields joined by ``sep``, null as empty text."""
-    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
-    return df.select(F.concat_ws(sep, *fields).alias("value"))
+    return df.select(to_lines_column(df.columns, sep))
+
+
+def to_lines_column(columns: list[str], sep: str = ",") -> Column:
+    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in columns]
+    return F.concat_ws(sep, *fields).alias("value")
+
+
+def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",", line: str = "value") -> DataFrame:
+    """Lines as columns, as the readers type them: fields by position, what
+    is missing or no value of its type is null, further fields are dropped."""
+    parts = F.split(line, re.escape(sep))
+    return lines.select(*[
+        (F.get(parts, F.lit(i)) if isinstance(f.dataType, T.StringType)
+         else F.trim(F.get(parts, F.lit(i))).try_cast(f.dataType)).alias(f.name)
+        for i, f in enumerate(schema.fields)])
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:

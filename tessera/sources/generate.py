@@ -3,9 +3,8 @@
 Each row of a key column gets a point from a hash of (seed, key, axis), so
 the result does not depend on partitioning and is the same on every retry,
 and the number of points grows with the table the keys come from.  The hash
-is two rounds of a multiplicative map modulo a prime below 2^31, in 64-bit
-integer arithmetic that cannot overflow, so any SQL engine computes the same
-points.
+is the first 52 bits of the MD5 of ``seed:key:axis``, modulo 10001: a mixing
+hash that other engines have too.
 """
 
 from __future__ import annotations
@@ -18,16 +17,10 @@ from tessera.sources.delimited import write_delimited
 from tessera.fixed import COORD_MAX  # noqa: E402
 
 
-# Fixed values of the hash: the prime modulus and the multipliers per round and axis.
-PRIME = 2147483629
-MULT = {0: (1103515245, 1664525), 1: (22695477, 214013)}
-
-
 def _uniform_int(seed: int, key, axis: int, hi: int = COORD_MAX):
-    a1, a2 = MULT[axis]
-    h = F.pmod(F.pmod(key.cast("bigint"), F.lit(PRIME)) * F.lit(a1) + F.lit(seed * 7919 + axis), F.lit(PRIME))
-    h = F.pmod(h * F.lit(a2) + F.lit(12345), F.lit(PRIME))
-    return F.pmod(h, F.lit(hi + 1)).cast("int")
+    text = F.concat_ws(":", F.lit(str(seed)), key.cast("string"), F.lit(str(axis)))
+    bits = F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
+    return (bits % F.lit(hi + 1)).cast("int")
 
 
 def points_from_keys(keys: DataFrame, key: str, seed: int = 7) -> DataFrame:

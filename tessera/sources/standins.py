@@ -92,18 +92,23 @@ def seeds_nd(points: DataFrame, k: int) -> list[tuple[int, list[float]]]:
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Trip-shaped rows (no coordinates: the events carry none)."""
+    """Trip-shaped rows; coordinates are made from the key, user and value.
+    The two times are parsed from text, as the trip reader parses them."""
     ev = table(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     pickup = F.expr(f"timestampadd(SECOND, timestampdiff(SECOND, {EPOCH_2024}, ts), {EPOCH_2024})")
     payment = (F.when(F.col("event_type") == "purchase", 1).when(F.col("event_type") == "click", 2)
                .when(F.col("event_type") == "view", 3).when(F.col("event_type") == "signup", 4))
+    as_text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
     base = ev.select(pickup.alias("tpep_pickup_datetime"), k.alias("k"), "user_id", "value", "event_type")
     return base.select(
-        "tpep_pickup_datetime",
-        F.timestamp_add("SECOND", F.col("k") * 60 + 7, F.col("tpep_pickup_datetime")).alias("tpep_dropoff_datetime"),
+        F.trim(as_text(F.col("tpep_pickup_datetime"))).try_cast("timestamp_ntz").alias("tpep_pickup_datetime"),
+        F.trim(as_text(F.timestamp_add("SECOND", F.col("k") * 60 + 7, F.col("tpep_pickup_datetime"))))
+        .try_cast("timestamp_ntz").alias("tpep_dropoff_datetime"),
         (F.col("user_id") % 7).cast("int").alias("passenger_count"),
         F.col("value").alias("trip_distance"),
+        (F.col("k") - 50.0).alias("pickup_longitude"), (F.col("user_id") % 90 - 45.0).alias("pickup_latitude"),
+        (F.col("k") % 40 - 20.0).alias("dropoff_longitude"), (F.col("value") - F.col("user_id")).alias("dropoff_latitude"),
         payment.alias("payment_type"),
         F.when(F.col("event_type") == "purchase", F.col("k") % 5).otherwise(F.lit(0)).cast("double").alias("tip_amount"),
         (F.col("k") % 3).cast("double").alias("tolls_amount"),

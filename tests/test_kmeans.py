@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -131,9 +132,27 @@ def test_fixed_rounds_check_only_last_two(spark):
     assert res.iterations == 3 and res.converged and len(res.history) == 3
 
 
-def test_unrolled_and_array_forms_agree(spark):
-    rnd = random.Random(21)
-    xy = [(rnd.randint(0, 500), rnd.randint(0, 500)) for _ in range(400)] + [(50, 50)] * 30
-    cents = [(rnd.randint(0, 500), rnd.randint(0, 500)) for _ in range(12)] + [(50, 50), (50, 50)]
-    p = pts(spark, xy)
-    assert K.step2d(p, cents, unroll=True) == K.step2d(p, cents, unroll=False) == _brute_round(xy, cents)
+def test_null_points_are_not_assigned(spark):
+    p = spark.createDataFrame([(0, 0, 0), (1, None, 5), (2, 3, None)], "pid long, x int, y int")
+    assert [r["pid"] for r in K.assign2d(p, [(0, 0), (9, 9)]).collect()] == [0]
+
+
+def test_null_elements_are_skipped_nd(spark):
+    p = spark.createDataFrame([([0.0, 0.0],), ([2.0, None],), ([4.0, 0.0],), (None,), ([1.0],)], "coords array<double>")
+    res = K.fit_nd(p, [(1, [0.0, 0.0])], 1, early_stop=False)
+    assert (res.points, res.skipped, res.centroids) == (5, 3, [(1, [2.0, 0.0])])
+    assert K.assign_nd(p, res.centroids).count() == 2
+
+
+def test_many_centroids_nd(spark):
+    rng = random.Random(4)
+    rows = [[rng.random() for _ in range(8)] for _ in range(1500)]
+    cents = [(i, [rng.random() for _ in range(8)]) for i in range(500)]
+    got, sizes = K.step_nd(spark.createDataFrame([(r,) for r in rows], "coords array<double>"), cents, 8)
+    want = {}
+    for r in rows:
+        best = min(cents, key=lambda c: (math.dist(r, c[1]), c[0]))[0]
+        want.setdefault(best, []).append(r)
+    assert {c: n for (c, _), n in zip(got, sizes)} == {c: len(v) for c, v in want.items()}
+    for c, v in got:
+        assert all(abs(a - sum(col) / len(col)) < 1e-12 for a, col in zip(v, zip(*want[c])))

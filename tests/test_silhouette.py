@@ -78,3 +78,38 @@ def test_blocked_equals_brute_force(spark, block_rows, mode):
            for r in SIL.silhouette_points(frame(spark, rows), mode=mode, block_rows=block_rows).collect()}
     for i, w in enumerate(want):
         assert got[i] == pytest.approx(w, abs=1e-9)
+
+
+def test_rows_with_nulls_are_skipped(spark):
+    rows = [(0, 0, 0), (0, 0, 2), (1, 10, 0)]
+    want = {r["pid"]: r["silhouette"] for r in SIL.silhouette_points(frame(spark, rows)).collect()}
+    more = frame(spark, rows + [(0, None, 5), (None, 1, 1), (1, 2, None)])
+    got = {r["pid"]: r["silhouette"] for r in SIL.silhouette_points(more).collect()}
+    assert got == want | {3: None, 4: None, 5: None}
+    m = SIL.silhouette_mean(more).first()
+    assert (m["clusters"], m["points"]) == (2, 3) and abs(m["mean_silhouette"] - 0.867961) < 1e-6
+
+
+def test_coordinate_shared_by_two_lone_clusters(spark):
+    got = SIL.silhouette_points(frame(spark, [(0, 5, 5), (1, 5, 5)])).collect()
+    assert [r["silhouette"] for r in got] == [None, None]
+
+
+def test_runs_away_from_the_repository(tmp_path):
+    """Python workers started in another folder, without PYTHONPATH."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys
+sys.path.insert(0, {repo!r})
+from tessera.session import build_session
+from tessera.operators.silhouette import silhouette_mean
+s = build_session("local[2]", 2)
+df = s.createDataFrame([(0, 0, 0), (0, 0, 2), (1, 10, 0)], "pos int, x int, y int")
+print("MEAN", round(silhouette_mean(df).first()["mean_silhouette"], 6))
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
+    assert "MEAN 0.867961" in out.stdout, out.stderr[-2000:]

@@ -53,7 +53,8 @@ def test_points_seeds_and_assignments(spark):
     pp = write_text(os.path.join(d, "points.csv"), "1,2\n3,4\nx,5\n")
     sp = write_text(os.path.join(d, "seeds.csv"), "30,40\n10,20\n")
     pts = D.read_points2d(spark, pp)
-    assert sorted((r.x, r.y) for r in pts.collect()) == [(1, 2), (3, 4)]
+    # a malformed line is a row with a null: the jobs skip and count it
+    assert [(r.x, r.y) for r in pts.collect()] == [(1, 2), (3, 4), (None, 5)]
     assert D.read_seeds2d(spark, sp) == [(30, 40), (10, 20)]
     a = spark.createDataFrame([(10, 20, 1, 2)], "cx int, cy int, x int, y int")
     ap = os.path.join(d, "final")
@@ -145,3 +146,22 @@ def test_oversized_seed_file_is_refused(spark, monkeypatch):
     monkeypatch.setattr(D, "MAX_SEEDS", 3)
     with pytest.raises(ValueError):
         D.read_seeds2d(spark, p)
+
+
+def test_generated_points_are_no_lattice(spark):
+    rows = G.points_range(spark, 5000).orderBy("pid").collect()
+    other = G.points_range(spark, 5000, seed=8).orderBy("pid").collect()
+    steps = {((b.x - a.x) % 10001, (b.y - a.y) % 10001) for a, b in zip(rows, rows[1:])}
+    assert len(steps) > 4900 and len({(b.x - a.x) % 10001 for a, b in zip(rows, rows[1:])}) > 3500
+    assert len({(b.x - a.x, b.y - a.y) for a, b in zip(rows, other)}) > 4900
+    for axis in ("x", "y"):
+        bins = [0] * 50
+        for r in rows:
+            bins[r[axis] * 50 // 10001] += 1
+        assert sum((n - 100) ** 2 / 100 for n in bins) < 95      # chi-square, 49 degrees, p about 0.0001
+
+
+def test_malformed_assignments_are_null(spark):
+    lines = spark.createDataFrame([("1,2\t3,4",), ("1,2\tx,4",), ("1,2",), ("1\t3",), ("a\tb\tc",), ("",)], "value string")
+    got = [tuple(r) for r in D.parse_assignments2d(lines).collect()]
+    assert got == [(1, 2, 3, 4), (1, 2, None, 4), (None,) * 4, (1, None, 3, None), (None,) * 4, (None,) * 4]

@@ -47,3 +47,9 @@ def test_mean_card_tip(spark):
     q = p + dt.timedelta(minutes=3)
     rows = [trip(p, q, tip=2.0), trip(p, q, tip=0.0), trip(p, q, tip=4.0), trip(p, q, pay=2, tip=9.0)]
     assert T.mean_card_tip(df(spark, rows)).first()[0] == pytest.approx(3.0)
+
+
+def test_missing_filter_column_is_an_error(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        T.clean_trips(spark.createDataFrame([(1,)], "passenger_count int"))
