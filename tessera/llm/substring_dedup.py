@@ -39,7 +39,7 @@ from tessera.llm.common import map_columns, staged, text_or_empty, texts_of
 WINDOW = 35
 GRAM = 8
 MAX_PASSAGES = 2000
-PASSAGES_PER_PACK = 10_000
+PASSAGES_PER_PACK = 2_000
 VOCABULARY = 1_000_000
 
 
