@@ -42,7 +42,7 @@ WORDS = 5
 PERCENT = 75
 SLICE = 0.30
 #: shingles of a block of one search group, and of the groups packed together
-BLOCK_SHINGLES = 2_000_000
+BLOCK_SHINGLES = 400_000
 MAX_BROADCAST = 1_000_000
 #: DivideSkip's weight of the heap against the probes
 MU = 0.01
