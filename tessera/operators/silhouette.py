@@ -50,6 +50,8 @@ from tessera.session import cores, ensure_checkpoint_dir
 ROW_BYTES = 48                    # a coordinate row in a shuffle or a group
 GROUP_BYTES = 64 << 20            # memory of one group of a cell
 TASK_BYTES = 128 << 20            # moved rows of one task
+MIN_BLOCK_ROWS = 4096             # below this a cell costs more to start than to compute
+MAX_BROADCAST_CLUSTERS = 100_000  # a larger table of clusters is joined by shuffling
 KERNEL_DOUBLES = 1 << 21          # ~16 MB per temporary distance matrix
 PARTIAL_SCHEMA = "cid int, x bigint, y bigint, w bigint, rcid int, s double"
 
@@ -97,7 +99,7 @@ def block_rows_for(n_coords: int, slots: int) -> int:
     """Group size: moved data falls as groups grow (about 2 D^2 / block rows),
     parallelism needs about 4 cells per task slot, and a group fits
     ``GROUP_BYTES``."""
-    return max(1, min(GROUP_BYTES // ROW_BYTES, math.ceil(n_coords / math.sqrt(4 * max(1, slots)))))
+    return max(MIN_BLOCK_ROWS, min(GROUP_BYTES // ROW_BYTES, math.ceil(n_coords / math.sqrt(4 * max(1, slots)))))
 
 
 def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
@@ -112,20 +114,22 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     # used several times below: materialise once in the shared checkpoint folder
     ensure_checkpoint_dir(assign.sparkSession)
     W = coordinate_weights(assign, cluster, x, y, weight).checkpoint(eager=True)
-    n_coords = W.count()
+    per_cluster = W.groupBy("cluster").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("d"))
+    k, n_coords = per_cluster.agg(F.count(F.lit(1)), F.coalesce(F.sum("d"), F.lit(0))).first()
     if block_rows is None:
         block_rows = block_rows_for(n_coords, slots)
     nq = max(1, math.ceil(n_coords / block_rows))
     # one row per cluster: dense id, points, reference groups and the first of them
     order = Window.orderBy("cluster")
-    stats = (W.groupBy("cluster").agg(F.sum("w").alias("n"), F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).alias("nb"))
+    stats = (per_cluster.select("cluster", "n", F.ceil(F.col("d") / F.lit(block_rows)).alias("nb"))
              .select("cluster", "n", "nb", (F.row_number().over(order) - 1).alias("cid"),
-                     (F.sum("nb").over(order) - F.col("nb")).alias("first")).checkpoint(eager=True))
+                     (F.sum("nb").over(order) - F.col("nb")).alias("first")))
+    small = F.broadcast if k <= MAX_BROADCAST_CLUSTERS else (lambda df: df)
     nr = int(stats.agg(F.sum("nb")).first()[0] or 0)
     cells = max(1, nq * nr)
     parts = max(1, min(cells, max(4 * slots, math.ceil(n_coords * (nq + nr) * ROW_BYTES / TASK_BYTES))))
 
-    coords = W.join(checked_broadcast(stats), "cluster").select(
+    coords = W.join(small(stats), "cluster").select(
         "cid", F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "w", "nb", "first")
     # each query row goes to the nr cells of its row, each reference row to the nq cells of its column
     cell = (F.col("gq") * F.lit(nr) + F.col("gr")).alias("cell")
@@ -139,12 +143,12 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
                .applyInPandas(_cell_kernel(), PARTIAL_SCHEMA))
     per = partial.groupBy("cid", "x", "y", "w", "rcid").agg(F.sum("s").alias("s"))
 
-    size = checked_broadcast(stats.select(F.col("cid").alias("rcid"), F.col("n").alias("rn")))
+    size = small(stats.select(F.col("cid").alias("rcid"), F.col("n").alias("rn")))
     own = F.col("rcid") == F.col("cid")
     agg = per.join(size, "rcid").groupBy("cid", "x", "y", "w").agg(
         F.max(F.when(own, F.col("s"))).alias("s_own"),
         F.min(F.when(~own, F.col("s") / F.col("rn"))).alias("b"))
-    agg = agg.join(checked_broadcast(stats.select("cid", "cluster", "n")), "cid")
+    agg = agg.join(small(stats.select("cid", "cluster", "n")), "cid")
     others = F.col("n") - (F.col("w") if mode == "reference" else F.lit(1))
     a = F.when(others > 0, F.coalesce(F.col("s_own"), F.lit(0.0)) / others).otherwise(F.lit(0.0))
     s = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
