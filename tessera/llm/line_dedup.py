@@ -17,9 +17,11 @@ Null ids count as one document that comes after all others.
 
 When lines are dropped, a document's keys first probe the filter of their
 shard; only keys that may be repeated meet the exact table, which decides.  A
-line whose key a third of all documents hold is counted map-side, its
-references spread over ``SPREAD`` tasks by document, and the exact table has
-one row for it.
+line whose key a third of all documents hold is counted map-side, and the
+exact table has one row for it.  The references of a shard are probed in
+pieces of some ``PIECE_ROWS`` rows, cut by document: a shard with such a line
+has as many more pieces as its references need, each with a copy of the
+filter.
 """
 
 from __future__ import annotations
@@ -32,13 +34,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BLANKS, MAX_LONG, ascii_lower, map_columns, staged, text_or_empty, texts_of
+from tessera.llm.common import (
+    BLANKS, MAX_LONG, ascii_lower, checked_small, map_columns, staged, text_or_empty, texts_of)
 
 MIN_CHARS = 10
-SPREAD = 8
 SLOTS = 4
 KICKS = 500
 KEYS_PER_SHARD = 100_000
+#: references that probe one copy of a filter
+PIECE_ROWS = 12_500
+#: a table of hot shards of up to so many rows (16 bytes each) is broadcast
+MAX_BROADCAST = 1_000_000
 
 
 class CuckooFilter:
@@ -220,13 +226,25 @@ def remove(index: LineIndex, ids: DataFrame, id_col: str = "doc_id") -> LineInde
     return _changed(index, staged(index.refs.join(gone, "doc", "left_anti")), touched)
 
 
-def lost_keys(index: LineIndex) -> DataFrame:
+def _pieces(index: LineIndex, piece_rows: int) -> tuple[int, DataFrame]:
+    """Pieces of an even shard, and (shard, pieces) of the hot ones: the
+    shards whose repeated keys alone have more references than that."""
+    even = max(1, -(-index.refs.count() // (index.shards * piece_rows)))
+    held = _sharded(index.repeated, index.shards).groupBy("shard").agg(F.sum("docs").alias("held"))
+    hot = staged(held.where(F.col("held") > even * piece_rows).select(
+        "shard", (F.ceil(F.col("held") / F.lit(piece_rows)) + even).cast("long").alias("pieces")))
+    return even, checked_small(hot, MAX_BROADCAST)
+
+
+def lost_keys(index: LineIndex, piece_rows: int = PIECE_ROWS) -> DataFrame:
     """(doc, key): the keys whose lines a document loses, because another
     document with a smaller id holds them too."""
-    refs = _sharded(index.refs.select("key", "doc"), index.shards).withColumn(
-        "salt", F.pmod(F.xxhash64("doc"), F.lit(SPREAD)).cast("int"))
-    filters = index.filters.select("shard", "filter", F.explode(
-        F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    even, hot = _pieces(index, piece_rows)
+    pieces = F.coalesce("pieces", F.lit(even).cast("long"))
+    refs = (_sharded(index.refs.select("key", "doc"), index.shards).join(hot, "shard", "left")
+            .withColumn("piece", F.pmod(F.xxhash64("doc"), pieces)).drop("pieces"))
+    filters = index.filters.join(hot, "shard", "left").select(
+        "shard", "filter", F.explode(F.sequence(F.lit(0).cast("long"), pieces - 1)).alias("piece"))
 
     def probe(_, lines: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         if not len(held) or not len(lines):
@@ -234,7 +252,7 @@ def lost_keys(index: LineIndex) -> DataFrame:
         maybe = CuckooFilter.from_bytes(held["filter"].iloc[0]).contains(lines["h"].to_numpy().view(np.uint64))
         return lines.loc[maybe, ["key", "doc"]]
 
-    maybe = (refs.groupBy("shard", "salt").cogroup(filters.groupBy("shard", "salt"))
+    maybe = (refs.groupBy("shard", "piece").cogroup(filters.groupBy("shard", "piece"))
              .applyInPandas(probe, "key binary, doc long"))
     return maybe.join(index.repeated, "key").where("doc <> owner").select("doc", "key")
 

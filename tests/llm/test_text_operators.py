@@ -131,6 +131,17 @@ def test_line_index_is_reversible(table, spark):
         assert {bytes(r["key"]) for r in L.lost_keys(x).collect()} == held
 
 
+def test_lines_of_a_hot_shard(table):
+    """A line that most documents hold is probed in many pieces, with the same result."""
+    rows = [(i, f"the line that all of them hold\na line of number {i} alone\nshared by {i // 2} and a neighbour") for i in range(200)]
+    index = L.build(table(rows), keys_per_shard=100)
+    whole = got(L.lost_keys(index).withColumn("key", F.hex("key")), "doc", "key")
+    assert len(whole) == 199 + 100
+    assert got(L.lost_keys(index, piece_rows=10).withColumn("key", F.hex("key")), "doc", "key") == whole
+    even, hot = L._pieces(index, 10)
+    assert even == 10 and hot.agg(F.max("pieces")).first()[0] >= 200 / 10 + even
+
+
 def test_cuckoo_filter():
     import numpy as np
     rng = np.random.default_rng(1)
