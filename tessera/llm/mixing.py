@@ -10,9 +10,13 @@ words that remain, so a source's taken words miss its target by less than one
 word.
 
 The prefix sum is taken in two levels, so that no source is sorted in one
-task: keys are mapped to ``1 - exp(-key)`` in [0, 1) and cut into slices of
-about ``slice_rows`` documents; slice totals are summed first, then rows
-within a slice.
+task: keys are mapped to [0, 1) and cut into slices; slice totals are summed
+first, then rows within a slice.  The map is the mean of ``1 - exp(-rate *
+key)`` over the four ``RATES``.  The key of a weight-``w`` document is
+exponential with rate ``w``, so with a rate between ``w / 2`` and ``w`` among
+the four, a slice holds at most eight times ``slice_rows`` documents on
+average, however the weights are distributed (``1 - exp(-key)`` alone would put
+nearly all documents of low weight into the last slice).
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from tessera.llm.common import staged, text_or_empty
 #: cyclic source weights, share of all words to mix and most epochs of a source
 WEIGHTS, SHARE_NUM, SHARE_DEN, MAX_EPOCHS = (5, 2, 1), 3, 2, 2
 SYMBOLS = "!#$%&*+<=>@^_|~"
+#: rates of the map from keys to slices: within a factor of two of any weight from 0.1 to 1
+RATES = (0.1, 0.2, 0.4, 0.8)
 
 
 def word_count(text_col: str) -> Column:
@@ -46,6 +52,11 @@ def uniform(id_col: str, seed: str) -> Column:
     return (bits.cast("double") + F.lit(0.5)) / F.lit(float(2 ** 52))
 
 
+def position(key: Column) -> Column:
+    """The key's place in [0, 1], in key order: see the module's text."""
+    return sum((-F.expm1(F.lit(-r) * key) for r in RATES[1:]), -F.expm1(F.lit(-RATES[0]) * key)) / F.lit(float(len(RATES)))
+
+
 def source_targets(sizes: DataFrame) -> DataFrame:
     """Targets of the sources: (_src, source_size, target).
 
@@ -96,7 +107,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                      F.col("_rows") / F.lit(slice_rows)).cast("long").alias("_slices")))
     d = d.alias("d").join(src.alias("s"), F.col("d._src").eqNullSafe(F.col("s._src"))).select(
         "d.*", "source_size", "target", "_epochs",
-        F.floor((F.lit(1.0) - F.exp(-F.col("_key"))) * F.col("_slices")).cast("long").alias("_slice"))
+        F.floor(position(F.col("_key")) * F.col("_slices")).cast("long").alias("_slice"))
 
     ahead = Window.partitionBy("_src").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = (d.groupBy("_src", "_slice").agg(F.sum("size").alias("_n"))

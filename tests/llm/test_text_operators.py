@@ -239,6 +239,20 @@ def test_mix(table):
         assert abs(sum(r["taken"] for r in rs) - t) < 1 or len({r["source_size"] for r in rs}) > 1
 
 
+def test_mix_slices_stay_even(spark):
+    """Slices are bounded whatever the weights, and follow the keys' order."""
+    from tessera.llm.mixing import position, uniform
+    n, slices = 40_000, 40
+    for weights in ("0.1D", "1D", "if(doc_id % 3 = 0, 0.1D, 0.7D)"):
+        key = -F.log(uniform("doc_id", "mix")) / F.expr(weights)
+        rows = spark.range(n).withColumnRenamed("id", "doc_id").select(key.alias("k"), position(key).alias("p")).orderBy("k").collect()
+        held = [0] * (slices + 1)
+        for r in rows:
+            held[int(r["p"] * slices)] += 1
+        assert max(held) < 8.5 * n / slices
+        assert all(0 <= a["p"] <= b["p"] <= 1 for a, b in zip(rows, rows[1:]))
+
+
 def test_components(spark):
     rng = random.Random(8)
     edges = [(i, i + 1) for i in range(40)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)] + [(5, 5)]
