@@ -66,8 +66,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("toxicity", toxicity), ("line_dedup", line_dedup), ("ngram_jaccard", near_duplicates),
           ("decontamination", decontamination), ("mixing", mixing)]
 
-#: toxicity scores and the language of regular sets of rows are not SQL: the
-#: tests hold the stages against brute force instead
+#: a lexicon learned from labelled rows is not SQL: the tests hold the stages
+#: against plain Python versions instead
 ORACLE_SQL = None
 
 
