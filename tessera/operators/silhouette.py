@@ -22,6 +22,9 @@ partial aggregation.  Shuffled data is ``D * (nq + nr)`` small rows for ``D``
 distinct coordinates, memory per cell is bounded, no pair is ever a row, and
 the work is exact and quadratic in ``D`` -- which is what the measure asks for.
 
+Several clusterings (a column ``run`` tells them apart) are scored in one such
+job: the grid of each is its own, and only the scheduling is shared.
+
 Modes (``mode``):
 
 * ``"reference"`` (default): a(i) leaves out every point at the same
@@ -87,12 +90,14 @@ def _cell_kernel():
 
 
 def coordinate_weights(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                       weight: str | None = None) -> DataFrame:
+                       weight: str | None = None, run: str | None = None) -> DataFrame:
     """Distinct (cluster, x, y) with the number of points ``w`` (or the sum of
-    the column ``weight``), over the rows that have all three."""
+    the column ``weight``), over the rows that have all three; with ``run``,
+    within each clustering of that column."""
     w = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    keys = {**({"run": run} if run else {}), "cluster": cluster, "x": x, "y": y}
     return (assign.where(F.col(cluster).isNotNull() & F.col(x).isNotNull() & F.col(y).isNotNull())
-            .groupBy(F.col(cluster).alias("cluster"), F.col(x).alias("x"), F.col(y).alias("y")).agg(w.alias("w")))
+            .groupBy(*[F.col(c).alias(name) for name, c in keys.items()]).agg(w.alias("w")))
 
 
 def block_rows_for(n_coords: int, slots: int) -> int:
@@ -104,42 +109,49 @@ def block_rows_for(n_coords: int, slots: int) -> int:
 
 def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
                            mode: str = "reference", block_rows: int | None = None,
-                           weight: str | None = None) -> DataFrame:
+                           weight: str | None = None, run: str | None = None) -> DataFrame:
     """(cluster, x, y, w, a, b, silhouette) per distinct coordinate.
     ``weight`` names a column of point counts, where ``assign`` is already a
-    table of weighted coordinates."""
+    table of weighted coordinates; ``run`` one that tells independent
+    clusterings apart (then ``run`` is the first column of the result)."""
     if mode not in ("reference", "textbook"):
         raise ValueError("mode must be 'reference' or 'textbook'")
     slots = cores(assign.sparkSession)
     # used several times below: materialise once in the shared checkpoint folder
     ensure_checkpoint_dir(assign.sparkSession)
-    W = coordinate_weights(assign, cluster, x, y, weight).checkpoint(eager=True)
-    per_cluster = W.groupBy("cluster").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("d"))
+    W = coordinate_weights(assign, cluster, x, y, weight, run).checkpoint(eager=True)
+    each = ["run"] if run else []
+    per_cluster = W.groupBy(*each, "cluster").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("d"))
     k, n_coords = per_cluster.agg(F.count(F.lit(1)), F.coalesce(F.sum("d"), F.lit(0))).first()
     if block_rows is None:
         block_rows = block_rows_for(n_coords, slots)
-    nq = max(1, math.ceil(n_coords / block_rows))
-    # one row per cluster: dense id, points, reference groups and the first of them
-    order = Window.orderBy("cluster")
-    stats = (per_cluster.select("cluster", "n", F.ceil(F.col("d") / F.lit(block_rows)).alias("nb"))
-             .select("cluster", "n", "nb", (F.row_number().over(order) - 1).alias("cid"),
-                     (F.sum("nb").over(order) - F.col("nb")).alias("first")))
+    # one row per cluster: dense id, points, reference groups, the first of
+    # them, and both numbers of groups of the clustering
+    one = Window.partitionBy(*each)
+    before = one.orderBy("cluster")
+    stats = (per_cluster.select("*", F.ceil(F.col("d") / F.lit(block_rows)).alias("nb"))
+             .select("*", (F.row_number().over(Window.orderBy(*each, "cluster")) - 1).alias("cid"),
+                     (F.sum("nb").over(before) - F.col("nb")).alias("first"),
+                     F.sum("nb").over(one).alias("nr"),
+                     F.ceil(F.sum("d").over(one) / F.lit(block_rows)).alias("nq")))
     small = F.broadcast if k <= MAX_BROADCAST_CLUSTERS else (lambda df: df)
-    nr = int(stats.agg(F.sum("nb")).first()[0] or 0)
-    cells = max(1, nq * nr)
-    parts = max(1, min(cells, max(4 * slots, math.ceil(n_coords * (nq + nr) * ROW_BYTES / TASK_BYTES))))
+    cells, moved = stats.agg(F.sum(F.col("nb") * F.col("nq")),
+                             F.sum(F.col("d") * (F.col("nq") + F.col("nr")))).first()
+    parts = max(1, min(cells or 0, max(4 * slots, math.ceil((moved or 0) * ROW_BYTES / TASK_BYTES))))
 
-    coords = W.join(small(stats), "cluster").select(
-        "cid", F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "w", "nb", "first")
+    coords = W.join(small(stats), [*each, "cluster"]).select(
+        *each, "cid", F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "w",
+        "nb", "first", "nr", "nq")
     # each query row goes to the nr cells of its row, each reference row to the nq cells of its column
-    cell = (F.col("gq") * F.lit(nr) + F.col("gr")).alias("cell")
-    q_side = (coords.withColumn("gq", F.pmod(F.xxhash64("cid", "x", "y", F.lit(17)), F.lit(nq)))
-              .select("*", F.explode(F.sequence(F.lit(0), F.lit(max(0, nr - 1)))).alias("gr"))
-              .select(cell, "cid", "x", "y", "w").repartition(parts, "cell"))
+    cell = [*[F.col(c).alias(c) for c in each], (F.col("gq") * F.col("nr") + F.col("gr")).alias("cell")]
+    key, zero = [*each, "cell"], F.lit(0).cast("bigint")
+    q_side = (coords.withColumn("gq", F.pmod(F.xxhash64("cid", "x", "y", F.lit(17)), F.col("nq")))
+              .select("*", F.explode(F.sequence(zero, F.col("nr") - 1)).alias("gr"))
+              .select(*cell, "cid", "x", "y", "w").repartition(parts, *key))
     r_side = (coords.withColumn("gr", F.col("first") + F.pmod(F.xxhash64("x", "y"), F.col("nb")))
-              .select("*", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("gq"))
-              .select(cell, *[F.col(c).alias(c) for c in ("cid", "x", "y", "w")]).repartition(parts, "cell"))
-    partial = (q_side.groupBy("cell").cogroup(r_side.groupBy("cell"))
+              .select("*", F.explode(F.sequence(zero, F.col("nq") - 1)).alias("gq"))
+              .select(*cell, *[F.col(c).alias(c) for c in ("cid", "x", "y", "w")]).repartition(parts, *key))
+    partial = (q_side.groupBy(*key).cogroup(r_side.groupBy(*key))
                .applyInPandas(_cell_kernel(), PARTIAL_SCHEMA))
     per = partial.groupBy("cid", "x", "y", "w", "rcid").agg(F.sum("s").alias("s"))
 
@@ -148,14 +160,14 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     agg = per.join(size, "rcid").groupBy("cid", "x", "y", "w").agg(
         F.max(F.when(own, F.col("s"))).alias("s_own"),
         F.min(F.when(~own, F.col("s") / F.col("rn"))).alias("b"))
-    agg = agg.join(small(stats.select("cid", "cluster", "n")), "cid")
+    agg = agg.join(small(stats.select(*each, "cid", "cluster", "n")), "cid")
     others = F.col("n") - (F.col("w") if mode == "reference" else F.lit(1))
     a = F.when(others > 0, F.coalesce(F.col("s_own"), F.lit(0.0)) / others).otherwise(F.lit(0.0))
     s = F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b"))
     if mode == "textbook":
         s = F.when(F.col("n") == 1, F.lit(0.0)).otherwise(s)
     return (agg.withColumn("a", a).withColumn("silhouette", s)
-            .select("cluster", F.col("x").cast(W.schema["x"].dataType).alias("x"),
+            .select(*each, "cluster", F.col("x").cast(W.schema["x"].dataType).alias("x"),
                     F.col("y").cast(W.schema["y"].dataType).alias("y"), "w", "a", "b", "silhouette"))
 
 
@@ -168,10 +180,11 @@ def points_from(coords: DataFrame, assign: DataFrame, cluster: str = "pos", x: s
     return assign.join(checked_broadcast(named), [cluster, x, y], "left")
 
 
-def mean_from(coords: DataFrame) -> DataFrame:
+def mean_from(coords: DataFrame, *each: str) -> DataFrame:
     """(clusters, points, mean_silhouette) -- the mean over points is the
-    w-weighted mean over coordinates, so points are not touched again."""
-    return coords.agg(
+    w-weighted mean over coordinates, so points are not touched again.  One
+    row for each value of the columns ``each``, if any."""
+    return coords.groupBy(*each).agg(
         F.count_distinct("cluster").cast("int").alias("clusters"),
         F.sum("w").alias("points"),
         F.try_divide(F.sum(F.col("w") * F.col("silhouette")),
@@ -188,6 +201,9 @@ def silhouette_points(assign: DataFrame, cluster: str = "pos", x: str = "x", y:
 
 
 def silhouette_mean(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
-                    mode: str = "reference", block_rows: int | None = None, weight: str | None = None) -> DataFrame:
-    """(clusters, points, mean_silhouette); see :func:`mean_from`."""
-    return mean_from(silhouette_coordinates(assign, cluster, x, y, mode, block_rows, weight))
+                    mode: str = "reference", block_rows: int | None = None, weight: str | None = None,
+                    run: str | None = None) -> DataFrame:
+    """(clusters, points, mean_silhouette), with ``run`` first where there are
+    several clusterings; see :func:`mean_from`."""
+    coords = silhouette_coordinates(assign, cluster, x, y, mode, block_rows, weight, run)
+    return mean_from(coords, *(["run"] if run else []))

@@ -161,25 +161,28 @@ def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R, parallelism: int = 4) ->
     early-stop run per k goes up to the largest limit (a smaller limit is a
     prefix of it: rounds are deterministic).  Runs for different k are
     independent jobs and are submitted from ``parallelism`` driver threads,
-    as MLlib's model selection does."""
+    as MLlib's model selection does.  The distinct final rounds are then
+    scored together, by one silhouette job over all their clusterings."""
     pts = S.points2d(spark, d)
     prepared = K.prepare2d(pts)
     seeds = S.seeds2d(pts, max(ks))        # the first k of them are the seeds of a smaller k
     try:
-        def one_k(k):
-            res = K.fit_prepared2d(prepared, seeds[:k], max(rounds), THRESHOLD_2D, early_stop=True)
-            means, rows = {}, []        # same final round -> same clustering -> same silhouette
-            for r in rounds:
-                iters = min(res.iterations, r)
-                if iters not in means:
-                    a = K.assign2d(prepared, res.history[iters - 1][1])
-                    means[iters] = SIL.silhouette_mean(a, "pos", "x", "y", weight="w").first()
-                m = means[iters]
-                rows.append((k, r, iters, res.converged and res.iterations <= r,
-                             m["clusters"], m["mean_silhouette"]))
-            return rows
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            rows = [row for part in pool.map(one_k, ks) for row in part]
+            fits = dict(zip(ks, pool.map(
+                lambda k: K.fit_prepared2d(prepared, seeds[:k], max(rounds), THRESHOLD_2D, early_stop=True), ks)))
+        # same final round -> same clustering -> same silhouette
+        last = {(k, r): min(fits[k].iterations, r) for k in ks for r in rounds}
+        runs = sorted({(k, i) for (k, _), i in last.items()})
+        scored = None
+        for n, (k, i) in enumerate(runs):
+            one = K.assign2d(prepared, fits[k].history[i - 1][1]).select(F.lit(n).alias("run"), "pos", "x", "y", "w")
+            scored = one if scored is None else scored.unionByName(one)
+        means = {runs[m["run"]]: m for m in SIL.silhouette_mean(scored, weight="w", run="run").collect()}
+        rows = []
+        for (k, r), i in last.items():
+            m = means.get((k, i))          # none without points
+            rows.append((k, r, i, fits[k].converged and fits[k].iterations <= r,
+                         m["clusters"] if m else 0, m["mean_silhouette"] if m else None))
     finally:
         prepared.unpersist()
     out = spark.createDataFrame(

@@ -50,6 +50,20 @@ def test_hand_case(spark):
     assert mean.select(format4(F.col("mean_silhouette"))).first()[0] == "0.8680"
 
 
+def test_several_clusterings_in_one_job(spark):
+    rng = random.Random(6)
+    runs = {r: [(rng.randrange(2 + r), rng.randrange(12), rng.randrange(12)) for _ in range(30 + 40 * r)] for r in range(3)}
+    runs[7] = [(4, 1, 1), (4, 2, 2)]                       # a single cluster
+    df = spark.createDataFrame([(r, *row) for r, rows in runs.items() for row in rows], "job int, pos int, x int, y int")
+    for block_rows in (None, 9):
+        got = {m["run"]: m for m in SIL.silhouette_mean(df, run="job", block_rows=block_rows).collect()}
+        assert got.keys() == runs.keys()
+        for r, rows in runs.items():
+            want = [v for v in brute(rows) if v is not None]
+            assert got[r]["points"] == len(rows) and got[r]["clusters"] == len({c for c, _, _ in rows})
+            assert got[r]["mean_silhouette"] == (pytest.approx(sum(want) / len(want)) if want else None)
+
+
 def test_duplicates_reference_and_textbook(spark):
     rows = [(0, 0, 0), (0, 0, 0), (0, 0, 2), (1, 10, 0)]
     ref = {r["pid"]: r["silhouette"] for r in SIL.silhouette_points(frame(spark, rows)).collect()}
