@@ -77,6 +77,12 @@ def test_stages_one_by_one(spark, table, labels, tmp_path):
         got = [tuple(r) for r in kept.select("doc_id", "text", "lang", "source").collect()]
         assert order(got) == order(state), name
         assert all(r["score"] == -1.0 and r["row"] == "x" for r in kept.collect())
+    # rows without an id, or sharing one, are judged one by one
+    leak = text(9) + " " + item
+    few = table([(None, leak, "en", "a"), (None, "clean " + base, "en", "a"), (5, leak, "en", "a"), (5, base, "en", "b"),
+                 (6, None, "en", "a"), (6, "", "en", "a")])
+    assert order([tuple(r) for r in P.decontamination(spark, few, str(tmp_path)).select("doc_id", "text").collect()]) == order(
+        [(None, "clean " + base), (5, base), (6, None), (6, "")])
     out = P.run(spark, str(tmp_path))
     assert sorted(str(r["doc_id"]) for r in out.collect()) == sorted(str(r[0]) for r in state)
     # the last stage is the mix of what is left, as SQL has it
