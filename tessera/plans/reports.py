@@ -17,6 +17,8 @@ from tessera.operators import graph
 from tessera.operators.joins import checked_broadcast
 from tessera.session import ensure_checkpoint_dir
 
+#: digits that fit a bigint together with their count
+DIGITS = 16
 
 def nationality_people(people: DataFrame, nationality: str = NATIONALITY) -> DataFrame:
     """Q-A: name and hobby of the people of one nationality."""
@@ -83,6 +85,28 @@ def unvisited_friends(people: DataFrame, associates: DataFrame, logs: DataFrame,
     return out.select("id", "name", "friend_id", "friend_name")
 
 
+def _latest_text(logs: DataFrame) -> DataFrame:
+    """(id, latest): each page's largest access time as text, for any texts.
+
+    Spark can only sort for the maximum of a string.  So whole numbers of up
+    to 16 digits and no leading zero, which is what the log holds, are
+    combined as numbers of the same order: the digits filled up with zeros,
+    then their count.  Any other text is a group of its own.  The text maximum
+    is taken over what is left, one row a page where all texts are numbers.
+    """
+    time, size = F.col("access_time"), F.length("access_time")
+    power = F.array(*[F.lit(10 ** i).cast("bigint") for i in range(DIGITS)])
+    number = time.try_cast("bigint")
+    # as many characters as digits: neither blanks nor signs nor leading zeros
+    code = F.when(number >= F.get(power, size - 1), number * F.get(power, DIGITS - size) * 100 + size)
+    coded = logs.select(F.col("what_page").alias("id"), "access_time", code.alias("code"))
+    combined = (coded.groupBy("id", F.when(F.col("code").isNull(), F.col("access_time")).alias("other"))
+                .agg(F.max("code").alias("code")))
+    digits = F.substring(F.lpad(F.expr("code div 100").cast("string"), DIGITS, "0"),
+                         F.lit(1), F.pmod("code", F.lit(100)).cast("int"))
+    return combined.groupBy("id").agg(F.max(F.coalesce("other", digits)).alias("latest"))
+
+
 def latest_access(people: DataFrame, logs: DataFrame, threshold: int = LATEST_ACCESS_MIN,
                   order: str = "text", keep: str = "ge") -> DataFrame:
     """Q-G: (id, name) of pages whose latest access passes ``threshold``.
@@ -92,8 +116,7 @@ def latest_access(people: DataFrame, logs: DataFrame, threshold: int = LATEST_AC
     the numeric maximum.  ``keep`` is ``'ge'`` (>= threshold) or ``'lt'``.
     """
     if order == "text":
-        latest = F.max("access_time")
-        per_page = logs.groupBy(F.col("what_page").alias("id")).agg(text_to_int(latest).alias("latest_date"))
+        per_page = _latest_text(logs).select("id", text_to_int(F.col("latest")).alias("latest_date"))
     elif order == "numeric":
         per_page = logs.groupBy(F.col("what_page").alias("id")).agg(
             F.max(text_to_int(F.col("access_time"))).alias("latest_date"))

@@ -53,6 +53,13 @@ def test_unvisited_pairs_need_no_exchange_for_the_anti_join(spark):
             assert "HashAggregate" in lines[i + 1]
 
 
+def test_latest_access_combines_the_raw_log_without_sorting(spark):
+    lines = plan(E.queries()["latest_access_threshold"](spark, SF)).splitlines()
+    scan = next(i for i, line in enumerate(lines) if "props" in line and "Scan parquet" in line)
+    above = [line for line in lines[:scan] if "Aggregate" in line or "Sort " in line]
+    assert "HashAggregate" in above[-1] and "partial_max" in above[-1]
+
+
 def test_kmeans_round_is_one_exchange(spark):
     w = K.weighted_coordinates(S.points2d(spark, SF)).persist()
     w.count()

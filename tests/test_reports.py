@@ -68,6 +68,14 @@ def test_text_maximum_vs_numeric(spark):
     assert [tuple(r) for r in R.latest_access(p, logs, 870400, "text", keep="lt").collect()] == [(1, "P1")]
 
 
+def test_latest_text_is_the_text_maximum(spark):
+    texts = ["1", "10", "100", "09", "9", "0", "9" * 16, "9" * 17, "1" * 40, "", " 12", "12 ", "12\n", "-3", "ab", "é", "٣", None]
+    pages = [texts[i:i + n] for n in (1, 2, 3, 5, 18) for i in range(len(texts))] + [[None, None]]
+    logs = spark.createDataFrame([(1, 1, p, "v", t) for p, ts in enumerate(pages) for t in ts], LOGS)
+    got = {r["id"]: r["latest"] for r in R._latest_text(logs).collect()}
+    assert got == {p: max((t for t in ts if t is not None), key=str.encode, default=None) for p, ts in enumerate(pages)}
+
+
 def test_above_average(spark):
     # degrees 1, 2, 2, 5 -> mean 2.5 -> only the 5
     rows = [(1, 1, 9)] + [(2, 2, 10), (3, 2, 10)] + [(4, 3, 11), (5, 3, 11)] + [(6 + i, 4, 12) for i in range(5)]
