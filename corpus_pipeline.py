@@ -41,15 +41,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the least id, of each group linked by the
-    n-gram Jaccard join (operator 8).  Documents without words stay: they are
-    linked with nothing.  So do documents with a null id.  Of rows that repeat
-    with id and text one stays."""
-    kept = (jaccard_components(docs).where("doc_id = component_id")
-            .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")))
-    once = docs.join(kept.where("n = 1"), "doc_id", "left_semi")
-    again = docs.join(kept.where("n > 1"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return once.unionByName(again).unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
+    """One row of each group linked by the n-gram Jaccard join (operator 8):
+    the one with the least id, rows without an id last, of rows that share it
+    the one with the least hash of its text.  Documents without words stay:
+    they are linked with nothing.  Of rows that repeat with id and text one
+    stays, but for those with neither id nor words, which nothing links."""
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.unhex(F.md5("text")).alias("hash"))
+    rows = jaccard_components(docs.select(key.alias("key"), "text"), id_col="key")
+    marked = rows.groupBy("key", "component_id", "n_shingles").agg(F.count(F.lit(1)).alias("n"))
+    marked = staged(marked.where("key <> component_id OR n > 1 AND (n_shingles > 0 OR NOT key.last)")
+                    .select("key.doc_id", "key.hash", (F.col("key") == F.col("component_id")).alias("stays")))
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.unhex(F.md5("d.text")).eqNullSafe(F.col("m.hash"))
+    once = docs.alias("d").join(marked.alias("m"), same, "left_anti")
+    again = docs.alias("d").join(marked.where("stays").alias("m"), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,19 @@ def test_stages_one_by_one(spark, table, labels, tmp_path):
     cols = sorted(out.columns)
     assert order([tuple(r[c] for c in cols) for r in out.collect()]) == order(
         [tuple(r[rel.columns.index(c)] for c in cols) for r in rel.fetchall()])
+
+
+def test_near_duplicates_by_row(spark, table):
+    """Rows without an id, or sharing one, are linked and dropped one by one."""
+    rng = random.Random(12)
+    a, b, c, d, x = (" ".join(f"w{rng.randrange(5000)}" for _ in range(60)) for _ in range(5))
+    rows = [(None, a + " one"), (None, a + " two"), (None, a), (None, a), (3, x), (5, b), (5, x + " near"),
+            (8, c), (8, c + " near"), (9, d + " near"), (None, d), (None, d), (None, ""), (None, ""), (None, None),
+            (11, None), (11, ""), (12, "")]
+    for part in (rows, rows[::-1]):
+        kept = [tuple(r) for r in P.near_duplicates(spark, table(part), "").select("doc_id", "text").collect()]
+        of = lambda t: [r for r in kept if r[1] and r[1].startswith(t)]
+        assert len(of(a)) == len(of(c)) == 1 and of(a)[0][0] is None and of(c)[0][0] == 8
+        assert of(x) == [(3, x)] and of(b) == [(5, b)] and of(d) == [(9, d + " near")]
+        assert sorted(str(r) for r in kept if not r[1]) == sorted(str(r) for r in rows if not r[1])
+        assert len(kept) == 5 + 6
