@@ -58,10 +58,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item (operator 6).  Each row is judged
-    by its own text, also where rows share an id or have none."""
+    """Documents that hold no benchmark item (operator 6).  Each row and each
+    item is judged by its own text, also where they share an id or have none."""
     rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc"), "text")
-    bad = find_items(rows, table(spark, sf_dir, "benchmark"), id_col="doc").select("doc.*").distinct()
+    items = table(spark, sf_dir, "benchmark").select(F.unhex(F.md5("text")).alias("item_id"), "text")
+    bad = find_items(rows, items, id_col="doc").select("doc.*").distinct()
     same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64("d.text") == F.col("b.hash"))
     return docs.alias("d").join(bad.alias("b"), same, "left_anti").select(*docs.columns)
 

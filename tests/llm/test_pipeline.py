@@ -109,3 +109,14 @@ def test_near_duplicates_by_row(spark, table):
         assert of(x) == [(3, x)] and of(b) == [(5, b)] and of(d) == [(9, d + " near")]
         assert sorted(str(r) for r in kept if not r[1]) == sorted(str(r) for r in rows if not r[1])
         assert len(kept) == 5 + 6
+
+
+def test_decontamination_by_item(spark, table, tmp_path):
+    """Items that share an id, or have none, are searched one by one."""
+    rng = random.Random(13)
+    a, b, c, d = (" ".join(f"w{rng.randrange(5000)}" for _ in range(30)) for _ in range(4))
+    spark.createDataFrame([(1, a), (1, b), (None, c), (None, None), (2, "too short")], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+    docs = table([(1, "before " + a), (2, b + " after"), (3, c), (4, d), (5, "too short"), (6, None)])
+    kept = P.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted(r["doc_id"] for r in kept) == [4, 5, 6]
