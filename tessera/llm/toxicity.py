@@ -1,8 +1,8 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick over folded text.
 
 Folding lower-cases, maps homoglyphs to Latin letters and digits (and ``@``
-and ``$`` before a letter) to the letters they stand in for.  A lexicon entry is
-a whole word or a stem that words begin with; its weight is the log ratio of
+and ``$`` before a letter) to the letters they stand in for; as the digit one
+stands for i and l, these three become one letter.  A lexicon entry is a whole word or a stem that words begin with; its weight is the log ratio of
 how often toxic and other labelled texts hold it.  One automaton finds
 entries and exception phrases; what lies inside an exception does not count.
 The summed weights, as they are and divided by the length of the text, give
@@ -51,7 +51,8 @@ def folding():
 
     table = {ord(k): v for k, v in {**HOMOGLYPHS, **DIGITS}.items()}
     table |= {0xFF41 + i: chr(97 + i) for i in range(26)}  # full-width letters
-    table |= {0xFF10 + int(d): v for d, v in DIGITS.items()}
+    table |= {0xFF10 + int(d): v for d, v in DIGITS.items()} | {ord("l"): "l"}
+    table = {k: "i" if v == "l" else v for k, v in table.items()}
     sign = re.compile(r"[@$](?=[@$]*[^\W\d_])")
     signs = dict(SIGNS)
 
@@ -75,8 +76,7 @@ class ToxicityModel:
 def matcher(model: ToxicityModel):
     """folded text -> [(start, end, weight)] of the entries that count.
 
-    A digit one may stand for i or l: entries are folded alike (l to i where
-    the text has a 1 is tried by the second spelling of an entry)."""
+    Entries and exceptions are folded as the text is."""
     import ahocorasick
 
     fold = folding()
@@ -84,9 +84,7 @@ def matcher(model: ToxicityModel):
     entries: dict[str, list] = {}
     for kind, group in (("word", model.words), ("stem", model.stems)):
         for entry, weight in group.items():
-            for spelled in {entry, entry.replace("l", "i")}:
-                if spelled == entry or kind == "word" and spelled not in model.words:
-                    entries.setdefault(spelled, []).append((kind, weight))
+            entries.setdefault(fold(entry), []).append((kind, weight))
     for e in exceptions:
         entries.setdefault(e, []).append(("exception", 0.0))
     for entry, values in entries.items():
@@ -176,8 +174,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_
     if len({y for _, y in rows}) < 2:
         return ToxicityModel(words=seeds)
     words, stems = learn_lexicon(rows)
-    model = ToxicityModel(words=seeds | words, stems=stems)
-    fold, hits = folding(), matcher(model)
+    fold = folding()
+    model = ToxicityModel(words={fold(w): v for w, v in seeds.items()} | words, stems=stems)
+    hits = matcher(model)
     x = [_features(hits(fold(t)), len(t)) for t, _ in rows]
     model.weights = [float(v) for v in fit_logistic(x, [y for _, y in rows])]
     return model

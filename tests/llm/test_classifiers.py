@@ -127,3 +127,11 @@ def test_without_labels(table, labels):
     docs = table([(1, "you stupid idiot"), (2, "a fine day")])
     out = {r["doc_id"]: r["score"] for r in score_toxicity(docs, train_toxicity(docs, labels([]))).collect()}
     assert out[1] > 0.3 > out[2]
+
+
+@pytest.mark.parametrize("text, hits", [
+    ("bully, bul1y, bu1ly, bu11y and BU1LY", 5), ("lächerlich, achlichkeit and ach1ichkeit", 2), ("a c1own fish", 0),
+    ("a bu1\u04cfy", 1), ("bu\uff4c1y", 1), ("a bullying", 0)])
+def test_one_stands_for_i_and_l(text, hits):
+    model = X.ToxicityModel(words={"bully": 1.0, "clown": 1.0}, stems={"achlich": 1.0})
+    assert len(X.matcher(model)(X.folding()(text))) == hits
