@@ -17,6 +17,7 @@ from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.mixing import mix
 from tessera.llm.ngram_jaccard import jaccard_components
 from tessera.llm.quality import score_quality, train_quality
+from tessera.llm.spelling import spelling_groups
 from tessera.llm.substring_dedup import dedup_substrings
 from tessera.llm.toxicity import score_toxicity, train_toxicity
 
@@ -83,10 +84,14 @@ def op10_line_dedup(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return spelling_groups(documents(spark, d))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_exact_dedup, op3_mix_sources, op4_quality, op5_toxicity, op6_decontamination,
-        op7_language_id, op8_ngram_jaccard, op9_substring_dedup, op10_line_dedup)}
+        op7_language_id, op8_ngram_jaccard, op9_substring_dedup, op10_line_dedup, op11_spelling_variants)}
 
 
 # --------------------------------------------------------------- oracle SQL
@@ -211,8 +216,35 @@ FROM g GROUP BY doc_id
 """
 
 
+#: crc32 over the bytes, by a table that eight shifts make; near words meet in
+#: what is left of them without one code point
+SPELLING_SQL = f"""
+WITH RECURSIVE table_(c, i, k) AS (SELECT range, range, 0 FROM range(256) UNION ALL
+  SELECT CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i, k + 1 FROM table_ WHERE k < 8),
+t AS (SELECT list(c ORDER BY i) AS t FROM table_ WHERE k = 8),
+r AS (SELECT doc_id, unnest(regexp_extract_all({LOWER}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+g AS (SELECT run, hex(encode(coalesce(doc_id::VARCHAR, 'null') || ':' || run)) AS x, count(*) AS n
+      FROM r WHERE length(run) >= 7 GROUP BY ALL),
+h AS (SELECT run, n, xor(list_reduce(list_transform(range(0, len(x), 2), lambda i: ('0x' || substr(x, i + 1, 2))::BIGINT),
+        lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM g, t),
+v AS MATERIALIZED (SELECT w AS word, sum(n)::BIGINT AS n FROM (SELECT n, CASE WHEN h % 31 = 0
+        THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS w FROM h)
+      WHERE length(w) >= 7 GROUP BY w HAVING sum(n) >= 2),
+p AS (SELECT word, unnest(range(0, length(word))) AS i FROM v),
+q AS (SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS less FROM p),
+e AS (SELECT a.word AS a, b.word AS b FROM q a JOIN q b ON a.less = b.less AND a.i = b.i WHERE a.word <> b.word
+      UNION SELECT q.word, v.word FROM q JOIN v ON v.word = q.less UNION SELECT v.word, q.word FROM q JOIN v ON v.word = q.less),
+f AS (SELECT a AS word, count(*) AS n_near, min(struct_pack(n := -n, w := word)) AS m FROM e JOIN v ON v.word = e.b GROUP BY a),
+o AS MATERIALIZED (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -m.n >= 10 * v.n THEN m.w END AS form,
+        CASE WHEN -m.n >= 10 * v.n THEN -m.n END AS form_n FROM v LEFT JOIN f USING (word)),
+s(word, tip, k) AS (SELECT word, word, 0 FROM o UNION ALL SELECT s.word, o.form, k + 1 FROM s JOIN o ON o.word = s.tip WHERE o.form IS NOT NULL)
+SELECT word, form, (SELECT arg_max(tip, k) FROM s WHERE s.word = o.word) AS root, n, n_near::BIGINT AS n_near, form_n::BIGINT AS form_n FROM o
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express at the size of the check."""
     return {"op1_license_scan": license_sql(), "op2_exact_dedup": EXACT_SQL, "op3_mix_sources": mix_sql(),
             "op6_decontamination": DECONTAMINATION_SQL, "op8_ngram_jaccard": JACCARD_SQL,
-            "op9_substring_dedup": SUBSTRING_SQL, "op10_line_dedup": LINES_SQL}
+            "op9_substring_dedup": SUBSTRING_SQL, "op10_line_dedup": LINES_SQL,
+            "op11_spelling_variants": SPELLING_SQL}
