@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import license_scan, mixing
+from tessera.llm.collocations import mine_collocations
 from tessera.llm.common import held_out
 from tessera.llm.decontamination import find_items
 from tessera.llm.exact_dedup import exact_dedup
@@ -88,10 +89,15 @@ def op11_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
     return spelling_groups(documents(spark, d))
 
 
+def op12_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return mine_collocations(documents(spark, d, "lang"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_exact_dedup, op3_mix_sources, op4_quality, op5_toxicity, op6_decontamination,
-        op7_language_id, op8_ngram_jaccard, op9_substring_dedup, op10_line_dedup, op11_spelling_variants)}
+        op7_language_id, op8_ngram_jaccard, op9_substring_dedup, op10_line_dedup, op11_spelling_variants,
+        op12_collocations)}
 
 
 # --------------------------------------------------------------- oracle SQL
@@ -242,9 +248,32 @@ SELECT word, form, (SELECT arg_max(tip, k) FROM s WHERE s.word = o.word) AS root
 """
 
 
+COLLOCATION_SQL = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM (
+        SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 5)) AS k)))
+      GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+s AS (SELECT lang, c.phrase, c.a, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a) // (l.a + r.a) AS score, cut
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c
+      JOIN f l USING (lang) JOIN f r USING (lang)
+      WHERE l.phrase = array_to_string(c.w[1:cut], ' ') AND r.phrase = array_to_string(c.w[cut + 1:], ' ')),
+m AS (SELECT lang, phrase, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+i AS (SELECT lang, array_to_string(list_slice(w, i, i + z - 1), ' ') AS phrase, max(a) AS most
+      FROM (SELECT lang, w, a, z, unnest(range(1, k - z + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS z FROM c)) GROUP BY ALL),
+o AS (SELECT m.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM m LEFT JOIN i USING (lang, phrase) WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL of the queries that SQL can express at the size of the check."""
     return {"op1_license_scan": license_sql(), "op2_exact_dedup": EXACT_SQL, "op3_mix_sources": mix_sql(),
             "op6_decontamination": DECONTAMINATION_SQL, "op8_ngram_jaccard": JACCARD_SQL,
             "op9_substring_dedup": SUBSTRING_SQL, "op10_line_dedup": LINES_SQL,
-            "op11_spelling_variants": SPELLING_SQL}
+            "op11_spelling_variants": SPELLING_SQL, "op12_collocations": COLLOCATION_SQL}
