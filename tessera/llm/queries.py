@@ -17,6 +17,7 @@ from tessera.llm.license_scan import scan_licenses
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.mixing import mix
 from tessera.llm.ngram_jaccard import jaccard_components
+from tessera.llm.packing import pack
 from tessera.llm.quality import score_quality, train_quality
 from tessera.llm.spelling import spelling_groups
 from tessera.llm.substring_dedup import dedup_substrings
@@ -93,11 +94,16 @@ def op12_collocations(spark: SparkSession, d: str) -> DataFrame:
     return mine_collocations(documents(spark, d, "lang"))
 
 
+def op13_packing(spark: SparkSession, d: str) -> DataFrame:
+    return pack(documents(spark, d)).select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"),
+                                            "doc_tokens", "sequence_id", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_exact_dedup, op3_mix_sources, op4_quality, op5_toxicity, op6_decontamination,
         op7_language_id, op8_ngram_jaccard, op9_substring_dedup, op10_line_dedup, op11_spelling_variants,
-        op12_collocations)}
+        op12_collocations, op13_packing)}
 
 
 # --------------------------------------------------------------- oracle SQL
