@@ -14,16 +14,16 @@ all counts are kept by language.  A phrase is frequent with at least
    last and without their first word are.  Both are told while reading, by
    the filter, so the border is never written out beyond what occurs.
 3. A frequent phrase outside the proposals is a border failure.  It joins the
-   proposals, and a further pass counts the phrases that now belong to them
-   or to their border and were not counted before.  This goes on until no
-   pass brings a failure; then every frequent phrase has been counted, as each
-   of its parts is frequent and proposed.  A failure has one word more than
-   the failure that led to it, so three further passes are the most.
+   proposals, and an expansion pass counts what was not counted before and may
+   now be frequent: phrases whose parts are proposed, or are counted in this
+   pass too.  As it does not wait for the counts of such parts, it closes the
+   search: every part of a frequent phrase is frequent, so it was proposed, or
+   failed, or is counted along.
 
 A task counts some ``CHUNK_WORDS`` words at a time with numpy.  Words have
-numbers within the chunk and a phrase is known by the numbers of its two
-parts, so no hash stands for a phrase in any count.  Counts of a chunk are
-added up by Spark, with partial aggregation; a hot phrase is one row a chunk.
+numbers within the chunk and a phrase is known by the numbers of its words, so
+no hash stands for a phrase in any count.  Counts of a chunk are added up by
+Spark, with partial aggregation; a hot phrase is one row a chunk.
 
 Null text counts as empty, null language as ``und``.  Null ids and repeated
 rows count like any other row.  Other columns are ignored.  An empty table
@@ -44,33 +44,49 @@ SHARE = 10             # one of so many rows is in the sample
 SAMPLE_COUNT = 2
 FILTER_BITS = 1 << 26
 SHIFTS = (0, 18, 37)   # the filter's three places of a hash
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 1_000_000
+ROWS = 50_000          # of an emitted batch
 SCALE = 2_000_000      # of the score
 PART_NUM, PART_DEN = 80, 100
 TOP = 2000
 
 #: A-Z lower-cased, tab a blank, every end of a piece a full stop
 _FOLD = bytes(32 if b == 9 else 46 if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
-COUNTS = "lang string, k int, phrase string, hash long, n long"
+COUNTS = "lang string, phrase string, n long"
 
 
 class _Numbers(dict):
-    """Words (bytes) numbered from 1 as they come; 0 is the end of a piece."""
+    """Words (bytes) of one language, numbered as they come in lists that all
+    languages of a chunk share; 0 is the end of a piece."""
 
-    def __init__(self):
-        super().__init__()
-        self[b"."] = 0
-        self.words: list[bytes] = [b"."]
+    def __init__(self, lang: int, words: list[bytes], langs: list[int]):
+        super().__init__({b".": 0})
+        self.lang, self.words, self.langs = lang, words, langs
 
     def __missing__(self, word: bytes) -> int:
         n = self[word] = len(self.words)
         self.words.append(word)
+        self.langs.append(self.lang)
         return n
 
 
-def word_numbers(text: str, numbers: _Numbers) -> list[int]:
-    """The words of a text as numbers, 0 between pieces."""
-    return [*map(numbers.__getitem__, text.encode().translate(_FOLD).replace(b".", b" . ").split())]
+class _Chunk:
+    """The words of some documents, as numbers, until they are counted."""
+
+    def __init__(self):
+        self.words, self.langs, self.numbers, self.ids, self.size = [b"."], [0], {}, [], 0
+
+    def add(self, lang: str, text: str) -> None:
+        numbers = self.numbers.get(lang)
+        if numbers is None:
+            numbers = self.numbers[lang] = _Numbers(len(self.numbers), self.words, self.langs)
+        words = text.encode().translate(_FOLD).replace(b".", b" . ").split()
+        self.ids.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        self.ids.append(np.zeros(1, np.int64))
+        self.size += len(words)
+
+
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -78,6 +94,24 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def _lang_hash(lang: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest("\0" + lang)
+
+
+def _hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
+    """The hash a filter knows each phrase by."""
+    import xxhash
+
+    words = [p.split(" ") for p in phrases]
+    h = np.array([_lang_hash(x) for x in langs], np.uint64)
+    for j in range(max(map(len, words), default=0)):
+        at = [i for i, w in enumerate(words) if len(w) > j]
+        h[at] = _mixed(h[at] * _ODD + np.array([xxhash.xxh64_intdigest(words[i][j]) for i in at], np.uint64))
+    return h
+
+
 def _holds(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     """Which hashes the filter (64-bit slots, or none: nothing) holds."""
     out = np.full(len(h), bits is not None)
@@ -89,98 +123,127 @@ def _holds(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def chunk_counts(ids: np.ndarray, langs: np.ndarray, names: list[str], words: list[bytes],
-                 bits: np.ndarray | None, done: np.ndarray | None, levels: tuple[int, ...]):
-    """(k, phrases, languages, hashes, counts) of a chunk for each k of ``levels``.
-
-    ``ids`` are word numbers, 0 between pieces, ``langs`` the language number
-    of each place.  A phrase of two words or more counts if the filter
-    ``bits`` holds both of its parts of one word less and ``done``, the filter
-    of an earlier pass, does not hold both.
+def distinct_rows(columns: list[np.ndarray], bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of numbers below 2 ** bits, and how often
+    each occurs.  Numbers are packed side by side into 63 bits; where they do
+    not fit, what is packed so far is replaced by its rank."""
+    code, width, ranks = columns[0], bits, []
+    for c in columns[1:]:
+        rank = None
+        if width + bits > 63:
+            rank, code = np.unique(code, return_inverse=True)
+            width = len(rank).bit_length()
+        ranks.append(rank)
+        code, width = code << bits | c, width + bits
+    code, n = np.unique(code, return_counts=True)
+    out = []
+    for rank in reversed(ranks):
+        out.append(code & ((1 << bits) - 1))
+        code = code >> bits
+        if rank is not None:
+            code = rank[code]
+    return [code, *reversed(out)], n
+
+
+def chunk_counts(chunk: _Chunk, bits: np.ndarray | None, done: np.ndarray | None, levels: tuple[int, ...]):
+    """(columns of word numbers, counts) of a chunk's phrases of k words, for
+    each k of ``levels``.
+
+    A phrase of two words or more counts if both of its parts of one word less
+    are proposed, that is, held by the filter ``bits``.  After an earlier pass
+    with the filter ``done`` only what that pass did not count is counted, and
+    what is counted now passes as proposed.
     """
-    import pyarrow as pa
-    import pyarrow.compute as pc
     import xxhash
 
-    table = pa.array(words, pa.binary()).cast(pa.string())
-    lang_hash = np.array([xxhash.xxh64_intdigest("\0" + x) for x in names], np.uint64)
-    word_hash = np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64)
-    places = np.flatnonzero(ids)
-    known = passes = counted = hashes = None
+    ids = np.concatenate([*chunk.ids, np.zeros(1, np.int64)])
+    word = np.array([xxhash.xxh64_intdigest(w) for w in chunk.words], np.uint64)
+    lang = np.array([_lang_hash(x) for x in chunk.numbers], np.uint64)
+    one = _mixed(lang[chunk.langs] * _ODD + word)        # hash of each word as a phrase
+    width = len(word).bit_length()
+    at = np.flatnonzero(ids)
+    hashes = one[ids[at]]
+    fresh = np.full(len(at), done is None)
     for k in range(1, max(levels) + 1):
-        if k == 1:
-            codes = langs[places] << 32 | ids[places]
-        else:
-            places = places[known[places + 1] >= 0]
-            a, b = known[places], known[places + 1]
-            fits = passes[a] & passes[b]
-            places, a, b = places[fits], a[fits], b[fits]
-            codes = a << 32 | b
-        unique, first, number, n = np.unique(codes, return_index=True, return_inverse=True, return_counts=True)
-        at = places[first]
-        if k == 1:
-            below, fresh = lang_hash[langs[at]], np.full(len(at), done is None)
-        else:
-            a, b = unique >> 32, unique & 0xFFFFFFFF
-            below, fresh = hashes[a], ~(counted[a] & counted[b])
-        last = word_hash[ids[at + k - 1]]
-        hashes = _mixed(below * np.uint64(0x9E3779B97F4A7C15) + last)
-        passes, counted = _holds(bits, hashes), _holds(done, hashes) & ~fresh
-        known = np.full(len(ids) + 1, -1, np.int64)   # the number of the phrase at each place, or -1
-        known[places] = number
-        if k in levels and fresh.any():
-            at = at[fresh]
-            parts = [table.take(pa.array(ids[at + j])) for j in range(k)]
-            phrase = pc.binary_join_element_wise(*parts, " ") if k > 1 else parts[0]
-            yield k, phrase, langs[at], hashes[fresh].view(np.int64), n[fresh]
+        if k > 1:
+            both = proposed[at] & proposed[at + 1]
+            at, hashes = at[both], hashes[both]
+            fresh = ~(counted[at] & counted[at + 1])
+            hashes = _mixed(hashes * _ODD + word[ids[at + k - 1]])
+        if k in levels:
+            here = at[fresh]
+            if k == 1:
+                n = np.bincount(ids[here], minlength=len(word))
+                held = np.flatnonzero(n)
+                yield [held], n[held]
+            elif len(here):
+                yield distinct_rows([ids[here + j] for j in range(k)], width)
+        if k < max(levels):
+            proposed, counted = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
+            if k == 1:       # by word, not by place
+                proposed[at], counted[at] = _holds(bits, one)[ids[at]], _holds(done, one)[ids[at]]
+            else:
+                proposed[at] = _holds(bits, hashes)
+                if done is not None:
+                    proposed[at] |= fresh
+                    counted[at] = _holds(done, hashes) & ~fresh
 
 
 def phrase_counts(docs: DataFrame, bits=None, done=None, levels: tuple[int, ...] = (1, 2, 3, 4),
                   chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """(lang, k, phrase, hash, n): exact counts of the phrases of ``docs``
-    (lang, text) that :func:`chunk_counts` counts with the broadcast filters
-    ``bits`` and ``done``.  If words are counted, k = 0 has their sum."""
+    """(lang, phrase, n): exact counts of the phrases of ``docs`` (lang, text)
+    that :func:`chunk_counts` counts with the broadcast filters ``bits`` and
+    ``done``.  If words are counted, the empty phrase has their sum."""
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         now, before = bits and bits.value, done and done.value
 
-        def counted():
-            at, all_ = np.concatenate(langs), np.concatenate(ids)
-            names = list(number_of)
-            for k, phrase, lang, h, n in chunk_counts(all_, at, names, numbers.words, now, before, levels):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names).take(pa.array(lang)), pa.array(np.full(len(n), k, np.int32)), phrase,
-                     pa.array(h), pa.array(n)], names=["lang", "k", "phrase", "hash", "n"])
-            if 1 in levels:
-                total = np.bincount(at[all_ > 0], minlength=len(names))
-                zero = np.zeros(len(names), np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(zero, pa.int32()), pa.array([""] * len(names)), pa.array(zero),
-                     pa.array(total)], names=["lang", "k", "phrase", "hash", "n"])
-
-        numbers, number_of, ids, langs, size = _Numbers(), {}, [], [], 0
+        def rows(chunk):
+            words, langs = pa.array(chunk.words, pa.binary()).cast(pa.string()), np.array(chunk.langs)
+            names = pa.array(list(chunk.numbers))
+            for columns, n in chunk_counts(chunk, now, before, levels):
+                if len(columns) == 1:
+                    total = np.bincount(langs[columns[0]], n, len(names)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names)), pa.array(total)],
+                                                     names=["lang", "phrase", "n"])
+                for lo in range(0, len(n), ROWS):
+                    part = [words.take(pa.array(c[lo:lo + ROWS])) for c in columns]
+                    phrase = pc.binary_join_element_wise(*part, " ") if len(part) > 1 else part[0]
+                    lang = names.take(pa.array(langs[columns[0][lo:lo + ROWS]]))
+                    yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(n[lo:lo + ROWS])], names=["lang", "phrase", "n"])
+
+        chunk = _Chunk()
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                w = np.array([*word_numbers(text, numbers), 0], np.int64)
-                ids.append(w)
-                langs.append(np.full(len(w), number_of.setdefault(lang, len(number_of)), np.int64))
-                size += len(w)
-                if size >= chunk_words:
-                    yield from counted()
-                    numbers, number_of, ids, langs, size = _Numbers(), {}, [], [], 0
-        if size:
-            yield from counted()
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                chunk.add(lang.as_py(), text.as_py())
+                if chunk.size >= chunk_words:
+                    yield from rows(chunk)
+                    chunk = _Chunk()
+        if chunk.ids:
+            yield from rows(chunk)
+
+    return docs.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+
+
+def _hashed(found: DataFrame) -> DataFrame:
+    """``found`` (lang, phrase, n) with the phrases' hashes."""
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            h = _hashes(b.column(0).to_pylist(), b.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(h.view(np.int64))], names=[*b.schema.names, "hash"])
 
-    return (docs.mapInArrow(run, COUNTS).groupBy("lang", "k", "phrase")
-            .agg(F.first("hash").alias("hash"), F.sum("n").alias("n")))
+    return found.mapInArrow(run, COUNTS + ", hash long")
 
 
 def filter_bits(found: DataFrame, size: int, old: np.ndarray | None = None) -> np.ndarray:
-    """The filter of ``size`` bits that holds ``old`` and the column ``hash``
-    of ``found``.  At most size / 64 rows reach the driver."""
+    """The filter of ``size`` bits that holds ``old`` and the phrases of
+    ``found``.  At most size / 64 rows reach the driver."""
     places = F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(size - 1) for s in SHIFTS])
-    rows = (found.select(F.explode(places).alias("p"))
+    rows = (_hashed(found).select(F.explode(places).alias("p"))
             .select(F.shiftright("p", 6).alias("slot"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("bit"))
             .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(size // 64, np.uint64) if old is None else old.copy()
@@ -188,18 +251,22 @@ def filter_bits(found: DataFrame, size: int, old: np.ndarray | None = None) -> n
     return out
 
 
+def _words_of(phrase: str = "phrase"):
+    """Words of a phrase; 0 for the empty one."""
+    return F.when(F.col(phrase) == "", 0).otherwise(F.size(F.split(phrase, " ")))
+
+
 def _failures(found: DataFrame, bits) -> DataFrame:
-    """Frequent phrases, with whether the filter does not hold them though
-    they can be part of a longer one."""
+    """The phrases that the filter does not hold though they can be part of a
+    longer one."""
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            h, k = b.column(3).to_numpy().view(np.uint64), b.column(1).to_numpy()
-            new = ~_holds(bits.value, h) & (k > 0) & (k < LONGEST)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(new)], names=[*b.schema.names, "new"])
+            h = b.column(3).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays(b.columns[:3], names=b.schema.names[:3]).filter(pa.array(~_holds(bits.value, h)))
 
-    return found.mapInArrow(run, COUNTS + ", new boolean")
+    return _hashed(found.where(_words_of().between(1, LONGEST - 1))).mapInArrow(run, COUNTS)
 
 
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -216,22 +283,18 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     held, sent = None, None
     for k in range(1, LONGEST):
-        proposed = phrase_counts(sample, sent, levels=(k,), chunk_words=chunk_words).where(
-            (F.col("k") == k) & (F.col("n") >= sample_count))
-        held = filter_bits(proposed, size, held)
+        proposed = phrase_counts(sample, sent, levels=(k,), chunk_words=chunk_words)
+        held = filter_bits(proposed.where((F.col("n") >= sample_count) & (F.col("phrase") != "")), size, held)
         sent = spark.sparkContext.broadcast(held)
 
-    found, before, levels, passes = None, None, (1, 2, 3, 4), 0
-    while True:
-        counts = phrase_counts(texts, sent, before, levels, chunk_words)
-        part = staged(_failures(counts.where((F.col("k") == 0) | (F.col("n") >= min_count)), sent))
-        found = part if found is None else found.unionByName(part)
-        passes += 1
-        new = part.where("new")
-        if new.isEmpty():
-            return found.select("lang", "k", "phrase", "n"), passes
-        held, before, levels = filter_bits(new, size, held), sent, (2, 3, 4)
-        sent = spark.sparkContext.broadcast(held)
+    counts = phrase_counts(texts, sent, chunk_words=chunk_words)
+    found, passes = staged(counts.where((F.col("n") >= min_count) | (F.col("phrase") == ""))), 1
+    failed = staged(_failures(found, sent))
+    if not failed.isEmpty():
+        more = spark.sparkContext.broadcast(filter_bits(failed, size, held))
+        counts = phrase_counts(texts, more, sent, (2, 3, 4), chunk_words)
+        found, passes = found.unionByName(staged(counts.where(F.col("n") >= min_count))), 2
+    return found.select("lang", _words_of().alias("k"), "phrase", "n"), passes
 
 
 def _big(c: str) -> Column:
