@@ -98,3 +98,71 @@ def leaks(rows, items):
         g = grams(t)
         out += [(d, i, len(g), len(g & s)) for d, s in docs.items() if i is not None and g and len(g & s) >= .75 * len(g)]
     return out
+
+
+def spelling(rows):
+    """[(word, form, root, n, n_near, form_n)]"""
+    import zlib
+
+    n = Counter()
+    for d, t in rows:
+        for run in re.findall(r"[A-Za-zÀ-ÿ]+", t or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'null' if d is None else d}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            if len(run) >= 7:
+                n[run] += 1
+    n = {w: k for w, k in n.items() if k >= 2}
+
+    def near(a, b):
+        if len(a) == len(b):
+            return sum(x != y for x, y in zip(a, b)) == 1
+        a, b = sorted((a, b), key=len)
+        return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+    form, count = {}, {}
+    for w in n:
+        by = sorted((-n[x], x) for x in n if near(w, x))
+        count[w] = len(by)
+        form[w] = by[0][1] if by and -by[0][0] >= 10 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], count[w], n[form[w]] if form[w] else None))
+    return out
+
+
+def phrases(rows, least):
+    """{(lang, phrase): occurrences} of the frequent ones, {lang: words}"""
+    count, total = Counter(), Counter()
+    for lang, t in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0A-\x0D]", (t or "").translate(LOWER)):
+            w = re.findall("[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for k in (1, 2, 3, 4):
+                count.update((lang, " ".join(w[i:i + k])) for i in range(len(w) - k + 1))
+    return {k: v for k, v in count.items() if v >= least}, dict(total)
+
+
+def collocations(rows, least=30, top=2000):
+    f, total = phrases(rows, least)
+    scored, most = {}, Counter()
+    for (lang, p), a in f.items():
+        w = p.split(" ")
+        cuts = [(f[lang, " ".join(w[:c])], f[lang, " ".join(w[c:])]) for c in range(1, len(w))]
+        if cuts:
+            scored[lang, p] = min((2000000 * a // (x + y), c, x, y) for c, (x, y) in enumerate(cuts))
+        for s in range(2, len(w)):
+            for i in range(len(w) - s + 1):
+                q = lang, " ".join(w[i:i + s])
+                most[q] = max(most[q], a)
+    out = []
+    for lang in total:
+        kept = sorted((-v[0], -f[lang, p], p.encode(), v[2], v[3]) for (x, p), v in scored.items()
+                      if x == lang and 100 * most[lang, p] < 80 * f[lang, p])
+        out += [(lang, i, p.decode(), -a, x, y, total[lang], -s) for i, (s, a, p, x, y) in enumerate(kept[:top], 1)]
+    return out
