@@ -70,6 +70,11 @@ def encoder(path: str):
     return lambda text: coder.encode_to_numpy(text, allowed_special="all"), size
 
 
+def code_type(size: int) -> str:
+    """How ids of a vocabulary are stored between the steps."""
+    return "<u2" if size <= 1 << 16 else "<u4"
+
+
 def pieces_of(docs: DataFrame, path: str, window: int, id_col: str, text_col: str) -> DataFrame:
     """(id, start, length, doc_tokens, row, ids): the pieces of every
     document; ``row`` numbers them within the task that cut them."""
@@ -83,47 +88,66 @@ def pieces_of(docs: DataFrame, path: str, window: int, id_col: str, text_col: st
         import pyarrow as pa
         from pyspark import TaskContext
 
-        encode, _ = encoder(path)
-        row = TaskContext.get().partitionId() << 33
-        end = np.array([END_ID], np.uint32)
-        for batch in batches:
+        encode, size = encoder(path)
+        row, stored = TaskContext.get().partitionId() << 33, code_type(size)
+        for batch in _slices(batches, 500):
             ids, texts = batch.column(batch.schema.get_field_index(id_col)), texts_of(batch, text_col)
-            for lo in range(0, len(texts), 1000):
-                at, start, length, total, cut = [], [], [], [], []
-                for i, text in enumerate(texts[lo:lo + 1000], lo):
-                    codes = np.concatenate([encode(text), end]).astype("<u4")
-                    for s in range(0, len(codes), window):
-                        at.append(i)
-                        start.append(s)
-                        cut.append(codes[s:s + window].tobytes())
-                        length.append(len(cut[-1]) // 4)
-                        total.append(len(codes))
-                rows = np.arange(row, row + len(at))
-                row += len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(at, pa.int64())).cast(to_arrow_type(kind)), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int32()), pa.array(total, pa.int64()), pa.array(rows), pa.array(cut, pa.binary())],
-                    names=schema.names)
+            at, start, length, total, cut = [], [], [], [], []
+            for i, text in enumerate(texts):
+                codes = np.append(encode(text), END_ID).astype(stored)
+                for s in range(0, len(codes), window):
+                    part = codes[s:s + window]
+                    at.append(i)
+                    start.append(s)
+                    cut.append(part.tobytes())
+                    length.append(len(part))
+                    total.append(len(codes))
+            rows = np.arange(row, row + len(at))
+            row += len(at)
+            yield pa.RecordBatch.from_arrays(
+                [ids.take(pa.array(at, pa.int64())).cast(to_arrow_type(kind)), pa.array(start, pa.int64()),
+                 pa.array(length, pa.int32()), pa.array(total, pa.int64()), pa.array(rows), pa.array(cut, pa.binary())],
+                names=schema.names)
 
     return docs.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def _codes(column) -> list[np.ndarray]:
-    return [np.frombuffer(x, "<u4") for x in column.to_pylist()]
+def _slices(batches, rows: int):
+    """Arrow batches cut to at most ``rows`` rows."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+
+
+def _codes(column, stored: str) -> list[np.ndarray]:
+    return [np.frombuffer(x, stored) for x in column.to_pylist()]
+
+
+def bags(pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(piece, term, tf) of each distinct term of each piece, in that order,
+    by one sort over all of them."""
+    narrow = pieces[0].dtype.itemsize == 2 and len(pieces) <= 1 << 16
+    kind, shift = (np.uint32, 16) if narrow else (np.uint64, 32)
+    key = np.repeat(np.arange(len(pieces), dtype=kind) << kind(shift), [len(p) for p in pieces])
+    key |= np.concatenate(pieces)
+    key, tf = np.unique(key, return_counts=True)
+    return (key >> shift).astype(np.int64), (key & ((1 << shift) - 1)).astype(np.int64), tf
 
 
 def term_counts(pieces: DataFrame, size: int) -> tuple[np.ndarray, int, float]:
     """(pieces that hold each id, number of pieces, their mean length): at
     most one row for each id of the vocabulary reaches the driver."""
+    stored = code_type(size)
+
     def run(batches):
         import pyarrow as pa
 
         held, n, total = np.zeros(size, np.int64), 0, 0
-        for batch in batches:
-            for codes in _codes(batch.column(0)):
-                held[np.unique(codes)] += 1
-                n += 1
-                total += len(codes)
+        for batch in _slices(batches, 2000):
+            codes = _codes(batch.column(0), stored)
+            held += np.bincount(bags(codes)[1], minlength=size)
+            n += len(codes)
+            total += sum(map(len, codes))
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, [-1, -2])), pa.array(np.append(held[at], [n, total]))],
                                          names=["term", "n"])
@@ -141,13 +165,22 @@ def rarity(held: np.ndarray, n: int) -> np.ndarray:
     return np.log1p((n - held + 0.5) / (held + 0.5))
 
 
-def term_weights(codes: np.ndarray, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray]:
-    """A piece's distinct terms and their BM25 weights."""
-    terms, tf = np.unique(codes, return_counts=True)
-    return terms, idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(codes) / mean))
+def weighted_bags(pieces: list[np.ndarray], idf: np.ndarray, mean: float):
+    """(piece, term, BM25 weight) of each distinct term of each piece."""
+    owner, term, tf = bags(pieces)
+    length = np.array([len(p) for p in pieces])[owner]
+    return owner, term, idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+
+
+def heaviest_terms(pieces: list[np.ndarray], idf: np.ndarray, mean: float) -> np.ndarray:
+    """Each piece's term of largest weight, the smallest of equal ones."""
+    owner, term, weight = weighted_bags(pieces, idf, mean)
+    first = np.searchsorted(owner, np.arange(len(pieces)))
+    top = np.flatnonzero(weight == np.maximum.reduceat(weight, first)[owner])
+    return term[top[np.searchsorted(owner[top], np.arange(len(pieces)))]]
 
 
-def _keyed(rests: DataFrame, stats) -> DataFrame:
+def _keyed(rests: DataFrame, stats, stored: str) -> DataFrame:
     """The rests with ``term``, their heaviest term."""
     schema = T.StructType([*rests.schema.fields, T.StructField("term", T.IntegerType())])
     at = rests.columns.index("ids")
@@ -156,11 +189,8 @@ def _keyed(rests: DataFrame, stats) -> DataFrame:
         import pyarrow as pa
 
         idf, mean = stats.value
-        for batch in batches:
-            keys = []
-            for codes in _codes(batch.column(at)):
-                terms, w = term_weights(codes, idf, mean)
-                keys.append(int(terms[w.argmax()]))
+        for batch in _slices(batches, 2000):
+            keys = heaviest_terms(_codes(batch.column(at), stored), idf, mean)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int32())], names=schema.names)
 
     return rests.mapInArrow(run, schema)
@@ -189,25 +219,24 @@ class ShardIndex:
     """Inverted lists of a shard's pieces, with BM25 weights."""
 
     def __init__(self, pieces: list[np.ndarray], idf: np.ndarray, mean: float):
-        bags = [term_weights(p, idf, mean) for p in pieces]
-        terms = np.concatenate([t for t, _ in bags])
-        weights = np.concatenate([w for _, w in bags])
-        owners = np.repeat(np.arange(len(bags)), [len(t) for t, _ in bags])
-        order = np.lexsort((owners, terms))
-        self.owners, self.weights = owners[order], weights[order]
-        known, first = np.unique(terms[order], return_index=True)
-        last = np.append(first[1:], len(terms))
-        self.queries = []
-        for t, w in bags:
-            heavy = np.argsort(-w, kind="stable")[:QUERY_TERMS]
-            at = np.searchsorted(known, t[heavy])
-            self.queries.append(list(zip(first[at].tolist(), last[at].tolist())))
+        owner, term, weight = weighted_bags(pieces, idf, mean)
+        by_term = np.argsort(term, kind="stable")
+        self.owners, self.weights = owner[by_term], weight[by_term]
+        known, first = np.unique(term[by_term], return_index=True)
+        last = np.append(first[1:], len(term))
+        heavy = np.lexsort((-weight, owner))
+        begin = np.searchsorted(owner, np.arange(len(pieces) + 1))
+        heavy = heavy[np.arange(len(heavy)) - begin[owner] < QUERY_TERMS]
+        at = np.searchsorted(known, term[heavy])
+        self.first, self.last = first[at], last[at]
+        self.begin = np.searchsorted(owner[heavy], np.arange(len(pieces) + 1))
 
     def scores(self, piece: int) -> np.ndarray:
         """The BM25 score of every piece against one piece's heaviest terms."""
-        lists = self.queries[piece]
-        return np.bincount(np.concatenate([self.owners[a:b] for a, b in lists]),
-                           np.concatenate([self.weights[a:b] for a, b in lists]), len(self.queries))
+        lo, hi = self.begin[piece], self.begin[piece + 1]
+        lists = [slice(a, b) for a, b in zip(self.first[lo:hi].tolist(), self.last[lo:hi].tolist())]
+        return np.bincount(np.concatenate([self.owners[x] for x in lists]),
+                           np.concatenate([self.weights[x] for x in lists]), len(self.begin) - 1)
 
 
 def fill_windows(pieces: list[np.ndarray], idf: np.ndarray, mean: float, window: int = WINDOW
@@ -283,26 +312,35 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, shard_i
     held, n, mean = term_counts(pieces, size)
     stats = spark.sparkContext.broadcast((rarity(held, n), max(mean, 1.0)))
 
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T.StructType.fromDDL(
+        "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary").fields])
+    stored = code_type(size)
+
+    def widen(batches):
+        import pyarrow as pa
+
+        for batch in _slices(batches, 2000):
+            ids = [c.astype("<u4").tobytes() for c in _codes(batch.column(6), stored)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(ids, pa.binary())], names=schema.names)
+
     whole = pieces.where(F.col("length") == window).select(
         F.col("id").alias(id_col), "start", F.col("length").cast("long").alias("length"), "doc_tokens",
-        (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "ids")
+        (F.col("row") * 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), "ids").mapInArrow(widen, schema)
 
-    rests = _keyed(pieces.where(F.col("length") < window), stats)
+    rests = _keyed(pieces.where(F.col("length") < window), stats, stored)
     sizes = rests.groupBy("term").agg(F.sum("length").alias("n")).collect()     # a row for each term at most
     table = np.array(shard_table([(r["term"], r["n"]) for r in sizes], shard_ids), np.int64).reshape(-1, 3)
     shards = spark.createDataFrame(pd.DataFrame(table, columns=["term", "first", "shards"]),
                                    "term int, first long, shards long")
     dealt = rests.join(F.broadcast(shards), "term").withColumn(
         "shard", F.col("first") + F.pmod(F.xxhash64("row"), F.col("shards"))).drop("term", "first", "shards", "length")
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *T.StructType.fromDDL(
-        "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary").fields])
 
     def run(table):
         import pyarrow as pa
 
         table = table.sort_by("row")
         shard = table["shard"][0].as_py()
-        codes = _codes(table["ids"])
+        codes = _codes(table["ids"], stored)
         starts = table["start"].to_numpy()
         idf, mean = stats.value
         at, sequence, offset, begin, cut = [], [], [], [], []
@@ -313,7 +351,7 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW, shard_i
                 sequence.append(((shard << 20) + k) * 2 + 1)
                 offset.append(o)
                 begin.append(int(starts[i]) + s)
-                cut.append(codes[i][s:s + m].tobytes())
+                cut.append(codes[i][s:s + m].astype("<u4").tobytes())
                 o += m
         length = pa.array([len(c) // 4 for c in cut], pa.int64())
         at = pa.array(at, pa.int64())

@@ -223,12 +223,13 @@ def test_neighbours(table, encode):
 
 def test_bm25_scores():
     rng = np.random.default_rng(1)
-    pieces = [rng.integers(0, 50, rng.integers(1, 40)).astype(np.uint32) for _ in range(30)]
+    pieces = [rng.integers(0, 50, rng.integers(1, 40)).astype(np.uint16) for _ in range(30)]
     held = np.bincount(np.concatenate([np.unique(p) for p in pieces]), minlength=60)
     idf, mean = P.rarity(held, 30), np.mean([len(p) for p in pieces])
     index = P.ShardIndex(pieces, idf, mean)
     for q in range(30):
-        heavy = sorted(((-w, t) for t, w in zip(*P.term_weights(pieces[q], idf, mean))))[:P.QUERY_TERMS]
+        heavy = sorted((-w, t) for _, t, w in zip(*P.weighted_bags([pieces[q]], idf, mean)))[:P.QUERY_TERMS]
+        assert P.heaviest_terms(pieces, idf, mean)[q] == heavy[0][1]
         for i, p in enumerate(pieces):
             tf = {t: list(p).count(t) for _, t in heavy}
             want = sum(np.log1p((30 - held[t] + .5) / (held[t] + .5)) * n * 2.2 / (n + 1.2 * (.25 + .75 * len(p) / mean))
