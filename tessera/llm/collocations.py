@@ -9,21 +9,26 @@ all counts are kept by language.  A phrase is frequent with at least
    words that may be frequent.  The proposals are kept as bits of a filter of
    ``FILTER_BITS``, which is all that is broadcast: a false positive proposes
    a phrase more, and a fuller filter costs counting, never a phrase.
-2. One full pass counts, exactly, all words, the proposals and their negative
-   border: the phrases that are not proposed though the phrases without their
-   last and without their first word are.  Both are told while reading, by
-   the filter, so the border is never written out beyond what occurs.
-3. A frequent phrase outside the proposals is a border failure.  It joins the
-   proposals, and an expansion pass counts what was not counted before and may
-   now be frequent: phrases whose parts are proposed, or are counted in this
-   pass too.  As it does not wait for the counts of such parts, it closes the
-   search: every part of a frequent phrase is frequent, so it was proposed, or
-   failed, or is counted along.
+2. One full pass counts all words, the proposals and their negative border:
+   the phrases that are not proposed though the phrases without their last and
+   without their first word are.  Both are told while reading, by the filter,
+   so the border is never written out beyond what occurs.  As most of the
+   border is rare, this pass counts by 64-bit hashes; a hash that two phrases
+   share can only raise a count, and what reaches ``MIN_COUNT`` is counted
+   again.
+3. What reached it outside the proposals is a border failure.  The expansion
+   pass counts, by the words themselves, all that reached it, and along with
+   it all that was not counted before and may be frequent: phrases whose parts
+   reached it or are counted in this pass for the first time too.  As it does
+   not wait for the counts of such parts, one such pass closes the search:
+   every part of a frequent phrase is frequent, so it reached the count, or is
+   counted along.  These counts are the result.
 
 A task counts some ``CHUNK_WORDS`` words at a time with numpy.  Words have
-numbers within the chunk and a phrase is known by the numbers of its words, so
-no hash stands for a phrase in any count.  Counts of a chunk are added up by
-Spark, with partial aggregation; a hot phrase is one row a chunk.
+numbers within the chunk, and in the last pass a phrase is known by the
+numbers of its words, so no hash stands for a phrase in any result.  Counts of
+a chunk are added up by Spark, with partial aggregation; a hot phrase is one
+row a chunk.
 
 Null text counts as empty, null language as ``und``.  Null ids and repeated
 rows count like any other row.  Other columns are ignored.  An empty table
@@ -52,7 +57,6 @@ TOP = 2000
 
 #: A-Z lower-cased, tab a blank, every end of a piece a full stop
 _FOLD = bytes(32 if b == 9 else 46 if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
-COUNTS = "lang string, phrase string, n long"
 
 
 class _Numbers(dict):
@@ -85,6 +89,10 @@ class _Chunk:
         self.ids.append(np.zeros(1, np.int64))
         self.size += len(words)
 
+    def places(self) -> np.ndarray:
+        """The word number at each place, 0 between pieces and at the end."""
+        return np.concatenate([*self.ids, np.zeros(1, np.int64)])
+
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,18 +108,6 @@ def _lang_hash(lang: str) -> int:
     return xxhash.xxh64_intdigest("\0" + lang)
 
 
-def _hashes(langs: list[str], phrases: list[str]) -> np.ndarray:
-    """The hash a filter knows each phrase by."""
-    import xxhash
-
-    words = [p.split(" ") for p in phrases]
-    h = np.array([_lang_hash(x) for x in langs], np.uint64)
-    for j in range(max(map(len, words), default=0)):
-        at = [i for i, w in enumerate(words) if len(w) > j]
-        h[at] = _mixed(h[at] * _ODD + np.array([xxhash.xxh64_intdigest(words[i][j]) for i in at], np.uint64))
-    return h
-
-
 def _holds(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     """Which hashes the filter (64-bit slots, or none: nothing) holds."""
     out = np.full(len(h), bits is not None)
@@ -146,104 +142,107 @@ def distinct_rows(columns: list[np.ndarray], bits: int) -> tuple[list[np.ndarray
 
 
 def chunk_counts(chunk: _Chunk, bits: np.ndarray | None, done: np.ndarray | None, levels: tuple[int, ...]):
-    """(columns of word numbers, counts) of a chunk's phrases of k words, for
-    each k of ``levels``.
+    """(k, places, hashes) of a chunk's phrases of k words that count, for
+    each k of ``levels``; a phrase is told by the place of its first word.
 
-    A phrase of two words or more counts if both of its parts of one word less
-    are proposed, that is, held by the filter ``bits``.  After an earlier pass
-    with the filter ``done`` only what that pass did not count is counted, and
-    what is counted now passes as proposed.
+    Without ``done`` all words count, and longer phrases of which the filter
+    ``bits`` holds both parts of one word less.  ``done`` is the filter of such
+    a pass and ``bits`` now holds what proved frequent there: that counts, and
+    what the pass did not count if each part is in ``bits`` or counts likewise.
     """
     import xxhash
 
-    ids = np.concatenate([*chunk.ids, np.zeros(1, np.int64)])
+    ids = chunk.places()
     word = np.array([xxhash.xxh64_intdigest(w) for w in chunk.words], np.uint64)
     lang = np.array([_lang_hash(x) for x in chunk.numbers], np.uint64)
     one = _mixed(lang[chunk.langs] * _ODD + word)        # hash of each word as a phrase
-    width = len(word).bit_length()
+    held, before = _holds(bits, one), _holds(done, one)
+    held[0] = before[0] = False       # the end of a piece is no word
     at = np.flatnonzero(ids)
-    hashes = one[ids[at]]
-    fresh = np.full(len(at), done is None)
-    for k in range(1, max(levels) + 1):
-        if k > 1:
-            both = proposed[at] & proposed[at + 1]
-            at, hashes = at[both], hashes[both]
+    hashes, proposed, counted = one[ids[at]], held[ids], before[ids]
+    if 1 in levels:
+        wanted = slice(None) if done is None else proposed[at]
+        yield 1, at[wanted], hashes[wanted]
+    for k in range(2, max(levels) + 1):
+        both = proposed[at] & proposed[at + 1]
+        at, hashes = at[both], hashes[both]
+        hashes = _mixed(hashes * _ODD + word[ids[at + k - 1]])
+        held, wanted = _holds(bits, hashes), slice(None)
+        if done is not None:
             fresh = ~(counted[at] & counted[at + 1])
-            hashes = _mixed(hashes * _ODD + word[ids[at + k - 1]])
+            wanted = held = held | fresh
+            counted = np.zeros(len(ids), bool)
+            counted[at] = _holds(done, hashes) & ~fresh
         if k in levels:
-            here = at[fresh]
-            if k == 1:
-                n = np.bincount(ids[here], minlength=len(word))
-                held = np.flatnonzero(n)
-                yield [held], n[held]
-            elif len(here):
-                yield distinct_rows([ids[here + j] for j in range(k)], width)
+            yield k, at[wanted], hashes[wanted]
         if k < max(levels):
-            proposed, counted = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
-            if k == 1:       # by word, not by place
-                proposed[at], counted[at] = _holds(bits, one)[ids[at]], _holds(done, one)[ids[at]]
-            else:
-                proposed[at] = _holds(bits, hashes)
-                if done is not None:
-                    proposed[at] |= fresh
-                    counted[at] = _holds(done, hashes) & ~fresh
+            proposed = np.zeros(len(ids), bool)
+            proposed[at] = held
+
+
+def _chunks(batches, chunk_words: int):
+    """Chunks of the Arrow batches (lang, text)."""
+    chunk = _Chunk()
+    for batch in batches:
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            chunk.add(lang.as_py(), text.as_py())
+            if chunk.size >= chunk_words:
+                yield chunk
+                chunk = _Chunk()
+    if chunk.ids:
+        yield chunk
+
+
+def hash_counts(docs: DataFrame, bits=None, levels: tuple[int, ...] = (1, 2, 3, 4),
+                chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """(hash, n) of the phrases of ``docs`` (lang, text) that count with the
+    broadcast filter ``bits``."""
+    def run(batches):
+        import pyarrow as pa
 
+        for chunk in _chunks(batches, chunk_words):
+            for _, _, hashes in chunk_counts(chunk, bits and bits.value, None, levels):
+                h, n = np.unique(hashes, return_counts=True)
+                for lo in range(0, len(h), ROWS):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h[lo:lo + ROWS].view(np.int64)), pa.array(n[lo:lo + ROWS])], names=["hash", "n"])
 
-def phrase_counts(docs: DataFrame, bits=None, done=None, levels: tuple[int, ...] = (1, 2, 3, 4),
+    return docs.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+
+
+def phrase_counts(docs: DataFrame, bits, done, levels: tuple[int, ...] = (1, 2, 3, 4),
                   chunk_words: int = CHUNK_WORDS) -> DataFrame:
-    """(lang, phrase, n): exact counts of the phrases of ``docs`` (lang, text)
-    that :func:`chunk_counts` counts with the broadcast filters ``bits`` and
-    ``done``.  If words are counted, the empty phrase has their sum."""
+    """(lang, phrase, n): exact counts of the phrases that count with the
+    broadcast filters ``bits`` and ``done``.  The empty phrase has the number
+    of a language's words."""
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        now, before = bits and bits.value, done and done.value
-
-        def rows(chunk):
+        names = ["lang", "phrase", "n"]
+        for chunk in _chunks(batches, chunk_words):
             words, langs = pa.array(chunk.words, pa.binary()).cast(pa.string()), np.array(chunk.langs)
-            names = pa.array(list(chunk.numbers))
-            for columns, n in chunk_counts(chunk, now, before, levels):
-                if len(columns) == 1:
-                    total = np.bincount(langs[columns[0]], n, len(names)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([names, pa.array([""] * len(names)), pa.array(total)],
-                                                     names=["lang", "phrase", "n"])
+            ids, spoken = chunk.places(), pa.array(list(chunk.numbers))
+            total = np.bincount(langs[ids[ids > 0]], minlength=len(spoken))
+            yield pa.RecordBatch.from_arrays([spoken, pa.array([""] * len(spoken)), pa.array(total)], names=names)
+            for k, at, _ in chunk_counts(chunk, bits.value, done.value, levels):
+                if not len(at):
+                    continue
+                columns, n = distinct_rows([ids[at + j] for j in range(k)], len(words).bit_length())
                 for lo in range(0, len(n), ROWS):
                     part = [words.take(pa.array(c[lo:lo + ROWS])) for c in columns]
-                    phrase = pc.binary_join_element_wise(*part, " ") if len(part) > 1 else part[0]
-                    lang = names.take(pa.array(langs[columns[0][lo:lo + ROWS]]))
-                    yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(n[lo:lo + ROWS])], names=["lang", "phrase", "n"])
-
-        chunk = _Chunk()
-        for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1)):
-                chunk.add(lang.as_py(), text.as_py())
-                if chunk.size >= chunk_words:
-                    yield from rows(chunk)
-                    chunk = _Chunk()
-        if chunk.ids:
-            yield from rows(chunk)
-
-    return docs.mapInArrow(run, COUNTS).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-
+                    phrase = pc.binary_join_element_wise(*part, " ") if k > 1 else part[0]
+                    lang = spoken.take(pa.array(langs[columns[0][lo:lo + ROWS]]))
+                    yield pa.RecordBatch.from_arrays([lang, phrase, pa.array(n[lo:lo + ROWS])], names=names)
 
-def _hashed(found: DataFrame) -> DataFrame:
-    """``found`` (lang, phrase, n) with the phrases' hashes."""
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            h = _hashes(b.column(0).to_pylist(), b.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(h.view(np.int64))], names=[*b.schema.names, "hash"])
-
-    return found.mapInArrow(run, COUNTS + ", hash long")
+    return docs.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def filter_bits(found: DataFrame, size: int, old: np.ndarray | None = None) -> np.ndarray:
-    """The filter of ``size`` bits that holds ``old`` and the phrases of
-    ``found``.  At most size / 64 rows reach the driver."""
+def filter_bits(hashes: DataFrame, size: int, old: np.ndarray | None = None) -> np.ndarray:
+    """The filter of ``size`` bits that holds ``old`` and the column ``hash``.
+    At most size / 64 rows reach the driver."""
     places = F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(size - 1) for s in SHIFTS])
-    rows = (_hashed(found).select(F.explode(places).alias("p"))
+    rows = (hashes.select(F.explode(places).alias("p"))
             .select(F.shiftright("p", 6).alias("slot"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("bit"))
             .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(size // 64, np.uint64) if old is None else old.copy()
@@ -251,29 +250,11 @@ def filter_bits(found: DataFrame, size: int, old: np.ndarray | None = None) -> n
     return out
 
 
-def _words_of(phrase: str = "phrase"):
-    """Words of a phrase; 0 for the empty one."""
-    return F.when(F.col(phrase) == "", 0).otherwise(F.size(F.split(phrase, " ")))
-
-
-def _failures(found: DataFrame, bits) -> DataFrame:
-    """The phrases that the filter does not hold though they can be part of a
-    longer one."""
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            h = b.column(3).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays(b.columns[:3], names=b.schema.names[:3]).filter(pa.array(~_holds(bits.value, h)))
-
-    return _hashed(found.where(_words_of().between(1, LONGEST - 1))).mapInArrow(run, COUNTS)
-
-
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      min_count: int = MIN_COUNT, share: int = SHARE, sample_count: int = SAMPLE_COUNT,
-                     size: int = FILTER_BITS, chunk_words: int = CHUNK_WORDS) -> tuple[DataFrame, int]:
-    """((lang, k, phrase, n), passes): every phrase of 1 to 4 words with at
-    least ``min_count`` occurrences; k = 0 has a language's number of words."""
+                     size: int = FILTER_BITS, chunk_words: int = CHUNK_WORDS) -> DataFrame:
+    """(lang, k, phrase, n): every phrase of 1 to 4 words with at least
+    ``min_count`` occurrences; k = 0 has a language's number of words."""
     spark = docs.sparkSession
     base = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -281,20 +262,17 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts = base.select("lang", "text")
     sample = staged(base.where(F.pmod("h", F.lit(share)) == 0).select("lang", "text"))
 
-    held, sent = None, None
+    held, proposed = None, None
     for k in range(1, LONGEST):
-        proposed = phrase_counts(sample, sent, levels=(k,), chunk_words=chunk_words)
-        held = filter_bits(proposed.where((F.col("n") >= sample_count) & (F.col("phrase") != "")), size, held)
-        sent = spark.sparkContext.broadcast(held)
-
-    counts = phrase_counts(texts, sent, chunk_words=chunk_words)
-    found, passes = staged(counts.where((F.col("n") >= min_count) | (F.col("phrase") == ""))), 1
-    failed = staged(_failures(found, sent))
-    if not failed.isEmpty():
-        more = spark.sparkContext.broadcast(filter_bits(failed, size, held))
-        counts = phrase_counts(texts, more, sent, (2, 3, 4), chunk_words)
-        found, passes = found.unionByName(staged(counts.where(F.col("n") >= min_count))), 2
-    return found.select("lang", _words_of().alias("k"), "phrase", "n"), passes
+        frequent = hash_counts(sample, proposed, (k,), chunk_words).where(F.col("n") >= sample_count)
+        held = filter_bits(frequent, size, held)
+        proposed = spark.sparkContext.broadcast(held)
+    reached = hash_counts(texts, proposed, chunk_words=chunk_words).where(F.col("n") >= min_count)
+    reached = spark.sparkContext.broadcast(filter_bits(reached, size))
+    counts = phrase_counts(texts, reached, proposed, chunk_words=chunk_words)
+    found = staged(counts.where((F.col("n") >= min_count) | (F.col("phrase") == "")))
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return found.select("lang", words.alias("k"), "phrase", "n")
 
 
 def _big(c: str) -> Column:
@@ -337,4 +315,4 @@ def collocations(found: DataFrame, top: int = TOP) -> DataFrame:
 
 def mine_collocations(docs: DataFrame, **options) -> DataFrame:
     """:func:`collocations` of the frequent phrases of ``docs``."""
-    return collocations(frequent_phrases(docs, **options)[0])
+    return collocations(frequent_phrases(docs, **options))
