@@ -49,8 +49,9 @@ SHARE = 10             # one of so many rows is in the sample
 SAMPLE_COUNT = 2
 FILTER_BITS = 1 << 26
 SHIFTS = (0, 18, 37)   # the filter's three places of a hash
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 500_000
 ROWS = 50_000          # of an emitted batch
+MERGED = 1_000_000     # hashes of a task that are added up before they are sent
 SCALE = 2_000_000      # of the score
 PART_NUM, PART_DEN = 80, 100
 TOP = 2000
@@ -193,21 +194,45 @@ def _chunks(batches, chunk_words: int):
         yield chunk
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct hashes of some (hashes, counts), with the sums."""
+    h, n = (np.concatenate(c) for c in zip(*parts))
+    order = np.argsort(h, kind="stable")
+    h, n = h[order], n[order]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[:len(h)])
+    return h[first], np.add.reduceat(n, first) if len(h) else n
+
+
 def hash_counts(docs: DataFrame, bits=None, levels: tuple[int, ...] = (1, 2, 3, 4),
                 chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """(hash, n) of the phrases of ``docs`` (lang, text) that count with the
-    broadcast filter ``bits``."""
+    broadcast filter ``bits``.  A task adds up its chunks itself, so its rows
+    are distinct but for every ``MERGED``, and go to the shuffle as they are."""
     def run(batches):
         import pyarrow as pa
 
+        def rows(parts):
+            h, n = _added(parts)
+            for lo in range(0, len(h), ROWS):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[lo:lo + ROWS].view(np.int64)), pa.array(n[lo:lo + ROWS])], names=["hash", "n"])
+
+        parts, size = [], 0
         for chunk in _chunks(batches, chunk_words):
             for _, _, hashes in chunk_counts(chunk, bits and bits.value, None, levels):
-                h, n = np.unique(hashes, return_counts=True)
-                for lo in range(0, len(h), ROWS):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(h[lo:lo + ROWS].view(np.int64)), pa.array(n[lo:lo + ROWS])], names=["hash", "n"])
-
-    return docs.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+                parts.append(np.unique(hashes, return_counts=True))
+                size += len(parts[-1][0])
+            if size > 2 * MERGED:
+                parts = [_added(parts)]
+                size = len(parts[0][0])
+                if size > MERGED:
+                    yield from rows(parts)
+                    parts, size = [], 0
+        if parts:
+            yield from rows(parts)
+
+    return (docs.mapInArrow(run, "hash long, n long").repartition("hash")
+            .groupBy("hash").agg(F.sum("n").alias("n")))
 
 
 def phrase_counts(docs: DataFrame, bits, done, levels: tuple[int, ...] = (1, 2, 3, 4),
