@@ -1,14 +1,16 @@
 """k-means with given seeds, truncating integer means and explicit rules.
 
-One round = one Spark job: every point picks its nearest centroid with a
-map-side expression over a literal array of the k centroids (no join, no
-shuffle), then ``groupBy(pos)`` sums coordinates with partial aggregation, so
-each map task ships at most k rows and a cluster holding a third of all
-points costs no more than any other.  Rounds read a persisted table of
-distinct coordinates with their point counts (exactly equivalent, and bounded
-by the integer grid).  Only the k new centroids come back to the driver; the
-next round is rebuilt from that table and a fresh literal, so the plan does not
-grow with the number of rounds.
+One round = one Spark job: every task finds the nearest centroid of its points
+in Arrow batches with numpy and returns at most k partial sums, so a cluster
+holding a third of all points costs no more than any other.  The centroids go
+out by broadcast, not as plan text, so there may be thousands of them and the
+plan does not change from round to round.  2-D rounds read a persisted table
+of distinct coordinates with their point counts (exactly equivalent, and
+bounded by the integer grid) in Morton order, in which bounds on boxes of
+neighbouring points leave out most distances
+(:mod:`tessera.functions.geometry`).  The bounds need no state of their own:
+nothing is written between rounds.  Several 2-D runs share each round's job.
+Only the k new centroids of a run come back to the driver.
 
 Semantics kept from the reference jobs:
 
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.fixed import ROUNDS_ND, THRESHOLD_2D, THRESHOLD_ND
-from tessera.functions.geometry import centroid_array2d_sql, nearest2d
+from tessera.functions.geometry import MAX_COORDINATE, Boxes, morton, nearest, nearest_in
 from tessera.session import cores
 
 Centroid2D = tuple[int, int]
@@ -56,14 +58,36 @@ def _trunc_div(a: int, b: int) -> int:
 
 # ---------------------------------------------------------------- 2-D family
 
+def _places(centroids: Sequence[Centroid2D]) -> tuple[np.ndarray, np.ndarray]:
+    c = np.array(centroids, np.int64).reshape(-1, 2)
+    if len(c) and np.abs(c).max() >= MAX_COORDINATE:
+        raise OverflowError(f"a centroid beyond {MAX_COORDINATE}")
+    return c[:, 0].copy(), c[:, 1].copy()
+
+
+def _whole(column) -> np.ndarray:
+    import pyarrow as pa
+
+    return column.cast(pa.int64()).to_numpy(zero_copy_only=False)
+
+
 def assign2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y") -> DataFrame:
     """Points with ``pos``, ``cx``, ``cy`` of their nearest centroid.  Points
     without both coordinates are skipped, as the fit skips them."""
-    best = nearest2d(x, y, centroids)
-    lookup = F.expr(centroid_array2d_sql(centroids))
-    out = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("_best", best).withColumn("pos", F.col("_best.pos"))
-    c = F.element_at(lookup, F.col("pos") + 1)
-    return out.withColumn("cx", c["cx"]).withColumn("cy", c["cy"]).drop("_best")
+    sent = points.sparkSession.sparkContext.broadcast(_places(centroids))
+    schema = T.StructType(points.schema.fields + T.StructType.fromDDL("pos int, cx bigint, cy bigint").fields)
+    ix, iy = points.columns.index(x), points.columns.index(y)
+
+    def run(batches):
+        import pyarrow as pa
+
+        cx, cy = sent.value
+        for b in batches:
+            pos = nearest(_whole(b.column(ix)), _whole(b.column(iy)), cx, cy)
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(pos, pa.int32()), pa.array(cx[pos]), pa.array(cy[pos])], names=schema.names)
+
+    return points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).mapInArrow(run, schema)
 
 
 def weighted_coordinates(points: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
@@ -76,22 +100,81 @@ def weighted_coordinates(points: DataFrame, x: str = "x", y: str = "y") -> DataF
             .groupBy("x", "y").agg(F.count(F.lit(1)).alias("w")))
 
 
+def _partial_sums(x: np.ndarray, y: np.ndarray, w: np.ndarray, runs) -> list[tuple]:
+    """(run, pos, sx, sy, n, distances) of some points in boxes of neighbours:
+    boxes with one candidate are added whole.  Sums are exact integers."""
+    boxes, out = Boxes(x, y), []
+    if not len(x):
+        return out
+    far = max(int(np.abs(x).max()), int(np.abs(y).max()), 1)
+    if float(np.abs(w).sum(dtype=np.float64)) * far >= 2.0 ** 62:
+        raise OverflowError("sums of coordinates beyond 64 bits")
+    point = np.column_stack([w * x, w * y, w])
+    whole = np.add.reduceat(point, boxes.start)
+    for run, (cx, cy) in runs.items():
+        only, pos, computed = nearest_in(boxes, cx, cy)
+        sums = np.zeros((len(cx), 3), np.int64)
+        won = only >= 0
+        np.add.at(sums, only[won], whole[won])
+        rest = np.repeat(~won, boxes.size)
+        np.add.at(sums, pos[rest], point[rest])
+        for i in np.flatnonzero(sums[:, 2]):
+            out.append((run, int(i), *sums[i].tolist(), computed))
+            computed = 0
+    return out
+
+
+#: partial sums that a round may bring to the driver without adding them up
+#: in the cluster first
+MAX_PARTIALS = 50_000
+
+
+def step_runs(points: DataFrame, runs: dict[int, Sequence[Centroid2D]], x: str = "x", y: str = "y",
+              weight: str | None = None, tasks: int | None = None
+              ) -> dict[int, tuple[list[Centroid2D], list[int], int]]:
+    """One round of several runs over the same points, as one job: for each
+    run its new centroids in next-round order, their sizes, and the distances
+    computed.  ``weight`` names a column of point counts (see
+    :func:`weighted_coordinates`).  With ``tasks``, the number of partitions,
+    it is known how many partial sums there can be; up to ``MAX_PARTIALS`` they
+    are added up on the driver, which saves the round a shuffle."""
+    sent = points.sparkSession.sparkContext.broadcast({r: _places(c) for r, c in runs.items()})
+
+    def run(batches):
+        import pyarrow as pa
+
+        total: dict[tuple[int, int], np.ndarray] = {}
+        for b in batches:
+            w = _whole(b.column(2)) if weight else np.ones(b.num_rows, np.int64)
+            for r, i, *sums in _partial_sums(_whole(b.column(0)), _whole(b.column(1)), w, sent.value):
+                held = total.get((r, i))
+                total[r, i] = np.array(sums, object) if held is None else held + sums
+        rows = [(*k, *v) for k, v in total.items()]
+        names = ["run", "pos", "sx", "sy", "n", "computed"]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([int(row[j]) for row in rows], pa.int32() if j < 2 else pa.int64()) for j in range(6)], names=names)
+
+    part = (points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y, *([weight] if weight else []))
+            .mapInArrow(run, "run int, pos int, sx long, sy long, n long, computed long"))
+    if tasks is None or tasks * sum(map(len, runs.values())) > MAX_PARTIALS:
+        part = part.groupBy("run", "pos").agg(*[F.sum(c).alias(c) for c in ("sx", "sy", "n", "computed")])
+    sums: dict[int, dict[int, list[int]]] = {r: {} for r in runs}
+    for r, i, *v in part.collect():
+        held = sums[r].get(i)
+        sums[r][i] = v if held is None else [p + q for p, q in zip(held, v)]
+    sent.unpersist()
+    out = {}
+    for r, centroids in runs.items():
+        rows = sorted((f"{centroids[i][0]},{centroids[i][1]}".encode(), (_trunc_div(sx, n), _trunc_div(sy, n)), n)
+                      for i, (sx, sy, n, _) in sums[r].items())
+        out[r] = [t[1] for t in rows], [t[2] for t in rows], sum(v[3] for v in sums[r].values())
+    return out
+
+
 def step2d(points: DataFrame, centroids: Sequence[Centroid2D], x: str = "x", y: str = "y",
            weight: str | None = None) -> tuple[list[Centroid2D], list[int]]:
-    """One round: new centroids in next-round order, and their sizes.
-    ``weight`` names a column of point counts (see :func:`weighted_coordinates`)."""
-    best = nearest2d(x, y, centroids)
-    w = F.col(weight) if weight else F.lit(1).cast("bigint")
-    per = (points.select(best["pos"].alias("pos"), (F.col(x).cast("bigint") * w).alias("x"),
-                         (F.col(y).cast("bigint") * w).alias("y"), w.alias("w"))
-           .groupBy("pos").agg(F.sum("x").alias("sx"), F.sum("y").alias("sy"), F.sum("w").alias("n"))
-           .collect())
-    rows = []
-    for r in per:
-        ox, oy = centroids[r["pos"]]
-        rows.append((f"{ox},{oy}".encode(), (_trunc_div(r["sx"], r["n"]), _trunc_div(r["sy"], r["n"])), r["n"]))
-    rows.sort(key=lambda t: t[0])
-    return [t[1] for t in rows], [t[2] for t in rows]
+    """One round: new centroids in next-round order, and their sizes."""
+    return step_runs(points, {0: centroids}, x, y, weight)[0][:2]
 
 
 def converged2d(previous: Sequence[Centroid2D], current: Sequence[Centroid2D], threshold: float) -> bool:
@@ -112,6 +195,7 @@ class KMeansResult:
     history: list = field(default_factory=list)   # (iteration, centroids)
     points: int | None = None  # input rows seen when the loop input was built
     skipped: int | None = None # of which left out (null coordinates, other dimension)
+    computed: list[int] = field(default_factory=list)   # 2-D: distances computed in each round
 
 
 def _observed_input(df: DataFrame, valid) -> tuple[DataFrame, Observation]:
@@ -123,38 +207,46 @@ def _observed_input(df: DataFrame, valid) -> tuple[DataFrame, Observation]:
 
 
 def prepare2d(points: DataFrame, x: str = "x", y: str = "y", observation: list | None = None) -> DataFrame:
-    """The persisted loop input: weighted distinct coordinates over all cores.
-    The caller unpersists it.  Pass a list as ``observation`` to receive the
-    :class:`Observation` with the input row counts."""
+    """The persisted loop input: weighted distinct coordinates in Morton order
+    over as many partitions as there are cores.  The caller unpersists it.
+    Pass a list as ``observation`` to receive the :class:`Observation` with
+    the input row counts."""
     src, obs = _observed_input(points, F.col(x).isNotNull() & F.col(y).isNotNull())
     if observation is not None:
         observation.append(obs)
-    return spread(weighted_coordinates(src, x, y)).persist(StorageLevel.MEMORY_AND_DISK)
+    place = weighted_coordinates(src, x, y).withColumn("place", morton(F.col("x"), F.col("y")))
+    return (place.repartitionByRange(cores(points.sparkSession), "place").sortWithinPartitions("place")
+            .drop("place").persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def fit_prepared2d(pts: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = THRESHOLD_2D,
-                   early_stop: bool = True) -> KMeansResult:
-    """Rounds over a table from :func:`prepare2d` (see :func:`fit2d`)."""
-    if not seeds:
+def fit_runs2d(pts: DataFrame, seeds: dict[int, Sequence[Centroid2D]], max_iter: int, threshold: float = THRESHOLD_2D,
+               early_stop: bool = True) -> dict[int, KMeansResult]:
+    """Several runs over a table from :func:`prepare2d` (see :func:`fit2d`).
+    All runs that have not stopped share a round's job, so there are as many
+    jobs as the longest run has rounds."""
+    if not all(seeds.values()):
         raise ValueError("no seeds")
-    prev = list(seeds)
-    history, sizes, converged, it = [], [], False, 0
+    tasks = cores(pts.sparkSession)
+    out = {r: KMeansResult(list(s), [], 0, False) for r, s in seeds.items()}
+    running = dict(seeds)
     for it in range(1, max_iter + 1):
-        cur, sizes = step2d(pts, prev, weight="w")
-        history.append((it, cur))
-        if early_stop and it >= 2 and converged2d(prev, cur, threshold):
-            converged = True
-            prev = cur
+        for r, (cur, sizes, computed) in step_runs(pts, {r: out[r].centroids for r in running}, weight="w", tasks=tasks).items():
+            res, prev = out[r], out[r].centroids
+            res.centroids, res.sizes, res.iterations = cur, sizes, it
+            res.history.append((it, cur))
+            res.computed.append(computed)
+            if early_stop and it >= 2 or not early_stop and it == max_iter:
+                res.converged = converged2d(prev, cur, threshold)
+            if early_stop and res.converged:
+                del running[r]
+        if not running:
             break
-        if not early_stop and it == max_iter:
-            converged = converged2d(prev, cur, threshold)
-        prev = cur
-    return KMeansResult(prev, sizes, it, converged, history)
+    return out
 
 
 def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, threshold: float = THRESHOLD_2D,
           early_stop: bool = True, x: str = "x", y: str = "y") -> KMeansResult:
-    """Rounds of :func:`step2d`.
+    """Rounds of :func:`step_runs`.
 
     ``early_stop=True``: from round 2 on, stop as soon as the round converged
     (jobs C3, C4, C6).  ``early_stop=False``: run all ``max_iter`` rounds and
@@ -164,7 +256,7 @@ def fit2d(points: DataFrame, seeds: Sequence[Centroid2D], max_iter: int, thresho
     seen: list = []
     pts = prepare2d(points, x, y, seen)
     try:
-        res = fit_prepared2d(pts, seeds, max_iter, threshold, early_stop)
+        res = fit_runs2d(pts, {0: seeds}, max_iter, threshold, early_stop)[0]
         m = seen[0].get
         res.points, res.skipped = int(m["rows"]), int(m["rows"] - (m["valid"] or 0))
         return res

@@ -6,21 +6,31 @@ points are first reduced to distinct ``(cluster, x, y)`` with a weight ``w``
 distance from a coordinate to a cluster is ``S(q, c) / |c|`` with
 ``S(q, c) = sum of w_r * |q - r|`` over the cluster's coordinates ``r``.
 
-``S`` is computed on a grid of cells.  Query coordinates are hashed into
-``nq`` groups, each cluster's coordinates into reference groups of one cluster
-each (``nr`` in all), both of about ``block_rows`` rows (by default chosen
-from the number of distinct coordinates, the task slots and the memory of a
-group, see :func:`block_rows_for`; hash of distinct keys, so no group can grow
-with a hot key).  Clusters are numbered in a table that is joined, so there
-may be any number of them.  Cell ``(i, j)`` pairs
-query group ``i`` with reference group ``j``: every query row is copied to the
-``nr`` cells of its group and every reference row to the ``nq`` cells of its
-group, the two sides are co-grouped by cell, and a numpy kernel
-(``cogroup().applyInPandas``) turns a cell into one partial sum per query
-coordinate.  Spark then adds the partial sums per (coordinate, cluster) with
-partial aggregation.  Shuffled data is ``D * (nq + nr)`` small rows for ``D``
-distinct coordinates, memory per cell is bounded, no pair is ever a row, and
-the work is exact and quadratic in ``D`` -- which is what the measure asks for.
+Of all clusters but the own one only the least mean matters, and two bounds
+leave most of them out.  With ``d`` the distance from q to the cluster's true
+mean and ``V`` the mean squared distance of its points from that mean,
+
+    d  <=  S(q, c) / |c|  <=  sqrt(d^2 + V)
+
+(Jensen's inequality, for the norm and for the root).  A cluster whose lower
+bound exceeds the least upper bound of the others cannot have the least mean,
+so q never meets it.  The bounds need one exact sum per cluster and no pass of
+their own; the clusters that are left are computed exactly.
+
+``S`` is computed on a grid of cells.  Each cluster's coordinates are hashed
+into groups of about ``block_rows`` rows (by default chosen from the number of
+distinct coordinates, the task slots and the memory of a group; hash of
+distinct keys, so no group can grow with a hot key).  Clusters are numbered in a table that is joined, so there may be any
+number of them.  A cell pairs the coordinates of group ``i`` that need a
+cluster with group ``j`` of that cluster: every query row is copied to the
+groups of the clusters it needs, every reference row to the groups of the
+clusters with a query that needs its own, the two sides are co-grouped by
+cell, and a numpy kernel (``cogroup().applyInPandas``) turns a cell into one
+partial sum per query coordinate.  Cells that no query needs do not exist.
+Spark then adds the partial sums per (coordinate, cluster) with partial
+aggregation.  Memory per cell is bounded, no pair is ever a row, and the work
+is exact and quadratic in the coordinates of neighbouring clusters -- which is
+what the measure asks for.
 
 Several clusterings (a column ``run`` tells them apart) are scored in one such
 job: the grid of each is its own, and only the scheduling is shared.
@@ -46,6 +56,7 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.joins import checked_broadcast
 from tessera.session import cores, ensure_checkpoint_dir
@@ -100,11 +111,97 @@ def coordinate_weights(assign: DataFrame, cluster: str = "pos", x: str = "x", y:
             .groupBy(*[F.col(c).alias(name) for name, c in keys.items()]).agg(w.alias("w")))
 
 
-def block_rows_for(n_coords: int, slots: int) -> int:
-    """Group size: moved data falls as groups grow (about 2 D^2 / block rows),
-    parallelism needs about 4 cells per task slot, and a group fits
-    ``GROUP_BYTES``."""
-    return max(MIN_BLOCK_ROWS, min(GROUP_BYTES // ROW_BYTES, math.ceil(n_coords / math.sqrt(4 * max(1, slots)))))
+SLACK = 1e-9   # relative: bounds are rounded, a cluster that could tie is kept
+
+
+def _bounds_kernel(table, each: bool):
+    """Adds ``rcid`` to coordinates (.., cid, x, y at the places given by
+    ``each``), one row for each cluster they need: their own, and the others
+    whose lower bound does not exceed the least upper bound.  ``table`` is the
+    broadcast {run: (cid, mean x, mean y, mean squared distance)}."""
+    import numpy as np
+
+    doubles = KERNEL_DOUBLES
+
+    def run(batches):
+        import pyarrow as pa
+
+        clusters = table.value
+        for b in batches:
+            runs = b.column(0).to_pylist() if each else [None] * b.num_rows
+            first = 1 if each else 0
+            cid, x, y = (b.column(first + j).to_numpy(zero_copy_only=False) for j in range(3))
+            at, needed = [], []
+            places = {}
+            for i, r in enumerate(runs):
+                places.setdefault(r, []).append(i)
+            for r, rows in places.items():
+                ids, mx, my, v = clusters[r]
+                step = max(1, doubles // len(ids))
+                for lo in range(0, len(rows), step):
+                    part = np.array(rows[lo:lo + step])
+                    d2 = (x[part, None] - mx) ** 2 + (y[part, None] - my) ** 2
+                    own = ids == cid[part, None]
+                    least = np.where(own, np.inf, d2 + v).min(axis=1)
+                    row, c = np.nonzero(own | (d2 * (1 - SLACK) <= least[:, None] * (1 + SLACK)))
+                    at.append(part[row])
+                    needed.append(ids[c])
+            if at:
+                table_ = pa.Table.from_batches([b]).take(pa.array(np.concatenate(at)))
+                table_ = table_.append_column("rcid", pa.array(np.concatenate(needed), pa.int32()))
+                yield from table_.to_batches()
+
+    return run
+
+
+def needed_clusters(coords: DataFrame, stats: DataFrame, run: str | None = None) -> DataFrame:
+    """Rows (.., rcid) of ``coords`` (run, cid, x, y, ..) for every cluster
+    they need, from ``stats`` (run, cid, n, sx, sy, sq) with the exact sums of
+    weight, coordinates and squares.  Above ``MAX_BROADCAST_CLUSTERS`` clusters
+    no bounds are taken: every cluster is needed."""
+    import numpy as np
+
+    each = ["run"] if run else []
+    rows = stats.select(*each, "cid", "n", "sx", "sy", "sq").limit(MAX_BROADCAST_CLUSTERS + 1).collect()
+    if len(rows) > MAX_BROADCAST_CLUSTERS:
+        # ids are consecutive within a clustering
+        span = stats.groupBy(*each).agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"))
+        if each:
+            spanned = coords.join(span, each)
+        else:
+            lo, hi = span.first()
+            spanned = coords.select("*", F.lit(lo).alias("lo"), F.lit(hi).alias("hi"))
+        return spanned.select(*coords.columns, F.explode(F.sequence("lo", "hi")).alias("rcid"))
+    table: dict = {}
+    for r in rows:
+        n, sx, sy, sq = (int(r[c]) for c in ("n", "sx", "sy", "sq"))
+        table.setdefault(r["run"] if run else None, []).append(
+            (r["cid"], sx / n, sy / n, (n * sq - sx * sx - sy * sy) / (n * n)))
+    sent = coords.sparkSession.sparkContext.broadcast(
+        {k: (np.array([c[0] for c in v], np.int32), *(np.array([c[j] for c in v]) for j in (1, 2, 3)))
+         for k, v in table.items()})
+    schema = T.StructType([*coords.schema.fields, T.StructField("rcid", T.IntegerType())])
+    return coords.mapInArrow(_bounds_kernel(sent, bool(run)), schema)
+
+
+def _numbered(W: DataFrame, each: list[str], block_rows: int | None, slots: int) -> DataFrame:
+    """Clusters with dense id, points, exact sums, and their groups: how many
+    and the number of the first."""
+    w, x, y = (F.col(c).cast("decimal(38,0)") for c in ("w", "x", "y"))
+    per_cluster = W.groupBy(*each, "cluster").agg(
+        F.sum("w").alias("n"), F.count(F.lit(1)).alias("d"), F.sum(w * x).alias("sx"), F.sum(w * y).alias("sy"),
+        F.sum(w * (x * x + y * y)).alias("sq"))
+    if block_rows is None:
+        # moved data falls as groups grow, parallelism needs about 4 cells for
+        # each task slot, and a group fits GROUP_BYTES
+        share = F.ceil(F.sum("d").over(Window.partitionBy()) / F.lit(math.sqrt(4 * max(1, slots))))
+        rows = F.greatest(F.lit(MIN_BLOCK_ROWS), F.least(F.lit(GROUP_BYTES // ROW_BYTES), share))
+    else:
+        rows = F.lit(block_rows)
+    order = Window.orderBy(*each, "cluster")
+    return (per_cluster.select("*", F.ceil(F.col("d") / rows).alias("nb"))
+            .select("*", (F.row_number().over(order) - 1).alias("cid"),
+                    (F.sum("nb").over(order) - F.col("nb")).alias("first")).checkpoint(eager=True))
 
 
 def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x", y: str = "y",
@@ -121,36 +218,34 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     ensure_checkpoint_dir(assign.sparkSession)
     W = coordinate_weights(assign, cluster, x, y, weight, run).checkpoint(eager=True)
     each = ["run"] if run else []
-    per_cluster = W.groupBy(*each, "cluster").agg(F.sum("w").alias("n"), F.count(F.lit(1)).alias("d"))
-    k, n_coords = per_cluster.agg(F.count(F.lit(1)), F.coalesce(F.sum("d"), F.lit(0))).first()
-    if block_rows is None:
-        block_rows = block_rows_for(n_coords, slots)
-    # one row per cluster: dense id, points, reference groups, the first of
-    # them, and both numbers of groups of the clustering
-    one = Window.partitionBy(*each)
-    before = one.orderBy("cluster")
-    stats = (per_cluster.select("*", F.ceil(F.col("d") / F.lit(block_rows)).alias("nb"))
-             .select("*", (F.row_number().over(Window.orderBy(*each, "cluster")) - 1).alias("cid"),
-                     (F.sum("nb").over(before) - F.col("nb")).alias("first"),
-                     F.sum("nb").over(one).alias("nr"),
-                     F.ceil(F.sum("d").over(one) / F.lit(block_rows)).alias("nq")))
-    small = F.broadcast if k <= MAX_BROADCAST_CLUSTERS else (lambda df: df)
-    cells, moved = stats.agg(F.sum(F.col("nb") * F.col("nq")),
-                             F.sum(F.col("d") * (F.col("nq") + F.col("nr")))).first()
-    parts = max(1, min(cells or 0, max(4 * slots, math.ceil((moved or 0) * ROW_BYTES / TASK_BYTES))))
+    stats = _numbered(W, each, block_rows, slots)
+    small = F.broadcast if stats.count() <= MAX_BROADCAST_CLUSTERS else (lambda df: df)
 
     coords = W.join(small(stats), [*each, "cluster"]).select(
         *each, "cid", F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "w",
-        "nb", "first", "nr", "nq")
-    # each query row goes to the nr cells of its row, each reference row to the nq cells of its column
-    cell = [*[F.col(c).alias(c) for c in each], (F.col("gq") * F.col("nr") + F.col("gr")).alias("cell")]
-    key, zero = [*each, "cell"], F.lit(0).cast("bigint")
-    q_side = (coords.withColumn("gq", F.pmod(F.xxhash64("cid", "x", "y", F.lit(17)), F.col("nq")))
-              .select("*", F.explode(F.sequence(zero, F.col("nr") - 1)).alias("gr"))
-              .select(*cell, "cid", "x", "y", "w").repartition(parts, *key))
-    r_side = (coords.withColumn("gr", F.col("first") + F.pmod(F.xxhash64("x", "y"), F.col("nb")))
-              .select("*", F.explode(F.sequence(zero, F.col("nq") - 1)).alias("gq"))
-              .select(*cell, *[F.col(c).alias(c) for c in ("cid", "x", "y", "w")]).repartition(parts, *key))
+        (F.col("first") + F.pmod(F.xxhash64("x", "y"), F.col("nb"))).alias("g"))
+    needs = needed_clusters(coords, stats, run).checkpoint(eager=True)
+    groups = stats.select("cid", "first", "nb", "d")
+    met = needs.groupBy("cid", "rcid").agg(F.count(F.lit(1)).alias("asking"))
+    sides = (met.join(small(groups.select("cid", F.col("nb").alias("nq"))), "cid")
+             .join(small(groups.select(F.col("cid").alias("rcid"), F.col("nb").alias("nr"), "d")), "rcid"))
+    cells, moved, pairs = sides.agg(
+        F.sum(F.col("nq") * F.col("nr")), F.sum(F.col("asking") * F.col("nr") + F.col("d") * F.col("nq")),
+        F.count(F.lit(1))).first()
+    parts = max(1, min(cells or 0, max(4 * slots, math.ceil((moved or 0) * ROW_BYTES / TASK_BYTES))))
+
+    # each query row goes to the groups of the clusters it needs, each reference
+    # row to the groups of the clusters that need its own
+    key = ["gq", "gr"]
+    reach = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("nb") - 1))
+    few = F.broadcast if pairs <= MAX_BROADCAST_CLUSTERS else (lambda df: df)
+    q_side = (needs.join(small(groups.select(F.col("cid").alias("rcid"), "first", "nb")), "rcid")
+              .select(F.col("g").alias("gq"), reach.alias("gr"), *[F.col(c).alias(c) for c in ("cid", "x", "y", "w", "rcid")])
+              .repartition(parts, *key))
+    asked = met.select(F.col("rcid").alias("cid"), F.col("cid").alias("qcid")).join(
+        small(groups.select(F.col("cid").alias("qcid"), "first", "nb")), "qcid")
+    r_side = (coords.join(few(asked), "cid")
+              .select(reach.alias("gq"), F.col("g").alias("gr"), "cid", "x", "y", "w").repartition(parts, *key))
     partial = (q_side.groupBy(*key).cogroup(r_side.groupBy(*key))
                .applyInPandas(_cell_kernel(), PARTIAL_SCHEMA))
     per = partial.groupBy("cid", "x", "y", "w", "rcid").agg(F.sum("s").alias("s"))

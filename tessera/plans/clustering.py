@@ -9,8 +9,6 @@ threshold 0.01; silhouette of the k=10 assignment.
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -155,21 +153,18 @@ def silhouette_mean_textbook(spark, d) -> DataFrame:
 SWEEP_K, SWEEP_R = FIXED_SWEEP_K, FIXED_SWEEP_R
 
 
-def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R, parallelism: int = 4) -> DataFrame:
+def kmeans_sweep(spark, d, ks=SWEEP_K, rounds=SWEEP_R) -> DataFrame:
     """(k, max_iter, iterations, converged, clusters, mean_silhouette) for
     every k and round limit.  The weighted points are prepared once; one
     early-stop run per k goes up to the largest limit (a smaller limit is a
-    prefix of it: rounds are deterministic).  Runs for different k are
-    independent jobs and are submitted from ``parallelism`` driver threads,
-    as MLlib's model selection does.  The distinct final rounds are then
-    scored together, by one silhouette job over all their clusterings."""
+    prefix of it: rounds are deterministic).  All runs share each round's job,
+    and the distinct final rounds are scored by one silhouette job over all
+    their clusterings."""
     pts = S.points2d(spark, d)
     prepared = K.prepare2d(pts)
     seeds = S.seeds2d(pts, max(ks))        # the first k of them are the seeds of a smaller k
     try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            fits = dict(zip(ks, pool.map(
-                lambda k: K.fit_prepared2d(prepared, seeds[:k], max(rounds), THRESHOLD_2D, early_stop=True), ks)))
+        fits = K.fit_runs2d(prepared, {k: seeds[:k] for k in ks}, max(rounds), THRESHOLD_2D, early_stop=True)
         # same final round -> same clustering -> same silhouette
         last = {(k, r): min(fits[k].iterations, r) for k in ks for r in rounds}
         runs = sorted({(k, i) for (k, _), i in last.items()})

@@ -3,7 +3,6 @@
 import pytest
 
 import __spark_entry__ as E
-from tessera.functions.geometry import nearest2d
 from tessera.operators import kmeans as K
 from tessera.operators import silhouette as SIL
 from tessera.sources import standins as S
@@ -60,16 +59,17 @@ def test_latest_access_combines_the_raw_log_without_sorting(spark):
     assert "HashAggregate" in above[-1] and "partial_max" in above[-1]
 
 
-def test_kmeans_round_is_one_exchange(spark):
-    w = K.weighted_coordinates(S.points2d(spark, SF)).persist()
-    w.count()
+def test_kmeans_input_is_sorted_once_and_rounds_add_no_shuffle(spark):
+    """Rounds read the persisted table as it lies; the driver adds up the few
+    partial sums, and beyond the bound one shuffle does."""
+    w = K.prepare2d(S.points2d(spark, SF))
     try:
-        from pyspark.sql import functions as F
-        best = nearest2d("x", "y", [(0, 0), (400, 900)])
-        r = w.select(best["pos"].alias("pos"), "x", "w").groupBy("pos").agg(F.sum("x"), F.sum("w"))
-        p = plan(r)
-        above_cache = p.split("InMemoryTableScan")[0]    # the cached input prints its own plan below
-        assert above_cache.count("Exchange") == 1 and "partial_sum" in above_cache
+        assert w.count() == w.select("x", "y").distinct().count()
+        p = plan(w)
+        assert "rangepartitioning" in p and "partial_count" in p
+        seeds = [(0, 0), (400, 900)]
+        direct = K.step_runs(w, {0: seeds}, weight="w", tasks=8)
+        assert direct == K.step_runs(w, {0: seeds}, weight="w")
     finally:
         w.unpersist()
 
