@@ -7,7 +7,8 @@
     python -m tessera trips --input trips.csv --out DIR
     python -m tessera generate --n 5000 --k 10 --out DIR
 
-Outputs are headerless comma separated text; k-means writes the centroids
+A report prints how many lines of each input it read and how many did not fit,
+by reason; ``--quarantine DIR`` keeps those.  Outputs are headerless comma separated text; k-means writes the centroids
 of every round under ``rounds/iteration=i`` (or, with ``--layout reference``,
 one ``iteration_<i>`` folder per round), the final centroids under ``final``
 and, with ``--assignments``, ``final_clusters`` as ``cx,cy<TAB>x,y`` lines.
@@ -54,8 +55,9 @@ def _session(args) -> SparkSession:
 
 def run_report(spark, args) -> None:
     name = {v[0]: k for k, v in REPORTS.items()}.get(args.name.upper(), args.name)
-    readers = {"people": D.read_people, "logs": D.read_logs, "associates": D.read_associates}
-    ins = {k: readers[k](spark, getattr(args, k)) for k in REPORTS[name][1]}
+    schemas = {"people": D.PEOPLE, "logs": D.LOGS, "associates": D.ASSOCIATES}
+    files = {k: D.checked(spark, getattr(args, k), schemas[k], name=k) for k in REPORTS[name][1]}
+    ins = {k: f.rows for k, f in files.items()}
     if name == "nationality_people":
         out = R.nationality_people(ins["people"], args.nationality)
     elif name == "top_pages":
@@ -65,6 +67,11 @@ def run_report(spark, args) -> None:
     else:
         out = getattr(R, name)(*[ins[k] for k in REPORTS[name][1]])
     D.write_delimited(out, args.out)
+    if args.quarantine:
+        for k, f in files.items():
+            kept = f.bad.select("reason", F.array_join("nulls", ";").alias("nulls"), "line")
+            D.write_delimited(kept, f"{args.quarantine}/{k}", sep="\t")
+    print(json.dumps({k: f.counts() for k, f in files.items()}))
 
 
 def run_kmeans(spark, args) -> None:
@@ -78,7 +85,7 @@ def run_kmeans(spark, args) -> None:
         D.write_assignments2d(K.assign2d(pts, res.centroids), f"{args.out}/final_clusters",
                               grouped=args.grouped)
     print(json.dumps({"iterations": res.iterations, "converged": res.converged, "k": len(res.centroids),
-                      "points": res.points, "skipped": res.skipped}))
+                      "points": res.points, "skipped": res.skipped, "skipped_seeds": seeds.skipped}))
 
 
 def run_kmeans_nd(spark, args) -> None:
@@ -95,7 +102,7 @@ def run_kmeans_nd(spark, args) -> None:
                            F.lit("1"))
         a.select(line.alias("value")).write.mode("overwrite").text(f"{args.out}/final_clusters")
     print(json.dumps({"iterations": res.iterations, "converged": res.converged, "k": len(res.centroids),
-                      "points": res.points, "skipped": res.skipped}))
+                      "points": res.points, "skipped": res.skipped, "skipped_seeds": seeds.skipped}))
 
 
 def _write_rounds(hist, out: str, layout: str, iterations: int) -> None:
@@ -148,6 +155,7 @@ def main(argv=None) -> None:
     for k in ("people", "logs", "associates"):
         r.add_argument(f"--{k}")
     r.add_argument("--out", required=True)
+    r.add_argument("--quarantine", help="folder for the input lines that do not fit, by input, with the reason")
     r.add_argument("--nationality", default=NATIONALITY)
     r.add_argument("--k", type=int, default=TOP_PAGES)
     r.add_argument("--threshold", type=int, default=LATEST_ACCESS_MIN)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import clustering as C
 from tessera.plans import kmeans_sql as KS
-from tessera.plans import oracle, reports
+from tessera.plans import files, oracle, reports
 from tessera.plans import trips as TR
 from tessera.sources import delimited as D
 from tessera.sources import standins as S
@@ -33,16 +33,6 @@ def q_format_people_lines(spark, d):
     return D.to_lines(_people(spark, d))
 
 
-def q_parse_people_lines(spark, d):
-    """People lines, each ninth one malformed, read back by the reader's
-    schema: what is no number or is missing is null."""
-    lines = _people(spark, d).select("id", D.to_lines_column(["id", "name", "nationality", "country_code", "hobby"]))
-    broken = lines.select(F.when(F.col("id") % 9 == 0, F.concat(F.lit("bad,"), F.col("value")))
-                          .when(F.col("id") % 9 == 1, F.substring_index("value", ",", 2))
-                          .otherwise(F.col("value")).alias("value"))
-    return D.parse_delimited(broken, D.PEOPLE)
-
-
 def q_parse_assignment_lines(spark, d):
     """Assignment lines of the points, some malformed, read back; rows with a
     null are what the silhouette skips and counts."""
@@ -136,10 +126,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "generate_seeds": C.generate_seeds,
         "kmeans_nd_history": C.kmeans_nd_history,
         "format_people_lines": q_format_people_lines,
-        "parse_people_lines": q_parse_people_lines,
         "parse_assignment_lines": q_parse_assignment_lines,
         "trip_features": q_trip_features,
         "mean_card_tip": q_mean_card_tip,
+        **files.QUERIES,
     }
 
 
@@ -168,4 +158,10 @@ def oracle_sql() -> dict[str, str]:
     sql["generate_seeds"] = oracle.generate_seeds_sql(C.FIXED_K)
     sql["kmeans_nd_history"] = KS.kmeans_nd_history_sql(C.ND_K, C.ND_R, C.ND_DIM, C.ND_THRESHOLD)
     sql |= oracle.lines_sql()
+    sql |= oracle.files_sql()
+    sql["file_history"] = sql["kmeans_history"]
+    sql["file_centroids"] = KS.kmeans2d_final_lines_sql(C.CONV_K, C.CONV_R, C.THRESHOLD_2D)
+    sql["file_clusters"] = KS.kmeans2d_cluster_lines_sql(C.ASSIGN_K, C.ASSIGN_R, C.THRESHOLD_2D)
+    sql["file_points2d"] = KS.file_points_sql(C.STEP_K)
+    sql["bad_vectors"] = KS.bad_vectors_sql(C.ND_K, C.ND_DIM)
     return sql

@@ -217,3 +217,35 @@ def kmeans_nd_assignments_sql(k: int, rounds: int, dim: int, threshold: float =
     return _with(kmeans_nd_ctes(k, rounds, dim, threshold, "any", True)) + """
 SELECT p.pid, c.cid FROM ptsn p CROSS JOIN nfin c
 QUALIFY row_number() OVER (PARTITION BY p.pid ORDER BY list_distance(p.coords, c.coords), c.pos) = 1"""
+
+
+def kmeans2d_final_lines_sql(k: int, rounds: int, threshold: float = 0.5) -> str:
+    return _with(kmeans2d_ctes(k, rounds, threshold, True)) + "SELECT x, y, true AS valid FROM fin"
+
+
+def kmeans2d_cluster_lines_sql(k: int, rounds: int, threshold: float = 0.5) -> str:
+    return _with(kmeans2d_ctes(k, rounds, threshold, True) + [assignments_cte()]) + "SELECT cx, cy, x, y FROM assign"
+
+
+def file_points_sql(k: int) -> str:
+    """One round over the point lines: a ninth lost its integers (a word in
+    front shifts the fields), none lost a field by the cut."""
+    one = kmeans2d_ctes(k, 1, early_stop=False)
+    one[0] = one[0].replace("pts AS", "given AS", 1)
+    one.insert(1, "pts AS (SELECT * FROM given WHERE pid % 9 <> 0)")
+    one[2] = one[2].replace("FROM pts", "FROM given")
+    return _with(one) + """
+SELECT pos, x, y, size, (SELECT count(*) FROM given) AS points, (SELECT count(*) FROM given WHERE pid % 9 = 0) AS skipped
+FROM n1"""
+
+
+def bad_vectors_sql(k: int, dim: int) -> str:
+    """One N-D round without the vectors that are short, long or hold text."""
+    one = kmeans_nd_ctes(k, 1, dim, early_stop=False)
+    one[0] = one[0].replace("ptsn AS", "given AS", 1)
+    one.insert(1, "ptsn AS (SELECT * FROM given WHERE pid % 11 NOT IN (2, 5, 7))")
+    one[2] = one[2].replace("FROM ptsn", "FROM given")
+    return _with(one) + """
+SELECT cid, n AS size, CAST(generate_subscripts(coords, 1) AS INTEGER) AS dim, round(unnest(coords), 6) AS value,
+       (SELECT count(*) FROM given) AS points, (SELECT count(*) FROM given WHERE pid % 11 IN (2, 5, 7)) AS skipped
+FROM m1"""

@@ -174,6 +174,17 @@ def lines_sql() -> dict[str, str]:
     line = "concat_ws(',', id::VARCHAR, coalesce(name, ''), coalesce(nationality, ''), coalesce(country_code::VARCHAR, ''), coalesce(hobby, ''))"
     return {
         "format_people_lines": with_(PEOPLE) + f"SELECT {line} AS value FROM people",
+        "parse_assignment_lines": """
+SELECT CASE WHEN t THEN y END AS cx, CASE WHEN t THEN x END AS cy, CASE WHEN t AND g THEN x END AS x,
+       CASE WHEN t THEN y END AS y, NOT (t AND g) AS skipped
+FROM (SELECT CAST(c_nationkey * 400 AS INTEGER) AS x, CAST(floor((c_acctbal + 1000) * 10 / 11) AS INTEGER) AS y,
+             c_custkey % 11 <> 5 AS t, c_custkey % 7 <> 3 AS g FROM customer) p""",
+    }
+
+
+def files_sql() -> dict[str, str]:
+    """What the readers give for the lines of :mod:`tessera.plans.files`."""
+    return {
         "parse_people_lines": with_(PEOPLE) + """
 SELECT CASE WHEN id % 9 <> 0 THEN CAST(id AS INTEGER) END AS id,
        CASE WHEN id % 9 = 0 THEN id::VARCHAR ELSE name END AS name,
@@ -181,9 +192,33 @@ SELECT CASE WHEN id % 9 <> 0 THEN CAST(id AS INTEGER) END AS id,
        CASE WHEN id % 9 > 1 THEN CAST(country_code AS INTEGER) END AS country_code,
        CASE WHEN id % 9 = 0 THEN country_code::VARCHAR WHEN id % 9 <> 1 THEN hobby END AS hobby
 FROM people""",
-        "parse_assignment_lines": """
-SELECT CASE WHEN t THEN y END AS cx, CASE WHEN t THEN x END AS cy, CASE WHEN t AND g THEN x END AS x,
-       CASE WHEN t THEN y END AS y, NOT (t AND g) AS skipped
-FROM (SELECT CAST(c_nationkey * 400 AS INTEGER) AS x, CAST(floor((c_acctbal + 1000) * 10 / 11) AS INTEGER) AS y,
-             c_custkey % 11 <> 5 AS t, c_custkey % 7 <> 3 AS g FROM customer) p""",
+        "file_logs": with_(LOGS) + """
+SELECT CASE WHEN acc_id % 9 <> 0 THEN CAST(acc_id AS INTEGER) END AS acc_id,
+       CAST(CASE WHEN acc_id % 9 = 0 THEN acc_id ELSE by_who END AS INTEGER) AS by_who,
+       CAST(CASE WHEN acc_id % 9 = 0 THEN by_who WHEN acc_id % 9 <> 1 THEN what_page END AS INTEGER) AS what_page,
+       CASE WHEN acc_id % 9 = 0 THEN what_page::VARCHAR WHEN acc_id % 9 <> 1 THEN type_of_access END AS type_of_access,
+       CASE WHEN acc_id % 9 = 0 THEN type_of_access WHEN acc_id % 9 <> 1 THEN access_time END AS access_time
+FROM logs""",
+        "file_associates": with_(ASSOCIATES) + """
+SELECT CAST(rel_id AS INTEGER) AS rel_id, CAST(person_a AS INTEGER) AS person_a, CAST(person_b AS INTEGER) AS person_b,
+       CAST(NULL AS VARCHAR) AS date_of_relation, CAST(NULL AS VARCHAR) AS description FROM associates""",
+        "bad_lines": with_(LOGS) + """
+SELECT file, reason, nulls, count(*) AS lines FROM (
+  SELECT 'people' AS file, CASE c_custkey % 9 WHEN 0 THEN 'extra field' ELSE 'missing field' END AS reason,
+         CASE c_custkey % 9 WHEN 0 THEN 'id;country_code' ELSE 'nationality;country_code;hobby' END AS nulls
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 9 IN (0, 1)
+  UNION ALL
+  SELECT 'logs', CASE acc_id % 9 WHEN 0 THEN 'extra field' ELSE 'missing field' END,
+         CASE acc_id % 9 WHEN 0 THEN concat_ws(';', 'acc_id', CASE WHEN by_who IS NULL THEN 'what_page' END,
+             CASE WHEN what_page IS NULL THEN 'type_of_access' END)
+           ELSE concat_ws(';', CASE WHEN by_who IS NULL THEN 'by_who' END, 'what_page;type_of_access;access_time') END
+  FROM logs WHERE acc_id % 9 IN (0, 1)) t
+GROUP BY file, reason, nulls""",
+        "centroid_lines_nd": """
+SELECT CASE WHEN vec_id % 10 <> 3 THEN CAST(vec_id AS INTEGER) END AS cid, vec_id % 10 NOT IN (3, 4, 5) AS valid,
+       CASE WHEN vec_id % 10 NOT IN (3, 4, 5) THEN CAST(j AS INTEGER) END AS dim,
+       CASE WHEN vec_id % 10 NOT IN (3, 4, 5) THEN round(CAST(embedding[j] AS DOUBLE), 6) END AS value
+FROM (SELECT vec_id, embedding, unnest(CASE WHEN vec_id % 10 IN (3, 4, 5) THEN [1] ELSE range(1, len(embedding) + 1) END) AS j
+      FROM embeddings) e""",
+        "file_trips": with_(TRIPS) + "SELECT * FROM trips",
     }

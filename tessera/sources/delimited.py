@@ -1,16 +1,20 @@
 """Delimited text readers and writers with explicit schemas.
 
 Readers follow the load statements of the reports and the k-means jobs:
-comma separated, no header, no quote handling, unparsable numbers and missing
-trailing fields become null (PERMISSIVE mode).  Writers produce plain
-``sep``-joined lines with empty text for null, like ``PigStorage``.
+comma separated, no header, no quote handling, blanks around a field do not
+count, an empty field is null.  A line that does not fit the schema (fields
+missing or left over, a number that is none) is kept with nulls (PERMISSIVE
+mode), and :func:`checked` tells such lines apart, counts them by reason while
+the job reads, and can keep them aside.  Writers produce plain ``sep``-joined
+lines with empty text for null, like ``PigStorage``.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,69 +70,132 @@ TRIPS = T.StructType([
 ])
 
 
-def _plain_csv(spark: SparkSession, schema: T.StructType, sep: str = ","):
+#: column with the text of a line that does not fit the schema
+CORRUPT = "_corrupt"
+#: why a line does not fit, in the order they are tested
+REASONS = ("missing field", "extra field", "bad value")
+
+
+def _plain_csv(spark: SparkSession, schema: T.StructType, sep: str = ",", **more):
     return (spark.read.schema(schema)
-            .option("sep", sep)
-            .option("header", False)
+            .options(sep=sep, header=False, mode="PERMISSIVE", **more)
             .option("quote", "")          # no quote handling
-            .option("mode", "PERMISSIVE"))
+            .option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True))
+
+
+def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
+    """Lines of ``path`` by ``schema``; what does not fit is null."""
+    return _plain_csv(spark, schema, sep).csv(path)
+
+
+@dataclass
+class Checked:
+    """``rows`` of a file as the plain reader gives them, counted while a job
+    reads them; ``bad`` has the lines that do not fit, with the reason and the
+    names of the fields that are null."""
+    rows: DataFrame
+    bad: DataFrame
+    seen: Observation
+
+    def counts(self) -> dict[str, int]:
+        """Lines read and, by reason, those that do not fit; after a job has
+        read ``rows``."""
+        m = self.seen.get
+        return {"rows": int(m.get("rows") or 0), **{r: int(m.get(r) or 0) for r in REASONS}}
+
+
+def checked(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", name: str = "lines") -> Checked:
+    """:func:`read_delimited` with its bad lines: the parser puts their text
+    in a corrupt-record column, an ``Observation`` counts them along with the
+    job's own pass over the file.  All fields are parsed, also where the job
+    needs few of them, or faults in the others would not show."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    raw = _plain_csv(spark, whole, sep, columnNameOfCorruptRecord=CORRUPT).csv(path)
+    fields, n = F.size(F.split(CORRUPT, re.escape(sep))), len(schema.fields)
+    why = F.when(fields < n, REASONS[0]).when(fields > n, REASONS[1]).when(F.size("nulls") > 0, REASONS[2])
+    raw = (raw.withColumn("nulls", F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in schema.names])))
+           .withColumn("reason", F.when(F.col(CORRUPT).isNotNull(), why)))
+    seen = Observation(name)
+    rows = raw.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        F.count_if(F.col("reason").eqNullSafe(F.lit(r))).alias(r) for r in REASONS])
+    bad = raw.where(F.col("reason").isNotNull()).select("reason", "nulls", F.col(CORRUPT).alias("line"))
+    return Checked(rows.select(*schema.names), bad, seen)
 
 
 def read_people(spark: SparkSession, path: str) -> DataFrame:
-    return _plain_csv(spark, PEOPLE).csv(path)
+    return read_delimited(spark, path, PEOPLE)
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    return _plain_csv(spark, LOGS).csv(path)
+    return read_delimited(spark, path, LOGS)
 
 
 def read_associates(spark: SparkSession, path: str) -> DataFrame:
-    return _plain_csv(spark, ASSOCIATES).csv(path)
+    return read_delimited(spark, path, ASSOCIATES)
 
 
 def read_points2d(spark: SparkSession, path: str) -> DataFrame:
     """``x,y`` lines; a line without two integers is a row with nulls, which
     the jobs skip and count."""
-    return _plain_csv(spark, POINTS2D).csv(path)
+    return read_delimited(spark, path, POINTS2D)
 
 
 MAX_SEEDS = 100_000
 
 
-def _seed_lines(spark: SparkSession, path: str) -> list:
-    """The lines of a seed file, in file order.  A seed file holds k lines; a
-    file with more than ``MAX_SEEDS`` lines is refused rather than collected."""
-    lines = spark.read.text(path).limit(MAX_SEEDS + 1).collect()
-    if len(lines) > MAX_SEEDS:
+class Seeds(list):
+    """Seeds in file order; ``skipped`` lines were none."""
+    skipped = 0
+
+
+def _seeds(parsed: DataFrame, path: str, row) -> Seeds:
+    """The valid rows of a seed file, in file order.  A seed file holds k
+    lines; one with more than ``MAX_SEEDS`` is refused rather than collected."""
+    rows = parsed.limit(MAX_SEEDS + 1).collect()
+    if len(rows) > MAX_SEEDS:
         raise ValueError(f"{path}: more than {MAX_SEEDS} seed lines; is this the points file?")
-    return lines
+    out = Seeds(row(r) for r in rows if r["valid"])
+    out.skipped = len(rows) - len(out)
+    return out
+
+
+def parse_seeds2d(lines: DataFrame, line: str = "value") -> DataFrame:
+    """(x, y, valid) of ``x,y`` lines; further fields are ignored."""
+    parts = F.split(line, ",")
+    x, y = (F.trim(F.get(parts, F.lit(i))).try_cast("int") for i in (0, 1))
+    return lines.select(x.alias("x"), y.alias("y")).withColumn("valid", F.col("x").isNotNull() & F.col("y").isNotNull())
+
+
+def read_seeds2d(spark: SparkSession, path: str) -> Seeds:
+    """Seed file in file order (k lines, the only data read to the driver);
+    lines without two integers are skipped and counted."""
+    return _seeds(parse_seeds2d(spark.read.text(path)), path, lambda r: (r["x"], r["y"]))
 
 
-def read_seeds2d(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """Seed file in file order (k lines, the only data read to the driver)."""
-    lines = _seed_lines(spark, path)
-    seeds = []
-    for row in lines:
-        parts = row.value.split(",")
-        if len(parts) >= 2:
-            seeds.append((int(parts[0].strip()), int(parts[1].strip())))
-    return seeds
+def parse_points_nd(lines: DataFrame, line: str = "value") -> DataFrame:
+    """``coords`` of comma separated doubles; what is no number is a null
+    element, and the jobs skip such vectors as they skip other lengths."""
+    return lines.select(F.transform(F.split(F.trim(line), ","), lambda s: F.trim(s).try_cast("double")).alias("coords"))
 
 
 def read_points_nd(spark: SparkSession, path: str) -> DataFrame:
     """One comma separated vector of doubles per line -> ``coords array<double>``."""
-    txt = spark.read.text(path)
-    return txt.select(F.transform(F.split(F.trim("value"), ","), lambda s: F.trim(s).try_cast("double")).alias("coords"))
+    return parse_points_nd(spark.read.text(path))
 
 
-def read_seeds_nd(spark: SparkSession, path: str) -> list[tuple[int, list[float]]]:
-    """``id,c1,...,cd`` lines in file order."""
-    out = []
-    for row in _seed_lines(spark, path):
-        parts = row.value.strip().split(",")
-        if len(parts) >= 2:
-            out.append((int(parts[0]), [float(p) for p in parts[1:]]))
-    return out
+def parse_seeds_nd(lines: DataFrame, line: str = "value") -> DataFrame:
+    """(cid, coords, valid) of ``id,c1,...,cd`` lines: the first field is the
+    id, the slice behind it the vector."""
+    parts = F.transform(F.split(F.trim(line), ","), lambda s: F.trim(s))
+    coords = F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda s: s.try_cast("double"))
+    rows = lines.select(F.get(parts, F.lit(0)).try_cast("int").alias("cid"), coords.alias("coords"))
+    whole = F.col("cid").isNotNull() & (F.size("coords") > 0) & F.forall("coords", lambda v: v.isNotNull())
+    return rows.withColumn("valid", F.coalesce(whole, F.lit(False)))
+
+
+def read_seeds_nd(spark: SparkSession, path: str) -> Seeds:
+    """``id,c1,...,cd`` lines in file order; other lines are skipped and counted."""
+    return _seeds(parse_seeds_nd(spark.read.text(path)), path, lambda r: (r["cid"], list(r["coords"])))
 
 
 def read_assignments2d(spark: SparkSession, path: str) -> DataFrame:
@@ -165,16 +232,6 @@ def to_lines_column(columns: list[str], sep: str = ",") -> Column:
     return F.concat_ws(sep, *fields).alias("value")
 
 
-def parse_delimited(lines: DataFrame, schema: T.StructType, sep: str = ",", line: str = "value") -> DataFrame:
-    """Lines as columns, as the readers type them: fields by position, what
-    is missing or no value of its type is null, further fields are dropped."""
-    parts = F.split(line, re.escape(sep))
-    return lines.select(*[
-        (F.get(parts, F.lit(i)) if isinstance(f.dataType, T.StringType)
-         else F.trim(F.get(parts, F.lit(i))).try_cast(f.dataType)).alias(f.name)
-        for i, f in enumerate(schema.fields)])
-
-
 def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
     """Headerless delimited text, replacing (or, with ``mode='ignore'``,
     keeping) what is at ``path``."""
@@ -199,3 +256,17 @@ def write_history(history: DataFrame, path: str, mode: str = "overwrite") -> Non
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
     (history.select("iteration", F.concat_ws(",", *fields).alias("value"))
      .write.mode(mode).partitionBy("iteration").text(path))
+
+
+def read_history(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """What :func:`write_history` wrote: ``columns`` (a DDL list) of every
+    line, and ``iteration`` from the folder it lies in."""
+    schema = T.StructType.fromDDL(columns)
+    parts = F.split("value", ",")
+    return spark.read.text(path).select(F.col("iteration").cast("int").alias("iteration"), *[
+        F.get(parts, F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)])
+
+
+def write_trips(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Trip CSV with a header, as :func:`read_trips` reads it."""
+    df.write.mode(mode).option("header", True).csv(path)
