@@ -56,7 +56,7 @@ def _session(args) -> SparkSession:
 def run_report(spark, args) -> None:
     name = {v[0]: k for k, v in REPORTS.items()}.get(args.name.upper(), args.name)
     schemas = {"people": D.PEOPLE, "logs": D.LOGS, "associates": D.ASSOCIATES}
-    files = {k: D.checked(spark, getattr(args, k), schemas[k], name=k) for k in REPORTS[name][1]}
+    files = {k: D.checked(spark, getattr(args, k), schemas[k]) for k in REPORTS[name][1]}
     ins = {k: f.rows for k, f in files.items()}
     if name == "nationality_people":
         out = R.nationality_people(ins["people"], args.nationality)
@@ -67,11 +67,8 @@ def run_report(spark, args) -> None:
     else:
         out = getattr(R, name)(*[ins[k] for k in REPORTS[name][1]])
     D.write_delimited(out, args.out)
-    if args.quarantine:
-        for k, f in files.items():
-            kept = f.bad.select("reason", F.array_join("nulls", ";").alias("nulls"), "line")
-            D.write_delimited(kept, f"{args.quarantine}/{k}", sep="\t")
-    print(json.dumps({k: f.counts() for k, f in files.items()}))
+    if not args.unchecked:
+        print(json.dumps({k: f.check(args.quarantine and f"{args.quarantine}/{k}") for k, f in files.items()}))
 
 
 def run_kmeans(spark, args) -> None:
@@ -156,6 +153,7 @@ def main(argv=None) -> None:
         r.add_argument(f"--{k}")
     r.add_argument("--out", required=True)
     r.add_argument("--quarantine", help="folder for the input lines that do not fit, by input, with the reason")
+    r.add_argument("--unchecked", action="store_true", help="do not read the inputs once more to count bad lines")
     r.add_argument("--nationality", default=NATIONALITY)
     r.add_argument("--k", type=int, default=TOP_PAGES)
     r.add_argument("--threshold", type=int, default=LATEST_ACCESS_MIN)

@@ -345,12 +345,38 @@ def assign_nd(points: DataFrame, centroids: Sequence[CentroidND], coords: str =
     return valid_nd(points, dim, coords).mapInArrow(run, schema)
 
 
-def step_nd(points: DataFrame, centroids: Sequence[CentroidND], dim: int, coords: str = "coords"
-            ) -> tuple[list[CentroidND], list[int]]:
+#: partial vector sums that one task adds up; more are added in two steps
+MERGE_ROWS = 1024
+
+
+def vector_sums(parts: DataFrame, tasks: int) -> DataFrame:
+    """(pos, n, sums): the array sums of partial sums (pos, n, sums) of
+    ``tasks`` tasks, one row for each pos.  Each pos has at most one row a task;
+    beyond ``MERGE_ROWS`` tasks they meet in groups of that size first, so no
+    task adds up more."""
+    schema = "pos int, n long, sums array<double>"
+
+    def add(table):
+        import pyarrow as pa
+
+        sums = table.column("sums").combine_chunks()
+        total = sums.flatten().to_numpy(zero_copy_only=False).reshape(len(table), -1).sum(axis=0)
+        return pa.table({"pos": table.column("pos").slice(0, 1),
+                         "n": pa.array([int(table.column("n").to_numpy().sum())]), "sums": pa.array([total.tolist()])})
+
+    if tasks > MERGE_ROWS:
+        some = parts.withColumn("some", F.spark_partition_id() % -(-tasks // MERGE_ROWS))
+        parts = some.groupBy("pos", "some").applyInArrow(add, schema)
+    return parts.groupBy("pos").applyInArrow(add, schema)
+
+
+def step_nd(points: DataFrame, centroids: Sequence[CentroidND], dim: int, coords: str = "coords",
+            tasks: int | None = None) -> tuple[list[CentroidND], list[int]]:
     """One N-D round over valid points: the mean vector per centroid id.  A
     task assigns its points batch by batch and returns at most k partial sums;
-    Spark adds them.  Centroids are sent by broadcast, not as plan text.
-    Next-round order = id as text."""
+    they are added up as arrays, and k rows come to the driver.  Centroids are
+    sent by broadcast, not as plan text.  Next-round order = id as text.
+    ``tasks`` is the number of partitions, if known."""
     sent = points.sparkSession.sparkContext.broadcast(list(centroids))
 
     def run(batches):
@@ -370,15 +396,12 @@ def step_nd(points: DataFrame, centroids: Sequence[CentroidND], dim: int, coords
             names=["pos", "n", "sums"])
 
     part = points.select(coords).mapInArrow(run, "pos int, n long, sums array<double>")
-    per = (part.select("pos", "n", F.posexplode("sums").alias("j", "s")).groupBy("pos", "j")
-           .agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect())
+    if tasks is None:
+        tasks = points.rdd.getNumPartitions()
+    rows = vector_sums(part, tasks).collect()
     sent.unpersist()
-    sums, sizes = {}, {}
-    for r in per:
-        sums.setdefault(r["pos"], [0.0] * dim)[r["j"]] = r["s"] / r["n"]
-        sizes[r["pos"]] = int(r["n"])
-    out = sorted(((str(centroids[p][0]).encode(), (int(centroids[p][0]), v), sizes[p]) for p, v in sums.items()),
-                 key=lambda t: t[0])
+    out = sorted(((str(centroids[r["pos"]][0]).encode(), (int(centroids[r["pos"]][0]), [v / r["n"] for v in r["sums"]]),
+                   int(r["n"])) for r in rows), key=lambda t: t[0])
     return [t[1] for t in out], [t[2] for t in out]
 
 
@@ -409,7 +432,7 @@ def fit_nd(points: DataFrame, seeds: Sequence[CentroidND], max_iter: int = ROUND
         prev = [(int(i), [float(v) for v in c]) for i, c in seeds]
         history, sizes, converged, it = [], [], False, 0
         for it in range(1, max_iter + 1):
-            cur, sizes = step_nd(pts, prev, dim)
+            cur, sizes = step_nd(pts, prev, dim, tasks=cores(pts.sparkSession))
             history.append((it, cur))
             if it >= 2 and not converged and converged_nd(prev, cur, threshold, criterion):
                 converged = True

@@ -75,7 +75,7 @@ def bad_lines(spark, d) -> DataFrame:
     people and logs set aside, by what is null in them."""
     out = None
     for name, path, schema in (("people", people_file(spark, d), D.PEOPLE), ("logs", logs_file(spark, d), D.LOGS)):
-        part = D.checked(spark, path, schema, name=name).bad.groupBy("reason", "nulls").agg(
+        part = D.checked(spark, path, schema).bad.groupBy("reason", "nulls").agg(
             F.count(F.lit(1)).alias("lines")).select(
                 F.lit(name).alias("file"), "reason", F.array_join("nulls", ";").alias("nulls"), "lines")
         out = part if out is None else out.unionByName(part)

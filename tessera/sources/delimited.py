@@ -4,8 +4,8 @@ Readers follow the load statements of the reports and the k-means jobs:
 comma separated, no header, no quote handling, blanks around a field do not
 count, an empty field is null.  A line that does not fit the schema (fields
 missing or left over, a number that is none) is kept with nulls (PERMISSIVE
-mode), and :func:`checked` tells such lines apart, counts them by reason while
-the job reads, and can keep them aside.  Writers produce plain ``sep``-joined
+mode), and :func:`checked` tells such lines apart, counts them by reason and
+keeps them aside.  Writers produce plain ``sep``-joined
 lines with empty text for null, like ``PigStorage``.
 """
 
@@ -90,36 +90,44 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType, sep: st
 
 @dataclass
 class Checked:
-    """``rows`` of a file as the plain reader gives them, counted while a job
-    reads them; ``bad`` has the lines that do not fit, with the reason and the
-    names of the fields that are null."""
+    """A file whose lines are told apart: ``rows`` as the plain reader gives
+    them, ``bad`` the lines that do not fit, with the reason and the names of
+    the fields that are null."""
     rows: DataFrame
     bad: DataFrame
-    seen: Observation
+    lines: DataFrame
 
-    def counts(self) -> dict[str, int]:
-        """Lines read and, by reason, those that do not fit; after a job has
-        read ``rows``."""
-        m = self.seen.get
-        return {"rows": int(m.get("rows") or 0), **{r: int(m.get(r) or 0) for r in REASONS}}
+    def check(self, path: str | None = None) -> dict[str, int]:
+        """Lines read and, by reason, those that do not fit.  One pass over
+        the file counts all lines (an ``Observation`` rides on it) and writes
+        the bad ones to ``path``, as tab separated reason, null fields and
+        line, if a path is given.  It is a pass of its own, as what a job
+        reads of the file may be less (a bounded probe) or more (two uses)."""
+        seen = Observation("lines")
+        bad = _bad(self.lines.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+            F.count_if(F.col("reason").eqNullSafe(F.lit(r))).alias(r) for r in REASONS]))
+        if path is None:
+            bad.write.format("noop").mode("overwrite").save()
+        else:
+            write_delimited(bad.select("reason", F.array_join("nulls", ";").alias("nulls"), "line"), path, sep="\t")
+        return {k: int(v or 0) for k, v in seen.get.items()}
 
 
-def checked(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", name: str = "lines") -> Checked:
+def _bad(lines: DataFrame) -> DataFrame:
+    return lines.where(F.col("reason").isNotNull()).select("reason", "nulls", F.col(CORRUPT).alias("line"))
+
+
+def checked(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> Checked:
     """:func:`read_delimited` with its bad lines: the parser puts their text
-    in a corrupt-record column, an ``Observation`` counts them along with the
-    job's own pass over the file.  All fields are parsed, also where the job
-    needs few of them, or faults in the others would not show."""
+    in a corrupt-record column."""
     whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     raw = _plain_csv(spark, whole, sep, columnNameOfCorruptRecord=CORRUPT).csv(path)
     fields, n = F.size(F.split(CORRUPT, re.escape(sep))), len(schema.fields)
     why = F.when(fields < n, REASONS[0]).when(fields > n, REASONS[1]).when(F.size("nulls") > 0, REASONS[2])
+    # the nulls of all fields are asked for, so all are parsed and none of their faults is missed
     raw = (raw.withColumn("nulls", F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in schema.names])))
            .withColumn("reason", F.when(F.col(CORRUPT).isNotNull(), why)))
-    seen = Observation(name)
-    rows = raw.observe(seen, F.count(F.lit(1)).alias("rows"), *[
-        F.count_if(F.col("reason").eqNullSafe(F.lit(r))).alias(r) for r in REASONS])
-    bad = raw.where(F.col("reason").isNotNull()).select("reason", "nulls", F.col(CORRUPT).alias("line"))
-    return Checked(rows.select(*schema.names), bad, seen)
+    return Checked(read_delimited(spark, path, schema, sep), _bad(raw), raw)
 
 
 def read_people(spark: SparkSession, path: str) -> DataFrame:

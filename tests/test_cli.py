@@ -112,3 +112,18 @@ def test_kmeans_reference_layout(spark, files):
     assert lines(spark, os.path.join(out, "iteration_1")) == ["0,0", "10,10"]
     assert lines(spark, os.path.join(out, "iteration_2")) == ["0,0", "10,10"]
     assert not os.path.exists(os.path.join(out, "iteration_3"))      # converged at round 2
+
+
+def test_report_counts_and_keeps_bad_lines(spark, files, capsys):
+    import json
+    d = tempfile.mkdtemp(prefix="tessera-cli-")
+    people = write(os.path.join(d, "people.csv"), "1,Ann,US,1,chess\nx,Bob,FR,2,golf\n3,Cy,US\n")
+    out = os.path.join(d, "F")
+    cli.main(["report", "F", "--people", people, "--logs", files["logs"], "--associates", files["assoc"],
+              "--out", out, "--quarantine", os.path.join(d, "bad")])
+    told = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert told["people"] == {"rows": 3, "missing field": 1, "extra field": 0, "bad value": 1}
+    assert told["logs"] == {"rows": 3, "missing field": 0, "extra field": 0, "bad value": 0}
+    assert lines(spark, os.path.join(d, "bad", "people")) == [
+        "bad value\tid\tx,Bob,FR,2,golf", "missing field\tcountry_code;hobby\t3,Cy,US"]
+    assert lines(spark, os.path.join(d, "bad", "logs")) == []

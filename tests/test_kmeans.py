@@ -156,3 +156,27 @@ def test_many_centroids_nd(spark):
     assert {c: n for (c, _), n in zip(got, sizes)} == {c: len(v) for c, v in want.items()}
     for c, v in got:
         assert all(abs(a - sum(col) / len(col)) < 1e-12 for a, col in zip(v, zip(*want[c])))
+
+
+def test_vector_sums_come_as_one_row_per_centroid(spark, monkeypatch):
+    """k = 500, d = 256: k rows, whether partial sums meet in one step or two."""
+    import numpy as np
+    rng = np.random.default_rng(5)
+    k, d, tasks = 500, 256, 12
+    want = np.zeros((k, d))
+    rows = []
+    for t in range(tasks):
+        for i in range(k):
+            if rng.random() < 0.2 or t == i % tasks:
+                v = rng.random(d)
+                want[i] += v
+                rows.append((i, 1 + t, v.tolist()))
+    parts = spark.createDataFrame(rows, "pos int, n long, sums array<double>").repartition(tasks).cache()
+    for bound in (1024, 4):
+        monkeypatch.setattr(K, "MERGE_ROWS", bound)
+        got = K.vector_sums(parts, tasks).collect()
+        assert sorted(r["pos"] for r in got) == list(range(k))
+        assert sum(r["n"] for r in got) == sum(r[1] for r in rows)
+        for r in got:
+            assert np.allclose(r["sums"], want[r["pos"]], rtol=1e-12)
+    parts.unpersist()

@@ -165,3 +165,43 @@ def test_malformed_assignments_are_null(spark):
     lines = spark.createDataFrame([("1,2\t3,4",), ("1,2\tx,4",), ("1,2",), ("1\t3",), ("a\tb\tc",), ("",)], "value string")
     got = [tuple(r) for r in D.parse_assignments2d(lines).collect()]
     assert got == [(1, 2, 3, 4), (1, 2, None, 4), (None,) * 4, (1, None, 3, None), (None,) * 4, (None,) * 4]
+
+
+def test_one_typing_rule(spark):
+    """Blanks around a field do not count, whatever its type; empty is null."""
+    p = write_text(os.path.join(scratch(), "p.csv"), " 12,ann,US,1,z\n12 , bob ,US, 2 ,z\n5,,,,\n\n")
+    assert [tuple(r) for r in D.read_people(spark, p).collect()] == [
+        (12, "ann", "US", 1, "z"), (12, "bob", "US", 2, "z"), (5, None, None, None, None)]
+
+
+def test_bad_lines_are_counted_by_reason_and_kept(spark):
+    text = "1,ann,US,1,z\nbad,Joe,US,1,z\n2,Ann,US\n3,a,b,4,h,more\n4,Bo,FR,4.5,h\n5,,,,\n"
+    p = write_text(os.path.join(scratch(), "people.csv"), text)
+    f = D.checked(spark, p, D.PEOPLE)
+    told = {"rows": 6, "missing field": 1, "extra field": 1, "bad value": 2}
+    kept = os.path.join(scratch(), "bad")
+    assert f.check() == told and f.check(kept) == told
+    assert sorted(r.value for r in spark.read.text(kept).collect())[0] == "bad value\tcountry_code\t4,Bo,FR,4.5,h"
+    assert [r[0] for r in f.rows.select("id").collect()] == [1, None, 2, 3, 4, 5]
+    assert sorted((r["line"], r["reason"], tuple(r["nulls"])) for r in f.bad.collect()) == [
+        ("2,Ann,US", "missing field", ("country_code", "hobby")), ("3,a,b,4,h,more", "extra field", ()),
+        ("4,Bo,FR,4.5,h", "bad value", ("country_code",)), ("bad,Joe,US,1,z", "bad value", ("id",))]
+    whole = [tuple(r) for r in D.read_people(spark, p).collect()]
+    assert [tuple(r) for r in D.checked(spark, p, D.PEOPLE).rows.collect()] == whole
+
+
+def test_seed_lines_that_are_none_are_skipped_and_counted(spark):
+    d = scratch()
+    two = D.read_seeds2d(spark, write_text(os.path.join(d, "s.csv"), "1, 2\nx,3\n4\n5,6,7\n\n"))
+    assert two == [(1, 2), (5, 6)] and two.skipped == 3
+    nd = D.read_seeds_nd(spark, write_text(os.path.join(d, "n.csv"), "7, 1.5 ,2\nx,1,2\n8,1,none\n9\n"))
+    assert nd == [(7, [1.5, 2.0])] and nd.skipped == 3
+
+
+def test_history_is_read_back_by_partition(spark):
+    d = os.path.join(scratch(), "hist")
+    h = spark.createDataFrame([(1, 0, 5, 6), (2, 0, 7, 8), (2, 1, None, 9)], "iteration int, pos int, x int, y int")
+    D.write_history(h, d)
+    back = D.read_history(spark, d, "pos int, x int, y int")
+    assert back.dtypes == h.dtypes and sorted(map(str, back.collect())) == sorted(map(str, h.collect()))
+    assert "PartitionFilters: [isnotnull(iteration" in back.where("iteration = 2")._jdf.queryExecution().executedPlan().toString()
