@@ -13,7 +13,7 @@ all counts are kept by language.  A phrase is frequent with at least
    the phrases that are not proposed though the phrases without their last and
    without their first word are.  Both are told while reading, by the filter,
    so the border is never written out beyond what occurs.  As most of the
-   border is rare, this pass counts by 64-bit hashes; a hash that two phrases
+   border is rare, this pass counts by hashes of ``HASH_BITS``; a hash that two phrases
    share can only raise a count, and what reaches ``MIN_COUNT`` is counted
    again.
 3. What reached it outside the proposals is a border failure.  The expansion
@@ -48,10 +48,11 @@ MIN_COUNT = 30
 SHARE = 10             # one of so many rows is in the sample
 SAMPLE_COUNT = 2
 FILTER_BITS = 1 << 26
-SHIFTS = (0, 18, 37)   # the filter's three places of a hash
+HASH_BITS = 40         # of a phrase's hash are counted by and known to a filter
+SHIFTS = (0, 18, 37)   # the filter's three places of a hash, once more mixed
 CHUNK_WORDS = 500_000
 ROWS = 50_000          # of an emitted batch
-MERGED = 1_000_000     # hashes of a task that are added up before they are sent
+MERGED = 1_500_000     # hashes of a task that are added up before they are sent
 SCALE = 2_000_000      # of the score
 PART_NUM, PART_DEN = 80, 100
 TOP = 2000
@@ -109,13 +110,18 @@ def _lang_hash(lang: str) -> int:
     return xxhash.xxh64_intdigest("\0" + lang)
 
 
+def _places(kept: np.ndarray, size: int):
+    """The filter's places of hashes cut to ``HASH_BITS``."""
+    h = _mixed(kept * _ODD)
+    for s in SHIFTS:
+        yield (h >> np.uint64(s)) & np.uint64(size - 1)
+
+
 def _holds(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     """Which hashes the filter (64-bit slots, or none: nothing) holds."""
     out = np.full(len(h), bits is not None)
     if bits is not None:
-        mask = np.uint64(len(bits) * 64 - 1)
-        for s in SHIFTS:
-            at = (h >> np.uint64(s)) & mask
+        for at in _places(h >> np.uint64(64 - HASH_BITS), len(bits) * 64):
             out &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
     return out
 
@@ -220,7 +226,7 @@ def hash_counts(docs: DataFrame, bits=None, levels: tuple[int, ...] = (1, 2, 3,
         parts, size = [], 0
         for chunk in _chunks(batches, chunk_words):
             for _, _, hashes in chunk_counts(chunk, bits and bits.value, None, levels):
-                parts.append(np.unique(hashes, return_counts=True))
+                parts.append(np.unique(hashes >> np.uint64(64 - HASH_BITS), return_counts=True))
                 size += len(parts[-1][0])
             if size > 2 * MERGED:
                 parts = [_added(parts)]
@@ -266,9 +272,17 @@ def phrase_counts(docs: DataFrame, bits, done, levels: tuple[int, ...] = (1, 2,
 def filter_bits(hashes: DataFrame, size: int, old: np.ndarray | None = None) -> np.ndarray:
     """The filter of ``size`` bits that holds ``old`` and the column ``hash``.
     At most size / 64 rows reach the driver."""
-    places = F.array(*[F.shiftrightunsigned("hash", s).bitwiseAND(size - 1) for s in SHIFTS])
-    rows = (hashes.select(F.explode(places).alias("p"))
-            .select(F.shiftright("p", 6).alias("slot"), F.expr("shiftleft(1L, CAST(p & 63 AS INT))").alias("bit"))
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            kept = b.column(0).to_numpy().view(np.uint64)
+            at = np.concatenate([*_places(kept, size)])
+            bit = np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))],
+                                             names=["slot", "bit"])
+
+    rows = (hashes.select("hash").mapInArrow(run, "slot long, bit long")
             .groupBy("slot").agg(F.bit_or("bit").alias("bits")).toArrow())
     out = np.zeros(size // 64, np.uint64) if old is None else old.copy()
     out[rows["slot"].to_numpy()] |= rows["bits"].to_numpy().view(np.uint64)
