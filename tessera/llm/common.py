@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.session import ensure_checkpoint_dir
@@ -62,6 +62,23 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def bounded_sample(rows: DataFrame, per_class: int, rank: list[Column]) -> DataFrame:
+    """At most ``per_class`` different rows of each class ``_y`` of ``rows``
+    (_id, _t, _y): the first by ``rank``, then id, then a hash of the text.
+
+    Rows are told apart by id and text, so an id that many rows share gives
+    only as many as are picked, and a row that repeats is picked once.  Ranks
+    are taken without the texts, each task keeping the first of its own; one
+    more scan fetches the texts of the picked rows.
+    """
+    rows = rows.withColumn("_h", F.xxhash64("_t"))
+    keys = rows.select("_id", "_y", "_h", *[r.alias(f"_r{i}") for i, r in enumerate(rank)]).distinct()
+    order = Window.partitionBy("_y").orderBy(*[f"_r{i}" for i in range(len(rank))], "_id", "_h")
+    picked = keys.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).select("_id", "_y", "_h")
+    return (rows.join(F.broadcast(picked), ["_id", "_y", "_h"]).groupBy("_id", "_y", "_h")
+            .agg(F.first("_t").alias("_t")).select("_id", "_t", "_y"))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                     max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """At most ``per_class`` training rows of each label as (text, label).
@@ -69,7 +86,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     Bounds of the sample, both parameters: the ``per_class`` rows of each
     label that come first by a hash of their id, among the labelled rows that
     are not held out and have 1 to ``max_chars`` characters.  Rows of one id
-    with both labels are left out.  At most ``2 * per_class * max_chars``
+    with both labels are left out; rows that share an id count one by one, a
+    row that repeats counts once.  At most ``2 * per_class * max_chars``
     characters reach the driver, however large the tables are.
     """
     known = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -78,13 +96,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
              .where("_y = _z").select("_id", "_y"))
     fit = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).where(
         F.length("_t").between(1, max_chars))
-    ids = fit.select("_id").join(known, "_id")
-    rank = F.xxhash64(F.lit(label), "_id")
-    picked = None
-    for y in (0, 1):
-        part = ids.where(F.col("_y") == y).orderBy(rank, "_id").limit(per_class)
-        picked = part if picked is None else picked.unionByName(part)
-    rows = fit.join(F.broadcast(picked.dropDuplicates(["_id"])), "_id").select("_id", "_t", "_y").collect()
+    rows = bounded_sample(fit.join(known, "_id"), per_class, [F.xxhash64(F.lit(label), "_id")]).collect()
     return [(r["_t"], r["_y"]) for r in sorted(rows, key=lambda r: (r["_id"], r["_t"]))]
 
 

@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import held_out, map_columns, texts_of
+from tessera.llm.common import bounded_sample, held_out, map_columns, texts_of
 
 WINDOW = 64
 HIDDEN = 8
-#: bounds of the training sample: rows of each language, characters of a row,
-#: windows of each row, languages
-PER_LANGUAGE, MAX_CHARS, WINDOWS_PER_ROW, MAX_LANGUAGES = 300, 20_000, 8, 200
+#: bounds of the training sample: rows of each language and of all of them,
+#: characters of a row, windows of each row, languages
+PER_LANGUAGE, MAX_ROWS, MAX_CHARS, WINDOWS_PER_ROW, MAX_LANGUAGES = 300, 60_000, 20_000, 8, 10_000
 STEPS, BATCH, RATE = 400, 256, 0.02
 #: windows that are read side by side
 SIDE_BY_SIDE = 2048
@@ -154,24 +154,32 @@ def fit(rows: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) -> Langu
 def train_language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                       per_language: int = PER_LANGUAGE, max_chars: int = MAX_CHARS,
                       max_languages: int = MAX_LANGUAGES) -> LanguageModel | None:
-    """Network from a bounded sample: of each language (more than
-    ``max_languages`` raise ValueError), the ``per_language`` rows that come
-    first by a hash of their id, among the rows with a language that are not
-    held out and have 1 to ``max_chars`` characters."""
-    fit_rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.col(lang_col).alias("_l")).where(
-        F.col("_l").isNotNull() & F.col("_id").isNotNull() & ~held_out("_id") & F.length("_t").between(1, max_chars))
-    found = [r["_l"] for r in fit_rows.select("_l").distinct().limit(max_languages + 1).collect()]
-    if len(found) > max_languages:
-        raise ValueError(f"more than {max_languages} languages")
-    picked = None
-    for lang in sorted(found):
-        part = (fit_rows.where(F.col("_l") == lang).select("_id", "_l")
-                .orderBy(F.xxhash64(F.lit("lang"), "_id"), "_id").limit(per_language))
-        picked = part if picked is None else picked.unionByName(part)
-    if picked is None:
+    """Network from a bounded sample.
+
+    Of each language the ``per_language`` rows that come first by a hash of
+    their id, among the non-empty rows with a language that are not held out.
+    Rows of more than ``max_chars`` characters come last, and of such a row one
+    stretch of ``max_chars`` at a place drawn from its id is read.  With so many
+    languages that this exceeds ``MAX_ROWS``, each gives fewer rows, but one at
+    least.  Rows that share an id count one by one, a row that repeats once.
+    Every language is learned, up to ``max_languages``; beyond them those with
+    the fewest rows (then the last by name) are not, and are never predicted.
+    None without any row.
+    """
+    start = F.pmod(F.xxhash64("_id", F.lit(1)), F.greatest(F.lit(1), F.length("_t") - max_chars + 1)).cast("int") + 1
+    fit_rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.col(lang_col).alias("_y")).where(
+        F.col("_y").isNotNull() & F.col("_id").isNotNull() & ~held_out("_id") & (F.length("_t") > 0))
+    found = [r["_y"] for r in fit_rows.groupBy("_y").agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.desc("n"), "_y").limit(max_languages).collect()]
+    if not found:
         return None
-    rows = fit_rows.join(F.broadcast(picked.distinct()), ["_id", "_l"]).select("_id", "_t", "_l").collect()
-    return fit([(r["_t"], r["_l"]) for r in sorted(rows, key=lambda r: (r["_id"], r["_l"], r["_t"]))])
+    learned = fit_rows.sparkSession.createDataFrame([(y,) for y in found], "_y string")
+    part = (fit_rows.join(F.broadcast(learned), "_y", "left_semi")
+            .select("_id", F.substring("_t", start, F.lit(max_chars)).alias("_t"), "_y",
+                    (F.length("_t") > max_chars).cast("int").alias("_long")))
+    each = max(1, min(per_language, MAX_ROWS // len(found)))
+    rows = bounded_sample(part, each, [F.col("_long"), F.xxhash64(F.lit("lang"), "_id")]).collect()
+    return fit([(r["_t"], r["_y"]) for r in sorted(rows, key=lambda r: (r["_id"], r["_y"], r["_t"]))])
 
 
 def reader(model: LanguageModel):

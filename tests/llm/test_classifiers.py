@@ -9,7 +9,7 @@ import pytest
 
 from tessera.llm import language_id as G
 from tessera.llm import toxicity as X
-from tessera.llm.common import held_out
+from tessera.llm.common import held_out, labelled_sample
 from tessera.llm.language_id import predict_language, train_language_id
 from tessera.llm.quality import score_quality, train_quality
 from tessera.llm.toxicity import score_toxicity, train_toxicity
@@ -135,3 +135,134 @@ def test_without_labels(table, labels):
 def test_one_stands_for_i_and_l(text, hits):
     model = X.ToxicityModel(words={"bully": 1.0, "clown": 1.0}, stems={"achlich": 1.0})
     assert len(X.matcher(model)(X.folding()(text))) == hits
+
+
+# ------------------------------------------------- bounds, and brute force
+
+def test_samples_stay_bounded_when_rows_share_an_id(table, labels):
+    """Thousands of rows under one id, and without one: rows are picked, not ids."""
+    rows = [(4, f"good row {i}") for i in range(5000)] + [(None, f"row {i}") for i in range(5000)]
+    rows += [(8, "one and the same")] * 3000 + [(i, f"bad row {i}") for i in (1, 3, 5, 7)]
+    marks = labels([(4, 1, 0), (8, 1, 0), (None, 1, 1), *[(i, 0, 1) for i in (1, 3, 5, 7)]])
+    got = labelled_sample(table(rows), marks, "quality", 10, 100)
+    assert sum(y for _, y in got) == 10 and len({t for t, _ in got}) == len(got)
+    got = labelled_sample(table(rows), marks, "quality", 10_000, 100)
+    want = {(f"good row {i}", 1) for i in range(5000)} | {("one and the same", 1)}
+    held = {i for i in (1, 3, 4, 5, 7, 8) if zlib.crc32(str(i).encode()) % 4 == 2}
+    want = {w for w in want if 4 not in held or not w[0].startswith("good")} | {
+        (f"bad row {i}", 0) for i in (1, 3, 5, 7) if i not in held}
+    if 8 in held:
+        want.discard(("one and the same", 1))
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_every_language_is_learned(table, monkeypatch):
+    """Hundreds of languages, one with long rows only, one id for many rows."""
+    free = [i for i in range(1, 4000) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(free[i], f"w{i} " * 5, f"l{i:03}", "s") for i in range(400)]
+    rows += [(free[500], f"{i} zz" * 4, "many", "s") for i in range(5000)]
+    rows += [(free[600], "αβγ " * 20_000, "long", "s")]
+    taken = []
+    monkeypatch.setattr(G, "fit", lambda sample: taken.extend(sample) or "model")
+    docs = table(rows)
+    assert G.train_language_id(docs, per_language=20) == "model"
+    by = {}
+    for t, lang in taken:
+        by.setdefault(lang, []).append(t)
+    assert len(by) == 402 and len(by["many"]) == 20 and [len(t) for t in by["long"]] == [G.MAX_CHARS]
+    taken.clear()
+    monkeypatch.setattr(G, "MAX_ROWS", 500)
+    G.train_language_id(docs, per_language=20, max_languages=3)
+    assert {lang for _, lang in taken} == {"many", "l000", "l001"} and len(taken) == 22
+
+
+def test_quality_by_plain_compression(table):
+    """Sizes of 512-byte pieces with either dictionary, by a plain loop."""
+    import zstandard
+    from tessera.llm import quality as Q
+
+    rows = [(i, prose(random.Random(i).choice(["aa", "bb", "cc"]), 40 + 60 * i)) for i in range(12)] + EDGE + [(3, "a"), (3, "a")]
+    sample = [prose("aa", 200) for _ in range(30)], [prose("bb", 200) for _ in range(30)]
+    model = Q.QualityModel(Q._dictionary(sample[0]), Q._dictionary(sample[1]), -0.3, 25.0)
+
+    def size(raw, dictionary):
+        c = zstandard.ZstdCompressor(level=Q.LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary),
+                                     write_content_size=False, write_checksum=False, write_dict_id=False)
+        return sum(len(c.compress(raw[i:i + 512])) for i in range(0, len(raw), 512))
+
+    want = []
+    for i, t in rows:
+        raw = (t or "").encode()
+        e = (size(raw, model.bad) - size(raw, model.good)) / len(raw) if raw else 0.0
+        want.append((i, e, 1 / (1 + np.exp(-(model.bias + model.slope * e)))))
+    got = score_quality(table(rows), model).select("doc_id", "evidence", "score").collect()
+    assert len(got) == len(want)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[0] == w[0] and abs(g[1] - w[1]) < 1e-12 and abs(g[2] - w[2]) < 1e-9
+
+
+def test_toxicity_by_naive_search(table):
+    """Every entry at every place of the folded text."""
+    model = X.ToxicityModel(words={"bully": 2.0, "moron": 1.5}, stems={"zonk": 1.0, "zonkel": 3.0}, weights=[-4.0, 1.0, 1.5])
+    rng = random.Random(5)
+    parts = ["bully", "bul1y", "morons", "m0ron", "zonkelka", "zonk", "pond scum", "a", "x-zonk", "unmoron", "clown fish", "moron!"]
+    rows = [(i, " ".join(rng.choice(parts) for _ in range(rng.randrange(0, 60)))) for i in range(80)] + EDGE
+    fold = X.folding()
+    spare = {fold(e) for e in model.exceptions}
+
+    def score(text):
+        text = fold(text or "")
+        free = lambda a: a == 0 or not text[a - 1].isalnum()
+        closed = lambda e: e == len(text) or not text[e].isalnum()
+        quiet = [(a, a + len(x)) for x in spare for a in range(len(text)) if text.startswith(x, a) and free(a) and closed(a + len(x))]
+        total = 0.0
+        for a in range(len(text)):
+            found = [(w, a + len(fold(x))) for group, whole in ((model.words, True), (model.stems, False)) for x, w in group.items()
+                     if text.startswith(fold(x), a) and free(a) and (closed(a + len(fold(x))) or not whole)]
+            if found:
+                w, e = max(found)
+                total += w * (not any(p <= a and e <= q for p, q in quiet))
+        v = -4.0 + np.log1p(total) + 1.5 * np.log1p(total / (1 + len(text) / X.PER_CHARS))
+        return 1 / (1 + np.exp(-max(-30, min(30, v))))
+
+    short = [(i, t) for i, t in rows if not t or len(t) < 5000]
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(table(short), model).collect()}
+    for i, t in short:
+        assert abs(got[i] - score(t)) < 1e-9, t
+
+
+def test_language_by_a_loop_over_positions(table):
+    """The network step by step, one position and one window at a time."""
+    rows = [(i, prose(lang, 30), lang, "s") for i, lang in enumerate(["aa", "bb", "cc"] * 5)]
+    model = G.fit([(t, lang) for _, t, lang, _ in rows], steps=15)
+    w = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    sig = lambda a: 1 / (1 + np.exp(-a))
+
+    def run(codes, side):
+        x, u, h, out, k = w["x" + side], w["u" + side], np.zeros(G.HIDDEN), {}, G.HIDDEN
+        order = range(len(codes)) if side == "f" else range(len(codes) - 1, -1, -1)
+        for t in order:
+            a, b = x[:, codes[t]], u @ h
+            z, r = sig(a[:k] + b[:k]), sig(a[k:2 * k] + b[k:2 * k])
+            new = np.tanh(a[2 * k:] + r * b[2 * k:])
+            h = (1 - z) * new + z * h
+            out[t] = h
+        return out
+
+    def pooled(text):
+        raw, total = text.encode(), np.zeros(3)
+        for lo in range(0, len(raw), G.WINDOW):
+            piece = raw[lo:lo + G.WINDOW].ljust(G.WINDOW, b"\0")
+            f, b = run(piece, "f"), run(piece, "b")
+            for t in range(min(G.WINDOW, len(raw) - lo)):
+                e = w["o"] @ np.concatenate([f[t], b[t]]) + w["c"][:, 0]
+                p = np.exp(e - e.max())
+                total += p / p.sum()
+        return total / len(raw)
+
+    docs = rows + [(100, "x1", None, "s"), (101, "ä" * 70, None, "s"), (100, "x1", None, "s"), (None, "no id", None, "s")]
+    got = {(r["doc_id"], r["text"]): r for r in predict_language(table(docs), model).collect()}
+    for i, t, *_ in docs:
+        p = pooled(t)
+        assert got[i, t]["lang_pred"] == model.languages[int(p.argmax())] and abs(got[i, t]["score"] - p.max()) < 1e-4
