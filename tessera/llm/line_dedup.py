@@ -263,15 +263,32 @@ def dedup_lines(docs: DataFrame, index: LineIndex | None = None, id_col: str = "
     ``n_lines`` (before) and ``n_dropped``.  All rows and columns are kept.
 
     Null or empty text is one empty line and becomes an empty text.  Rows
-    that share an id are one document to the index, and each loses its
-    lines.  Columns of the input named ``n_lines`` or ``n_dropped`` are
-    replaced.
+    that share an id, or have none, are one document to the index, and each
+    loses its lines; a row meets only the keys it holds itself, however many
+    the document loses.  Columns of the input named ``n_lines`` or
+    ``n_dropped`` are replaced.
     """
     index = index or build(docs, id_col, text_col)
-    lost = lost_keys(index).groupBy("doc").agg(F.collect_list("key").alias("_lost"))
-    base = docs.drop("n_lines", "n_dropped", "_lost", "_doc")
-    rows = (base.withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)))
-            .join(lost.withColumnRenamed("doc", "_doc"), "_doc", "left").drop("_doc"))
+    base = docs.drop("n_lines", "n_dropped", "_lost", "_doc", "_row")
+    rows = base.withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(MAX_LONG)))
+    lost = lost_keys(index).withColumnRenamed("doc", "_doc")
+    shared = staged(rows.groupBy("_doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_doc"))
+    by = ["_doc"]
+    if shared.isEmpty():
+        lost = lost.groupBy("_doc").agg(F.collect_list("key").alias("_lost"))
+    else:
+        by, lost = ["_doc", "_row"], staged(lost)
+        shared = checked_small(shared, MAX_BROADCAST)
+        rows = rows.join(shared.withColumn("_shared", F.lit(True)), "_doc", "left").withColumn(
+            "_row", F.when(F.col("_shared"), F.xxhash64(text_col)).otherwise(F.lit(0))).drop("_shared")
+        texts = rows.where("_row <> 0").select("_doc", "_row", F.col(text_col).alias("_text")).groupBy("_doc", "_row").agg(
+            F.first("_text").alias("_text"))
+        own = line_keys(texts.groupBy("_row").agg(F.first("_text").alias("_text")), "_row", "_text").distinct()
+        own = texts.select("_doc", "_row").join(own.withColumnRenamed("doc", "_row"), "_row")
+        lost = (lost.join(shared, "_doc", "left_anti").withColumn("_row", F.lit(0).cast("long")).select("_doc", "_row", "key")
+                .unionByName(own.join(lost, ["_doc", "key"]).select("_doc", "_row", "key"))
+                .groupBy("_doc", "_row").agg(F.collect_list("key").alias("_lost")))
+    rows = rows.join(lost, by, "left").drop("_doc", "_row")
     schema = base.withColumns({text_col: F.lit("").cast("string"), "n_lines": F.lit(0).cast("long"),
                                "n_dropped": F.lit(0).cast("long")}).schema
     lower = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))

@@ -131,6 +131,20 @@ def test_line_index_is_reversible(table, spark):
         assert {bytes(r["key"]) for r in L.lost_keys(x).collect()} == held
 
 
+def test_lines_of_rows_that_share_an_id(table, monkeypatch):
+    """Thousands of rows without an id, or with one: each row meets only the
+    keys of its own lines."""
+    rows = [(None, f"line of row {i} and of another\nalone in row {i}") for i in range(1500)]
+    rows += [(5, f"line of row {i} and of another\nsecond row {i}") for i in range(1500)]
+    rows += [(1, f"line of row {i} and of another") for i in range(0, 1500, 3)] + [(2, "second row 7"), (None, None), (5, "")] + rows[:3]
+    largest = []
+    monkeypatch.setattr(L, "map_columns", lambda df, *a, f=L.map_columns: largest.append(
+        df.select(F.max(F.size("_lost"))).first()[0]) or f(df, *a))
+    out = L.dedup_lines(table(rows))
+    assert got(out.withColumn("s", F.sha2("text", 256)), "doc_id", "n_lines", "n_dropped", "s") == canon(brute.lines(rows))
+    assert max(n for n in largest if n) <= 2
+
+
 def test_lines_of_a_hot_shard(table):
     """A line that most documents hold is probed in many pieces, with the same result."""
     rows = [(i, f"the line that all of them hold\na line of number {i} alone\nshared by {i // 2} and a neighbour") for i in range(200)]
