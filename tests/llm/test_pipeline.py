@@ -120,3 +120,23 @@ def test_decontamination_by_item(spark, table, tmp_path):
     docs = table([(1, "before " + a), (2, b + " after"), (3, c), (4, d), (5, "too short"), (6, None)])
     kept = P.decontamination(spark, docs, str(tmp_path)).collect()
     assert sorted(r["doc_id"] for r in kept) == [4, 5, 6]
+
+
+def test_empty_tables_and_very_long_texts(spark, tmp_path):
+    """Each stage and the whole run over empty tables, and over texts of a
+    hundred thousand words; only the last stage's input is kept."""
+    import glob
+
+    from tessera.llm.common import shared_dir
+
+    docs = "doc_id long, text string, lang string, source string, n_chars long"
+    long = " ".join(f"w{i * 7919 % 5003}" for i in range(100_000))
+    for name, rows in (("none", []), ("long", [(1, long, "en", "a", 1), (2, long + " more", "en", "b", 1), (3, "short", None, None, None)])):
+        d = tmp_path / name
+        spark.createDataFrame(rows, docs).write.parquet(str(d / "documents.parquet"))
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
+        spark.createDataFrame([], "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
+        before = set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/tessera-pipeline-*"))
+        got = P.run(spark, str(d)).collect()
+        assert sorted(r["doc_id"] for r in got) == ([1, 3] if rows else [])
+        assert len(set(glob.glob(f"{shared_dir(spark).removeprefix('file:')}/tessera-pipeline-*")) - before) == 1
