@@ -7,16 +7,19 @@ back as the next one's documents.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import staged
+from tessera.llm.common import shared_dir, staged
 from tessera.llm.decontamination import find_items
 from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.mixing import mix
 from tessera.llm.ngram_jaccard import jaccard_components
 from tessera.llm.queries import TOXIC_CUT, table
 from tessera.llm.toxicity import score_toxicity, train_toxicity
+from tessera.operators.joins import checked_broadcast
 
 
 def _packed(docs: DataFrame, *more: str) -> DataFrame:
@@ -51,6 +54,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     marked = rows.groupBy("key", "component_id", "n_shingles").agg(F.count(F.lit(1)).alias("n"))
     marked = staged(marked.where("key <> component_id OR n > 1 AND (n_shingles > 0 OR NOT key.last)")
                     .select("key.doc_id", "key.hash", (F.col("key") == F.col("component_id")).alias("stays")))
+    marked = checked_broadcast(marked)      # small beside the corpus, whose texts then stay where they are
     same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & F.unhex(F.md5("d.text")).eqNullSafe(F.col("m.hash"))
     once = docs.alias("d").join(marked.alias("m"), same, "left_anti")
     again = docs.alias("d").join(marked.where("stays").alias("m"), same, "left_semi").dropDuplicates(["doc_id", "text"])
@@ -62,7 +66,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     item is judged by its own text, also where they share an id or have none."""
     rows = docs.select(F.struct("doc_id", F.xxhash64("text").alias("hash")).alias("doc"), "text")
     items = table(spark, sf_dir, "benchmark").select(F.unhex(F.md5("text")).alias("item_id"), "text")
-    bad = find_items(rows, items, id_col="doc").select("doc.*").distinct()
+    bad = checked_broadcast(staged(find_items(rows, items, id_col="doc").select("doc.*").distinct()))
     same = F.col("d.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.xxhash64("d.text") == F.col("b.hash"))
     return docs.alias("d").join(bad.alias("b"), same, "left_anti").select(*docs.columns)
 
@@ -81,7 +85,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir))
+    """All stages; what one has written is deleted once the next one's rows
+    are there, so at most two are kept at a time."""
+    docs, last = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        path = f"{shared_dir(spark)}/tessera-pipeline-{uuid.uuid4().hex}-{name}"
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if last:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(last)
+            folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
