@@ -84,6 +84,64 @@ def test_search_group_is_exact():
         assert J.search_group(sets) == comp
 
 
+def near_copies(rng, n, edits, words=64, alternatives=10 ** 6):
+    """``n`` different shingle sets of one text with up to ``edits`` words replaced."""
+    sets, of = {}, J.shingler()
+    while len(sets) < n:
+        w = [f"w{i}" for i in range(words)]
+        for _ in range(rng.randrange(edits + 1)):
+            w[rng.randrange(words)] = f"e{rng.randrange(alternatives)}"
+        s = of(" ".join(w))
+        sets[s.tobytes()] = s
+    return list(sets.values())
+
+
+def components(n, ties):
+    comp = list(range(n))
+    for i, j in ties:
+        old, new = max(comp[i], comp[j]), min(comp[i], comp[j])
+        comp = [new if c == old else c for c in comp]
+    return comp
+
+
+@pytest.mark.parametrize("edits", [1, 2, 4])
+def test_blocks_find_every_link(edits):
+    """Blocks of queries against indexed blocks, any labels joined before, are
+    as good as all pairs."""
+    rng = random.Random(edits)
+    sets = near_copies(rng, 120, edits)
+    linked = [(i, j) for i in range(120) for j in range(i) if len(set(sets[i].tolist()) & set(sets[j].tolist()))
+              >= J.least_overlap(len(sets[i]), len(sets[j]))]
+    want = components(120, linked)
+    assert J.search_group(sets) == want
+    lead = [next((k for k in (0, 7) if i == k or (max(i, k), min(i, k)) in linked), None) for i in range(120)]
+    label = [{None: 0, 0: 1, 7: 2}[k] for k in lead]
+    ties = [(i, k) for i, k in enumerate(lead) if k not in (None, i)]
+    block = [rng.randrange(3) for _ in range(120)]
+    for main in (1, 2, -1):
+        found = list(ties)
+        for a in range(3):
+            for b in range(3):
+                q = [i for i in range(120) if block[i] == a and label[i] != main]
+                s = [i for i in range(120) if block[i] == b]
+                if q and s:
+                    found += [(q[i], s[j]) for i, j in J.search_blocks(
+                        [sets[i] for i in q], q, [label[i] for i in q], [sets[i] for i in s], s, [label[i] for i in s], main)]
+        assert components(120, found) == want
+
+
+def test_search_of_large_groups_does_not_explode():
+    """1,600 near-equal sets of 60 shingles in seconds, as the sets of a third
+    of the corpus may be near copies."""
+    import time
+    rng = random.Random(1)
+    for edits in (1, 2, 4):
+        sets = near_copies(rng, 1600, edits)
+        began = time.process_time()
+        J.search_group(sets)
+        assert time.process_time() - began < 10       # about one second on an idle core
+
+
 def test_substrings(table, corpus):
     out = S.dedup_substrings(table(corpus))
     assert got(out, "doc_id", "n_words", "n_removed", "kept_sha256") == canon(brute.substrings(corpus))
