@@ -53,6 +53,10 @@ SHIFTS = (0, 18, 37)   # the filter's three places of a hash, once more mixed
 CHUNK_WORDS = 500_000
 ROWS = 50_000          # of an emitted batch
 MERGED = 1_500_000     # hashes of a task that are added up before they are sent
+BUCKET_WORDS = 500_000 # words of the corpus for each bucket of hashes
+#: fewer, and the rest of a hash would not fit 32 bits; more, and a task would
+#: send rows of only a few hashes
+LEAST_BUCKET_BITS, MOST_BUCKET_BITS = HASH_BITS - 32, 18
 SCALE = 2_000_000      # of the score
 PART_NUM, PART_DEN = 80, 100
 TOP = 2000
@@ -209,19 +213,35 @@ def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     return h[first], np.add.reduceat(n, first) if len(h) else n
 
 
-def hash_counts(docs: DataFrame, bits=None, levels: tuple[int, ...] = (1, 2, 3, 4),
-                chunk_words: int = CHUNK_WORDS) -> DataFrame:
+def hash_counts(docs: DataFrame, bits=None, levels: tuple[int, ...] = (1, 2, 3, 4), chunk_words: int = CHUNK_WORDS,
+                least: int = 1, bucket_bits: int = LEAST_BUCKET_BITS) -> DataFrame:
     """(hash, n) of the phrases of ``docs`` (lang, text) that count with the
-    broadcast filter ``bits``.  A task adds up its chunks itself, so its rows
-    are distinct but for every ``MERGED``, and go to the shuffle as they are."""
+    broadcast filter ``bits`` and do so at least ``least`` times.
+
+    A task adds up its chunks itself.  What it sends is dealt by the first
+    ``bucket_bits`` of the hashes: a row for each bucket with the rest of its
+    hashes and their counts, 4 bytes each, side by side.  A bucket is added up
+    by one task, some ``MERGED`` entries at a time; the number of buckets grows
+    with the corpus.
+    """
+    rest = HASH_BITS - bucket_bits
+
     def run(batches):
         import pyarrow as pa
 
         def rows(parts):
             h, n = _added(parts)
-            for lo in range(0, len(h), ROWS):
+            # a count that does not fit is sent in parts
+            while len(h):
+                bucket = (h >> np.uint64(rest)).astype(np.int64)
+                first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+                low, small = (h & np.uint64((1 << rest) - 1)).astype("<u4"), np.minimum(n, 0xFFFFFFFF).astype("<u4")
+                ends = [*first[1:].tolist(), len(h)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[lo:lo + ROWS].view(np.int64)), pa.array(n[lo:lo + ROWS])], names=["hash", "n"])
+                    [pa.array(bucket[first]), *[pa.array([c[a:b].tobytes() for a, b in zip(first.tolist(), ends)], pa.binary())
+                                                for c in (low, small)]], names=["bucket", "hashes", "counts"])
+                more = n > 0xFFFFFFFF
+                h, n = h[more], n[more] - 0xFFFFFFFF
 
         parts, size = [], 0
         for chunk in _chunks(batches, chunk_words):
@@ -237,8 +257,20 @@ def hash_counts(docs: DataFrame, bits=None, levels: tuple[int, ...] = (1, 2, 3,
         if parts:
             yield from rows(parts)
 
-    return (docs.mapInArrow(run, "hash long, n long").repartition("hash")
-            .groupBy("hash").agg(F.sum("n").alias("n")))
+    def add(table):
+        import pyarrow as pa
+
+        low, n = (np.concatenate([np.frombuffer(x, "<u4") for x in table[c].to_pylist()]) for c in ("hashes", "counts"))
+        first, out = np.uint64(table["bucket"][0].as_py() << rest), []
+        step = -(-(1 << rest) // max(1, -(-len(low) // MERGED)))
+        for lo in range(0, 1 << rest, step):
+            here = slice(None) if step >> rest else (low >= lo) & (low < lo + step)
+            h, k = _added([(low[here].astype(np.uint64), n[here].astype(np.int64))])
+            out.append((h[k >= least] | first, k[k >= least]))
+        h, k = (np.concatenate(c) for c in zip(*out))
+        return pa.table({"hash": pa.array(h.view(np.int64)), "n": pa.array(k)})
+
+    return docs.mapInArrow(run, "bucket long, hashes binary, counts binary").groupBy("bucket").applyInArrow(add, "hash long, n long")
 
 
 def phrase_counts(docs: DataFrame, bits, done, levels: tuple[int, ...] = (1, 2, 3, 4),
@@ -301,12 +333,16 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     texts = base.select("lang", "text")
     sample = staged(base.where(F.pmod("h", F.lit(share)) == 0).select("lang", "text"))
 
+    # buckets by the corpus' words, which are about one for six characters
+    chars = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = min(MOST_BUCKET_BITS, max(LEAST_BUCKET_BITS, (chars // 6 // BUCKET_WORDS).bit_length()))
+
     held, proposed = None, None
     for k in range(1, LONGEST):
-        frequent = hash_counts(sample, proposed, (k,), chunk_words).where(F.col("n") >= sample_count)
+        frequent = hash_counts(sample, proposed, (k,), chunk_words, sample_count)
         held = filter_bits(frequent, size, held)
         proposed = spark.sparkContext.broadcast(held)
-    reached = hash_counts(texts, proposed, chunk_words=chunk_words).where(F.col("n") >= min_count)
+    reached = hash_counts(texts, proposed, chunk_words=chunk_words, least=min_count, bucket_bits=buckets)
     reached = spark.sparkContext.broadcast(filter_bits(reached, size))
     counts = phrase_counts(texts, reached, proposed, chunk_words=chunk_words)
     found = staged(counts.where((F.col("n") >= min_count) | (F.col("phrase") == "")))

@@ -126,6 +126,21 @@ def test_border_failures(spark, speech):
     assert got == {"": 120, **{" ".join("alpha beta gamma delta".split()[i:j]): 30 for i in range(4) for j in range(i + 1, 5)}}
 
 
+def test_buckets_add_up_alike(spark, monkeypatch):
+    """Whatever the buckets, and in whatever steps a bucket is added up."""
+    rng = random.Random(6)
+    docs = spark.createDataFrame([("en", " ".join(f"w{rng.randrange(40)}" for _ in range(300))) for _ in range(20)],
+                                 "lang string, text string").repartition(3)
+    full = spark.sparkContext.broadcast(np.full(1, 2 ** 64 - 1, np.uint64))
+    want = sorted(map(tuple, C.hash_counts(docs, full).collect()))
+    assert sum(n for _, n in want) == 20 * (300 + 299 + 298 + 297)
+    for bits in (8, 13, 18):
+        for merged in (1_500_000, 7):
+            monkeypatch.setattr(C, "MERGED", merged)
+            got = C.hash_counts(docs, full, chunk_words=500, least=3, bucket_bits=bits).collect()
+            assert sorted(map(tuple, got)) == [w for w in want if w[1] >= 3]
+
+
 def test_distinct_rows():
     rng = np.random.default_rng(2)
     for bits in (3, 16, 21, 30):
