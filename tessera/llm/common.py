@@ -62,20 +62,29 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def bounded_sample(rows: DataFrame, per_class: int, rank: list[Column]) -> DataFrame:
-    """At most ``per_class`` different rows of each class ``_y`` of ``rows``
-    (_id, _t, _y): the first by ``rank``, then id, then a hash of the text.
+def bounded_sample(texts: DataFrame, classes: Column | DataFrame, per_class: int, rank: list[Column]) -> DataFrame:
+    """(_id, _t, _y): at most ``per_class`` different rows of each class of
+    ``texts`` (_id, _t, ..), the first by ``rank``, then id, then a hash of the
+    text.  ``classes`` is the class as a column of ``texts`` or a table (_id, _y).
 
     Rows are told apart by id and text, so an id that many rows share gives
     only as many as are picked, and a row that repeats is picked once.  Ranks
     are taken without the texts, each task keeping the first of its own; one
-    more scan fetches the texts of the picked rows.
+    more scan fetches the texts of the picked rows, and only those move.
     """
-    rows = rows.withColumn("_h", F.xxhash64("_t"))
-    keys = rows.select("_id", "_y", "_h", *[r.alias(f"_r{i}") for i, r in enumerate(rank)]).distinct()
+    texts = texts.withColumn("_h", F.xxhash64("_t"))
+    ranks = [r.alias(f"_r{i}") for i, r in enumerate(rank)]
+    if isinstance(classes, DataFrame):
+        keys = texts.select("_id", "_h", *ranks).join(classes, "_id")
+    else:
+        keys = texts.select("_id", "_h", *ranks, classes.alias("_y"))
     order = Window.partitionBy("_y").orderBy(*[f"_r{i}" for i in range(len(rank))], "_id", "_h")
-    picked = keys.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class).select("_id", "_y", "_h")
-    return (rows.join(F.broadcast(picked), ["_id", "_y", "_h"]).groupBy("_id", "_y", "_h")
+    picked = (keys.distinct().withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_class)
+              .select("_id", "_h", "_y"))
+    same = ["_id", "_h"]
+    if not isinstance(classes, DataFrame):
+        texts, same = texts.withColumn("_y", classes), ["_id", "_h", "_y"]
+    return (texts.select("_t", *same).join(F.broadcast(picked), same).groupBy("_id", "_h", "_y")
             .agg(F.first("_t").alias("_t")).select("_id", "_t", "_y"))
 
 
@@ -96,7 +105,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
              .where("_y = _z").select("_id", "_y"))
     fit = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t")).where(
         F.length("_t").between(1, max_chars))
-    rows = bounded_sample(fit.join(known, "_id"), per_class, [F.xxhash64(F.lit(label), "_id")]).collect()
+    rows = bounded_sample(fit, known, per_class, [F.xxhash64(F.lit(label), "_id")]).collect()
     return [(r["_t"], r["_y"]) for r in sorted(rows, key=lambda r: (r["_id"], r["_t"]))]
 
 

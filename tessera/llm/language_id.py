@@ -178,7 +178,7 @@ def train_language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             .select("_id", F.substring("_t", start, F.lit(max_chars)).alias("_t"), "_y",
                     (F.length("_t") > max_chars).cast("int").alias("_long")))
     each = max(1, min(per_language, MAX_ROWS // len(found)))
-    rows = bounded_sample(part, each, [F.col("_long"), F.xxhash64(F.lit("lang"), "_id")]).collect()
+    rows = bounded_sample(part, F.col("_y"), each, [F.col("_long"), F.xxhash64(F.lit("lang"), "_id")]).collect()
     return fit([(r["_t"], r["_y"]) for r in sorted(rows, key=lambda r: (r["_id"], r["_y"], r["_t"]))])
 
 
