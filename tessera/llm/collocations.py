@@ -52,7 +52,7 @@ HASH_BITS = 40         # of a phrase's hash are counted by and known to a filter
 SHIFTS = (0, 18, 37)   # the filter's three places of a hash, once more mixed
 CHUNK_WORDS = 500_000
 ROWS = 50_000          # of an emitted batch
-MERGED = 1_500_000     # hashes of a task that are added up before they are sent
+MERGED = 500_000     # hashes of a task that are added up before they are sent
 BUCKET_WORDS = 500_000 # words of the corpus for each bucket of hashes
 #: fewer, and the rest of a hash would not fit 32 bits; more, and a task would
 #: send rows of only a few hashes
