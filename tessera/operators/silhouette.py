@@ -19,18 +19,20 @@ their own; the clusters that are left are computed exactly.
 
 ``S`` is computed on a grid of cells.  Each cluster's coordinates are hashed
 into groups of about ``block_rows`` rows (by default chosen from the number of
-distinct coordinates, the task slots and the memory of a group; hash of
-distinct keys, so no group can grow with a hot key).  Clusters are numbered in a table that is joined, so there may be any
+distinct coordinates, the task slots and the memory of a group).  The hash is
+of columns, runs of 16384 grid places with one x, so no group can grow with a
+hot key.  Clusters are numbered in a table that is joined, so there may be any
 number of them.  A cell pairs the coordinates of group ``i`` that need a
 cluster with group ``j`` of that cluster: every query row is copied to the
 groups of the clusters it needs, every reference row to the groups of the
 clusters with a query that needs its own, the two sides are co-grouped by
 cell, and a numpy kernel (``cogroup().applyInPandas``) turns a cell into one
-partial sum per query coordinate.  Cells that no query needs do not exist.
+partial sum per query coordinate: by convolution of columns where they are
+filled densely, pair by pair elsewhere (:func:`distance_sums`).  Cells that no query needs do not exist.
 Spark then adds the partial sums per (coordinate, cluster) with partial
-aggregation.  Memory per cell is bounded, no pair is ever a row, and the work
-is exact and quadratic in the coordinates of neighbouring clusters -- which is
-what the measure asks for.
+aggregation.  Memory per cell is bounded and no pair is ever a row.  The sums
+are exact but for rounding; pair by pair the work is quadratic in the
+coordinates of neighbouring clusters, by columns in their columns.
 
 Several clusterings (a column ``run`` tells them apart) are scored in one such
 job: the grid of each is its own, and only the scheduling is shared.
@@ -67,34 +69,115 @@ TASK_BYTES = 128 << 20            # moved rows of one task
 MIN_BLOCK_ROWS = 4096             # below this a cell costs more to start than to compute
 MAX_BROADCAST_CLUSTERS = 100_000  # a larger table of clusters is joined by shuffling
 KERNEL_DOUBLES = 1 << 21          # ~16 MB per temporary distance matrix
+COLUMN_BITS = 14                  # a column: this many bits of y at one x
+COLUMN_DOUBLES = 1 << 23          # ~64 MB of columns transformed at a time, of each side
+MIN_COLUMN_PAIRS = 1 << 20        # fewer pairs are computed one by one
+HEAVY = 16                        # times the mean weight: taken pair by pair
 PARTIAL_SCHEMA = "cid int, x bigint, y bigint, w bigint, rcid int, s double"
 
 
+def _direct_sums(qx, qy, rx, ry, rw):
+    """For every query the weighted sum of distances to the references.  The
+    distance matrix is built a slice of query rows at a time, ``KERNEL_DOUBLES``
+    entries per slice."""
+    import numpy as np
+
+    sums = np.zeros(len(qx))
+    if not len(rx):
+        return sums
+    qx, qy, rx, ry, rw = (c.astype(np.float64) for c in (qx, qy, rx, ry, rw))
+    step = max(1, KERNEL_DOUBLES // len(rx))
+    for i in range(0, len(qx), step):
+        dx = qx[i:i + step, None] - rx[None, :]
+        dy = qy[i:i + step, None] - ry[None, :]
+        sums[i:i + step] = np.sqrt(dx * dx + dy * dy) @ rw
+    return sums
+
+
+def _columns(x, y, x0: int, y0: int, blocks: int):
+    """(x, block of y, column of each row, its place in the column)."""
+    import numpy as np
+
+    key, col = np.unique((x - x0) * blocks + ((y - y0) >> COLUMN_BITS), return_inverse=True)
+    return key // blocks, key % blocks, col, (y - y0) & ((1 << COLUMN_BITS) - 1)
+
+
+def distance_sums(qx, qy, rx, ry, rw):
+    """For every query coordinate, the weighted sum of distances to the
+    reference coordinates (integer arrays; references are distinct).
+
+    Between two columns, runs of ``2 ** COLUMN_BITS`` grid places with one x,
+    a distance depends on the difference of the places only, so the sums of
+    all queries of one column are a convolution.  Where columns are filled
+    densely enough it is taken by Fourier transforms, whose cost depends on the
+    columns and not on the pairs of their rows; else pair by pair.  References
+    of outstanding weight are always taken pair by pair: the rounding of a
+    transform is relative to its largest terms.
+    """
+    import numpy as np
+
+    n, m = len(qx), len(rx)
+    if not n or not m:
+        return np.zeros(n)
+    x0, y0 = min(int(qx.min()), int(rx.min())), min(int(qy.min()), int(ry.min()))
+    x1, y1 = max(int(qx.max()), int(rx.max())), max(int(qy.max()), int(ry.max()))
+    blocks = ((y1 - y0) >> COLUMN_BITS) + 1
+    if n * m < MIN_COLUMN_PAIRS or max(x1 - x0, y1 - y0) >= 1 << 31:
+        return _direct_sums(qx, qy, rx, ry, rw)
+    heavy = rw > HEAVY * rw.mean()
+    ax, ab, acol, aplace = _columns(qx, qy, x0, y0, blocks)
+    bx, bb, bcol, bplace = _columns(rx[~heavy], ry[~heavy], x0, y0, blocks)
+    a0, b0 = int(aplace.min()), int(bplace.min())
+    aplace, bplace = aplace - a0, bplace - b0
+    size = 1 << int(aplace.max() + bplace.max() + 1).bit_length()
+    pairs, each = len(ax) * len(bx), max(1, COLUMN_DOUBLES // size)
+    if pairs * size >= n * m:
+        return _direct_sums(qx, qy, rx, ry, rw)
+    dx = np.abs(ax[:, None] - bx[None, :])
+    db = ab[:, None] - bb[None, :] + blocks
+    kinds, kind = np.unique(dx * (2 * blocks) + db, return_inverse=True)
+    kind = kind.reshape(len(ax), len(bx))
+    chunks = -(-len(ax) // each) * -(-len(bx) // each)
+    transforms = len(ax) + len(bx) * -(-len(ax) // each) + min(pairs, len(kinds) * chunks)
+    if (pairs + transforms * size.bit_length()) * size + n * int(heavy.sum()) >= n * m:
+        return _direct_sums(qx, qy, rx, ry, rw)
+
+    sums = _direct_sums(qx, qy, rx[heavy], ry[heavy], rw[heavy])
+    weight = rw[~heavy].astype(np.float64)
+    step = np.arange(size)
+    step = np.where(step > aplace.max(), step - size, step) + (a0 - b0)   # place of the query less the reference's
+    for i in range(0, len(ax), each):
+        found = np.zeros((min(each, len(ax) - i), size // 2 + 1), np.complex128)
+        for j in range(0, len(bx), each):
+            part = np.zeros((min(each, len(bx) - j), size))
+            at = (bcol >= j) & (bcol < j + each)
+            part[bcol[at] - j, bplace[at]] = weight[at]
+            part = np.fft.rfft(part, axis=1)
+            here = kind[i:i + each, j:j + each]
+            for k in np.unique(here):
+                kx, kb = float(kinds[k] // (2 * blocks)), int(kinds[k] % (2 * blocks)) - blocks
+                dy = (step + (kb << COLUMN_BITS)).astype(np.float64)
+                wave = np.fft.rfft(np.sqrt(kx * kx + dy * dy))
+                for a, b in zip(*np.nonzero(here == k)):
+                    found[a] += wave * part[b]
+        at = (acol >= i) & (acol < i + each)
+        sums[at] += np.fft.irfft(found, size, axis=1)[acol[at] - i, aplace[at]]
+    return sums
+
+
 def _cell_kernel():
     """One cell: for every query coordinate, the weighted sum of distances to
-    the cell's reference coordinates (all of one cluster).  The distance
-    matrix is built a slice of query rows at a time, ``KERNEL_DOUBLES``
-    entries per slice."""
+    the cell's reference coordinates (all of one cluster)."""
     import numpy as np
     import pandas as pd
 
-    doubles = KERNEL_DOUBLES
-
     def kernel(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        sums = np.empty(len(q))
         if len(q) and len(r):
-            qx, qy = q["x"].to_numpy(np.float64), q["y"].to_numpy(np.float64)
-            rx, ry = r["x"].to_numpy(np.float64)[None, :], r["y"].to_numpy(np.float64)[None, :]
-            rw = r["w"].to_numpy(np.float64)
-            step = max(1, doubles // rx.shape[1])
-            for i in range(0, len(qx), step):
-                dx = qx[i:i + step, None] - rx
-                dy = qy[i:i + step, None] - ry
-                sums[i:i + step] = np.sqrt(dx * dx + dy * dy) @ rw
+            sums = distance_sums(*(q[c].to_numpy() for c in ("x", "y")), *(r[c].to_numpy() for c in ("x", "y", "w")))
             out = q[["cid", "x", "y", "w"]]
             rcid = int(r["cid"].iloc[0])
         else:
-            out, sums, rcid = q.iloc[:0][["cid", "x", "y", "w"]], sums[:0], 0
+            out, sums, rcid = q.iloc[:0][["cid", "x", "y", "w"]], np.empty(0), 0
         return out.assign(rcid=np.full(len(out), rcid, np.int32), s=sums)
 
     return kernel
@@ -221,9 +304,10 @@ def silhouette_coordinates(assign: DataFrame, cluster: str = "pos", x: str = "x"
     stats = _numbered(W, each, block_rows, slots)
     small = F.broadcast if stats.count() <= MAX_BROADCAST_CLUSTERS else (lambda df: df)
 
+    column = F.shiftright(F.col("y").cast("bigint"), COLUMN_BITS)    # rows of a column stay in one group
     coords = W.join(small(stats), [*each, "cluster"]).select(
         *each, "cid", F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "w",
-        (F.col("first") + F.pmod(F.xxhash64("x", "y"), F.col("nb"))).alias("g"))
+        (F.col("first") + F.pmod(F.xxhash64("x", column), F.col("nb"))).alias("g"))
     needs = needed_clusters(coords, stats, run).checkpoint(eager=True)
     groups = stats.select("cid", "first", "nb", "d")
     met = needs.groupBy("cid", "rcid").agg(F.count(F.lit(1)).alias("asking"))

@@ -127,3 +127,47 @@ print("MEAN", round(silhouette_mean(df).first()["mean_silhouette"], 6))
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
     assert "MEAN 0.867961" in out.stdout, out.stderr[-2000:]
+
+
+def brute_sums(qx, qy, rx, ry, rw):
+    return [sum(w * math.hypot(x - a, y - b) for a, b, w in zip(rx.tolist(), ry.tolist(), rw.tolist()))
+            for x, y in zip(qx.tolist(), qy.tolist())]
+
+
+@pytest.mark.parametrize("xs, step, ys, hot", [(3, 400, 2000, 1), (60, 1, 60, 1), (2, 7, 20_000, 10 ** 9), (4, -3, 1500, 40)])
+def test_filled_columns_are_not_computed_pair_by_pair(monkeypatch, xs, step, ys, hot):
+    import numpy as np
+
+    rng = np.random.default_rng(xs)
+    pts = np.array([(x * step, y - ys // 3) for x in range(xs) for y in range(ys)], np.int64)
+    r = pts[rng.permutation(len(pts))[:3000]]
+    w = rng.integers(1, 20, len(r))
+    w[5] = hot
+    q = pts[rng.permutation(len(pts))[:3000]]
+    pairs, direct = [], SIL._direct_sums
+    monkeypatch.setattr(SIL, "_direct_sums", lambda *a: pairs.append(len(a[0]) * len(a[2])) or direct(*a))
+    got = SIL.distance_sums(q[:, 0], q[:, 1], r[:, 0], r[:, 1], w)
+    assert sum(pairs) < len(q) * len(r) / 100
+    some = rng.permutation(len(q))[:40]
+    assert got[some] == pytest.approx(brute_sums(q[some, 0], q[some, 1], r[:, 0], r[:, 1], w), rel=1e-11)
+    monkeypatch.setattr(SIL, "COLUMN_DOUBLES", 1)          # one column at a time
+    assert SIL.distance_sums(q[:, 0], q[:, 1], r[:, 0], r[:, 1], w) == pytest.approx(got, rel=1e-11)
+
+
+def test_sparse_columns_and_far_coordinates_are_computed_pair_by_pair():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    for span in (100_000, 1 << 40):
+        x, y = rng.integers(-span, span, (2, 1100))
+        got = SIL.distance_sums(x[:20], y[:20], x, y, np.ones(1100, np.int64))
+        assert got == pytest.approx(brute_sums(x[:20], y[:20], x, y, np.ones(1100)), rel=1e-12)
+        assert (SIL.distance_sums(x, y, x, y, np.ones(1100, np.int64))[:20] == got).all()
+
+
+def test_mean_over_a_filled_grid(spark):
+    rows = [(x // 4, x * 50, y) for x in range(8) for y in range(1500) if (x * y) % 7 < 6]
+    m = SIL.silhouette_mean(frame(spark, rows)).first()
+    few = SIL.silhouette_mean(frame(spark, rows), block_rows=300).first()      # every cell below the least number of pairs
+    assert m["points"] == few["points"] == len(rows)
+    assert m["mean_silhouette"] == pytest.approx(few["mean_silhouette"], rel=1e-10)
