@@ -2,9 +2,9 @@
 
 All of them keep bag semantics: a repeated relation counts (and is reported)
 once per copy, a self relation counts twice in a degree.  Repeated copies are
-pre-aggregated into a multiplicity before any shuffle and expanded again only
-at the very end, in bounded pieces, so a pair that holds a third of all rows
-never lands in one task as a third of all rows.
+added up to a multiplicity, of small tables before any shuffle, and expanded
+again only at the very end, in bounded pieces.  Copies of one pair take one
+place in a task's memory, however many there are.
 """
 
 from __future__ import annotations
@@ -12,8 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import input_bytes
+from tessera.session import cores
+
 # A multiplicity is expanded in pieces of at most this many rows.
 PIECE_ROWS = 1 << 16
+# Pairs are dealt so that a task's share comes from about this much input.
+PAIR_INPUT_BYTES = 4 << 20
+MAX_PAIR_PARTITIONS = 100_000
 
 
 def symmetric_edges(assoc: DataFrame, a: str = "person_a", b: str = "person_b") -> DataFrame:
@@ -39,7 +45,16 @@ def degree(assoc: DataFrame, a: str = "person_a", b: str = "person_b",
 
 
 def pair_multiplicity(edges: DataFrame, keys=("id", "friend_id"), name: str = "mult") -> DataFrame:
-    """Distinct pairs with their number of copies (combined map-side)."""
+    """Distinct pairs with their number of copies.
+
+    Few pairs repeat, so adding up before the shuffle holds nearly all of a
+    task's rows in memory, and the shuffle's own partitions are as large as
+    their compressed size allows.  Beyond a partition for each core the pairs
+    are therefore dealt first, in partitions that grow in number and not in
+    size, and added up there; what follows on the same keys uses them too."""
+    parts = -(-input_bytes(edges) // PAIR_INPUT_BYTES)
+    if cores(edges.sparkSession) < parts <= MAX_PAIR_PARTITIONS:
+        edges = edges.repartition(parts, *keys)
     return edges.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 

@@ -142,3 +142,22 @@ def test_split_multiplicity_is_exact_for_huge_counts(spark):
     got = {r["id"]: (int(r["total"]), r["smallest"], r["pieces"]) for r in out.collect()}
     assert got[1][0] == big and got[1][1] > 0 and got[1][2] == (big - 1) // piece_rows + 1
     assert got[3] == (65536, 65536, 1) and got[5] == (65537, 65537, 1)
+
+
+def test_pairs_of_large_tables_are_dealt_by_input_size(spark, tmp_path, monkeypatch):
+    from tessera.operators import graph
+
+    rows = [(1, 2)] * 500 + [(i % 40, i % 17) for i in range(2000)] + [(None, 3), (3, None), (None, None), (None, None)]
+    spark.createDataFrame(rows, "person_a long, person_b long").write.parquet(str(tmp_path / "a"))
+    edges = graph.symmetric_edges(spark.read.parquet(str(tmp_path / "a")))
+    plain = graph.pair_multiplicity(edges)
+    size = graph.input_bytes(edges)
+    found = []
+    for share in (20, 60):                      # three times as many partitions where the input is three times a share
+        monkeypatch.setattr(graph, "PAIR_INPUT_BYTES", size // share)
+        dealt = graph.pair_multiplicity(edges)
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+        found.append(dealt.rdd.getNumPartitions())
+    assert found[0] >= 20 and found[1] >= 60
+    assert {r["mult"] for r in dealt.where("id = 2 AND friend_id = 1").collect()} == {
+        rows.count((1, 2)) + rows.count((2, 1))}
