@@ -2,9 +2,9 @@
 
 All of them keep bag semantics: a repeated relation counts (and is reported)
 once per copy, a self relation counts twice in a degree.  Repeated copies are
-added up to a multiplicity, of small tables before any shuffle, and expanded
-again only at the very end, in bounded pieces.  Copies of one pair take one
-place in a task's memory, however many there are.
+added up to a multiplicity (of large tables, within the task they come from
+first) and expanded again only at the very end, in bounded pieces, so a pair
+that holds a third of all rows never lands in one task as a third of all rows.
 """
 
 from __future__ import annotations
@@ -51,11 +51,15 @@ def pair_multiplicity(edges: DataFrame, keys=("id", "friend_id"), name: str = "m
     task's rows in memory, and the shuffle's own partitions are as large as
     their compressed size allows.  Beyond a partition for each core the pairs
     are therefore dealt first, in partitions that grow in number and not in
-    size, and added up there; what follows on the same keys uses them too."""
+    size, and added up there: once by pair and task they come from, so copies
+    of a hot pair meet only those of their own task, and once by pair."""
     parts = -(-input_bytes(edges) // PAIR_INPUT_BYTES)
-    if cores(edges.sparkSession) < parts <= MAX_PAIR_PARTITIONS:
-        edges = edges.repartition(parts, *keys)
-    return edges.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    if not cores(edges.sparkSession) < parts <= MAX_PAIR_PARTITIONS:
+        return edges.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
+    parts = max(parts, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))   # a join on the keys keeps these
+    own = (edges.withColumn("_task", F.spark_partition_id()).repartition(parts, *keys, "_task")
+           .groupBy(*keys, "_task").agg(F.count(F.lit(1)).alias(name)))
+    return own.drop("_task").repartition(parts, *keys).groupBy(*keys).agg(F.sum(name).alias(name))
 
 
 def visited_pairs(logs: DataFrame) -> DataFrame:
